@@ -7,7 +7,10 @@ grouped, so documents are stored, hashed and compared as canonical text:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import json
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 EMPTY_OBJECT = "{}"
 
@@ -21,19 +24,27 @@ def document(text: Column | str) -> Column:
     return F.try_parse_json(_col(text))
 
 
-def json_value(doc: Column | str, path: str) -> Column:
-    """The scalar at ``path`` as text; NULL for an object, array or JSON null."""
-    doc = _col(doc)
-    text = F.try_variant_get(doc, path, "string")
+def _scalar_only(text: Column, doc: Column, path: str) -> Column:
     # Only text that starts like a container needs the look at the real type: a
     # string may start with a brace too.
     container = F.schema_of_variant(F.try_variant_get(doc, path, "variant")).rlike("^(OBJECT|ARRAY)<")
     return F.when(F.substring(text, 1, 1).isin("{", "[") & container, F.lit(None)).otherwise(text)
 
 
-def json_value_or_wrapped(doc: Column | str, field: str) -> Column:
-    """A field that is either a scalar or wrapped as ``{"value": scalar}``."""
-    return F.coalesce(json_value(doc, f"$.{field}.value"), json_value(doc, f"$.{field}"))
+def json_value(doc: Column | str, path: str) -> Column:
+    """The scalar at ``path`` as text; NULL for an object, array or JSON null."""
+    doc = _col(doc)
+    return _scalar_only(F.try_variant_get(doc, path, "string"), doc, path)
+
+
+def with_scalars(df: DataFrame, doc: str, paths: Mapping[str, str]) -> DataFrame:
+    """Add ``json_value`` columns (name -> path), reading each path once.
+
+    The texts are a projection of their own, so that checking and using one
+    does not walk the document again.
+    """
+    texts = df.withColumns({name: F.try_variant_get(F.col(doc), path, "string") for name, path in paths.items()})
+    return texts.withColumns({name: _scalar_only(F.col(name), F.col(doc), path) for name, path in paths.items()})
 
 
 def json_subtree(doc: Column | str, path: str) -> Column:
@@ -41,6 +52,28 @@ def json_subtree(doc: Column | str, path: str) -> Column:
     return F.to_json(F.try_variant_get(_col(doc), path, "variant"))
 
 
+def json_quote(text: Column | str) -> Column:
+    """Text as a JSON string with quotes and escapes; NULL as ``null``."""
+    text = _col(text)
+    listed = F.to_json(F.array(text))
+    return F.when(text.isNull(), "null").otherwise(F.substr(listed, F.lit(2), F.length(listed) - 2))
+
+
+def json_member(key: str | Column, value: Column) -> Column:
+    """An object member as ``struct(key, "key":value)``; a plain str is a constant key."""
+    if isinstance(key, str):
+        return F.struct(F.lit(key).alias("key"), F.concat(F.lit(f"{json.dumps(key)}:"), value).alias("text"))
+    return F.struct(key.alias("key"), F.concat(json_quote(key), F.lit(":"), value).alias("text"))
+
+
+def json_object(members: Column) -> Column:
+    """Object text from an array of ``json_member``; keys must be distinct.
+
+    Keys come out sorted, so the text is canonical.
+    """
+    return F.concat(F.lit("{"), F.array_join(F.sort_array(members)["text"], ","), F.lit("}"))
+
+
 def json_elements(text: Column | str) -> Column:
     """JSON array text -> array of VARIANT; NULL where it is not an array."""
     return F.from_json(_col(text), "array<variant>")

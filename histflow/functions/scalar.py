@@ -70,9 +70,10 @@ def default_date(col: Column | str, default: Column) -> Column:
 def safe_cast(col: Column | str, data_type: T.DataType | str) -> Column:
     """Cast, or NULL where the text is not a value of the type.
 
-    Spark's text casts are more lenient than standard SQL for three types
+    Spark's text casts are more lenient than standard SQL for some types
     (``'t'`` as a boolean, ``'2025'`` as a date, ``'10:00'`` as a timestamp of
-    today), so for those the text must look like a whole value first.
+    today), so the text must look like a whole value first. For numbers the
+    same look avoids the cost of a failing cast.
     """
     col = _col(col)
     if isinstance(data_type, str):
@@ -86,6 +87,8 @@ def safe_cast(col: Column | str, data_type: T.DataType | str) -> Column:
         shape = r"^\s*\d{1,4}-\d{1,2}-\d{1,2}"
         instant = col.try_cast("timestamp").cast(data_type)
         return F.when(col.cast("string").rlike(shape), instant)
+    if isinstance(data_type, T.IntegralType):
+        return F.when(col.cast("string").rlike(r"^\s*[+-]?\d+\s*$"), col.try_cast(data_type))
     return col.try_cast(data_type)
 
 
@@ -137,7 +140,8 @@ def split_list(col: Column | str, separator: str = ";") -> Column:
 
 def level_number(col: Column | str) -> Column:
     """The first run of digits as a number, NULL where there is none."""
-    return F.regexp_extract(_col(col), fv.DIGITS_PATTERN, 1).try_cast("bigint")
+    digits = F.regexp_extract(_col(col), fv.DIGITS_PATTERN, 1)
+    return F.nullif(digits, F.lit("")).try_cast("bigint")
 
 
 # --- keys and hashes ----------------------------------------------------------------

@@ -27,7 +27,9 @@ def level_pivot(
     Numbers and dates only, so this is a hash aggregate reduced before its
     shuffle, whatever share of the rows one account holds.
     """
-    number = level_number(level)
+    # a column of its own, so that it is computed once per row
+    df = df.withColumn("__number", level_number(level))
+    number = F.col("__number")
     picks = [F.max(number).alias("max_level")]
     for n in LEVELS:
         for kind, source in (("effective", effective), ("expiration", expiration)):

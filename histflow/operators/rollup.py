@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from histflow import fixed_values as fv
-from histflow.functions.documents import json_elements, json_value
+from histflow.functions.documents import json_elements, json_member, json_object, json_quote, with_scalars
 from histflow.functions.scalar import clean_key, decode_ampersand, split_list, underscore_spaces
 
 _ORDER, _CATEGORY, _KEY, _RAW = "__order", "__category", "__key", "__raw"
@@ -30,48 +30,48 @@ def json_array_rows(df: DataFrame, payload: str, keep: Sequence[str]) -> DataFra
 
 def attribute_rows(df: DataFrame, payload: str, keep: Sequence[str]) -> DataFrame:
     """Element rows with the decoded category, the key and the raw value."""
-    return json_array_rows(df, payload, keep).withColumns(
-        {
-            "category": decode_ampersand(json_value("element", fv.CATEGORY_PATH)),
-            "key": json_value("element", fv.NAME_PATH),
-            "raw": json_value("element", fv.VALUE_PATH),
-        }
+    rows = with_scalars(
+        json_array_rows(df, payload, keep),
+        "element",
+        {"category": fv.CATEGORY_PATH, "key": fv.NAME_PATH, "raw": fv.VALUE_PATH},
     )
+    return rows.withColumn("category", decode_ampersand("category"))
 
 
-# --- value rules: (key, raw text) -> VARIANT ---------------------------------------
+# --- value rules: (key, raw text) -> JSON text ---------------------------------------
 
 
 def separated_values(key: Column, raw: Column) -> Column:
-    """Text with ``;`` is a list; NULL stays JSON null; other text is a string."""
-    return F.when(raw.contains(";"), F.to_variant_object(split_list(raw))).otherwise(raw.cast("variant"))
+    """Text with ``;`` is a list; NULL is JSON null; other text is a string."""
+    return F.when(raw.contains(";"), F.to_json(split_list(raw))).otherwise(json_quote(raw))
 
 
 def listed_keys_values(list_keys: Sequence[str]):
     """Only the named keys are lists (spaces in elements become ``_``)."""
 
     def rule(key: Column, raw: Column) -> Column:
-        elements = F.transform(split_list(raw), underscore_spaces)
-        elements = F.coalesce(elements, F.array().cast("array<string>"))
-        return F.when(key.isin(*list_keys), F.to_variant_object(elements)).otherwise(raw.cast("variant"))
+        elements = F.to_json(F.transform(split_list(raw), underscore_spaces))
+        return F.when(key.isin(*list_keys), F.coalesce(elements, F.lit("[]"))).otherwise(json_quote(raw))
 
     return rule
 
 
 def kv_string_agg(attributes: DataFrame, ids: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``"key":value`` texts joined in order, one per entity and category."""
-    value = F.to_json(F.struct(separated_values(F.col("key"), F.col("raw")).alias("v")), {"ignoreNullFields": "false"})
-    # {"v":...} -> ...
-    value = F.substr(value, F.lit(6), F.length(value) - 6)
+    value = separated_values(F.col("key"), F.col("raw"))
     pairs = attributes.select(
-        *ids, "category", *order, F.concat(F.lit('"'), "key", F.lit('":'), value).alias("pair")
-    )
+        *ids, "category", *order, F.concat(json_quote("key"), F.lit(":"), value).alias("pair")
+    ).where(F.col("key").isNotNull())
     within = ", ".join(f"`{c}`" for c in order)
     return pairs.groupBy(*ids, "category").agg(
         F.expr(f"listagg(pair, ',') WITHIN GROUP (ORDER BY {within})").alias("kv_string")
     )
 
 
+def _envelope(name: str) -> str:
+    return f"__envelope_{name}"
+
+
 # --- the roll-up ---------------------------------------------------------------------
 
 
@@ -86,25 +86,30 @@ def _reduced_attributes(
     key_rule,
 ) -> DataFrame:
     keep = list(dict.fromkeys([*ids, *order_by, *latest]))
-    rows = json_array_rows(df, payload, keep)
-    category = decode_ampersand(json_value("element", fv.CATEGORY_PATH))
-    rows = rows.withColumn(_CATEGORY, F.when(category.isin(*documents, *arrays), category))
+    rows = with_scalars(
+        json_array_rows(df, payload, keep),
+        "element",
+        {_CATEGORY: fv.CATEGORY_PATH, _KEY: fv.NAME_PATH, _RAW: fv.VALUE_PATH}
+        | {_envelope(name): path for name, path in fv.ENVELOPE_PATHS.items()},
+    )
+    rows = rows.withColumn(_CATEGORY, decode_ampersand(_CATEGORY))
     in_document = F.col(_CATEGORY).isin(*documents)
+    in_array = F.col(_CATEGORY).isin(*arrays)
     rows = rows.select(
         *ids,
-        _CATEGORY,
-        F.when(in_document, key_rule(json_value("element", fv.NAME_PATH))).alias(_KEY),
-        F.when(in_document, json_value("element", fv.VALUE_PATH)).alias(_RAW),
+        F.when(in_document | in_array, F.col(_CATEGORY)).alias(_CATEGORY),
+        F.when(in_document, key_rule(F.col(_KEY))).alias(_KEY),
+        F.when(in_document, F.col(_RAW)).alias(_RAW),
         F.struct(*order_by, "pos").alias(_ORDER),
         F.struct(*order_by, *[c for c in latest if c not in order_by]).alias("__latest"),
-        *[F.when(in_document, json_value("element", path)).alias(name) for name, path in fv.ENVELOPE_PATHS.items()],
-        *([F.when(~in_document, F.to_json("element")).alias("__text")] if arrays else []),
+        *[F.when(in_document, F.col(_envelope(name))).alias(_envelope(name)) for name in fv.ENVELOPE_PATHS],
+        *([F.when(in_array, F.to_json("element")).alias("__text")] if arrays else []),
     )
     aggregates = [
         # the last position wins where a name is repeated
         F.max_by(_RAW, F.struct(_ORDER, _RAW)).alias(_RAW),
         F.max("__latest").alias("__latest"),
-        *[F.max(name).alias(name) for name in fv.ENVELOPE_PATHS],
+        *[F.max(_envelope(name)).alias(_envelope(name)) for name in fv.ENVELOPE_PATHS],
     ]
     if arrays:
         item = F.when(F.col("__text").isNotNull(), F.struct(F.col(_ORDER), F.col("__text").alias("text")))
@@ -112,31 +117,29 @@ def _reduced_attributes(
     return rows.groupBy(*ids, _CATEGORY, _KEY).agg(*aggregates)
 
 
-def _category_document(value_rule, association: str | None) -> list[Column]:
+def _category_document(association: str | None) -> list[Column]:
     """Aggregates over one category of one entity: attributes and envelope."""
-    key = F.col(_KEY)
-    attribute = F.struct(key.alias("key"), value_rule(key, F.col(_RAW)).alias("value"))
-    # an envelope field replaces an attribute of the same name
-    named = key.isNotNull() & ~key.isin(*fv.ENVELOPE_KEYS)
-    attributes = F.map_from_entries(F.collect_list(F.when(named, attribute)))
-
-    def text(c: Column) -> Column:
-        return c.cast("variant")
-
     envelope = {
-        "Attribute_Category__c": text(F.first(_CATEGORY)),
-        "Client_External_Id__c": text(F.max("Client_External_Id__c")),
-        "Configured_Product__c": text(F.max("Configured_Product__c")),
-        "Grouper_ID__c": text(F.max("Grouper_ID__c")),
-        "Product_Association_ID": text(F.first(association) if association else F.lit(None).cast("string")),
-        "line_of_business": text(F.max("line_of_business")),
-        "LastModifiedBy": F.to_variant_object(
-            F.struct(F.struct(F.max("LastModifiedBy").alias("Value")).alias("Name"))
-        ),
+        "Attribute_Category__c": F.first(_CATEGORY),
+        "Client_External_Id__c": F.max(_envelope("Client_External_Id__c")),
+        "Configured_Product__c": F.max(_envelope("Configured_Product__c")),
+        "Grouper_ID__c": F.max(_envelope("Grouper_ID__c")),
+        "Product_Association_ID": F.first(association) if association else F.lit(None),
+        "line_of_business": F.max(_envelope("line_of_business")),
+        "LastModifiedBy": F.max(_envelope("LastModifiedBy")),
     }
-    constant = F.create_map(*[x for name, value in envelope.items() for x in (F.lit(name), value)])
-    document = F.to_json(F.array(F.to_variant_object(F.map_concat(attributes, constant))))
-    return [document.alias("__document")]
+    return [
+        F.collect_list("__entry").alias("__entries"),
+        *[value.cast("string").alias(f"__{name}") for name, value in envelope.items()],
+    ]
+
+
+def _document_text() -> Column:
+    """``[{attributes + envelope}]`` of an aggregated category row."""
+    values = {name: json_quote(f"__{name}") for name in fv.ENVELOPE_KEYS}
+    values["LastModifiedBy"] = F.concat(F.lit('{"Name":{"Value":'), values["LastModifiedBy"], F.lit("}}"))
+    constants = F.array(*[json_member(name, value) for name, value in values.items()])
+    return F.concat(F.lit("["), json_object(F.concat("__entries", constants)), F.lit("]"))
 
 
 def eav_rollup(
@@ -164,14 +167,24 @@ def eav_rollup(
     reduced = _reduced_attributes(
         df, ids, payload, list(documents), list(arrays), list(order_by), list(latest), key_rule
     )
+    # an envelope field replaces an attribute of the same name
+    named = F.col(_KEY).isNotNull() & ~F.col(_KEY).isin(*fv.ENVELOPE_KEYS)
+    entry = json_member(F.col(_KEY), value_rule(F.col(_KEY), F.col(_RAW)))
+    entries = reduced.withColumn("__entry", F.when(named, entry)).drop(_KEY, _RAW)
     # One exchange on the entity serves both groupings below.
-    together = reduced.repartition(*[F.col(i) for i in ids])
-    aggregates = [*_category_document(value_rule, association), F.max("__latest").alias("__latest")]
+    together = entries.repartition(*[F.col(i) for i in ids])
+    aggregates = [F.max("__latest").alias("__latest")]
+    if documents:
+        aggregates += _category_document(association)
     if arrays:
-        items = F.sort_array(F.flatten(F.collect_list("__items")))
-        text = F.concat(F.lit("["), F.array_join(items["text"], ","), F.lit("]"))
-        aggregates.append(text.alias("__array"))
+        aggregates.append(F.flatten(F.collect_list("__items")).alias("__items"))
     per_category = together.groupBy(*ids, _CATEGORY).agg(*aggregates)
+    if documents:
+        in_document = F.col(_CATEGORY).isin(*documents)
+        per_category = per_category.withColumn("__document", F.when(in_document, _document_text()))
+    if arrays:
+        items = F.array_join(F.sort_array("__items")["text"], ",")
+        per_category = per_category.withColumn("__array", F.concat(F.lit("["), items, F.lit("]")))
     wide = [
         F.max(F.when(F.col(_CATEGORY) == category, F.col(source))).alias(column)
         for source, columns in (("__document", documents), ("__array", arrays))

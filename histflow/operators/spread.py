@@ -23,8 +23,8 @@ _HASH, _SLICES, _SLICE = "__key_hash", "__slices", "__slice"
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the session hides it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # a Connect session has no local plan
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # a Connect session has no local plan
         return None
 
 
@@ -80,6 +80,7 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     cut_heavy: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, on, how)`` with heavy left keys cut into slices.
 
@@ -87,6 +88,10 @@ def spread_join(
     repeated once per slice. Each left row meets each of its right rows exactly
     once, so the result is the plain join's. ``how``: left, inner, left_semi,
     left_anti. NULL keys never match and are spread as well.
+
+    Finding the heavy keys reads the key columns of the left side once more.
+    Where ``left`` is costly to compute, ``keys_from`` names a cheaper source
+    with the same key columns and about the same shares.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot do a {how} join")
@@ -99,7 +104,7 @@ def spread_join(
 
     partitions = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # At most MAX_HEAVY_KEYS rows of 12 bytes.
-    heavy = F.broadcast(heavy_keys(left, on, partitions))
+    heavy = F.broadcast(heavy_keys(left if keys_from is None else keys_from, on, partitions))
     key_hash = F.xxhash64(*[F.col(k) for k in on])
     left_sliced = (
         left.withColumn(_HASH, key_hash)

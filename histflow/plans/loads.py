@@ -215,7 +215,10 @@ def configuration_source(
     owners = entitlement.select(
         F.col("sf_product_association_id").alias("Product_Association_ID"), "customer_id"
     )
-    return spread_join(wide, owners, ["Product_Association_ID"], "left", cut_heavy).select(
+    joined = spread_join(
+        wide, owners, ["Product_Association_ID"], "left", cut_heavy, keys_from=rows.select("Product_Association_ID")
+    )
+    return joined.select(
         F.col("ID").alias("sf_product_configuration_id"),
         F.col("Product_Association_ID").alias("sf_product_association_id"),
         "business_unit_cd",
@@ -355,6 +358,7 @@ def mapped_load(
     keys: Sequence[str] = ("sf_account_id",),
     payload: str = "Payload",
     latest_by: Sequence[str] = ("source_last_process_dts",),
+    staging: bool = True,
 ) -> Load:
     """Map payloads to the target's columns and upsert them.
 
@@ -362,6 +366,8 @@ def mapped_load(
     they are an error.
     """
     mapped = map_payload(raw, target.schema, spec, payload)
+    if staging:
+        mapped = stage(mapped, "mapped")
     if latest_by:
         mapped = latest_per_key(mapped, list(keys), list(latest_by))
     return Load(scd1_upsert(target, mapped, keys))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from histflow.operators.spread import placement
+from histflow.operators.spread import SMALL_SIDE_BYTES, estimated_bytes, placement
 from histflow.session import work_folder
 
 
@@ -15,6 +15,19 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.parquet(path)
 
 
+def dealt_out(df: DataFrame, below: int = SMALL_SIDE_BYTES) -> DataFrame:
+    """A small table dealt out to all cores before heavy per-row work.
+
+    A file of one row group is read by a single task, and parsing JSON costs far
+    more than reading it. A table above ``below`` bytes has tasks enough and is
+    left as it is.
+    """
+    size = estimated_bytes(df)
+    if size is None or size > below:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def pending(df: DataFrame, flag: str = "indicator_flag", value: str = "N") -> DataFrame:
     """Rows not processed yet. A plain comparison, so the scan can use it."""
     return df.where(F.col(flag) == value)

@@ -17,7 +17,7 @@ IDS = ["ID", "Product_Association_ID"]
 
 
 def configuration(spark, sf):
-    return derived(spark, sf, inputs.CONFIGURATION)
+    return derived(spark, sf, inputs.CONFIGURATION, payloads=True)
 
 
 # --- elements ------------------------------------------------------------------------------
@@ -129,11 +129,15 @@ def eav_rollup(spark, sf):
        FROM wide LEFT JOIN ent ON assoc = sf_product_association_id""",
 )
 def eav_rollup_all(spark, sf):
-    wide = rollup.eav_rollup(configuration(spark, sf), IDS, fv.CATEGORIES, association="Product_Association_ID")
+    landing = configuration(spark, sf)
+    wide = rollup.eav_rollup(landing, IDS, fv.CATEGORIES, association="Product_Association_ID")
     owners = derived(spark, sf, inputs.ENTITLEMENT).withColumnRenamed(
         "sf_product_association_id", "Product_Association_ID"
     )
-    return spread_join(wide, owners, ["Product_Association_ID"], "left").select(
+    joined = spread_join(
+        wide, owners, ["Product_Association_ID"], "left", keys_from=landing.select("Product_Association_ID")
+    )
+    return joined.select(
         *IDS, *fv.CATEGORIES.values(), "customer_id"
     )
 
@@ -193,16 +197,16 @@ def scalar_sql(path: str) -> str:
        {scalar_sql('$.Note__c')} AS note, {scalar_sql('$.Absent__c')} AS absent FROM ({inputs.MAPPED}) m""",
 )
 def json_value(spark, sf):
-    parsed = derived(spark, sf, inputs.MAPPED).select("event_id", dx.document("Payload").alias("doc"))
-    return parsed.select(
-        "event_id",
-        dx.json_value("doc", "$.Client_Category__c").alias("category"),
-        dx.json_value("doc", "$.Count__c").alias("cnt"),
-        dx.json_value("doc", "$.Count__c.value").alias("nested"),
-        dx.json_value("doc", "$.Level_1_ID__c").alias("level_1"),
-        dx.json_value("doc", "$.Note__c").alias("note"),
-        dx.json_value("doc", "$.Absent__c").alias("absent"),
-    )
+    parsed = derived(spark, sf, inputs.MAPPED, payloads=True).select("event_id", dx.document("Payload").alias("doc"))
+    paths = {
+        "category": "$.Client_Category__c",
+        "cnt": "$.Count__c",
+        "nested": "$.Count__c.value",
+        "level_1": "$.Level_1_ID__c",
+        "note": "$.Note__c",
+        "absent": "$.Absent__c",
+    }
+    return dx.with_scalars(parsed, "doc", paths).drop("doc")
 
 
 OBJECT_SQL = """CASE WHEN p_partkey % 19 = 0 THEN '{}' ELSE '{"ACI_a":' || p_size || ',"ACI_b":' ||
@@ -250,7 +254,7 @@ def json_prefix_split(spark, sf):
        CAST(NULL AS VARCHAR) AS phone_search FROM orders""",
 )
 def json_children(spark, sf):
-    rows = children_of(derived(spark, sf, inputs.CHILD_ROWS), "payload", keep=["n"])
+    rows = children_of(derived(spark, sf, inputs.CHILD_ROWS, payloads=True), "payload", keep=["n"])
     return rows.select("n", "activity_rule", "care_connection_newsletter", "phone_search")
 
 
@@ -287,17 +291,21 @@ def mapping_spec(wrapped: bool) -> mapping.MappingSpec:
 
 @query("routed_field", f"SELECT event_id, {GROUP_SQL} AS customer_population_group_id FROM events")
 def routed_field(spark, sf):
-    parsed = derived(spark, sf, inputs.MAPPED).select("event_id", dx.document("Payload").alias("doc"))
-    return parsed.select(
-        "event_id", mapping.population_group_route(F.col("doc")).alias("customer_population_group_id")
+    return mapping.select_values(
+        derived(spark, sf, inputs.MAPPED, payloads=True),
+        "Payload",
+        ["event_id"],
+        lambda value: [mapping.population_group_route(value).alias("customer_population_group_id")],
     )
 
 
 @query("routed_field_nested", f"SELECT event_id, {LEVEL_1_SQL} AS customer_account_structure_level_1_id FROM events")
 def routed_field_nested(spark, sf):
-    parsed = derived(spark, sf, inputs.MAPPED).select("event_id", dx.document("Payload").alias("doc"))
-    return parsed.select(
-        "event_id", mapping.level_1_id_route(F.col("doc")).alias("customer_account_structure_level_1_id")
+    return mapping.select_values(
+        derived(spark, sf, inputs.MAPPED, payloads=True),
+        "Payload",
+        ["event_id"],
+        lambda value: [mapping.level_1_id_route(value).alias("customer_account_structure_level_1_id")],
     )
 
 
@@ -311,7 +319,7 @@ def routed_field_nested(spark, sf):
 )
 def mapped_select(spark, sf):
     return mapping.map_payload(
-        derived(spark, sf, inputs.MAPPED), T.StructType.fromDDL(TARGET), mapping_spec(wrapped=False), keep=("event_id",)
+        derived(spark, sf, inputs.MAPPED, payloads=True), T.StructType.fromDDL(TARGET), mapping_spec(wrapped=False), keep=("event_id",)
     )
 
 
@@ -325,5 +333,5 @@ def mapped_select(spark, sf):
 )
 def mapped_select_value(spark, sf):
     return mapping.map_payload(
-        derived(spark, sf, inputs.MAPPED), T.StructType.fromDDL(TARGET), mapping_spec(wrapped=True), keep=("event_id",)
+        derived(spark, sf, inputs.MAPPED, payloads=True), T.StructType.fromDDL(TARGET), mapping_spec(wrapped=True), keep=("event_id",)
     )

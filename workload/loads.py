@@ -125,7 +125,7 @@ FROM orders
 )
 def product_configuration_load(spark, sf):
     return loads.product_configuration_load(
-        derived(spark, sf, inputs.CONFIGURATION),
+        derived(spark, sf, inputs.CONFIGURATION, payloads=True),
         derived(spark, sf, inputs.ENTITLEMENT),
         derived(spark, sf, CONFIGURATION_HISTORY),
         as_of(),
@@ -174,7 +174,7 @@ def mapped_load(spark, sf):
         {c: F.col(c).cast(T.TimestampNTZType()) for c in ("orig_src_pst_dts", "source_last_process_dts")}
     )
     return loads.mapped_load(
-        derived(spark, sf, inputs.MAPPED),
+        derived(spark, sf, inputs.MAPPED, payloads=True),
         target,
         spec,
         latest_by=["source_last_process_dts", "customer_account_structure_level_1_id", "employee_cnt"],

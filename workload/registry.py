@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from histflow import configure
+from histflow.sources.tables import dealt_out
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -45,12 +46,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def derived(spark: SparkSession, sf_dir: str, sql: str, payloads: bool = False) -> DataFrame:
     """Rows of an input statement over the given tables.
 
     The same text runs in the check engine; timestamps have no zone there.
+    ``payloads``: the rows carry JSON, so a small table is dealt out first.
     """
     for table in TABLES:
         if re.search(rf"\b{table}\b", sql):
-            read(spark, sf_dir, table).createOrReplaceTempView(table)
+            rows = read(spark, sf_dir, table)
+            (dealt_out(rows) if payloads else rows).createOrReplaceTempView(table)
     return spark.sql(sql.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
