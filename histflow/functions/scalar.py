@@ -97,7 +97,10 @@ def date_of_instant(col: Column | str) -> Column:
     return F.to_date(safe_cast(col, T.TimestampType()))
 
 
-def as_instant(as_of: Column | datetime | str | None) -> Column:
+AsOf = Column | datetime | str | None
+
+
+def as_instant(as_of: AsOf) -> Column:
     """The run time: a column, a literal, or by default the statement's clock."""
     if as_of is None:
         return F.current_timestamp()

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from histflow.functions.documents import document_or_empty
-from histflow.functions.scalar import content_digest, open_end, previous_midnight
+from histflow.functions.scalar import AsOf, as_instant, content_digest, open_end, previous_midnight
 from histflow.operators.spread import spread_join
 
 CLOSED, ACTIVE = "N", "Y"
@@ -119,8 +119,9 @@ def new_version_values(schema: T.StructType, available: Mapping[str, Column], hi
     return {f.name: values.get(f.name, F.lit(None)).cast(f.dataType) for f in schema.fields}
 
 
-def new_versions(source: DataFrame, schema: T.StructType, history: History, as_of: Column) -> DataFrame:
+def new_versions(source: DataFrame, schema: T.StructType, history: History, as_of: AsOf) -> DataFrame:
     """Source rows in the shape of the history table, active and open-ended."""
+    as_of = as_instant(as_of)
     columns = {c: F.col(c) for c in source.columns}
     row = new_version_values(schema, columns, history, as_of)
     return source.select(*[c.alias(name) for name, c in row.items()])
@@ -141,7 +142,7 @@ def expire(
     target: DataFrame,
     source: DataFrame,
     history: History,
-    as_of: Column,
+    as_of: AsOf,
     cut_heavy: bool | None = None,
 ) -> DataFrame:
     """Close the active rows matched by the source; all other rows unchanged.
@@ -151,6 +152,7 @@ def expire(
     per key before it is shuffled: the least and greatest content digest say
     whether a different one exists.
     """
+    as_of = as_instant(as_of)
     keys, watched = list(history.keys), history.watched()
     active = active_rows(target, history)
     if not watched:
@@ -188,13 +190,14 @@ def expire(
 # --- insert --------------------------------------------------------------------------------
 
 
-def insert_new_or_changed(target: DataFrame, source: DataFrame, history: History, as_of: Column) -> DataFrame:
+def insert_new_or_changed(target: DataFrame, source: DataFrame, history: History, as_of: AsOf) -> DataFrame:
     """New versions for source rows no active row already shows.
 
     Run after ``expire``: what is still active for the key is then unchanged.
     One anti join on key and content; on the key alone if nothing is watched or
     a NULL is no difference.
     """
+    as_of = as_instant(as_of)
     watched = history.watched() if history.null_safe else []
     shown = active_rows(target, history).select(
         *[F.col(k).alias(f"__t_{k}") for k in history.keys],
@@ -215,13 +218,14 @@ def scd_actions(source: DataFrame) -> DataFrame:
 # --- merges ----------------------------------------------------------------------------------
 
 
-def merge_active(active: DataFrame, source: DataFrame, history: History, as_of: Column) -> DataFrame:
+def merge_active(active: DataFrame, source: DataFrame, history: History, as_of: AsOf) -> DataFrame:
     """Merge one source batch into the active slice.
 
     Returns the slice's rows, untouched or closed, and the new versions. One
     full outer join on the key; each side has one row per key (the source is
     checked, the slice has it by construction), so no key can be heavy.
     """
+    as_of = as_instant(as_of)
     schema, keys = active.schema, list(history.keys)
     checked = assert_single_match(source.where(known(keys)), keys)
     left = active.where(known(keys)).select(
@@ -268,7 +272,7 @@ def scd2_apply(
     target: DataFrame,
     source: DataFrame,
     history: History,
-    as_of: Column,
+    as_of: AsOf,
     insert: str = "new_or_changed",
 ) -> DataFrame:
     """The whole history table after one batch.
@@ -277,6 +281,7 @@ def scd2_apply(
     ``always``: changed rows are closed and every source row is inserted,
     changed or not.
     """
+    as_of = as_instant(as_of)
     if insert == "always":
         return expire(target, source, history, as_of).unionByName(
             new_versions(source, target.schema, history, as_of)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from histflow import fixed_values as fv
-from histflow.functions.scalar import safe_cast
+from histflow.functions.scalar import AsOf, as_instant, safe_cast
 from histflow.operators.spread import spread_join
 
 DUPLICATE = "is_duplicate"
@@ -63,6 +63,7 @@ def split_valid(checked: DataFrame, statuses: Sequence[str]) -> tuple[DataFrame,
     return checked.where(valid), checked.where(~valid)
 
 
-def audit_rows(invalid: DataFrame, as_of: Column) -> DataFrame:
+def audit_rows(invalid: DataFrame, as_of: AsOf) -> DataFrame:
     """Rejected rows with the audit time in front."""
+    as_of = as_instant(as_of)
     return invalid.select(as_of.alias("audit_dts"), "*")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from histflow import fixed_values as fv
 from histflow.functions.documents import document, json_subtree
+from histflow.functions.scalar import AsOf, as_instant
 from histflow.operators.history import (
     History,
     active_rows,
@@ -62,7 +63,7 @@ def reversion_rows(
     documents: DataFrame,
     history: History,
     group: str,
-    as_of: Column,
+    as_of: AsOf,
     cut_heavy: bool | None = None,
 ) -> DataFrame:
     """New versions of the active rows of the given groups, with the children.
@@ -70,6 +71,7 @@ def reversion_rows(
     Everything else is copied from the active row; ids, times and status come
     from ``history``.
     """
+    as_of = as_instant(as_of)
     fresh = [c for c in documents.columns if c != group]
     active = active_rows(target, history)
     carried = active.select(*[c for c in active.columns if c not in fresh])
@@ -78,9 +80,10 @@ def reversion_rows(
 
 
 def reversion_expire(
-    target: DataFrame, documents: DataFrame, history: History, group: str, as_of: Column
+    target: DataFrame, documents: DataFrame, history: History, group: str, as_of: AsOf
 ) -> DataFrame:
     """Close exactly the active rows that get a new version."""
+    as_of = as_instant(as_of)
     by_group = History(
         keys=[group],
         active=history.active,
@@ -97,13 +100,14 @@ def reversion_with_children(
     documents: DataFrame,
     history: History,
     group: str,
-    as_of: Column,
+    as_of: AsOf,
     cut_heavy: bool | None = None,
 ) -> DataFrame:
     """The whole table after a re-version: closed rows, old actives, new rows.
 
     One join serves both the closing and the new versions.
     """
+    as_of = as_instant(as_of)
     fresh = [c for c in documents.columns if c != group]
     active = active_rows(target, history)
     renamed = documents.select(

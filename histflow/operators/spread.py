@@ -60,7 +60,9 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame
         F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"),
         F.count(F.lit(1)).alias("n"),
     )
-    top = lanes.agg(
+    # Grouped by a constant: a sketch of an empty partition cannot be merged, and
+    # a grouped aggregate makes none.
+    top = lanes.groupBy(F.lit(0).alias("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {listed})").alias("top"),
         F.sum("n").alias("n"),
     )

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from histflow import fixed_values as fv
 from histflow.functions.documents import json_first, json_value, prefix_split
 from histflow.functions.scalar import (
+    AsOf,
+    as_instant,
     code_map,
     default_date,
     high_date,
@@ -71,11 +73,12 @@ CUSTOMER_WATCH = [
 ]
 
 
-def customer_source(landing: DataFrame, as_of: Column, flag: str = "N") -> DataFrame:
+def customer_source(landing: DataFrame, as_of: AsOf, flag: str = "N") -> DataFrame:
     """Pending customers with codes, defaults, hash and audit columns.
 
     A computed column replaces the landing column of the same name.
     """
+    as_of = as_instant(as_of)
     expiration = "business_expiration_dt" if "business_expiration_dt" in landing.columns else F.lit(None)
     return pending(landing, value=flag).withColumns(
         {
@@ -110,12 +113,13 @@ def check_customers(source: DataFrame, cut_heavy: bool | None = None) -> DataFra
 def customer_load(
     landing: DataFrame,
     target: DataFrame,
-    as_of: Column,
+    as_of: AsOf,
     insert: str = "new_or_changed",
     end_rule: str = "as_of",
     staging: bool = True,
 ) -> Load:
     """Check pending customers; valid ones go to the history, others to audit."""
+    as_of = as_instant(as_of)
     checked = check_customers(customer_source(landing, as_of))
     if staging:
         checked = stage(checked, "customers")
@@ -138,7 +142,7 @@ def customer_load(
 def account_structure_source(
     landing: DataFrame,
     customers: DataFrame,
-    as_of: Column,
+    as_of: AsOf,
     literal_hash: bool = False,
     cut_heavy: bool | None = None,
 ) -> DataFrame:
@@ -148,6 +152,7 @@ def account_structure_source(
     ``literal_hash`` NULLs are left out of the record hash, which then cannot
     tell (a, NULL, b) from (a, b, NULL).
     """
+    as_of = as_instant(as_of)
     owners = customers.select("sf_account_id", "customer_id")
     own = landing.drop("customer_id")
     joined = spread_join(own, owners, ["sf_account_id"], "left", cut_heavy)
@@ -169,12 +174,13 @@ def account_structure_load(
     landing: DataFrame,
     customers: DataFrame,
     target: DataFrame,
-    as_of: Column,
+    as_of: AsOf,
     end_rule: str = "as_of",
     literal_hash: bool = False,
     staging: bool = True,
 ) -> Load:
     """Version account structures by their record hash."""
+    as_of = as_instant(as_of)
     source = account_structure_source(landing, customers, as_of, literal_hash)
     if staging:
         source = stage(source, "account-structures")
@@ -247,13 +253,14 @@ def product_configuration_load(
     landing: DataFrame,
     entitlement: DataFrame,
     target: DataFrame,
-    as_of: Column,
+    as_of: AsOf,
     raw_categories: bool = False,
     watch: Sequence[str] | None = None,
     insert: str = "new_or_changed",
     staging: bool = True,
 ) -> Load:
     """Roll up pending configurations and version them by their documents."""
+    as_of = as_instant(as_of)
     source = configuration_source(landing, entitlement, raw_categories).withColumn(
         "sgk_customer_product_configuration_id",
         surrogate_key(["sf_product_configuration_id", "sf_product_association_id"], as_of),
@@ -272,12 +279,13 @@ def reversion_load(
     configurations: DataFrame,
     children: DataFrame,
     target: DataFrame,
-    as_of: Column,
+    as_of: AsOf,
     group: str = "customer_population_group_id",
     order_by: Sequence[str] = ("LastModifiedDate", "CreatedDate"),
     staging: bool = True,
 ) -> Load:
     """Give active rows a new version carrying their group's child collections."""
+    as_of = as_instant(as_of)
     documents = children_of_groups(
         configurations.withColumnRenamed("Grouper_val", group),
         children.withColumnRenamed("Grouper_val", group),
@@ -308,11 +316,12 @@ def reversion_load(
 
 def contacts_source(
     landing: DataFrame,
-    as_of: Column,
+    as_of: AsOf,
     flag: str = "Y",
     prefixes: Mapping[str, str] = fv.CONTACT_PREFIXES,
 ) -> DataFrame:
     """Pending contacts: key-prefix documents of payload element 0."""
+    as_of = as_instant(as_of)
     first = pending(landing, value=flag).select("ID", "indicator_flag", json_first("Payload").alias("__object"))
     return first.select(
         F.col("ID").cast("string").alias("id"),
@@ -324,7 +333,8 @@ def contacts_source(
     )
 
 
-def contacts_history(as_of: Column) -> History:
+def contacts_history(as_of: AsOf) -> History:
+    as_of = as_instant(as_of)
     return History(
         keys=["id"],
         documents=list(fv.CONTACT_PREFIXES.values()),
@@ -335,8 +345,9 @@ def contacts_history(as_of: Column) -> History:
     )
 
 
-def contacts_load(landing: DataFrame, target: DataFrame, as_of: Column, staging: bool = True) -> Load:
+def contacts_load(landing: DataFrame, target: DataFrame, as_of: AsOf, staging: bool = True) -> Load:
     """Version contacts by their two documents; ``Y`` marks pending rows here."""
+    as_of = as_instant(as_of)
     source = contacts_source(landing, as_of)
     if staging:
         source = stage(source, "contacts")
