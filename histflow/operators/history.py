@@ -64,35 +64,48 @@ def _orderable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType, T.StructType, T.ArrayType))
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The row with the highest ``order_by`` of each key; ties are broken by content.
+def latest_keyed(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` of the rows whose key is known, without the others.
 
-    Rows with a NULL key match nothing and are all kept.
     ``row_number`` = 1 is cut per task before the shuffle (a window group
     limit), so the copies of a hot key do not travel.
     """
     rest = [f.name for f in df.schema.fields if f.name not in [*keys, *order_by] and _orderable(f.dataType)]
     ordering = [F.col(c).desc_nulls_last() for c in order_by] + [F.xxhash64(*rest).desc()] * bool(rest)
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering))
-    keyed = df.where(known(keys)).withColumn("__position", position).where(F.col("__position") == 1)
-    return keyed.drop("__position").unionByName(df.where(~known(keys)))
+    keyed = df.where(known(keys)).withColumn("__position", position)
+    return keyed.where(F.col("__position") == 1).drop("__position")
 
 
-def assert_single_match(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows; the job fails if a key occurs twice (NULL is no key).
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The row with the highest ``order_by`` of each key; ties are broken by content.
+
+    Rows with a NULL key match nothing and are all kept; they are a second read
+    of ``df``, so stage it first if it is costly.
+    """
+    return latest_keyed(df, keys, order_by).unionByName(df.where(~known(keys)))
+
+
+def assert_single(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with known keys only, folded per key; the job fails on a second row.
 
-    Rows are folded per key with partial aggregation. The result is already
-    partitioned by the keys, so a following join on them does not shuffle again.
+    Folding is a partial aggregation, so a repeated key is reduced where it is
+    read. The result is already partitioned by the keys: a join on them does not
+    shuffle it again.
     """
     rest = [c for c in df.columns if c not in keys]
-    folded = df.where(known(keys)).groupBy(*keys).agg(
+    folded = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.first(F.struct(*[F.col(c) for c in rest]) if rest else F.lit(True)).alias("__row"),
     )
     message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
     once = folded.where(F.assert_true(F.col("__rows") == 1, message).isNull())
-    rows = once.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
-    return rows.unionByName(df.where(~known(keys)))
+    return once.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
+def assert_single_match(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; the job fails if a key occurs twice (NULL is no key)."""
+    return assert_single(df.where(known(keys)), keys).unionByName(df.where(~known(keys)))
 
 
 # --- pieces ----------------------------------------------------------------------------
@@ -227,7 +240,7 @@ def merge_active(active: DataFrame, source: DataFrame, history: History, as_of:
     """
     as_of = as_instant(as_of)
     schema, keys = active.schema, list(history.keys)
-    checked = assert_single_match(source.where(known(keys)), keys)
+    checked = assert_single(source.where(known(keys)), keys)
     left = active.where(known(keys)).select(
         *[F.col(c).alias(f"__t_{c}") for c in active.columns], F.lit(True).alias("__in_target")
     )
@@ -298,7 +311,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     Columns the source does not have keep the target's value.
     """
     keys = list(keys)
-    checked = assert_single_match(source.where(known(keys)), keys)
+    checked = assert_single(source.where(known(keys)), keys)
     left = target.where(known(keys)).select(
         *[F.col(c).alias(f"__t_{c}") for c in target.columns]
     )
@@ -339,13 +352,16 @@ def mark_processed(
 ) -> DataFrame:
     """Flip the flag of pending source rows whose key reached the target.
 
-    ``on`` maps source key columns to the columns of ``reached``.
+    ``on`` maps source key columns to the columns of ``reached``. Only pending
+    rows are joined; the others pass by.
     """
     seen = (
         reached.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()])
         .distinct()
         .withColumn("__reached", F.lit(True))
     )
-    joined = spread_join(source, seen, list(on), "left", cut_heavy)
-    flipped = F.when((F.col(flag) == pending) & F.col("__reached").isNotNull(), F.lit(done)).otherwise(F.col(flag))
-    return joined.select(*[flipped.alias(c) if c == flag else F.col(c) for c in source.columns])
+    waiting = source.where(F.col(flag) == pending)
+    joined = spread_join(waiting, seen, list(on), "left", cut_heavy)
+    flipped = F.when(F.col("__reached").isNotNull(), F.lit(done)).otherwise(F.col(flag))
+    marked = joined.select(*[flipped.alias(c) if c == flag else F.col(c) for c in source.columns])
+    return source.where(~F.col(flag).eqNullSafe(pending)).unionByName(marked)

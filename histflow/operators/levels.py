@@ -27,14 +27,16 @@ def level_pivot(
     Numbers and dates only, so this is a hash aggregate reduced before its
     shuffle, whatever share of the rows one account holds.
     """
-    # a column of its own, so that it is computed once per row
-    df = df.withColumn("__number", level_number(level))
+    return _pivot(df.withColumn("__number", level_number(level)), account, effective, expiration, prefix)
+
+
+def _pivot(numbered: DataFrame, account: str, effective: str, expiration: str, prefix: str) -> DataFrame:
     number = F.col("__number")
     picks = [F.max(number).alias("max_level")]
     for n in LEVELS:
         for kind, source in (("effective", effective), ("expiration", expiration)):
             picks.append(F.max(F.when(number == n, F.col(source))).alias(f"{prefix}{n}_{kind}_dt"))
-    return df.groupBy(account).agg(*picks)
+    return numbered.groupBy(account).agg(*picks)
 
 
 def level_update(
@@ -52,9 +54,11 @@ def level_update(
     (also for a level the account does not have); a missing effective date
     stays NULL.
     """
-    pivot = level_pivot(df, account, level, effective, expiration, prefix="__level_")
-    joined = spread_join(df, pivot, [account], "left", cut_heavy)
-    deepest = level_number(level) == F.col("max_level")
+    # the number is a column of its own, so that it is computed once per row
+    numbered = df.withColumn("__number", level_number(level))
+    pivot = _pivot(numbered, account, effective, expiration, prefix="__level_")
+    joined = spread_join(numbered, pivot, [account], "left", cut_heavy)
+    deepest = F.col("__number") == F.col("max_level")
     updates = {}
     for n in LEVELS:
         for kind in ("effective", "expiration"):

@@ -12,11 +12,11 @@ from histflow.functions.scalar import AsOf, as_instant
 from histflow.operators.history import (
     History,
     active_rows,
-    assert_single_match,
+    assert_single,
     closed_rows,
     closing_values,
     expire,
-    latest_per_key,
+    latest_keyed,
     new_version_values,
     new_versions,
 )
@@ -52,9 +52,9 @@ def children_of_groups(
     """
     groups = configurations.select(group).distinct()
     if order_by:
-        one = latest_per_key(children, [group], order_by).join(groups, group, "left_semi")
+        one = latest_keyed(children, [group], order_by).join(groups, group, "left_semi")
     else:
-        one = assert_single_match(children.join(groups, group, "left_semi"), [group])
+        one = assert_single(children.join(groups, group, "left_semi"), [group])
     return json_children(one, payload, columns, keep=[group])
 
 
