@@ -57,7 +57,3 @@ def mapping_file(spark: SparkSession, path: str, **options) -> MappingSpec:
 def mapping_document(spec: MappingSpec) -> str:
     entries = [{"target_field": t, "source_field": s} for t, s in spec.fields.items()]
     return json.dumps({"field_mappings": entries})
-
-
-def declared(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)

@@ -66,6 +66,7 @@ class VersionedTable:
         rows = align(merged, self.schema)
         (
             rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy(self.history.active)
             .parquet(f"{self.path}/rows/version={version}")
         )

@@ -9,7 +9,7 @@ from histflow.operators.mapping import MappingSpec, level_1_id_route
 from histflow.plans import loads
 from workload import inputs
 from workload.columns import VALID_SQL, WITH_CHECKED
-from workload.documents import ACAU_SQL, ACI_SQL, LEVEL_1_SQL, VALUE_A, documents_sql, wide_sql
+from workload.documents import LEVEL_1_SQL, VALUE_A, documents_sql, wide_sql
 from workload.history import CONTACTS_CLOSED, CONTACTS_SQL
 from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, query
 
