@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from histflow import fixed_values as fv
 from histflow.functions.documents import json_elements, json_member, json_object, json_quote, with_scalars
 from histflow.functions.scalar import clean_key, decode_ampersand, split_list, underscore_spaces
+from histflow.operators.spread import spread_join
 
 _ORDER, _CATEGORY, _KEY, _RAW = "__order", "__category", "__key", "__raw"
 
@@ -153,6 +154,8 @@ def eav_rollup(
     clean_keys: bool = False,
     order_by: Sequence[str] = (),
     latest: Sequence[str] = (),
+    per_delivery: Sequence[str] = (),
+    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """One wide row per entity (``ids``): a JSON column per category.
 
@@ -161,6 +164,9 @@ def eav_rollup(
     holding its elements as they came, in payload order. ``order_by`` orders
     several payloads of one entity (later wins), ``latest`` columns are taken
     from the last of them. A category without attributes is NULL.
+
+    With ``per_delivery`` columns there is instead one row for each of their
+    distinct values an entity arrived with, all with the same documents.
     """
     ids, arrays = list(ids), dict(arrays or {})
     key_rule = clean_key if clean_keys else (lambda c: c)
@@ -191,12 +197,17 @@ def eav_rollup(
         for category, column in columns.items()
     ]
     row = per_category.groupBy(*ids).agg(*wide, F.max("__latest").alias("__latest"))
-    return row.select(
+    wide_row = row.select(
         *ids,
         *[F.col(f"__latest.{c}").alias(c) for c in latest],
         *documents.values(),
         *arrays.values(),
     )
+    if not per_delivery:
+        return wide_row
+    deliveries = df.where(F.size(json_elements(payload)) > 0).select(*ids, *per_delivery).distinct()
+    joined = spread_join(deliveries, wide_row, ids, "left", cut_heavy, keys_from=df.select(*ids))
+    return joined.select(*ids, *per_delivery, *wide_row.columns[len(ids) :])
 
 
 def category_arrays(df: DataFrame, ids: Sequence[str], arrays: Mapping[str, str], **options) -> DataFrame:

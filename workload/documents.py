@@ -75,7 +75,7 @@ VALUE_B = f"""CASE WHEN {CLEAN} = 'Contracted_LOB_Sub_Category' THEN
   ELSE coalesce('"' || raw || '"', 'null') END"""
 
 
-def documents_sql(value: str, name: str) -> str:
+def documents_sql(value: str, name: str, last: str = "pos DESC") -> str:
     """docs(id, assoc, category, doc): one-element arrays of sorted-key objects."""
     envelope = [
         ("Attribute_Category__c", "'\"' || category || '\"'"),
@@ -89,7 +89,7 @@ def documents_sql(value: str, name: str) -> str:
     constant = " UNION ALL ".join(f"SELECT id, assoc, category, '{k}', {v} FROM env" for k, v in envelope)
     return f"""el AS ({inputs.ELEMENTS_CHECK}),
   named AS (SELECT *, {name} AS key FROM el),
-  kept AS (SELECT *, row_number() OVER (PARTITION BY id, category, key ORDER BY pos DESC) AS rn FROM named),
+  kept AS (SELECT *, row_number() OVER (PARTITION BY id, category, key ORDER BY {last}) AS rn FROM named),
   env AS (SELECT id, assoc, category, max(grouper) AS g, max(modified_by) AS m FROM el GROUP BY 1, 2, 3),
   pairs AS (SELECT id, assoc, category, key, {value} AS v FROM kept WHERE rn = 1 UNION ALL {constant}),
   docs AS (SELECT id, assoc, category, '[{{' || string_agg('"' || key || '":' || v, ',' ORDER BY key) || '}}]' AS doc
@@ -142,6 +142,25 @@ def eav_rollup_all(spark, sf):
     )
 
 
+@query(
+    "eav_rollup_deliveries",
+    f"""WITH {documents_sql(VALUE_A, 'name', 'delivery DESC, pos DESC')},
+       d AS (SELECT id, assoc, {wide_sql(fv.CATEGORIES)} FROM docs GROUP BY 1, 2),
+       came AS (SELECT DISTINCT id, CAST(delivery AS INTEGER) AS delivery FROM el)
+       SELECT d.id AS "ID", assoc AS "Product_Association_ID", delivery, {', '.join(fv.CATEGORIES.values())}
+       FROM d JOIN came ON d.id = came.id""",
+)
+def eav_rollup_deliveries(spark, sf):
+    return rollup.eav_rollup(
+        derived(spark, sf, inputs.DELIVERIES, payloads=True),
+        IDS,
+        fv.CATEGORIES,
+        association="Product_Association_ID",
+        order_by=["delivery"],
+        per_delivery=["delivery"],
+    )
+
+
 KEYED = {c: fv.CATEGORIES[c] for c in fv.KEYED_CATEGORIES}
 RAW = {c: d for c, d in fv.CATEGORIES.items() if c not in KEYED}
 RAW_SQL = f"""raw AS (SELECT id, category, '[' || string_agg(el, ',' ORDER BY pos) || ']' AS items FROM

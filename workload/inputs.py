@@ -72,8 +72,16 @@ _ORDER = "l_linenumber, l_partkey, l_suppkey, l_returnflag"
 CONFIGURATION = _LANDING_CONFIGURATION.format(
     aggregate=f"listagg(el, ',') WITHIN GROUP (ORDER BY {_ORDER})", attributes=ATTRIBUTES
 )
-CONFIGURATION_CHECK = _LANDING_CONFIGURATION.format(
-    aggregate=f"string_agg(el, ',' ORDER BY {_ORDER})", attributes=ATTRIBUTES
+# The same attributes arriving in up to three deliveries per order.
+_DELIVERIES = """
+SELECT 'C' || CAST(l_orderkey AS STRING) AS ID, 'A' || CAST(l_orderkey AS STRING) AS Product_Association_ID,
+       CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS delivery,
+       '[' || {aggregate} || ']' AS Payload
+FROM ({attributes}) a
+GROUP BY l_orderkey, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END
+"""
+DELIVERIES = _DELIVERIES.format(
+    aggregate=f"listagg(el, ',') WITHIN GROUP (ORDER BY {_ORDER})", attributes=ATTRIBUTES
 )
 # Entitlements: an association has one customer; some have none.
 ENTITLEMENT = """
@@ -94,6 +102,7 @@ SELECT 'C' || CAST(l_orderkey AS STRING) AS id, 'A' || CAST(l_orderkey AS STRING
        CASE l_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'p x; q;;' || l_returnflag
          ELSE CAST(l_partkey AS VARCHAR) END AS raw,
        l_returnflag AS flag, l_partkey % 5 AS kind,
+       CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS delivery,
        CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE 'G' || l_orderkey % 9 END AS grouper,
        'u' || l_orderkey % 3 AS modified_by
 FROM lineitem
