@@ -31,7 +31,7 @@ class History:
     watch       plain columns whose difference is a change
     documents   JSON text columns to watch; NULL and ``{}`` are the same
     on_close    further columns set when a version is closed
-    on_insert   columns a new version gets that are not in the source
+    on_insert   further columns of a new version, from the row it is made of
     end_rule    ``as_of``: a version ends when the next one starts;
                 ``previous_day``: it ends at midnight of the day before
     null_safe   NULL against a value is a change (False: it is not)
@@ -127,7 +127,6 @@ def new_version_values(schema: T.StructType, available: Mapping[str, Column], hi
         history.active: F.lit(ACTIVE),
         history.start: as_of,
         history.end: open_end(schema[history.end].dataType),
-        **history.on_insert,
     }
     return {f.name: values.get(f.name, F.lit(None)).cast(f.dataType) for f in schema.fields}
 
@@ -136,7 +135,7 @@ def new_versions(source: DataFrame, schema: T.StructType, history: History, as_o
     """Source rows in the shape of the history table, active and open-ended."""
     as_of = as_instant(as_of)
     columns = {c: F.col(c) for c in source.columns}
-    row = new_version_values(schema, columns, history, as_of)
+    row = new_version_values(schema, {**columns, **history.on_insert}, history, as_of)
     return source.select(*[c.alias(name) for name, c in row.items()])
 
 
@@ -244,9 +243,8 @@ def merge_active(active: DataFrame, source: DataFrame, history: History, as_of:
     left = active.where(known(keys)).select(
         *[F.col(c).alias(f"__t_{c}") for c in active.columns], F.lit(True).alias("__in_target")
     )
-    right = checked.select(
-        *[F.col(c).alias(f"__s_{c}") for c in source.columns], F.lit(True).alias("__in_source")
-    )
+    made = checked.withColumns(dict(history.on_insert)) if history.on_insert else checked
+    right = made.select(*[F.col(c).alias(f"__s_{c}") for c in made.columns], F.lit(True).alias("__in_source"))
     on = reduce(lambda a, b: a & b, [F.col(f"__t_{k}") == F.col(f"__s_{k}") for k in keys])
     joined = left.join(right, on, "full_outer")
 
@@ -267,7 +265,7 @@ def merge_active(active: DataFrame, source: DataFrame, history: History, as_of:
     )
     out = joined.withColumn("__changed", changed).withColumn("__part", F.explode(parts))
     closing = closing_values(active, history, as_of)
-    fresh = new_version_values(schema, {c: F.col(f"__s_{c}") for c in source.columns}, history, as_of)
+    fresh = new_version_values(schema, {c: F.col(f"__s_{c}") for c in made.columns}, history, as_of)
     columns = []
     for f in schema.fields:
         old = F.col(f"__t_{f.name}")

@@ -121,6 +121,7 @@ def reversion_with_children(
     closing = closing_values(target, history, as_of)
     available = {c: F.col(c) for c in active.columns}
     available.update({c: F.col(f"__new_{c}") for c in fresh})
+    available.update(history.on_insert)
     new = new_version_values(target.schema, available, history, as_of)
     columns = []
     for f in target.schema.fields:

@@ -128,6 +128,18 @@ def test_previous_day_end(spark):
     assert rows(got.where("k = 'changed' and h = '1'").select("e")) == [(dt.datetime(2025, 12, 31),)]
 
 
+def test_on_insert_sees_the_source_row(spark):
+    made = hx.History(
+        keys=["k"], watch=["h"], active="active", start="s", end="e",
+        on_insert={"d": F.concat(F.lit("id-"), F.col("k"))},
+    )
+    merged = hx.scd2_apply(target(spark), source(spark), made, NOW)
+    expired = hx.expire(target(spark), source(spark), made, NOW)
+    parts = expired.unionByName(hx.insert_new_or_changed(expired, source(spark), made, NOW))
+    assert rows(merged) == rows(parts)
+    assert rows(merged.where("k = 'new'").select("d")) == [("id-new",)]
+
+
 def test_scd1(spark):
     t = spark.createDataFrame([("a", "1", "keep"), ("b", "1", "keep")], "k string, v string, own string")
     s = spark.createDataFrame([("b", None), ("c", "3")], "k string, v string")
