@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from workload import QUERIES, SQL
 from workload.registry import TABLES
 
 
@@ -20,10 +21,12 @@ def duck(sf_dir):
 
 
 def test_every_query_has_check_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, sf_dir, key):
     df = entry_points.queries()[key](spark, sf_dir)
     relation = duck.sql(entry_points.oracle_sql()[key])
