@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from histflow.llm.op02_sentencepiece import op2_sentencepiece
+from histflow.llm.op04_token_files import op4_token_files
 from histflow.llm.op09_sharding import op9_sharding
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_token_files": op4_token_files,
     "op9_sharding": op9_sharding,
 }
 
