@@ -55,7 +55,7 @@ def ship(spark: SparkSession) -> None:
 # ---- hashes of word windows ---------------------------------------------------
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_P = 0x9E3779B97F4A7C15 | 1
+_P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 2**64)
 _POW = np.ones(1, np.uint64)
 _INV = np.ones(1, np.uint64)
@@ -65,9 +65,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _POW, _INV
     if len(_POW) < n:
         size = 1 << int(n - 1).bit_length()
-        with np.errstate(over="ignore"):
-            _POW = np.cumprod(np.concatenate([[1], np.full(size - 1, _P, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-            _INV = np.cumprod(np.concatenate([[1], np.full(size - 1, _P_INV, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+        power, inverse = np.full(size, _P, np.uint64), np.full(size, _P_INV, np.uint64)
+        power[0] = inverse[0] = 1
+        _POW, _INV = np.cumprod(power, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
     return _POW, _INV
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from histflow.llm.op02_sentencepiece import op2_sentencepiece
+from histflow.llm.op03_decontamination import OP3_SQL, op3_decontamination
 from histflow.llm.op04_token_files import op4_token_files
+from histflow.llm.op06_license_scan import op6_license_scan
 from histflow.llm.op09_sharding import op9_sharding
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op6_license_scan": op6_license_scan,
     "op9_sharding": op9_sharding,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_decontamination": OP3_SQL}
