@@ -6,14 +6,18 @@ from histflow.llm.op02_sentencepiece import op2_sentencepiece
 from histflow.llm.op03_decontamination import OP3_SQL, op3_decontamination
 from histflow.llm.op04_token_files import op4_token_files
 from histflow.llm.op06_license_scan import op6_license_scan
+from histflow.llm.op08_pii import op8_pii
 from histflow.llm.op09_sharding import op9_sharding
+from histflow.llm.op10_quality_rules import op10_quality_rules
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
     "op6_license_scan": op6_license_scan,
+    "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {"op3_decontamination": OP3_SQL}
