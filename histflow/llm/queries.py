@@ -6,6 +6,7 @@ from histflow.llm.op02_sentencepiece import op2_sentencepiece
 from histflow.llm.op03_decontamination import OP3_SQL, op3_decontamination
 from histflow.llm.op04_token_files import op4_token_files
 from histflow.llm.op06_license_scan import op6_license_scan
+from histflow.llm.op07_html_text import op7_html_text
 from histflow.llm.op08_pii import op8_pii
 from histflow.llm.op09_sharding import op9_sharding
 from histflow.llm.op10_quality_rules import op10_quality_rules
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
     "op6_license_scan": op6_license_scan,
+    "op7_html_text": op7_html_text,
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
