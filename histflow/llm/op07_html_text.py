@@ -112,8 +112,8 @@ def _marked(attributes: str, marks: set[str] = MARKS) -> bool:
     return any(w.lower() in marks for m in _NAMED.finditer(attributes) for w in _PARTS.findall(m[1] or m[2] or m[3] or ""))
 
 
-def kept_tokens(page: str) -> list[tuple[int, str, str]]:
-    """The tokens without dropped elements, and of the article alone where it is marked."""
+def kept_tokens(page: str) -> tuple[list[tuple[int, str, str]], bool]:
+    """The tokens without dropped elements; of the article alone, if the page marks one."""
     seen = tokens(page)
     ends = _ends(seen)
     never = [(i, ends[i]) for i, (kind, name, attributes) in enumerate(seen) if kind == OPEN and ends[i] >= 0 and name not in ("html", "body") and _marked(attributes, ALWAYS)]
@@ -147,7 +147,7 @@ def kept_tokens(page: str) -> list[tuple[int, str, str]]:
     if articles:
         outer = [(a, b) for a, b in articles if not any(c < a and b <= d for c, d in articles)]
         out = [(i, t) for i, t in out if any(a <= i <= b for a, b in outer)]
-    return [t for _, t in out]
+    return [t for _, t in out], bool(articles)
 
 
 def _parent_end(seen: list[tuple[int, str, str]], i: int) -> int:
@@ -168,8 +168,9 @@ def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
     """The main text of a page; the empty text for NULL, or where there is none."""
     if not page:
         return ""
-    costs = DEFAULT_WEIGHTS if weights is None else weights
-    seen = kept_tokens(page)
+    seen, marked = kept_tokens(page)
+    # The page's own mark outweighs what its tags say.
+    costs = {} if marked else DEFAULT_WEIGHTS if weights is None else weights
     best, begin, end = 0.0, 0, 0
     total, first = 0.0, 0
     for i, (kind, name, _) in enumerate(seen):

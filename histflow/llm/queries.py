@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from histflow.llm.op01_jaccard_join import op1_jaccard_join
 from histflow.llm.op02_sentencepiece import op2_sentencepiece
 from histflow.llm.op03_decontamination import OP3_SQL, op3_decontamination
 from histflow.llm.op04_token_files import op4_token_files
@@ -12,6 +13,7 @@ from histflow.llm.op09_sharding import op9_sharding
 from histflow.llm.op10_quality_rules import op10_quality_rules
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
