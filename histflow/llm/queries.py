@@ -6,6 +6,7 @@ from histflow.llm.op01_jaccard_join import op1_jaccard_join
 from histflow.llm.op02_sentencepiece import op2_sentencepiece
 from histflow.llm.op03_decontamination import OP3_SQL, op3_decontamination
 from histflow.llm.op04_token_files import op4_token_files
+from histflow.llm.op05_suffix_dedup import op5_suffix_dedup
 from histflow.llm.op06_license_scan import op6_license_scan
 from histflow.llm.op07_html_text import op7_html_text
 from histflow.llm.op08_pii import op8_pii
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_html_text": op7_html_text,
     "op8_pii": op8_pii,
