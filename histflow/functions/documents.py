@@ -87,13 +87,21 @@ def json_first(text: Column | str) -> Column:
     )
 
 
+def json_object_of(text: Column | str) -> Column:
+    """A payload's object: the JSON object itself, or element 0 of an array, or an empty object."""
+    doc = document(text)
+    whole = F.when(F.schema_of_variant(doc).startswith("OBJECT<"), doc)
+    return F.coalesce(whole, F.try_variant_get(doc, "$[0]", "variant"), F.parse_json(F.lit(EMPTY_OBJECT)))
+
+
 def canonical(text: Column | str) -> Column:
     """JSON text with sorted keys and normal numbers; NULL if not JSON."""
     return F.to_json(document(text))
 
 
 def document_or_empty(text: Column | str) -> Column:
-    return F.coalesce(_col(text), F.lit(EMPTY_OBJECT))
+    """Canonical text for comparing; text that is not JSON stands for itself, NULL for ``{}``."""
+    return F.coalesce(canonical(text), _col(text), F.lit(EMPTY_OBJECT))
 
 
 def same_document(a: Column | str, b: Column | str) -> Column:

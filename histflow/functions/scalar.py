@@ -89,6 +89,10 @@ def safe_cast(col: Column | str, data_type: T.DataType | str) -> Column:
         return F.when(col.cast("string").rlike(shape), instant)
     if isinstance(data_type, T.IntegralType):
         return F.when(col.cast("string").rlike(r"^\s*[+-]?\d+\s*$"), col.try_cast(data_type))
+    if isinstance(data_type, (T.FractionalType, T.DecimalType)):
+        # a type suffix (1.5d) is no part of a number
+        shape = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+        return F.when(col.cast("string").rlike(shape), col.try_cast(data_type))
     return col.try_cast(data_type)
 
 
@@ -188,8 +192,11 @@ def content_digest(cols: Sequence[Column | str]) -> Column:
 
 
 def surrogate_key(cols: Sequence[Column | str], as_of: Column) -> Column:
-    """A row id that stays the same when a lost task is computed again."""
-    return F.sha2(key_text([*cols, as_of]), 256)
+    """A row id that stays the same when a lost task is computed again.
+
+    Different values give different ids: NULL and the separator included.
+    """
+    return content_digest([*cols, as_of])
 
 
 def random_key() -> Column:

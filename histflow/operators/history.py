@@ -147,6 +147,23 @@ def closed_rows(target: DataFrame, history: History) -> DataFrame:
     return target.where(~F.col(history.active).eqNullSafe(ACTIVE))
 
 
+def comparable_source(source: DataFrame, schema: T.StructType, history: History) -> DataFrame:
+    """The source with its watched columns in the target's types, so that values are compared."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return source.withColumns({c: F.col(c).cast(types[c]) for c in history.watch if c in types and source.schema[c].dataType != types[c]})
+
+
+def differs(history: History, ours: str = "", theirs: str = "") -> Column:
+    """Whether the watched contents of two sides, told apart by prefixes, differ."""
+    pairs = [(F.col(f"{ours}{c}"), F.col(f"{theirs}{c}")) for c in history.watch]
+    pairs += [(document_or_empty(f"{ours}{c}"), document_or_empty(f"{theirs}{c}")) for c in history.documents]
+    if history.null_safe:
+        found = [~a.eqNullSafe(b) for a, b in pairs]
+    else:
+        found = [F.coalesce(a != b, F.lit(False)) for a, b in pairs]
+    return reduce(lambda a, b: a | b, found, F.lit(False))
+
+
 # --- expire ------------------------------------------------------------------------------
 
 
@@ -165,6 +182,7 @@ def expire(
     whether a different one exists.
     """
     as_of = as_instant(as_of)
+    source = comparable_source(source, target.schema, history)
     keys, watched = list(history.keys), history.watched()
     active = active_rows(target, history)
     if not watched:
@@ -205,19 +223,17 @@ def expire(
 def insert_new_or_changed(target: DataFrame, source: DataFrame, history: History, as_of: AsOf) -> DataFrame:
     """New versions for source rows no active row already shows.
 
-    Run after ``expire``: what is still active for the key is then unchanged.
-    One anti join on key and content; on the key alone if nothing is watched or
-    a NULL is no difference.
+    The target may be the table before or after ``expire``: an active row of the
+    key with the source's content is what counts. One anti join on the key, with
+    the content as its residual condition.
     """
     as_of = as_instant(as_of)
-    watched = history.watched() if history.null_safe else []
-    shown = active_rows(target, history).select(
-        *[F.col(k).alias(f"__t_{k}") for k in history.keys],
-        *[c.alias(f"__t_watch{i}") for i, c in enumerate(watched)],
-    )
-    same = [F.col(k) == F.col(f"__t_{k}") for k in history.keys]
-    same += [c.eqNullSafe(F.col(f"__t_watch{i}")) for i, c in enumerate(watched)]
-    missing = source.join(shown, reduce(lambda a, b: a & b, same), "left_anti")
+    keys = list(history.keys)
+    compared = [*history.watch, *history.documents]
+    shown = active_rows(target, history).select(*[F.col(c).alias(f"__t_{c}") for c in dict.fromkeys([*keys, *compared])])
+    typed = comparable_source(source, target.schema, history)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__t_{k}") for k in keys])
+    missing = typed.join(shown, same & ~differs(history, "__t_", ""), "left_anti")
     return new_versions(missing, target.schema, history, as_of)
 
 
@@ -233,50 +249,36 @@ def scd_actions(source: DataFrame) -> DataFrame:
 def merge_active(active: DataFrame, source: DataFrame, history: History, as_of: AsOf) -> DataFrame:
     """Merge one source batch into the active slice.
 
-    Returns the slice's rows, untouched or closed, and the new versions. One
-    full outer join on the key; each side has one row per key (the source is
-    checked, the slice has it by construction), so no key can be heavy.
+    Returns the slice's rows, untouched or closed, and the new versions. The source
+    has one row per key (checked). The slice is joined to it from the left, so a
+    small batch is broadcast and the slice stays where it is; the new versions come
+    from an anti join of the batch. A key may have several active rows: each that
+    differs is closed, and one new version is made unless one shows the content.
     """
     as_of = as_instant(as_of)
     schema, keys = active.schema, list(history.keys)
-    checked = assert_single(source.where(known(keys)), keys)
-    left = active.where(known(keys)).select(
-        *[F.col(c).alias(f"__t_{c}") for c in active.columns], F.lit(True).alias("__in_target")
-    )
-    made = checked.withColumns(dict(history.on_insert)) if history.on_insert else checked
-    right = made.select(*[F.col(c).alias(f"__s_{c}") for c in made.columns], F.lit(True).alias("__in_source"))
-    on = reduce(lambda a, b: a & b, [F.col(f"__t_{k}") == F.col(f"__s_{k}") for k in keys])
-    joined = left.join(right, on, "full_outer")
-
-    in_target, in_source = F.col("__in_target").isNotNull(), F.col("__in_source").isNotNull()
-    pairs = [(F.col(f"__t_{c}"), F.col(f"__s_{c}")) for c in history.watch]
-    pairs += [(document_or_empty(f"__t_{c}"), document_or_empty(f"__s_{c}")) for c in history.documents]
-    if history.null_safe:
-        differs = [~a.eqNullSafe(b) for a, b in pairs]
-    else:
-        differs = [F.coalesce(a != b, F.lit(False)) for a, b in pairs]
-    changed = in_target & in_source & reduce(lambda a, b: a | b, differs, F.lit(False))
-
-    # part 0 is the target's row, part 1 the new version
-    parts = (
-        F.when(changed, F.array(F.lit(0), F.lit(1)))
-        .when(in_target, F.array(F.lit(0)))
-        .otherwise(F.array(F.lit(1)))
+    checked = comparable_source(assert_single(source.where(known(keys)), keys), schema, history)
+    watched = list(dict.fromkeys([*history.watch, *history.documents]))
+    batch = checked.select(
+        *[F.col(k).alias(f"__s_{k}") for k in keys],
+        *[F.col(c).alias(f"__s_{c}") for c in watched if c not in keys],
+        F.lit(True).alias("__in_source"),
     )
-    out = joined.withColumn("__changed", changed).withColumn("__part", F.explode(parts))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__s_{k}") for k in keys])
     closing = closing_values(active, history, as_of)
-    fresh = new_version_values(schema, {c: F.col(f"__s_{c}") for c in made.columns}, history, as_of)
-    columns = []
-    for f in schema.fields:
-        old = F.col(f"__t_{f.name}")
-        if f.name in closing:
-            old = F.when(F.col("__changed"), closing[f.name].cast(f.dataType)).otherwise(old)
-        columns.append(F.when(F.col("__part") == 0, old).otherwise(fresh[f.name]).alias(f.name))
-    merged = out.select(*columns)
-    # NULL keys match nothing on either side
-    return merged.unionByName(active.where(~known(keys))).unionByName(
-        new_versions(source.where(~known(keys)), schema, history, as_of)
+    changed = F.col("__in_source").isNotNull() & differs(history, "", "__s_")
+    touched = active.join(batch, on, "left").withColumn("__changed", changed)
+    touched = touched.select(
+        *[
+            F.when(F.col("__changed"), closing[f.name].cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+            if f.name in closing
+            else F.col(f.name)
+            for f in schema.fields
+        ]
     )
+    # NULL keys match nothing: such source rows are new versions as they are
+    unkeyed = new_versions(source.where(~known(keys)), schema, history, as_of)
+    return touched.unionByName(insert_new_or_changed(active, checked, history, as_of)).unionByName(unkeyed)
 
 
 def scd2_apply(
@@ -310,30 +312,24 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     """
     keys = list(keys)
     checked = assert_single(source.where(known(keys)), keys)
-    left = target.where(known(keys)).select(
-        *[F.col(c).alias(f"__t_{c}") for c in target.columns]
-    )
-    right = checked.select(
-        *[F.col(c).alias(f"__s_{c}") for c in source.columns], F.lit(True).alias("__in_source")
-    )
-    on = reduce(lambda a, b: a & b, [F.col(f"__t_{k}") == F.col(f"__s_{k}") for k in keys])
-    joined = left.join(right, on, "full_outer")
+    given = [c for c in target.columns if c in source.columns]
+    batch = checked.select(*[F.col(c).alias(f"__s_{c}") for c in dict.fromkeys([*keys, *given])], F.lit(True).alias("__in_source"))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__s_{k}") for k in keys])
     in_source = F.col("__in_source").isNotNull()
-    merged = joined.select(
+    updated = target.join(batch, on, "left").select(
         *[
-            F.when(in_source, F.col(f"__s_{f.name}").cast(f.dataType)).otherwise(F.col(f"__t_{f.name}")).alias(f.name)
-            if f.name in source.columns
-            else F.col(f"__t_{f.name}").alias(f.name)
+            F.when(in_source, F.col(f"__s_{f.name}").cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+            if f.name in given
+            else F.col(f.name)
             for f in target.schema.fields
         ]
     )
-    unkeyed = source.where(~known(keys)).select(
-        *[
-            (F.col(f.name) if f.name in source.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.schema.fields
-        ]
+    there = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    absent = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__t_{k}") for k in keys])
+    added = checked.join(there, absent, "left_anti").unionByName(source.where(~known(keys))).select(
+        *[(F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
-    return merged.unionByName(target.where(~known(keys))).unionByName(unkeyed)
+    return updated.unionByName(added)
 
 
 # --- source flags ----------------------------------------------------------------------------

@@ -11,46 +11,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# No more than this many keys are ever treated as heavy, which bounds the
-# broadcast list. A key below 1/1000 of the rows needs no cutting.
-MAX_HEAVY_KEYS = 1000
-# Below this (estimated) size a single task can take the whole left side.
-SMALL_SIDE_BYTES = 64 << 20
+# The frequent-items sketch lists no more than this many keys (Spark's own limit
+# on tracked items); with fewer shuffle partitions their number is the limit.
+MOST_LISTED = 60_000
 
 _HASH, _SLICES, _SLICE = "__key_hash", "__slices", "__slice"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the session hides it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # a Connect session has no local plan
-        return None
-
-
 def placement(df: DataFrame, slices: Column | int) -> Column:
     """A slice number per row that is the same when a task is retried.
 
     Content spreads different rows; the partition number spreads equal copies.
+    Texts are left out, as they may be whole documents.
     """
-    hashable = [
+    narrow = [
         f.name
         for f in df.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType, T.ArrayType, T.StructType))
+        if not isinstance(f.dataType, (T.MapType, T.VariantType, T.ArrayType, T.StructType, T.StringType, T.BinaryType))
     ]
-    content = F.xxhash64(*hashable) if hashable else F.lit(0)
+    names = narrow or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)][:1]
+    content = F.xxhash64(*names) if names else F.lit(0)
     return F.pmod(content + F.spark_partition_id(), F.lit(slices) if isinstance(slices, int) else slices)
 
 
+def comparable(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[T.DataType]:
+    """The type in which an equality of each key compares both sides."""
+    common = left.select(*on).union(right.select(*on)).schema
+    types = []
+    for k, f in zip(on, common.fields):
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if isinstance(a, T.StringType) != isinstance(b, T.StringType):  # the text is read as the other type
+            other = b if isinstance(a, T.StringType) else a
+            types.append(T.LongType() if isinstance(other, T.IntegralType) else other)
+        else:
+            types.append(f.dataType)
+    return types
+
+
+def _alike(name: str, data_type: T.DataType) -> Column:
+    """A key in the common type; both zeros of a floating type are one value."""
+    value = F.col(name).cast(data_type)
+    return value + F.lit(0).cast(data_type) if isinstance(data_type, (T.DoubleType, T.FloatType)) else value
+
+
 def heavy_keys(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
     """Hashes of keys above one partition's fair share, with a slice count each.
 
     Found by a frequent-items sketch, merged in two steps so that no task reads
     the sketches of all others. It may list a key that is not heavy, which only
-    costs a little work: results never depend on it. At most
-    ``MAX_HEAVY_KEYS`` rows.
+    costs a little work: results never depend on it. As many rows as there are
+    partitions, at most.
     """
-    listed = max(2, min(partitions, MAX_HEAVY_KEYS))
+    listed = max(2, min(partitions, MOST_LISTED))
     tracked = 1 << (8 * listed - 1).bit_length()
     rows = df.select(
         F.xxhash64(*[F.col(k) for k in keys]).alias("h"),
@@ -88,46 +100,43 @@ def spread_join(
 
     The rows of a heavy key go to several tasks; the matching right rows are
     repeated once per slice. Each left row meets each of its right rows exactly
-    once, so the result is the plain join's. ``how``: left, inner, left_semi,
-    left_anti. NULL keys never match and are spread as well.
-
-    Finding the heavy keys reads the key columns of the left side once more.
-    Where ``left`` is costly to compute, ``keys_from`` names a cheaper source
-    with the same key columns and about the same shares.
+    once, so the result is the plain join's, whatever the types of the keys.
+    ``how``: left, inner, left_semi, left_anti. NULL keys never match and are
+    spread as well.
+
+    Finding the heavy keys reads the key columns of the left side once, when the
+    join is built; the list (no more rows than shuffle partitions) then is a fixed
+    part of the plan. Where ``left`` is costly to compute, ``keys_from`` names a
+    cheaper source with the same key columns and about the same shares. With
+    ``cut_heavy=False`` no key is looked for.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot do a {how} join")
     on = list(on)
-    if cut_heavy is None:
-        size = estimated_bytes(left)
-        cut_heavy = size is None or size > SMALL_SIDE_BYTES
-    if not cut_heavy:
+    if cut_heavy is False:
         return left.join(right, on, how)
 
-    partitions = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # At most MAX_HEAVY_KEYS rows of 12 bytes.
-    heavy = F.broadcast(heavy_keys(left if keys_from is None else keys_from, on, partitions))
-    key_hash = F.xxhash64(*[F.col(k) for k in on])
+    spark = left.sparkSession
+    partitions = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    types = comparable(left, right, on)
+    counted = left if keys_from is None else keys_from
+    found = heavy_keys(counted.select(*[_alike(k, t).alias(k) for k, t in zip(on, types)]), on, partitions).collect()
+    if not found:
+        return left.join(right, on, how)
+    heavy = F.broadcast(spark.createDataFrame(found, f"{_HASH} bigint, {_SLICES} int"))
+    key_hash = F.xxhash64(*[_alike(k, t) for k, t in zip(on, types)])
+    slice_of = F.when(F.col(_SLICES).isNotNull(), placement(left, F.col(_SLICES))).otherwise(F.lit(0))
     left_sliced = (
         left.withColumn(_HASH, key_hash)
         .join(heavy, _HASH, "left")
-        .withColumn(
-            _SLICE,
-            F.coalesce(placement(left, F.col(_SLICES)), F.lit(0)).cast("int"),
-        )
+        .withColumn(_SLICE, slice_of.cast("int"))
         .drop(_HASH, _SLICES)
     )
+    copies = F.when(F.col(_SLICES).isNotNull(), F.sequence(F.lit(0), F.col(_SLICES) - 1)).otherwise(F.array(F.lit(0)))
     right_sliced = (
         right.withColumn(_HASH, key_hash)
         .join(heavy, _HASH, "left")
-        .withColumn(
-            _SLICE,
-            F.explode(
-                F.when(F.col(_SLICES).isNotNull(), F.sequence(F.lit(0), F.col(_SLICES) - 1)).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
+        .withColumn(_SLICE, F.explode(copies))
         .drop(_HASH, _SLICES)
     )
     return left_sliced.join(right_sliced, [*on, _SLICE], how).drop(_SLICE)

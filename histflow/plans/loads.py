@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from histflow import fixed_values as fv
-from histflow.functions.documents import json_first, json_value, prefix_split
+from histflow.functions.documents import json_object_of, json_value, prefix_split
 from histflow.functions.scalar import (
     AsOf,
     as_instant,
@@ -29,6 +29,7 @@ from histflow.functions.scalar import (
 from histflow.operators.history import (
     History,
     active_rows,
+    known,
     latest_per_key,
     mark_processed,
     scd1_upsert,
@@ -40,6 +41,7 @@ from histflow.operators.quality import (
     apply_rules,
     audit_rows,
     castable_rule,
+    duplicate_keys,
     flag_duplicates,
     not_null_rule,
     split_valid,
@@ -110,6 +112,22 @@ def check_customers(source: DataFrame, cut_heavy: bool | None = None) -> DataFra
     return flag_duplicates(checked, fv.DUPLICATE_CUSTOMER_KEYS, cut_heavy)
 
 
+def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], rejected: DataFrame | None = None):
+    """The rows with one for each key, and the rejected ones.
+
+    The latest row by ``order_by``; without it, rows of a repeated key join the
+    rejected ones, where there are such, and are an error where there are not.
+    """
+    if order_by:
+        return latest_per_key(rows, list(keys), list(order_by)), rejected
+    if rejected is None:
+        return rows, None
+    repeated = duplicate_keys(rows.where(known(keys)), keys).select(*keys, F.lit(True).alias("__several"))
+    flagged = spread_join(rows, repeated, keys, "left")
+    single = flagged.where(F.col("__several").isNull()).select(*rows.columns)
+    return single, rejected.unionByName(flagged.where(F.col("__several").isNotNull()).select(*rejected.columns))
+
+
 def customer_load(
     landing: DataFrame,
     target: DataFrame,
@@ -117,13 +135,19 @@ def customer_load(
     insert: str = "new_or_changed",
     end_rule: str = "as_of",
     staging: bool = True,
+    order_by: Sequence[str] = (),
 ) -> Load:
-    """Check pending customers; valid ones go to the history, others to audit."""
+    """Check pending customers; valid ones go to the history, others to audit.
+
+    An account with several valid rows: with ``order_by`` the latest counts,
+    otherwise all of them go to audit as well, with the rows that failed.
+    """
     as_of = as_instant(as_of)
     checked = check_customers(customer_source(landing, as_of))
     if staging:
         checked = stage(checked, "customers")
     valid, invalid = split_valid(checked, CUSTOMER_STATUSES)
+    valid, invalid = _one_per_key(valid, ["sf_account_id"], order_by, invalid)
     history = History(
         keys=["sf_account_id"],
         watch=CUSTOMER_WATCH if insert == "new_or_changed" else (),
@@ -148,23 +172,26 @@ def account_structure_source(
 ) -> DataFrame:
     """Account structures with the customer id of their account and hash keys.
 
-    The hashes use the business unit as delivered, before it is coded. With
+    The hashes use the structure's own customer id and the business unit as
+    delivered, before it is coded; the result's customer id is the owner's. With
     ``literal_hash`` NULLs are left out of the record hash, which then cannot
     tell (a, NULL, b) from (a, b, NULL).
     """
     as_of = as_instant(as_of)
-    owners = customers.select("sf_account_id", "customer_id")
-    own = landing.drop("customer_id")
+    owners = customers.select("sf_account_id", F.col("customer_id").alias("__owner"))
+    own = landing if "customer_id" in landing.columns else landing.withColumn("customer_id", F.lit(None).cast("string"))
     joined = spread_join(own, owners, ["sf_account_id"], "left", cut_heavy)
+    made = ("business_unit_cd", "business_effective_dt", "business_expiration_dt", "customer_id", "__owner")
     return joined.select(
-        *[c for c in joined.columns if c not in ("business_unit_cd", "business_effective_dt", "business_expiration_dt")],
+        *[c for c in joined.columns if c not in made],
+        F.col("__owner").alias("customer_id"),
         code_map("business_unit_cd", fv.BUSINESS_UNITS).alias("business_unit_cd"),
         md5_key(fv.ACCOUNT_BUSINESS_HASH).alias("business_hash_key_id"),
         md5_key(fv.ACCOUNT_BUSINESS_KEY).alias("business_key_txt"),
         md5_key(fv.ACCOUNT_RECORD_HASH, None if literal_hash else fv.NULL_TEXT).alias("record_hash_key_id"),
         default_date("business_effective_dt", low_date()).alias("business_effective_dt"),
         default_date("business_expiration_dt", high_date()).alias("business_expiration_dt"),
-        surrogate_key(["sf_group_census_id"], as_of).alias("sgk_customer_account_structure_id"),
+        surrogate_key(["sf_group_census_id", "customer_id", "__owner"], as_of).alias("sgk_customer_account_structure_id"),
         as_of.alias("insert_dts"),
         as_of.alias("last_process_dts"),
     )
@@ -178,12 +205,14 @@ def account_structure_load(
     end_rule: str = "as_of",
     literal_hash: bool = False,
     staging: bool = True,
+    order_by: Sequence[str] = (),
 ) -> Load:
-    """Version account structures by their record hash."""
+    """Version account structures by their record hash; with ``order_by`` the latest row of each."""
     as_of = as_instant(as_of)
     source = account_structure_source(landing, customers, as_of, literal_hash)
     if staging:
         source = stage(source, "account-structures")
+    source, _ = _one_per_key(source, ["sf_group_census_id"], order_by)
     history = History(keys=["sf_group_census_id"], watch=["record_hash_key_id"], end_rule=end_rule)
     return Load(history=scd2_apply(target, source, history, as_of))
 
@@ -197,9 +226,11 @@ def configuration_source(
     raw_categories: bool = False,
     order_by: Sequence[str] = ("LastModifiedDate", "CreatedDate"),
     cut_heavy: bool | None = None,
+    per_delivery: Sequence[str] = (),
 ) -> DataFrame:
     """One wide row per pending configuration, with its customer id.
 
+    ``per_delivery``: landing columns that tell deliveries apart; a row for each.
     ``raw_categories``: two categories become keyed documents with cleaned
     keys, the other eight stay arrays of elements as they came.
     """
@@ -216,7 +247,8 @@ def configuration_source(
         value_rule=listed_keys_values(fv.LIST_KEYS) if raw_categories else separated_values,
         clean_keys=raw_categories,
         order_by=order_by,
-        latest=["business_unit_cd", "Grouper_val", "CreatedDate", "LastModifiedDate"],
+        latest=[c for c in ("business_unit_cd", "Grouper_val", "CreatedDate", "LastModifiedDate") if c not in per_delivery],
+        **({"per_delivery": list(per_delivery)} if per_delivery else {}),
     )
     owners = entitlement.select(
         F.col("sf_product_association_id").alias("Product_Association_ID"), "customer_id"
@@ -238,12 +270,13 @@ def configuration_source(
         F.col("LastModifiedDate").alias("source_last_process_dts"),
         F.lit("Active").alias("record_status_cd"),
         F.lit(fv.UPDATED_BY).alias("update_by"),
+        *[c for c in per_delivery if c not in ("CreatedDate", "LastModifiedDate", "Grouper_val", "business_unit_cd")],
     )
 
 
 def configuration_history(watch: Sequence[str] | None = None) -> History:
     return History(
-        keys=["sf_product_configuration_id"],
+        keys=["sf_product_configuration_id", "sf_product_association_id"],
         documents=list(fv.CATEGORIES.values()) if watch is None else watch,
         on_close={"record_status_cd": F.lit("Inactive")},
     )
@@ -258,15 +291,23 @@ def product_configuration_load(
     watch: Sequence[str] | None = None,
     insert: str = "new_or_changed",
     staging: bool = True,
+    order_by: Sequence[str] = (),
+    per_delivery: Sequence[str] = (),
 ) -> Load:
-    """Roll up pending configurations and version them by their documents."""
+    """Roll up pending configurations and version them by their documents.
+
+    A configuration and its association are one versioned row. With
+    ``per_delivery`` the source has a row for each delivery; ``order_by`` (columns
+    of the source) then says which is the latest.
+    """
     as_of = as_instant(as_of)
-    source = configuration_source(landing, entitlement, raw_categories).withColumn(
+    source = configuration_source(landing, entitlement, raw_categories, per_delivery=per_delivery).withColumn(
         "sgk_customer_product_configuration_id",
         surrogate_key(["sf_product_configuration_id", "sf_product_association_id"], as_of),
     )
     if staging:
         source = stage(source, "configurations")
+    source, _ = _one_per_key(source, ["sf_product_configuration_id", "sf_product_association_id"], order_by)
     history = scd2_apply(target, source, configuration_history(watch), as_of, insert)
     # after the load a configuration is active if it was before or came now
     reached = active_rows(target, configuration_history()).select("sf_product_configuration_id").unionByName(
@@ -319,11 +360,17 @@ def contacts_source(
     as_of: AsOf,
     flag: str = "Y",
     prefixes: Mapping[str, str] = fv.CONTACT_PREFIXES,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Pending contacts: key-prefix documents of payload element 0."""
+    """Pending contacts: key-prefix documents of the payload, or of its element 0.
+
+    The payload may be an array of one object or the object itself.
+    """
     as_of = as_instant(as_of)
-    first = pending(landing, value=flag).select("ID", "indicator_flag", json_first("Payload").alias("__object"))
+    rows = pending(landing, value=flag)
+    first = rows.select("ID", "indicator_flag", *carry, json_object_of("Payload").alias("__object"))
     return first.select(
+        *carry,
         F.col("ID").cast("string").alias("id"),
         "indicator_flag",
         json_value("__object", "$.line_of_business").alias("line_of_business"),
@@ -345,12 +392,18 @@ def contacts_history(as_of: AsOf) -> History:
     )
 
 
-def contacts_load(landing: DataFrame, target: DataFrame, as_of: AsOf, staging: bool = True) -> Load:
-    """Version contacts by their two documents; ``Y`` marks pending rows here."""
+def contacts_load(
+    landing: DataFrame, target: DataFrame, as_of: AsOf, staging: bool = True, order_by: Sequence[str] = ()
+) -> Load:
+    """Version contacts by their two documents; ``Y`` marks pending rows here.
+
+    With ``order_by`` (columns of the landing rows) the latest row of a contact counts.
+    """
     as_of = as_instant(as_of)
-    source = contacts_source(landing, as_of)
+    source = contacts_source(landing, as_of, carry=order_by)
     if staging:
         source = stage(source, "contacts")
+    source, _ = _one_per_key(source, ["id"], order_by)
     history = contacts_history(as_of)
     reached = active_rows(target, history).select("id").unionByName(source.select("id"))
     return Load(

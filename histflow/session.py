@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,10 +25,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    A machine-local folder is used only where the session names none, as in a
-    local test session.
+    A machine-local folder is used only in a local session that names none. On a
+    cluster every executor would write to its own disk, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="histflow-")
+        try:
+            context = spark.sparkContext
+            set_there = context._jsc.sc().getCheckpointDir()
+            base, local = set_there.get() if set_there.isDefined() else None, re.fullmatch(r"local(\[[^-]*\])?", context.master) is not None
+        except AttributeError:  # a Connect session has no context
+            local = False
+        if not base:
+            if not local:
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="histflow-")
     return f"{base.rstrip('/')}/histflow/{purpose}-{uuid.uuid4().hex}"

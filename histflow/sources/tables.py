@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from histflow.operators.spread import SMALL_SIDE_BYTES, estimated_bytes, placement
+from histflow.operators.spread import placement
 from histflow.session import work_folder
 
 
@@ -15,17 +15,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.parquet(path)
 
 
-def dealt_out(df: DataFrame, below: int = SMALL_SIDE_BYTES) -> DataFrame:
-    """A small table dealt out to all cores before heavy per-row work.
+def dealt_out(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """A table dealt out to ``tasks`` before heavy per-row work.
 
-    A file of one row group is read by a single task, and parsing JSON costs far
-    more than reading it. A table above ``below`` bytes has tasks enough and is
-    left as it is.
+    For tables of few files: a file of one row group is read by a single task, and
+    parsing JSON costs far more than reading it.
     """
-    size = estimated_bytes(df)
-    if size is None or size > below:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def pending(df: DataFrame, flag: str = "indicator_flag", value: str = "N") -> DataFrame:
@@ -94,7 +90,8 @@ def layout_write(
 
     Rows are range-partitioned on (day, cluster columns, slice): the ranges are
     balanced even if one day, or one id, holds a third of the rows, and sorted
-    files let the scan skip row groups by their min/max.
+    files let the scan skip row groups by their min/max. Days that the table
+    has already get further files.
     """
     keys = [F.col(c) for c in [day, *cluster_by]]
     (
@@ -102,15 +99,22 @@ def layout_write(
         .repartitionByRange(*keys, "__slice")
         .drop("__slice")
         .sortWithinPartitions(*keys)
-        .write.partitionBy(day)
+        .write.mode("append")
+        .partitionBy(day)
         .parquet(path)
     )
 
 
 def bucketed_write(df: DataFrame, table: str, path: str, by: list[str], buckets: int) -> None:
-    """A table bucketed for joins on ``by`` that need no shuffle of this side."""
+    """A table bucketed for joins on ``by`` that need no shuffle of this side.
+
+    A bucket's rows are dealt to several tasks, so one id with a large share of
+    the rows is written by all of them; each bucket has a few files.
+    """
     (
-        df.repartition(buckets, *by)
+        df.withColumn("__slice", placement(df, 8))
+        .repartition(buckets, *by, "__slice")
+        .drop("__slice")
         .write.mode("overwrite")
         .bucketBy(buckets, *by)
         .sortBy(*by)

@@ -1,8 +1,9 @@
 """Landing files -> history table, batch by batch.
 
 The checkpoint remembers which files were taken, in place of a processed flag
-on every landing row. Each micro-batch publishes one version numbered after
-the batch, so a batch repeated after a failure is not applied twice.
+on every landing row. Each micro-batch publishes one version under the stream's id
+and its batch number, so a batch repeated after a failure is not applied twice,
+and batches of other streams, of a new checkpoint or applied by hand all count.
 """
 
 from __future__ import annotations
@@ -44,7 +45,9 @@ def stream_apply(
         source = prepare(batch)
         if order_by:
             source = latest_per_key(source, table.history.keys, order_by)
-        table.apply(source, as_instant(as_of), version=batch_id + 1)
+        # The id is part of the checkpoint: a new checkpoint is a new stream.
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table.apply(source, as_instant(as_of), origin=stream_id or checkpoint, batch=batch_id)
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

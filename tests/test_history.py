@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
@@ -183,3 +184,37 @@ def test_invariants_over_batches(spark, data):
             assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     again = hx.scd2_apply(spark.createDataFrame(state, TABLE), incoming, BY_HASH, NEXT)
     assert rows(again) == sorted(state, key=repr)
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_merge_equals_expire_and_insert_with_several_active_rows(spark, null_safe):
+    generator = random.Random(11)
+    history = hx.History(
+        keys=["k"], watch=["n"], documents=["d"], active="active", start="s", end="e", null_safe=null_safe
+    )
+    schema = "k string, n double, d string, active string, s timestamp_ntz, e timestamp_ntz"
+    texts = ['{"a":2,"b":1}', '{"b":1, "a":2}', "{}", None]
+    for _ in range(3):
+        target = spark.createDataFrame(
+            [
+                (f"k{generator.randrange(6)}" if generator.random() > 0.1 else None, generator.choice([1.0, 2.0, None]), generator.choice(texts), generator.choice("YYN"), None, None)
+                for _ in range(25)
+            ],
+            schema,
+        )
+        source = spark.createDataFrame(
+            [(k, generator.choice([1, 2, None]), generator.choice(texts)) for k in ("k0", "k1", "k2", "k9")] + [(None, 1, "{}")],
+            "k string, n bigint, d string",
+        )
+        expired = hx.expire(target, source, history, NOW)
+        expected = expired.unionByName(hx.insert_new_or_changed(expired, source, history, NOW))
+        assert rows(hx.scd2_apply(target, source, history, NOW)) == rows(expected)
+
+
+def test_equal_content_in_another_shape_is_no_change(spark):
+    history = hx.History(keys=["k"], watch=["n"], documents=["d"], active="active", start="s", end="e")
+    schema = "k string, n double, d string, active string, s timestamp_ntz, e timestamp_ntz"
+    target = spark.createDataFrame([("a", 1.0, '{"b":1, "a":2}', "Y", None, None)], schema)
+    source = spark.createDataFrame([("a", 1, '{"a":2,"b":1}')], "k string, n bigint, d string")
+    assert rows(hx.scd2_apply(target, source, history, NOW)) == rows(target)
+    assert rows(hx.expire(target, source, history, NOW)) == rows(target)

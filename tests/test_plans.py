@@ -64,10 +64,15 @@ def test_latest_per_key_is_cut_before_the_shuffle(plan):
     assert re.search(r"WindowGroupLimit.*Partial", plan("latest_per_key"))
 
 
-def test_merge_is_one_join_and_one_exchange_per_side(plan, no_broadcast):
+def test_merge_leaves_the_slice_in_place_for_a_small_batch(plan):
     text = plan("scd2_apply")
-    assert len(re.findall(r"SortMergeJoin.*FullOuter", text)) == 1
-    assert exchanges(text) == 2
+    assert "FullOuter" not in text and "SortMergeJoin" not in text
+    assert re.search(r"BroadcastHashJoin.*LeftOuter, BuildRight", text)
+
+
+def test_merge_without_broadcast_is_two_joins(plan, no_broadcast):
+    text = plan("scd2_apply")
+    assert len(re.findall(r"SortMergeJoin.*Left(Outer|Anti)", text)) == 2
 
 
 def test_insert_is_an_anti_join(plan):

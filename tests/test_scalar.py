@@ -115,3 +115,13 @@ def test_routes(spark):
 
 def test_typed_null(spark):
     assert spark.range(1).select(fx.typed_null(T.DateType()).alias("d")).schema["d"].dataType == T.DateType()
+
+
+def test_surrogate_keys_do_not_collide(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("X", "c"), (None, "c")], "x string, y string")
+    assert df.select(fx.surrogate_key(["x", "y"], F.lit("t"))).distinct().count() == 4
+
+
+def test_a_type_suffix_is_no_number(spark):
+    df = spark.createDataFrame([("1.5d",), ("1.5f",), ("1.5",), ("-.5e3",), ("x",)], "x string")
+    assert [r[0] for r in df.select(fx.safe_cast("x", "double")).collect()] == [None, None, 1.5, -500.0, None]

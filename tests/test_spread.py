@@ -62,10 +62,31 @@ def test_full_outer_is_refused(skewed):
         spread.spread_join(*skewed, ["k"], "full")
 
 
-def test_small_left_sides_are_joined_directly(skewed, spark):
-    left, right = skewed
-    assert spread.estimated_bytes(spark.range(10)) < spread.SMALL_SIDE_BYTES
-    plan = spread.spread_join(spark.range(10).withColumnRenamed("id", "k"), spark.range(3).withColumnRenamed("id", "k"), ["k"])
+def test_types_of_keys_may_differ(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        left = spark.range(6000, numPartitions=6).select(
+            F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).cast("int").alias("k"),
+            F.when(F.col("id") % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("z"),
+            F.lit("2026-01-01").cast("date").alias("d"),
+            F.lit(1.5).cast("decimal(10,2)").alias("m"),
+        )
+        right = spark.createDataFrame([(7, 0.0, "x")], "k bigint, z double, v string").select(
+            "*", F.lit("2026-01-01 00:00:00").cast("timestamp").alias("d"), F.lit(1.5).alias("m")
+        )
+        for on in (["k"], ["z"], ["d"], ["m"], ["k", "m"]):
+            narrow = right.select(*on, "v")
+            cut = spread.spread_join(left, narrow, on, "left")
+            assert "__slice" in cut._jdf.queryExecution().toString()
+            assert cut.where("v IS NOT NULL").count() == left.join(narrow, on, "left").where("v IS NOT NULL").count()
+            assert cut.count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_without_heavy_keys_it_is_the_plain_join(spark):
+    left = spark.range(4000).withColumnRenamed("id", "k")
+    plan = spread.spread_join(left, spark.range(3).withColumnRenamed("id", "k"), ["k"])
     assert "__slice" not in plan._jdf.queryExecution().toString()
 
 

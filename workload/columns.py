@@ -10,7 +10,7 @@ from histflow.operators import quality
 from histflow.plans import loads
 from histflow.sources import catalog, tables
 from workload import inputs
-from workload.registry import AS_OF_SQL, as_of, derived, query, read
+from workload.registry import AS_OF_SQL, as_of, derived, key_sql, query, read
 
 WITH_CUSTOMERS = f"WITH landing AS ({inputs.CUSTOMERS}) "
 BU_SQL = (
@@ -223,8 +223,7 @@ def concat_key(spark, sf):
 @query(
     "surrogate_key",
     WITH_CUSTOMERS
-    + """SELECT sf_account_id, segment, sha256(sf_account_id || '|' || coalesce(customer_id, 'X') || '|2026-01-01 00:00:00')
-       AS sgk FROM landing""",
+    + f"SELECT sf_account_id, segment, {key_sql('sf_account_id', 'customer_id')} AS sgk FROM landing",
 )
 def surrogate_key(spark, sf):
     return customers(spark, sf).select(

@@ -176,6 +176,7 @@ FROM customer
 STRUCTURES = """
 SELECT 'GC' || CAST(o_orderkey AS STRING) AS sf_group_census_id,
        'ACC-' || CAST(o_custkey AS STRING) AS sf_account_id,
+       CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE 'own-' || CAST(o_custkey AS STRING) END AS customer_id,
        'PCT' AS source_system_cd,
        CASE o_orderstatus WHEN 'O' THEN 'Third_Party' WHEN 'F' THEN 'Caremark' ELSE 'Aetna' END AS business_unit_cd,
        CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE 'LOB' END AS line_of_business_cd,

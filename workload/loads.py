@@ -11,7 +11,7 @@ from workload import inputs
 from workload.columns import VALID_SQL, WITH_CHECKED
 from workload.documents import LEVEL_1_SQL, VALUE_A, documents_sql, wide_sql
 from workload.history import CONTACTS_CLOSED, CONTACTS_SQL
-from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, query
+from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, key_sql, query
 
 # Active customers before the load: two in three would change.
 CUSTOMER_HISTORY = """
@@ -27,7 +27,7 @@ SELECT 'old-' || CAST(c_custkey AS STRING) AS sgk_customer_id, 'PCT' AS source_s
 FROM customer
 """
 _DIFFERS = " OR ".join(f"v.{c} IS DISTINCT FROM t.{c}" for c in loads.CUSTOMER_WATCH)
-_SGK = "sha256(coalesce(v.customer_id, 'X') || '|' || coalesce(v.customer_nm, 'X') || '|' || v.sf_account_id || '|2026-01-01 00:00:00')"
+_SGK = key_sql("v.customer_id", "v.customer_nm", "v.sf_account_id")
 
 
 @query(
@@ -67,13 +67,13 @@ _X = "coalesce({}, 'X')".format
 @query(
     "account_structure_load",
     f"""WITH t AS ({STRUCTURE_HISTORY}), b AS (
-      SELECT sha256(s.sf_group_census_id || '|2026-01-01 00:00:00') AS sgk, s.sf_group_census_id, s.source_system_cd,
+      SELECT {key_sql('s.sf_group_census_id', 's.customer_id', 'o.customer_id')} AS sgk, s.sf_group_census_id, s.source_system_cd,
         CASE s.business_unit_cd WHEN 'Third_Party' THEN '3PY' WHEN 'Caremark' THEN 'PBM' ELSE 'HCB' END AS bu,
         s.sf_account_id, o.customer_id,
-        md5({_X('o.customer_id')} || '|' || s.business_unit_cd || '|' || {_X('line_of_business_cd')}) AS business_hash,
+        md5({_X('s.customer_id')} || '|' || s.business_unit_cd || '|' || {_X('line_of_business_cd')}) AS business_hash,
         md5('PCT|' || s.business_unit_cd || '|' || {_X('line_of_business_cd')} || '|' || {_X('plan_sponsor_unique_id')} || '|' ||
             {_X('account_status_cd')} || '|' || s.sf_group_census_id) AS record_hash,
-        md5({_X('o.customer_id')} || '|' || {_X('plan_sponsor_unique_id')} || '|' || s.sf_group_census_id) AS key_txt,
+        md5({_X('s.customer_id')} || '|' || {_X('plan_sponsor_unique_id')} || '|' || s.sf_group_census_id) AS key_txt,
         s.business_effective_dt, DATE '9999-12-31' AS business_expiration_dt
       FROM ({inputs.STRUCTURES}) s LEFT JOIN ({inputs.OWNERS}) o ON s.sf_account_id = o.sf_account_id),
     hit AS (SELECT t.sf_group_census_id FROM t JOIN b ON t.sf_group_census_id = b.sf_group_census_id
@@ -116,7 +116,7 @@ FROM orders
       CASE WHEN sf_product_configuration_id IN (SELECT id FROM hit) THEN 'Inactive' ELSE record_status_cd END AS record_status_cd,
       CASE WHEN sf_product_configuration_id IN (SELECT id FROM hit) THEN {AS_OF_SQL} ELSE record_end_dts END AS record_end_dts) FROM t
     UNION ALL
-    SELECT sha256(b.id || '|' || b.assoc || '|2026-01-01 00:00:00'), b.id, b.assoc,
+    SELECT {key_sql('b.id', 'b.assoc')}, b.id, b.assoc,
       CASE CAST(substr(b.id, 2) AS BIGINT) % 4 WHEN 0 THEN '3PY' WHEN 1 THEN 'PBM' WHEN 2 THEN 'HCB' ELSE 'Medicare' END,
       ent.customer_id, {', '.join(f"b.{d}" for d in fv.CATEGORIES.values())},
       b.id || '-' || b.assoc, sha256(b.id), 'Active', 'Y', {AS_OF_SQL}, {OPEN_SQL}
@@ -135,7 +135,7 @@ def product_configuration_load(spark, sf):
 @query(
     "contacts_load",
     f"""WITH {CONTACTS_SQL} {CONTACTS_CLOSED}
-    UNION ALL SELECT sha256(b.id || '|2026-01-01 00:00:00'), b.id, aci, acau, 'Y', 'Y', {AS_OF_SQL}, {OPEN_SQL}, {AS_OF_SQL}
+    UNION ALL SELECT {key_sql('b.id')}, b.id, aci, acau, 'Y', 'Y', {AS_OF_SQL}, {OPEN_SQL}, {AS_OF_SQL}
     FROM b WHERE b.id NOT IN (SELECT id FROM t) OR b.id IN (SELECT id FROM hit)""",
 )
 def contacts_load(spark, sf):

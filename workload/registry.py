@@ -38,6 +38,12 @@ def query(key: str, sql: str):
     return register
 
 
+def key_sql(*values: str) -> str:
+    """The generated id over text values and the run time: each with its length, NULL as a dash."""
+    parts = [f"coalesce(CAST(length({v}) AS VARCHAR) || ':' || {v}, '-')" for v in [*values, f"'{AS_OF_TEXT}'"]]
+    return f"sha256({' || '.join(parts)})"
+
+
 def as_of() -> Column:
     return F.lit(AS_OF_TEXT).cast("timestamp_ntz")
 
