@@ -55,11 +55,13 @@ from histflow.sources.tables import pending, stage
 @dataclass(frozen=True)
 class Load:
     """history: the whole target table; source: landing rows with their flags;
-    rejected: rows for the audit table (customer load only)."""
+    rejected: rows for the audit table (customer load only); rows: what the batch
+    merges into the history, for :func:`histflow.plans.publish.publish`."""
 
     history: DataFrame
     source: DataFrame | None = None
     rejected: DataFrame | None = None
+    rows: DataFrame | None = None
 
 
 # --- customers ---------------------------------------------------------------------------
@@ -157,6 +159,7 @@ def customer_load(
         history=scd2_apply(target, valid, history, as_of, insert),
         source=mark_processed(landing, valid, {"sf_account_id": "sf_account_id"}),
         rejected=audit_rows(invalid, as_of),
+        rows=valid,
     )
 
 
@@ -214,7 +217,7 @@ def account_structure_load(
         source = stage(source, "account-structures")
     source, _ = _one_per_key(source, ["sf_group_census_id"], order_by)
     history = History(keys=["sf_group_census_id"], watch=["record_hash_key_id"], end_rule=end_rule)
-    return Load(history=scd2_apply(target, source, history, as_of))
+    return Load(history=scd2_apply(target, source, history, as_of), rows=source)
 
 
 # --- product configurations -------------------------------------------------------------------
@@ -313,7 +316,7 @@ def product_configuration_load(
     reached = active_rows(target, configuration_history()).select("sf_product_configuration_id").unionByName(
         source.select("sf_product_configuration_id")
     )
-    return Load(history, mark_processed(landing, reached, {"ID": "sf_product_configuration_id"}))
+    return Load(history, mark_processed(landing, reached, {"ID": "sf_product_configuration_id"}), rows=source)
 
 
 def reversion_load(
@@ -409,6 +412,7 @@ def contacts_load(
     return Load(
         scd2_apply(target, source, history, as_of),
         mark_processed(landing, reached, {"ID": "id"}, pending="Y", done="N"),
+        rows=source,
     )
 
 

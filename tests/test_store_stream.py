@@ -198,3 +198,25 @@ def test_stream_takes_the_latest_of_a_batch(spark, tmp_path):
 def test_pending_polarity(spark, flag):
     df = spark.createDataFrame([("N",), ("Y",), (None,)], "indicator_flag string")
     assert [r[0] for r in tables.pending(df, value=flag).collect()] == [flag]
+
+
+def test_publishing_a_load_twice_changes_nothing(spark, tmp_path):
+    from histflow.plans.publish import publish
+
+    landing = spark.createDataFrame(
+        [("1", "a", "A1", "true", "Aetna", "N", None), ("2", "b", "A2", "maybe", "Aetna", "N", None), ("3", "c", "A3", "true", "Aetna", "N", None), ("4", "d", "A3", "true", "Aetna", "N", None)],
+        "customer_id string, customer_nm string, sf_account_id string, sf_platform_id_level_nm string, business_unit_cd string, indicator_flag string, business_effective_dt date",
+    )
+    as_of = "2026-01-01 00:00:00"
+    schema = loads.customer_source(landing, as_of).schema
+    empty = spark.createDataFrame([], schema)
+    history = hx.History(keys=["sf_account_id"], watch=loads.CUSTOMER_WATCH)
+    table = VersionedTable(spark, str(tmp_path / "customers"), schema, history)
+    load = loads.customer_load(landing, empty, as_of)
+    for _ in range(2):
+        assert publish(load, table, as_of, "feed", 1, str(tmp_path / "audit"), str(tmp_path / "flags")) == 1
+    # two valid rows of one account go to audit and do not stop the load
+    assert [r.sf_account_id for r in table.read().collect()] == ["A1"]
+    assert sorted(r.sf_account_id for r in spark.read.parquet(str(tmp_path / "audit")).collect()) == ["A2", "A3", "A3"]
+    flags = {r.customer_id: r.indicator_flag for r in spark.read.parquet(str(tmp_path / "flags")).collect()}
+    assert flags == {"1": "Y", "2": "N", "3": "N", "4": "N"}

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from histflow import fixed_values as fv
+from histflow import fixed_values as fv, work_folder
 from histflow.functions.scalar import level_number as level_of
 from histflow.operators import history as hx, levels, reversion
 from histflow.plans import loads
+from histflow.sources.store import VersionedTable
+from histflow.streaming import incremental
+from histflow.streaming.incremental import landing_stream
 from workload import inputs
 from workload.documents import ACAU_SQL, ACI_SQL
 from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, query
@@ -64,6 +67,26 @@ def expire_changed_json(spark, sf):
     return hx.expire(derived(spark, sf, inputs.CONTACTS_HISTORY), source, loads.contacts_history(as_of()), as_of())
 
 
+@query(
+    "stream_apply",
+    f"WITH t AS (SELECT * FROM ({inputs.HISTORY}) WHERE active = 'Y'), b AS ({inputs.BATCH}) "
+    + closed_sql(f"EXISTS ({CHANGED})")
+    + f""" UNION ALL SELECT b.k, b.h, 'Y', {AS_OF_SQL}, {OPEN_SQL} FROM b
+       LEFT JOIN t ON t.k = b.k WHERE t.k IS NULL OR t.h IS DISTINCT FROM b.h""",
+)
+def stream_apply(spark, sf):
+    """A batch by hand, then landing files by a stream, into one versioned table."""
+    target, batch = flat(spark, sf)
+    folder = work_folder(spark, "landing")
+    batch.write.parquet(folder)
+    table = VersionedTable(spark, work_folder(spark, "table"), target.schema, FLAT)
+    before = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    table.apply(target.where("active = 'Y'").select("k", "h"), before)
+    stream = landing_stream(spark, folder, batch.schema)
+    incremental.stream_apply(stream, table, lambda rows: rows, work_folder(spark, "checkpoint"), as_of=as_of()).awaitTermination()
+    return table.read()
+
+
 @query(
     "insert_new_or_changed",
     WITH_FLAT

@@ -95,6 +95,29 @@ def account_structure_load(spark, sf):
     ).history
 
 
+@query(
+    "customer_load_flags",
+    WITH_CHECKED
+    + f"""SELECT * REPLACE (CASE WHEN indicator_flag = 'N' AND sf_account_id IN (SELECT sf_account_id FROM checked WHERE {VALID_SQL})
+      THEN 'Y' ELSE indicator_flag END AS indicator_flag) FROM landing""",
+)
+def customer_load_flags(spark, sf):
+    landing = derived(spark, sf, inputs.CUSTOMERS)
+    return loads.customer_load(landing, derived(spark, sf, CUSTOMER_HISTORY), as_of()).source
+
+
+@query(
+    "customer_load_rejected",
+    WITH_CHECKED
+    + f"""SELECT {AS_OF_SQL} AS audit_dts, customer_id, customer_nm, sf_account_id, not_null_status, datatype_status,
+      valid_value_status, is_duplicate FROM checked WHERE NOT ({VALID_SQL})""",
+)
+def customer_load_rejected(spark, sf):
+    landing = derived(spark, sf, inputs.CUSTOMERS)
+    rejected = loads.customer_load(landing, derived(spark, sf, CUSTOMER_HISTORY), as_of()).rejected
+    return rejected.select("audit_dts", "customer_id", "customer_nm", "sf_account_id", *loads.CUSTOMER_STATUSES, "is_duplicate")
+
+
 _DOCUMENTS = ", ".join(fv.CATEGORIES.values())
 CONFIGURATION_HISTORY = f"""
 SELECT 'old' AS sgk_customer_product_configuration_id, 'C' || CAST(o_orderkey + 700 AS STRING) AS sf_product_configuration_id,
