@@ -32,7 +32,10 @@ def _scalar_only(text: Column, doc: Column, path: str) -> Column:
 
 
 def json_value(doc: Column | str, path: str) -> Column:
-    """The scalar at ``path`` as text; NULL for an object, array or JSON null."""
+    """The scalar at ``path`` as text; NULL for an object, array or JSON null.
+
+    Numbers come in normal form, up to 38 digits; longer ones are rounded to a double.
+    """
     doc = _col(doc)
     return _scalar_only(F.try_variant_get(doc, path, "string"), doc, path)
 
