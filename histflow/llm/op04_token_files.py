@@ -25,9 +25,11 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -51,11 +53,16 @@ HAS_CHECKSUMS = 0x80
 
 # ---- encoding -------------------------------------------------------------------
 _CHUNK = re.compile(r"\s*\S+|\s+")
-# A letter run and a run of plain marks behind it: two tokens of the byte-level pattern.
-_SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+# What the byte-level pattern makes of text without apostrophes and in Latin letters:
+# runs of letters, of digits and of other marks, each with the blank before it.
+_PLAIN = re.compile(r"[ \nA-Za-z0-9À-ÖØ-öø-ɏ!-&(-/:-@\[-`{-~]*")
+_PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\s+(?!\S)|\s+")
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Entries that a worker keeps of what it has encoded; then it starts anew.
-CACHED = 600_000
+# White space other than blanks and line ends.
+_OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Chunks and words that a worker keeps of what it has encoded; then it starts anew.
+CACHED = 400_000
+CACHED_WORDS = 1_000_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -77,6 +84,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
@@ -93,32 +101,48 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.letters = _byte_letters()
-        # Added tokens are looked for before anything else; none may hide in a simple chunk.
+        # Added tokens are looked for before anything else; none may hide in a plain chunk.
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.simple_ok = not any(_SIMPLE.fullmatch(t) for t in self.added)
+        self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # by the chunk without the blank before it
         self.words: dict[str, bytes] = {}
 
+    def _packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-            found = self.words[word] = np.array([t.id for t in tokens], self.kind).tobytes()
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            found = self.words[word] = self._packed([t.id for t in tokens])
         return found
 
-    def _learn(self, chunks: Iterable[str]) -> None:
-        if len(self.known) > CACHED or len(self.words) > CACHED:
-            self.known.clear()
+    def _learn(self, store: dict[str, bytes], keys: set[str], lead: str) -> None:
+        """Put the ids of ``lead`` and key into ``store`` for all ``keys``."""
+        if len(store) > CACHED:
+            store.clear()
+        if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        rest = []
-        for c in chunks:
-            m = _SIMPLE.fullmatch(c) if self.simple_ok else None
-            if m is None:
-                rest.append(c)
+        rest, word = [], self._word
+        for key in keys.difference(store):
+            chunk = lead + key
+            if _PLAIN.fullmatch(chunk) and not any(t in chunk for t in self.added):
+                store[key] = b"".join([word(x) for x in _PARTS.findall(chunk)])
             else:
-                self.known[c] = self._word(m[1]) + (self._word(m[2]) if m[2] else b"")
-        for c, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, self.kind).tobytes()
+                rest.append(key)
+        for key, e in zip(rest, self.tokenizer.encode_batch([lead + key for key in rest], add_special_tokens=False) if rest else ()):
+            store[key] = self._packed(e.ids)
+
+    def _joined(self, store: dict[str, bytes], keys: list[str], lead: str) -> bytes:
+        try:
+            return b"".join(map(store.__getitem__, keys))
+        except KeyError:
+            self._learn(store, set(keys), lead)
+            return b"".join(map(store.__getitem__, keys))
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text, packed."""
@@ -126,15 +150,11 @@ class Encoder:
             return b""
         if not self.by_chunk or _ODD_SPACE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        chunks = _CHUNK.findall(text)
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            distinct = set(chunks)
-            self._learn(distinct.difference(self.known))
-            if not self.known.keys() >= distinct:  # the store was emptied in between
-                self._learn(distinct.difference(self.known))
-            return b"".join(map(self.known.__getitem__, chunks))
+        if "  " in text or "\n " in text or _OTHER_SPACE.search(text):
+            return self._joined(self.known, _CHUNK.findall(text), "")
+        # Every blank stands behind a character: each part but the first has one before it.
+        first, *parts = text.split(" ")
+        return self._joined(self.known, [first], "") + self._joined(self.spaced, parts, " ")
 
 
 @lru_cache(maxsize=2)
