@@ -8,10 +8,11 @@ the least document of each. Three steps keep the suffix sort to what can repeat:
    windows have equal seeds, so a window whose seed stands in one document only
    cannot repeat. What is left is cut into chunks at places that the content decides.
 2. Equal chunks are one chunk with its least document.
-3. A chunk whose seeds stand in no other chunk has no more repeats than itself; the
-   others go to the suffix sort.
+3. A chunk whose seeds stand in no other chunk has no more repeats than itself. The
+   others are cut into their runs of windows with one seed, for which the same holds;
+   what is still open goes to the suffix sort.
 
-The suffix sort, over all chunks left: positions 1 and 2 mod 3 are the sample. Their
+The suffix sort, over all runs left: positions 1 and 2 mod 3 are the sample. Their
 triples of three bytes are sorted and named by rank, then triples of those names (27
 bytes). Any two positions then have equal prefixes of 50 bytes exactly if the keys
 made of the names and bytes at the places that the difference cover gives them agree:
@@ -41,10 +42,10 @@ LENGTH = 50
 SEED = 32
 REACH = LENGTH - SEED + 1
 #: UTF-8 bytes in a block of documents, and of chunks.
-DOC_BLOCK = 16 << 20
-CHUNK_BLOCK = 2 << 20
+DOC_BLOCK = 4 << 20
+CHUNK_BLOCK = 1 << 19
 #: Bytes that are hashed at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: One seed in so many begins a chunk.
 CHUNK_EVERY = 8
 #: Keys that the splitters of a sort are chosen from, at most.
@@ -92,13 +93,45 @@ def seeds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(values), np.concatenate(places)
 
 
-def runs(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Windows in runs of the same seed: first window of each run, and the seed's hash."""
-    values, places = seeds(np.frombuffer(text, np.uint8))
-    if not len(values):
-        return np.empty(0, np.int64), values
-    first = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
-    return first, values[first]
+def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of texts in runs of the same seed.
+
+    For each run: the text's number, its first window, the window after it, and the
+    seed's hash. Texts are hashed end to end, windows over an end left out.
+    """
+    out = []
+    a = 0
+    while a < len(texts):
+        b, held = a, 0
+        while b < len(texts) and (held == 0 or held + len(texts[b]) <= PIECE):
+            held += len(texts[b])
+            b += 1
+        out.append(_runs(texts[a:b], a))
+        a = b
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _runs(texts: list[bytes], number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    values, places = seeds(np.frombuffer(b"".join(texts), np.uint8))
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(texts)), sizes)[: len(values)]
+    inside = np.arange(len(values)) + LENGTH <= (starts + sizes)[text]
+    other = np.ones(len(values), bool)
+    other[1:] = (places[1:] != places[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(inside & other)
+    text = text[first]
+    after = np.minimum(np.append(first[1:], len(values)), (starts + sizes)[text] - LENGTH + 1)
+    return text + number, first - starts[text], after - starts[text], values[first]
+
+
+def _member(some: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``some``."""
+    if not len(some):
+        return np.zeros(len(values), bool)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
 # ---- a sort over blocks -------------------------------------------------------------
@@ -217,10 +250,22 @@ def _doc_blocks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _doc_seeds(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct seeds of each document; the value is 1 for a seed of two documents or more."""
-    own = [np.unique(runs(t)[1]) for _, _, t in rows]
-    unique, counts = np.unique(np.concatenate(own) if own else np.empty(0, np.uint64), return_counts=True)
-    return unique, np.where(counts > 1, 1, 2).astype(np.int64)
+    return _seeds_of(runs([t for _, _, t in rows]))
+
+
+def _seeds_of(found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct seeds of a block's runs; the value is 1 for a seed of two documents or more, else 2."""
+    text, _, _, hashes = found
+    order = np.lexsort((text, hashes))
+    text, hashes = text[order], hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    again = np.zeros(len(hashes), bool)  # the same seed in another document
+    again[1:] = ~new[1:] & (text[1:] != text[:-1])
+    starts = np.flatnonzero(new)
+    if not len(starts):
+        return hashes, np.empty(0, np.int64)
+    return hashes[starts], np.where(np.logical_or.reduceat(again, starts), 1, 2).astype(np.int64)
 
 
 def _shared(ranks: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -228,19 +273,18 @@ def _shared(ranks: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return (np.bincount(ranks, minlength=n) > 1) | (_least(ranks, values, n) == 1)
 
 
-def _chunks(text: bytes, shared: Callable) -> Iterator[tuple[int, bytes]]:
-    """(first window, bytes) of the chunks of windows whose seeds are shared."""
-    first, hashes = runs(text)
+def _chunks(texts: list[bytes], found: tuple[np.ndarray, ...], shared: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """(text, first window, bytes) of the chunks of runs whose seeds are among ``shared``."""
+    text, first, after, hashes = found
     if not len(first):
         return
-    keep = shared(hashes)
-    after = np.concatenate([first[1:], [len(text) - LENGTH + 1]])
-    begin = keep & (np.concatenate([[True], ~keep[:-1]]) | (mix(hashes) % np.uint64(CHUNK_EVERY) == 0))
-    starts = np.flatnonzero(begin)
-    ends = np.flatnonzero(keep & np.concatenate([begin[1:] | ~keep[1:], [True]]))
-    for a, b in zip(starts, ends):
-        i, j = int(first[a]), int(after[b])
-        yield i, text[i : j + LENGTH - 1]
+    keep = _member(shared, hashes)
+    joined = np.zeros(len(keep), bool)  # to the run before
+    joined[1:] = keep[:-1] & keep[1:] & (text[1:] == text[:-1]) & (mix(hashes[1:]) % np.uint64(CHUNK_EVERY) != 0)
+    starts = np.flatnonzero(keep & ~joined)
+    ends = np.flatnonzero(keep & ~np.append(joined[1:], False))
+    for place, i, j in zip(text[starts].tolist(), first[starts].tolist(), after[ends].tolist()):
+        yield place, i, texts[place][i : j + LENGTH - 1]
 
 
 # ---- the suffix sort ---------------------------------------------------------------------
@@ -366,6 +410,46 @@ def least_documents(chunks: DataFrame, n_bytes: int) -> DataFrame:
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_windows, "chunk bigint, mins binary")
 
 
+def _least_by_runs(chunks: DataFrame) -> DataFrame:
+    """(chunk, mins) for open chunks: their runs are settled like chunks, and what is left is sorted.
+
+    A run's windows have one seed; equal runs are one run, and a run whose seed is in
+    no other run has no more repeats than itself.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = [bytes(c) for c in pdf["content"]]
+            place, first, after, hashes = runs(texts)
+            ids, least = pdf["chunk"].to_numpy(), pdf["least"].to_numpy()
+            parts = [texts[p][a : b + LENGTH - 1] for p, a, b in zip(place.tolist(), first.tolist(), after.tolist())]
+            yield pd.DataFrame({"of": ids[place], "at": first, "least": least[place], "seed": hashes.view(np.int64), "content": pd.Series(parts, dtype=object)})
+
+    cuts = chunks.select("chunk", "content", "least").mapInPandas(cut, "of bigint, at bigint, least bigint, seed bigint, content binary")
+    cuts = stage(cuts.withColumn("name", F.unhex(F.md5("content"))), "runs")
+    distinct = cuts.groupBy("name").agg(F.min("least").alias("least"), F.first("seed").alias("seed"), F.first("content").alias("content"))
+    distinct = stage(distinct.withColumn("chunk", F.monotonically_increasing_id()), "distinct-runs")
+    several = distinct.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    left = stage(distinct.join(several, "seed", "left_semi").select("chunk", "content", "least"), "open-runs")
+    n_bytes = left.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    sorted_out = stage(least_documents(left, n_bytes), "sorted-runs")
+    found = distinct.select("name", "chunk", "least").join(sorted_out, "chunk", "left").drop("chunk")
+    parts = cuts.select("of", "at", (F.octet_length("content") - (LENGTH - 1)).alias("n"), "name").join(found, "name")
+    gathered = parts.groupBy("of").agg(F.collect_list(F.struct("at", "n", "least", "mins")).alias("parts"))
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for parts in pdf["parts"]:
+                least = np.empty(sum(p["n"] for p in parts), np.int64)
+                for p in parts:
+                    least[p["at"] : p["at"] + p["n"]] = p["least"] if p["mins"] is None else np.frombuffer(p["mins"], np.int64)
+                out.append(least.tobytes())
+            yield pd.DataFrame({"chunk": pdf["of"], "mins": pd.Series(out, dtype=object)})
+
+    return gathered.mapInPandas(whole, "chunk bigint, mins binary")
+
+
 # ---- the operator ---------------------------------------------------------------------------
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """The documents in blocks, and (block, place, a, b, id, least, mins): chunks with repeats in earlier documents."""
@@ -380,14 +464,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         out = []
         for block, packed in zip(left["block"], left["data"]):
             rows = _unpack(packed)
-            known, _ = _doc_seeds(rows)
+            texts = [t for _, _, t in rows]
+            own = runs(texts)
+            known, _ = _seeds_of(own)
             found = _gathered(right, False)
             if len(found) != len(known):  # only if a task that ran again cut its rows otherwise
                 found = np.ones(len(known), bool)
-            some = known[found.astype(bool)]
-            for place, (_, i, t) in enumerate(rows):
-                for a, content in _chunks(t, lambda h: np.isin(h, some, kind="sort")):
-                    out.append((block, place, i, a, content))
+            for place, a, content in _chunks(texts, own, known[found.astype(bool)]):
+                out.append((block, place, rows[place][1], a, content))
         return pd.DataFrame(out, columns=["block", "place", "id", "a", "content"])
 
     seen = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(cut, "block bigint, place int, id bigint, a bigint, content binary")
@@ -397,16 +481,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     def chunk_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [runs(bytes(c))[1] for c in pdf["content"]]
-            yield pd.DataFrame({"seed": np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64), "chunk": np.repeat(pdf["chunk"].to_numpy(), [len(x) for x in found])})
+            place, _, _, hashes = runs([bytes(c) for c in pdf["content"]])
+            yield pd.DataFrame({"seed": hashes.view(np.int64), "chunk": pdf["chunk"].to_numpy()[place]})
 
     standing = distinct.select("chunk", "content").mapInPandas(chunk_seeds, "seed bigint, chunk bigint")
     spread = standing.groupBy("seed").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"), F.count("*").alias("n")).where("n > 1")
     # A seed of several chunks marks them all.
     open_chunks = standing.join(spread.where("lo <> hi").select("seed"), "seed").select("chunk").distinct()
     unsettled = stage(distinct.join(open_chunks, "chunk", "left_semi").select("chunk", "content", "least"), "open-chunks")
-    n_bytes = unsettled.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    mins = stage(least_documents(unsettled, n_bytes), "least-documents")
+    mins = stage(_least_by_runs(unsettled), "least-documents")
     settled = distinct.select("name", "chunk", "least").join(mins, "chunk", "left")
     hits = seen.select("block", "place", "id", "a", (F.col("a") + F.octet_length("content")).alias("b"), "name").join(settled, "name")
     return blocks, hits.where("least < id OR mins IS NOT NULL").drop("name", "chunk")
