@@ -38,6 +38,8 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 #: Characters that are counted before a task's counts are merged.
 COUNT_CHARS = 4 << 20
+#: Characters that are scored together, about.
+SCORE_CHARS = 1 << 18
 #: A band reaches so many deviations from the mean of the good documents' log perplexity.
 DEVIATIONS = 6.0
 LEAST_DEVIATION = 0.02
@@ -45,7 +47,8 @@ LEAST_DEVIATION = 0.02
 LEAST_LABELLED = 30
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SYMBOL = str.maketrans(dict.fromkeys("#*$%&|<>"))
+_SYMBOLS = "#*$%&|<>"
+_BLANKS = " \t\n\x0b\x0c\r"
 _R = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -63,8 +66,8 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
             if line in seen:
                 duplicates += 1
             seen.add(line)
-    chars = sum(map(len, words))
-    symbols = len(text) - len(text.translate(_SYMBOL))
+    chars = len(text) - sum(map(text.count, _BLANKS))
+    symbols = sum(map(text.count, _SYMBOLS))
     return len(words), chars, symbols, duplicates, repeated_words(words)
 
 
@@ -77,11 +80,15 @@ def repeated_words(words: list[str], window: int = WINDOW) -> int:
     ids = np.array([number.setdefault(w, len(number)) for w in words], np.uint64)
     if len(number) == len(words):
         return 0
+    ids = mix(ids + np.uint64(1))
     hashes = np.zeros(n, np.uint64)
     for k in range(window):
-        hashes = hashes * _R + mix(ids[k : k + n] + np.uint64(1))
-    _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    starts = np.flatnonzero(counts[inverse] > 1)
+        hashes = hashes * _R + ids[k : k + n]
+    order = np.sort(hashes)
+    again = order[1:][order[1:] == order[:-1]]
+    if not len(again):
+        return 0
+    starts = np.flatnonzero(np.isin(hashes, again))
     marks = np.zeros(len(words) + 1, np.int64)
     np.add.at(marks, starts, 1)
     np.add.at(marks, starts + window, -1)
@@ -258,32 +265,38 @@ class Model:
         place[self.keys[place] != h] = -1
         return place
 
-    def log_probabilities(self, text: str, lang: str) -> np.ndarray:
-        """The log probability of each character, and of the end as a blank."""
+    def log_probabilities(self, texts: list[str], lang: str) -> np.ndarray:
+        """For each text the sum of the log probabilities of its characters and of a blank at its end."""
+        if not texts:
+            return np.empty(0)
         if not len(self.keys):
-            return np.zeros(len(text) + 1)
-        points = np.frombuffer((" " * (self.order - 1) + text + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-        ends = np.arange(self.order - 1, len(points))
+            return np.zeros(len(texts))
+        pad = " " * (self.order - 1)
+        sizes = np.array([len(t) + 1 for t in texts], np.int64)
+        points = np.frombuffer("".join([f"{pad}{t} " for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        # The places of characters: each text stands behind its own padding.
+        firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        ends = np.arange(sizes.sum()) + np.repeat(np.arange(1, len(texts) + 1) * (self.order - 1), sizes)
         out = np.zeros(len(ends))
         todo = np.arange(len(ends))
         for k in range(self.order, 0, -1):
-            if len(todo) == len(ends):
+            if k == self.order:
                 h = gram_hashes(points, k, lang)[ends - k + 1]
             else:
-                rows = points[(ends[todo] - k + 1)[:, None] + np.arange(k)]
-                h = _row_hashes(rows, lang)
+                h = _row_hashes(points[(ends[todo] - k + 1)[:, None] + np.arange(k)], lang)
             place = self._find(h)
             hit = place >= 0
             out[todo[hit]] += self.logp[place[hit]]
             todo = todo[~hit]
             if not len(todo):
-                return out
+                break
             if k > 1:
                 place = self._find(_row_hashes(points[(ends[todo] - k + 1)[:, None] + np.arange(k - 1)], lang))
                 out[todo] += np.where(place >= 0, self.logw[place], 0)
-        place = self._find(_row_hashes(np.empty((1, 0), np.uint32), lang))
-        out[todo] += self.logp[place[0]] if place[0] >= 0 else np.log(1e-6)
-        return out
+        if len(todo):
+            place = self._find(_row_hashes(np.empty((1, 0), np.uint32), lang))
+            out[todo] += self.logp[place[0]] if place[0] >= 0 else np.log(1e-6)
+        return np.add.reduceat(out, firsts)
 
 
 def _row_hashes(rows: np.ndarray, lang: str) -> np.ndarray:
@@ -325,6 +338,17 @@ def _narrow(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(docs[lang].cast("string"), F.lit("")).alias("lang"), docs[text].cast("string").alias("text"))
 
 
+def _score(model: Model, lang: str, at: list[int], texts: list[str], values: np.ndarray) -> None:
+    """Write the log perplexities of the texts at ``at``; long texts are taken in pieces."""
+    sums, counts = np.zeros(len(at)), np.zeros(len(at))
+    pieces = [(j, texts[i][a : a + COUNT_CHARS]) for j, i in enumerate(at) for a in range(0, len(texts[i]), COUNT_CHARS)]
+    found = model.log_probabilities([t for _, t in pieces], lang)
+    for (j, t), x in zip(pieces, found):
+        sums[j] += x
+        counts[j] += len(t) + 1
+    values[at] = -sums / counts
+
+
 def measure(docs: DataFrame, model: Model, lang: str = "lang", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, h, lang, the base counts, log_ppl (NULL without a character).
 
@@ -338,15 +362,21 @@ def measure(docs: DataFrame, model: Model, lang: str = "lang", text: str = "text
         m = sent.value
         for pdf in batches:
             counts = np.array([base_counts(t) for t in pdf["text"]], np.int64).reshape(-1, 5)
-            values = []
-            for language, t in zip(pdf["lang"], pdf["text"]):
-                seen = characters(t)
-                parts = [m.log_probabilities(seen[a : a + COUNT_CHARS], language) for a in range(0, len(seen), COUNT_CHARS)]
-                values.append(-sum(p.sum() for p in parts) / sum(map(len, parts)) if parts else None)
+            seen = [characters(t) for t in pdf["text"]]
+            values = np.full(len(pdf), np.nan)
+            for language, at in pdf.groupby("lang").indices.items():
+                waiting, held = [], 0
+                for i in at:
+                    if seen[i]:
+                        waiting.append(i)
+                        held += len(seen[i])
+                    if held >= SCORE_CHARS or (waiting and i == at[-1]):
+                        _score(m, language, waiting, seen, values)
+                        waiting, held = [], 0
             yield pd.DataFrame(
                 {"doc_id": pdf["doc_id"], "h": pdf["h"], "lang": pdf["lang"]}
                 | {n: counts[:, i] for i, n in enumerate(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))}
-                | {"log_ppl": pd.Series(values, dtype="float64")}
+                | {"log_ppl": pd.Series(values, dtype="float64").astype(object).where(~np.isnan(values), None)}
             )
 
     rows = docs.select(
