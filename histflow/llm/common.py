@@ -37,11 +37,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a Python task gets at a time.
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application.
+    """Ready a session for Python tasks over texts.
 
-    The archive is made on the driver, and Spark serves it to the tasks.
+    Tasks get this package (the archive is made on the driver, and Spark serves
+    it), and rows in batches of ``BATCH_ROWS``, as texts may be long.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_histflow_shipped", False):
         return
