@@ -8,11 +8,11 @@ one for each language, counted by Spark over all documents:
    each made from the order above it; discounts come from the counts of counts;
 3. every n-gram gets its interpolated probability from its context's total and the
    probability of its suffix, and every context its weight for unseen characters;
-4. the model is stored as arrays sorted by a 64-bit hash of language and n-gram.
-   One entry is kept for each value of the leading ``SLOT_BITS`` bits (the most
-   frequent n-gram), which bounds the model at 2**SLOT_BITS entries whatever the
-   corpus, so that it can be sent to every task; what has no entry is scored by
-   the next lower order.
+4. the documents' own n-grams of the highest order are all in the model, so a
+   document needs those only, under a 64-bit hash of language and n-gram. They stay
+   with Spark, dealt into buckets by hash: each block of documents asks the buckets
+   for its distinct n-grams, and is joined to the answers. No entry is left out, and
+   no task holds more of the model than one bucket or what one block asks for.
 
 A document is rejected by the base rules (too few words, or too many words in
 repeated windows), or if its perplexity lies outside its language's band. Bands
@@ -21,8 +21,10 @@ are fitted on labelled documents of good quality.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,15 +33,17 @@ from pyspark.sql import DataFrame, functions as F
 from histflow.llm.common import mix, ship, stage
 
 ORDER = 5
-SLOT_BITS = 22
 WINDOW = 8
 LEAST_WORDS = 20
 #: Base rule: percent of words that may stand in repeated windows.
 MOST_REPEATED = 30
 #: Characters that are counted before a task's counts are merged.
 COUNT_CHARS = 4 << 20
-#: Characters that are scored together, about.
+#: Characters that are hashed together, about.
 SCORE_CHARS = 1 << 18
+#: Bytes of text that ask for their n-grams together, and for which there is a bucket of the model.
+BLOCK_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: A band reaches so many deviations from the mean of the good documents' log perplexity.
 DEVIATIONS = 6.0
 LEAST_DEVIATION = 0.02
@@ -196,32 +200,43 @@ def _with_discounts(level: DataFrame) -> DataFrame:
     return rows.join(contexts, ["lang", "context"]).select("lang", "gram", "context", "c", "d", "total", (F.col("rest") / F.col("total")).alias("gamma"))
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, gram, weight, p, gamma): probabilities of all orders, and contexts' weights.
+def _levels(counts: DataFrame, order: int) -> tuple[list[DataFrame], DataFrame]:
+    """(lang, gram, context, c, gamma, p) of each order, lowest first, and (lang, lower) of the unknown character.
 
-    ``p`` is the probability of the last character behind the others, ``gamma``
-    what the n-gram, as a context, leaves for the order below; 1 where it is none.
+    The highest order is not staged.
     """
     levels = [stage(counts, "grams")]
     for _ in range(order - 1):
         below = levels[0].select("lang", F.expr("substr(gram, 2)").alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("c"))
         levels.insert(0, stage(below, "grams"))
     letters = levels[0].groupBy("lang").agg((1 / (F.count("*") + 1)).alias("lower"))
-    out, lower = None, None
+    out: list[DataFrame] = []
     for k, level in enumerate(levels, 1):
         rows = _with_discounts(level)
         if k == 1:
             rows = rows.join(letters, "lang")
         else:
             rows = rows.withColumn("suffix", F.expr("substr(gram, 2)")).join(
-                lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"]
+                out[-1].select("lang", F.col("gram").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"]
             )
-        rows = stage(
-            rows.select("lang", "gram", "context", "c", "gamma", ((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("lower")).alias("p")),
-            "model",
-        )
-        lower = rows
-        out = rows if out is None else out.unionByName(rows)
+        rows = rows.select("lang", "gram", "context", "c", "gamma", ((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("lower")).alias("p"))
+        out.append(stage(rows, "model") if k < order else rows)
+    return out, letters
+
+
+def highest_order(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, gram, p): the interpolated probabilities of the n-grams of the highest order."""
+    return _levels(counts, order)[0][-1].select("lang", "gram", "p")
+
+
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, gram, weight, p, gamma): probabilities of all orders, and contexts' weights.
+
+    ``p`` is the probability of the last character behind the others, ``gamma``
+    what the n-gram, as a context, leaves for the order below; 1 where it is none.
+    """
+    rows, letters = _levels(counts, order)
+    out = stage(reduce(DataFrame.unionByName, rows), "model")
     weights = out.select("lang", F.col("context").alias("gram"), F.col("gamma").alias("after")).distinct()
     # The empty context leaves its weight to the unknown character.
     entries = out.select("lang", "gram", "c", "p").join(weights, ["lang", "gram"], "left")
@@ -246,24 +261,34 @@ def gram_hashes(points: np.ndarray, k: int, lang: str) -> np.ndarray:
 
 
 class Model:
-    """The model's arrays, sorted by hash, and an index by the leading bits."""
-
-    def __init__(self, keys: np.ndarray, logp: np.ndarray, logw: np.ndarray, order: int):
-        rank = np.argsort(keys)
-        self.keys, self.logp, self.logw, self.order = keys[rank], logp[rank], logw[rank], order
-        self.index: np.ndarray | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"index": None}
+    """The model's arrays, and an index of their hashes."""
+
+    def __init__(self, keys: np.ndarray, logp: np.ndarray, logw: np.ndarray | None = None, order: int = ORDER):
+        self.keys, self.logp, self.logw, self.order = keys, logp, logw, order
+        # Slots for the hashes' leading bits; what finds its slot taken goes to the next level.
+        self.levels: list[tuple[np.uint64, np.ndarray]] = []
+        left, h = np.arange(len(keys), dtype=np.int32), keys
+        while len(left):
+            shift = np.uint64(64 - (2 * len(left)).bit_length())
+            slots = np.full(1 << int(64 - shift), -1, np.int32)
+            slots[h >> shift] = left
+            self.levels.append((shift, slots))
+            out = slots[h >> shift] != left
+            out &= keys[slots[h >> shift]] != keys[left]
+            left, h = left[out], mix(h[out] + _R)
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Places of the hashes in the arrays; -1 where there is none."""
-        if self.index is None:
-            self.index = np.full(1 << SLOT_BITS, -1, np.int32)
-            self.index[self.keys >> np.uint64(64 - SLOT_BITS)] = np.arange(len(self.keys), dtype=np.int32)
-        place = self.index[h >> np.uint64(64 - SLOT_BITS)]
-        place[self.keys[place] != h] = -1
-        return place
+        out = np.full(len(h), -1, np.int32)
+        todo, key, mixed = np.arange(len(h)), h, h
+        for shift, slots in self.levels:
+            place = slots[mixed >> shift]
+            hit = (place >= 0) & (self.keys[place] == key)
+            out[todo[hit]] = place[hit]
+            todo, key, mixed = todo[~hit], key[~hit], mix(mixed[~hit] + _R)
+            if not len(todo):
+                break
+        return out
 
     def log_probabilities(self, texts: list[str], lang: str) -> np.ndarray:
         """For each text the sum of the log probabilities of its characters and of a blank at its end."""
@@ -306,30 +331,30 @@ def _row_hashes(rows: np.ndarray, lang: str) -> np.ndarray:
     return mix(h ^ _seed(lang))
 
 
-def packed_model(entries: DataFrame, order: int = ORDER) -> Model:
-    """The model's arrays: at most 2**SLOT_BITS entries reach the driver."""
+def _keyed(entries: DataFrame, values: dict[str, str]) -> DataFrame:
+    """``entries`` as (key, ...): the hash of language and n-gram, and logarithms of columns."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             h = np.zeros(len(pdf), np.uint64)
             length = pdf["gram"].str.len()
-            for (lang, k), part in pdf.groupby(["lang", length]).groups.items():
-                at = pdf.index.get_indexer(part)
+            for (lang, k), at in pdf.groupby(["lang", length]).indices.items():
                 rows = np.frombuffer("".join(pdf["gram"].iloc[at]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), k)
                 h[at] = _row_hashes(rows, lang)
-            yield pd.DataFrame({"slot": (h >> np.uint64(64 - SLOT_BITS)).astype(np.int32), "key": h.view(np.int64), "weight": pdf["weight"], "logp": np.log(pdf["p"]).astype("float32"), "logw": np.log(pdf["gamma"]).astype("float32")})
+            yield pd.DataFrame({"key": h.view(np.int64)} | {new: np.log(pdf[old]).astype("float32") for old, new in values.items()})
+
+    return entries.mapInPandas(keyed, ", ".join(["key bigint", *[f"{new} float" for new in values.values()]]))
+
 
-    rows = entries.mapInPandas(keyed, "slot int, key bigint, weight bigint, logp float, logw float")
-    # The unknown character of a language (weight 0) is kept before all others.
-    first = F.struct((F.col("weight") == 0).alias("unknown"), "weight", "key")
-    best = rows.groupBy("slot").agg(F.max_by(F.struct("key", "logp", "logw"), first).alias("e"))
-    table = best.select("e.*").toArrow()
+def packed_model(entries: DataFrame, order: int = ORDER) -> Model:
+    """The whole model in the driver; for a model that one process can hold."""
+    table = _keyed(entries, {"p": "logp", "gamma": "logw"}).toArrow()
     return Model(table["key"].to_numpy().view(np.uint64).copy(), table["logp"].to_numpy().copy(), table["logw"].to_numpy().copy(), order)
 
 
 # ---- on documents --------------------------------------------------------------------
 def language_model(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER) -> Model:
-    """The model of all of ``docs``; NULL languages are one language of their own."""
+    """The model of all of ``docs`` in the driver; NULL languages are one language of their own."""
     ship(docs.sparkSession)
     return packed_model(kneser_ney(gram_counts(_narrow(docs, lang, text), order), order), order)
 
@@ -338,56 +363,164 @@ def _narrow(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(docs[lang].cast("string"), F.lit("")).alias("lang"), docs[text].cast("string").alias("text"))
 
 
-def _score(model: Model, lang: str, at: list[int], texts: list[str], values: np.ndarray) -> None:
-    """Write the log perplexities of the texts at ``at``; long texts are taken in pieces."""
-    sums, counts = np.zeros(len(at)), np.zeros(len(at))
-    pieces = [(j, texts[i][a : a + COUNT_CHARS]) for j, i in enumerate(at) for a in range(0, len(texts[i]), COUNT_CHARS)]
-    found = model.log_probabilities([t for _, t in pieces], lang)
-    for (j, t), x in zip(pieces, found):
-        sums[j] += x
-        counts[j] += len(t) + 1
-    values[at] = -sums / counts
+def _windows(texts: list[str], lang: str, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For some texts at a time, the texts' numbers and the hashes of their n-grams.
+
+    An n-gram ends at each character and at a blank behind the last; a text of any
+    length is taken in pieces that overlap, and an n-gram never holds two texts.
+    """
+    waiting: list[tuple[int, str]] = []
+
+    def hashed() -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(s) - order + 1 for _, s in waiting], np.int64)
+        points = np.frombuffer("".join([s for _, s in waiting]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)) * (order - 1), sizes)
+        return np.repeat(np.array([j for j, _ in waiting], np.int64), sizes), gram_hashes(points, order, lang)[starts]
+
+    pad, held = " " * (order - 1), 0
+    for j, t in enumerate(texts):
+        if not t:
+            continue
+        t = f"{pad}{t} "
+        for a in range(0, len(t) - order + 1, SCORE_CHARS):
+            waiting.append((j, t[a : a + SCORE_CHARS + order - 1]))
+            held += len(waiting[-1][1])
+            if held >= SCORE_CHARS:
+                yield hashed()
+                waiting, held = [], 0
+    if waiting:
+        yield hashed()
+
+
+def _by_language(langs: list[str]) -> list[tuple[str, np.ndarray]]:
+    return list(pd.Series(langs, dtype=object).groupby(langs).indices.items()) if langs else []
+
+
+def _pack(x) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(x, protocol=5))
+
 
+def _unpack(x: bytes):
+    import zstandard
 
-def measure(docs: DataFrame, model: Model, lang: str = "lang", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(x))
+
+
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """The rows of a task in blocks, each with a name."""
+    from pyspark import TaskContext
+
+    base, n, held, parts = TaskContext.get().partitionId() << 32, 0, 0, []
+    for pdf in batches:
+        sizes = np.cumsum(pdf["size"].to_numpy())
+        a = 0
+        while a < len(pdf):
+            b = min(len(pdf), int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + BLOCK_BYTES - held)) + 1)
+            parts.append(pdf.iloc[a:b])
+            held += int(sizes[b - 1] - (sizes[a - 1] if a else 0))
+            a = b
+            if held >= BLOCK_BYTES:
+                yield base + n, pd.concat(parts, ignore_index=True)
+                n, held, parts = n + 1, 0, []
+    if parts:
+        yield base + n, pd.concat(parts, ignore_index=True)
+
+
+def measure(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, h, lang, the base counts, log_ppl (NULL without a character).
 
-    ``h`` is the text's hash, which names the row together with its id.
+    ``h`` is the text's hash, which names the row together with its id. The model
+    is that of ``docs`` themselves, which are read three times.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    sent = spark.sparkContext.broadcast(model)
+    ship(docs.sparkSession)
+    entries = _keyed(highest_order(gram_counts(_narrow(docs, lang, text), order), order), {"p": "logp"})
+    body = docs[text].cast("string")
+    rows = docs.select(
+        docs[doc_id].cast("string").alias("doc_id"),
+        F.xxhash64(body).alias("h"),
+        F.coalesce(docs[lang].cast("string"), F.lit("")).alias("lang"),
+        body.alias("text"),
+        F.coalesce(F.octet_length(body), F.lit(0)).alias("size"),
+    )
+    buckets = (rows.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES + 1
+    borders = np.array([i * 2**64 // buckets for i in range(1, buckets)], np.uint64)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = sent.value
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, pdf in _cut(batches):
+            seen = [characters(t) for t in pdf["text"]]
+            found = [pd.unique(h) for language, at in _by_language(pdf["lang"].tolist()) for _, h in _windows([seen[i] for i in at], language, order)]
+            if found:
+                keys = np.sort(pd.unique(np.concatenate(found)))
+                parts = np.split(keys, np.searchsorted(keys, borders))
+                some = [b for b, part in enumerate(parts) if len(part)]
+                yield pd.DataFrame({"bucket": some, "block": block, "asked": [parts[b].tobytes() for b in some]})
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            pdf["bucket"] = np.searchsorted(borders, pdf["key"].to_numpy().view(np.uint64), side="right")
+            yield pdf[["bucket", "key", "logp"]]
+
+    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        keys = left["key"].to_numpy().view(np.uint64)
+        rank = np.argsort(keys)
+        keys, logp = keys[rank], left["logp"].to_numpy()[rank]
+        found = []
+        for asked in right["asked"]:
+            wanted = np.frombuffer(asked, np.uint64)
+            place = np.searchsorted(keys, wanted)
+            if len(wanted) and (not len(keys) or (keys[np.minimum(place, len(keys) - 1)] != wanted).any()):
+                raise RuntimeError("an n-gram of a document is not in the model: the documents changed between two reads")
+            found.append(logp[place].tobytes())
+        return pd.DataFrame({"block": right["block"], "asked": right["asked"], "found": found})
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, pdf in _cut(batches):
             counts = np.array([base_counts(t) for t in pdf["text"]], np.int64).reshape(-1, 5)
-            seen = [characters(t) for t in pdf["text"]]
-            values = np.full(len(pdf), np.nan)
-            for language, at in pdf.groupby("lang").indices.items():
-                waiting, held = [], 0
-                for i in at:
-                    if seen[i]:
-                        waiting.append(i)
-                        held += len(seen[i])
-                    if held >= SCORE_CHARS or (waiting and i == at[-1]):
-                        _score(m, language, waiting, seen, values)
-                        waiting, held = [], 0
-            yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"], "h": pdf["h"], "lang": pdf["lang"]}
-                | {n: counts[:, i] for i, n in enumerate(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))}
-                | {"log_ppl": pd.Series(values, dtype="float64").astype(object).where(~np.isnan(values), None)}
+            packed = _pack((pdf["doc_id"].tolist(), pdf["h"].to_numpy(), pdf["lang"].tolist(), counts, [characters(t) for t in pdf["text"]]))
+            yield pd.DataFrame({"block": [block], "rows": [packed]})
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        asked = [np.frombuffer(x, np.uint64) for x in right["asked"]] or [np.empty(0, np.uint64)]
+        found = [np.frombuffer(x, np.float32) for x in right["found"]] or [np.empty(0, np.float32)]
+        model = Model(np.concatenate(asked), np.concatenate(found), order=order)
+        out = []
+        for rows in left["rows"]:
+            ids, h, langs, counts, seen = _unpack(rows)
+            values = np.full(len(ids), np.nan)
+            for language, at in _by_language(langs):
+                sums = np.zeros(len(at))
+                for j, hashes in _windows([seen[i] for i in at], language, order):
+                    place = model._find(hashes)
+                    if (place < 0).any():
+                        raise RuntimeError("a block of documents lacks an answer: the rows came in another order")
+                    sums += np.bincount(j, model.logp[place], len(at))
+                sizes = np.array([len(seen[i]) for i in at])
+                values[at] = np.where(sizes > 0, -sums / (sizes + 1), np.nan)
+            out.append(
+                pd.DataFrame(
+                    {"doc_id": pd.Series(ids, dtype=object), "h": h, "lang": langs}
+                    | {n: counts[:, i] for i, n in enumerate(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))}
+                    | {"log_ppl": pd.Series(values, dtype="float64").astype(object).where(~np.isnan(values), None)}
+                )
             )
+        return pd.concat(out, ignore_index=True)
 
-    rows = docs.select(
-        docs[doc_id].cast("string").alias("doc_id"),
-        F.xxhash64(docs[text].cast("string")).alias("h"),
-        F.coalesce(docs[lang].cast("string"), F.lit("")).alias("lang"),
-        docs[text].cast("string").alias("text"),
+    answers = (
+        entries.mapInPandas(deal, "bucket bigint, key bigint, logp float")
+        .groupBy("bucket")
+        .cogroup(rows.mapInPandas(ask, "bucket bigint, block bigint, asked binary").groupBy("bucket"))
+        .applyInPandas(answer, "block bigint, asked binary, found binary")
     )
-    return rows.mapInPandas(
-        score,
-        "doc_id string, h bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, log_ppl double",
+    return (
+        rows.mapInPandas(pack, "block bigint, rows binary")
+        .groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInPandas(
+            score,
+            "doc_id string, h bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, log_ppl double",
+        )
     )
 
 
@@ -425,7 +558,7 @@ def judge(docs: DataFrame, labels: DataFrame, lang: str = "lang", text: str = "t
     rows and repeated or NULL ids are documents of their own. An empty table gives
     no rows; other columns are not read.
     """
-    measured = stage(measure(docs, language_model(docs, lang, text), lang, text, doc_id), "measured")
+    measured = stage(measure(docs, lang, text, doc_id), "measured")
     limits = bands(measured, labels)  # a row per language
     failed = _base_failed()
     inside = F.col("log_ppl").between(F.col("low"), F.col("high"))

@@ -229,6 +229,22 @@ def _end(model, text):
     return total
 
 
+def test_perplexities_use_every_entry_of_the_model(spark):
+    # About 60,000 n-grams of five orders: with a slot for each 22-bit hash, hundreds would be lost.
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefghij klmnopé") for _ in range(400)) for _ in range(60)]
+    texts += ["long text " * 60_000, "a", "", None]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string").repartition(3)
+    p = brute_model(texts, 5)
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    for r in op10.judge(docs, labels).collect():
+        t = op10.characters(texts[r.doc_id])
+        s = f"    {t} "
+        grams = [s[i : i + 5] for i in range(len(t) + 1)]
+        expected = math.exp(-sum(math.log(p[g]) for g in grams) / len(grams)) if t else None
+        assert r.perplexity == (expected and pytest.approx(expected, rel=1e-5)), r
+
+
 def test_quality_verdicts(spark, documents, corpus, nothing):
     good = [(i, 1, 0) for i, t in corpus if t and len(t.split()) > 20]
     labels = spark.createDataFrame(good + [(1, 0, 0)], "doc_id bigint, quality int, toxic int")
