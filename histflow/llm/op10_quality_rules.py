@@ -16,7 +16,8 @@ one for each language, counted by Spark over all documents:
 
 A document is rejected by the base rules (too few words, or too many words in
 repeated windows), or if its perplexity lies outside its language's band. Bands
-are fitted on labelled documents of good quality.
+are fitted on the language's labelled documents of good and of bad quality: the
+bounds that separate them best and reject at most ``FALSE_REJECTS`` of the good.
 """
 
 from __future__ import annotations
@@ -44,10 +45,14 @@ SCORE_CHARS = 1 << 18
 #: Bytes of text that ask for their n-grams together, and for which there is a bucket of the model.
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 8 << 20
-#: A band reaches so many deviations from the mean of the good documents' log perplexity.
+#: The share of good labelled documents that a band may reject.
+FALSE_REJECTS = 0.05
+#: Log perplexities are counted in steps of this width.
+STEP = 0.001
+#: Where no bound separates, a band reaches so many deviations from the good documents' mean.
 DEVIATIONS = 6.0
 LEAST_DEVIATION = 0.02
-#: Good labelled documents of a language, at least, for a band of its own.
+#: Labelled documents of a language, good ones and bad ones, at least, for a band of its own.
 LEAST_LABELLED = 30
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -528,26 +533,79 @@ def _base_failed():
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
+def fit_band(good: np.ndarray, bad: np.ndarray) -> tuple[int, int]:
+    """Of steps in order, the first that is kept and the first behind the kept ones.
+
+    ``good`` and ``bad`` are the documents in each step. The share of bad documents
+    outside, less that of good ones, is the largest that rejects at most
+    ``FALSE_REJECTS`` of the good; of equal bands it is the widest.
+    """
+    n_good, n_bad = good.sum(), bad.sum()
+    if not n_good or not n_bad:
+        return 0, len(good)
+    below_good, below_bad = np.concatenate([[0], np.cumsum(good)]), np.concatenate([[0], np.cumsum(bad)])
+    above_good, above_bad = n_good - below_good, n_bad - below_bad
+    allowed = int(FALSE_REJECTS * n_good)
+    gain_low, gain_high = below_bad / n_bad - below_good / n_good, above_bad / n_bad - above_good / n_good
+    # The best upper bound at or behind each step.
+    best, at = np.empty(len(gain_high)), np.empty(len(gain_high), np.int64)
+    for i in range(len(gain_high) - 1, -1, -1):
+        new = i + 1 == len(gain_high) or gain_high[i] > best[i + 1]
+        best[i], at[i] = (gain_high[i], i) if new else (best[i + 1], at[i + 1])
+    lows = np.flatnonzero(below_good <= allowed)
+    firsts = np.searchsorted(-above_good, -(allowed - below_good[lows]))
+    low = int(np.argmax(gain_low[lows] + best[firsts]))
+    return int(lows[low]), int(at[firsts[low]])
+
+
+def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("step")
+    good, bad = pdf["good"].to_numpy(), pdf["bad"].to_numpy()
+    steps, n = pdf["step"].to_numpy(), max(1, good.sum())
+    mean = pdf["s1"].sum() / n
+    dev = max(LEAST_DEVIATION, float(np.sqrt(max(0.0, pdf["s2"].sum() / n - mean**2))))
+    a, b = fit_band(good, bad)
+    return pd.DataFrame(
+        {
+            "lang": pdf["lang"].iloc[:1],
+            "pooled": pdf["pooled"].iloc[:1],
+            "n_good": good.sum(),
+            "n_bad": bad.sum(),
+            "low": steps[a] * STEP if a else mean - DEVIATIONS * dev,
+            "high": steps[b] * STEP if b < len(steps) else mean + DEVIATIONS * dev,
+        }
+    )
+
+
 def bands(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """(lang, low, high): the band of each language's log perplexity.
+    """(lang, low, high): the band of each language's log perplexity, without ``high`` itself.
 
-    From the mean and deviation over documents labelled as good that pass the base
-    rules; all labelled rows are used. A language with
-    few of them gets the band of all; without any labels nothing is rejected.
+    Fitted by :func:`fit_band` on all labelled documents that pass the base rules; a
+    document labelled both ways is good. A side on which no bound separates is
+    ``DEVIATIONS`` deviations from the good documents' mean. A language with few good
+    or bad labelled documents gets the band fitted on all languages' distances from
+    their own means, around its own mean; without good labelled documents nothing is rejected.
     """
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("string").alias("doc_id")).distinct()
-    known = measured.where(F.col("log_ppl").isNotNull() & ~_base_failed()).join(good, "doc_id")
-    kind = [F.count("*").alias("n"), F.avg("log_ppl").alias("mean"), F.stddev_pop("log_ppl").alias("dev")]
-    each = known.groupBy("lang").agg(*kind)
-    whole = known.agg(*kind).select(F.col("n").alias("all_n"), F.col("mean").alias("all_mean"), F.col("dev").alias("all_dev")).first()
-    langs = measured.select("lang").distinct().join(each, "lang", "left")
-    own = F.coalesce("n", F.lit(0)) >= LEAST_LABELLED
-    mean = F.when(own, F.col("mean")).otherwise(F.lit(whole["all_mean"]).cast("double"))
-    dev = F.greatest(F.when(own, F.col("dev")).otherwise(F.lit(whole["all_dev"]).cast("double")), F.lit(LEAST_DEVIATION))
-    return langs.select(
+    ship(measured.sparkSession)
+    known = labels.where("quality IS NOT NULL").groupBy(F.col("doc_id").cast("string").alias("doc_id")).agg((F.max("quality") == 1).alias("good"))
+    passed = measured.where(F.col("log_ppl").isNotNull() & ~_base_failed())
+    means = passed.groupBy("lang").agg(F.avg("log_ppl").alias("mean"))  # a row per language
+    labelled = passed.join(known, "doc_id").join(means, "lang")
+    each = labelled.select("good", F.expr("inline(array(struct(lang, false AS pooled, log_ppl AS x), struct('' AS lang, true AS pooled, log_ppl - mean AS x)))"))
+    good = F.col("good").cast("int")
+    steps = each.groupBy("lang", "pooled", F.floor(F.col("x") / STEP).alias("step")).agg(
+        F.sum(good).alias("good"), F.sum(1 - good).alias("bad"), F.sum(good * F.col("x")).alias("s1"), F.sum(good * F.col("x") * F.col("x")).alias("s2")
+    )
+    # The steps of one language, or of all, are few.
+    fitted = stage(steps.groupBy("lang", "pooled").applyInPandas(_fit, "lang string, pooled boolean, n_good bigint, n_bad bigint, low double, high double"), "bands")
+    whole = fitted.where("pooled AND n_good > 0").select(F.col("low").alias("all_low"), F.col("high").alias("all_high"), F.col("n_bad").alias("all_bad"))
+    langs = measured.select("lang").distinct().join(means, "lang", "left").join(fitted.where("NOT pooled").drop("pooled"), "lang", "left")
+    enough = (F.col("n_good") >= LEAST_LABELLED) & ((F.col("n_bad") >= LEAST_LABELLED) | (F.col("all_bad") < LEAST_LABELLED))
+    own = F.coalesce(enough, F.lit(False))
+    return langs.join(F.broadcast(whole), how="left").select(
         "lang",
-        F.coalesce(mean - DEVIATIONS * dev, F.lit(float("-inf"))).alias("low"),
-        F.coalesce(mean + DEVIATIONS * dev, F.lit(float("inf"))).alias("high"),
+        F.coalesce(F.when(own, F.col("low")).otherwise(F.col("mean") + F.col("all_low")), F.lit(float("-inf"))).alias("low"),
+        F.coalesce(F.when(own, F.col("high")).otherwise(F.col("mean") + F.col("all_high")), F.lit(float("inf"))).alias("high"),
     )
 
 
@@ -561,7 +619,7 @@ def judge(docs: DataFrame, labels: DataFrame, lang: str = "lang", text: str = "t
     measured = stage(measure(docs, lang, text, doc_id), "measured")
     limits = bands(measured, labels)  # a row per language
     failed = _base_failed()
-    inside = F.col("log_ppl").between(F.col("low"), F.col("high"))
+    inside = (F.col("log_ppl") >= F.col("low")) & (F.col("log_ppl") < F.col("high"))
     return measured.join(limits, "lang").select(
         F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"),
         "h",

@@ -245,6 +245,47 @@ def test_perplexities_use_every_entry_of_the_model(spark):
         assert r.perplexity == (expected and pytest.approx(expected, rel=1e-5)), r
 
 
+def test_bands_separate_good_from_bad_within_each_language(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+
+    def add(lang, n, mean, quality):
+        for _ in range(n):
+            i = len(rows)
+            rows.append((str(i), i, lang, 100, 0, 0, 0, 0, rng.gauss(mean, 0.03)))
+            if quality is not None:
+                labels.append((i, quality, 0))
+
+    for lang, mean in (("aa", 1.4), ("bb", 1.8)):
+        add(lang, 400, mean, 1)
+        add(lang, 60, mean + 0.12, 0)
+    add("few", 200, 2.5, None)
+    add("few", 5, 2.5, 1)
+    add("few", 20, 2.62, 0)
+    measured = spark.createDataFrame(rows, "doc_id string, h bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, log_ppl double")
+    limits = {r.lang: r for r in op10.bands(measured, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    quality = {i: q for i, q, _ in labels}
+    for lang in limits:
+        inside = defaultdict(list)
+        for doc_id, *_, x in [r for r in rows if r[2] == lang]:
+            inside[quality.get(int(doc_id))].append(limits[lang].low <= x < limits[lang].high)
+        assert sum(inside[0]) <= 0.2 * len(inside[0]), (lang, limits)
+        assert sum(inside[1] + inside[None]) >= 0.9 * len(inside[1] + inside[None]), (lang, limits)
+    none = op10.bands(measured, spark.createDataFrame([], "doc_id bigint, quality int, toxic int")).collect()
+    assert {(r.low, r.high) for r in none} == {(-math.inf, math.inf)}
+
+
+def test_ordinary_bad_documents_are_rejected_by_perplexity(spark, sf_dir):
+    import os
+
+    folder = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = op10.judge(spark.read.parquet(f"{folder}/documents.parquet"), labels).where("NOT base_failed")
+    n = {(r.quality, r.kept): r["count"] for r in judged.join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert n[0, False] >= 0.3 * (n[0, False] + n[0, True]), n
+    assert n[1, True] >= 0.9 * (n.get((1, False), 0) + n[1, True]), n
+
+
 def test_quality_verdicts(spark, documents, corpus, nothing):
     good = [(i, 1, 0) for i, t in corpus if t and len(t.split()) > 20]
     labels = spark.createDataFrame(good + [(1, 0, 0)], "doc_id bigint, quality int, toxic int")
