@@ -13,6 +13,16 @@ the key they cannot be turned back.
 Mail addresses and secrets have no digits to permute; they become a keyed tag, so
 they stay linked as well.
 
+Phone numbers are found in the layouts of the texts' countries: US, behind a
+country code with ``+`` (``(0)`` stays as it is), behind a leading zero in groups,
+and Spanish in groups of 3-2-2-2. Not recognised: phone numbers in one piece without
+``+``, in groups of 3-3-3, or of fewer than 8
+digits behind the leading zero; dates with month names or years of two digits, and
+years first with other separators than hyphens; cards grouped otherwise than 4-4-4-n
+or 4-6-5; an IBAN with a group of capitals right behind it; IPv6 addresses; tax,
+passport and identity numbers but the US social security number; names and postal
+addresses.
+
 Only Spark's own functions are used, in one pass without a shuffle.
 """
 
@@ -29,12 +39,18 @@ WALK = 64
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 NAMED_SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))\"?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{8,}[\"']?"
 SECRET = r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]*-----END [A-Z ]{0,30}PRIVATE KEY-----"
-CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?![0-9A-Za-z])"
+CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{6}\1[0-9]{5}))(?![0-9A-Za-z])"
+#: Country, check digits, and the account in one piece or in groups of four; its length is tested with the check digits.
+IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)(?![0-9A-Za-z])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 ISO_DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-DAY_DATE = r"(?<![0-9/.])[0-9]{2}([/.])[0-9]{2}\1(?:19|20)[0-9]{2}(?![0-9/])"
+DAY_DATE = r"(?<![0-9/.-])[0-9]{1,2}([/.-])[0-9]{1,2}\1(?:19|20)[0-9]{2}(?![0-9/-])"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])"
+US_PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
+WORLD_PHONE = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?\(0\))?[ .-]?(?:\([0-9]{1,4}\) ?)?[0-9]{1,15}(?:[ .-][0-9]{1,12}){0,5}(?![0-9A-Za-z])"
+PHONE = f"{US_PHONE}|{WORLD_PHONE}"
+#: Behind a leading zero, or Spanish in groups of 3-2-2-2.
+NATIONAL_PHONE = r"(?<![0-9A-Za-z+/.-])(?:(?:\(0[0-9]{1,4}\) ?|0[0-9]{1,4}[ ./-])[0-9]{2,10}(?:[ .-][0-9]{2,4}){0,4}|[6-9][0-9]{2}(?: [0-9]{2}){3})(?![0-9A-Za-z]|[./-][0-9])"
 
 FIRST_DAY, DAYS = "1900-01-01", 73049  # to 2099-12-31
 
@@ -45,7 +61,7 @@ def _numbered(pattern: str, number: int) -> str:
 
 
 #: One alternation; the separators of CARD and DAY_DATE are its groups 1 and 2.
-ANY = "|".join([EMAIL, NAMED_SECRET, SECRET, _numbered(CARD, 1), SSN, ISO_DATE, _numbered(DAY_DATE, 2), IP, PHONE])
+ANY = "|".join([EMAIL, NAMED_SECRET, SECRET, _numbered(CARD, 1), IBAN, SSN, ISO_DATE, _numbered(DAY_DATE, 2), IP, PHONE, NATIONAL_PHONE])
 
 
 def _only(pattern: str) -> str:
@@ -129,6 +145,47 @@ def _card(m: Column, key: str) -> Column:
     return bound(F.regexp_replace(m, "[^0-9]", ""), of)
 
 
+def _remainder(account: Column) -> Column:
+    """The number of an IBAN's rearranged characters (A is 10), modulo 97."""
+    return F.aggregate(
+        F.split(account, ""),
+        F.lit(0),
+        lambda acc, c: F.when(c.rlike("^[0-9]$"), F.pmod(acc * 10 + c.cast("int"), F.lit(97))).otherwise(F.pmod(acc * 100 + F.ascii(c) - 55, F.lit(97))),
+    )
+
+
+def _iban(m: Column, key: str) -> Column:
+    """Another account of the same country, layout and letters, with right check digits."""
+
+    def of(plain: Column) -> Column:
+        country, body = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5))
+        valid = (F.length(plain).between(15, 34)) & (_remainder(F.concat(body, F.substr(plain, F.lit(1), F.lit(4)))) == 1)
+
+        def new(digits: Column) -> Column:
+            # The network takes 2 to 18 digits: longer accounts are permuted in halves.
+            half = F.floor(F.length(digits) / 2).cast("int")
+            front, back = F.substr(digits, F.lit(1), half), F.substr(digits, half + 1)
+            whole = F.when(F.length(digits) <= 18, _rounds(digits, key, "iban")).otherwise(F.concat(_rounds(front, key, "iban"), _rounds(back, key, "iban")))
+            return F.when(
+                F.length(digits) >= 4,
+                bound(
+                    bound(whole, lambda x: refill(body, x)),
+                    lambda x: bound(
+                        F.lpad((98 - _remainder(F.concat(x, country, F.lit("00")))).cast("string"), 2, "0"),
+                        lambda check: _regroup(m, F.concat(country, check, x)),
+                    ),
+                ),
+            ).otherwise(_tag("iban", plain, key))
+
+        return F.when(valid, bound(F.regexp_replace(body, "[^0-9]", ""), new)).otherwise(m)
+
+    return bound(F.replace(m, F.lit(" "), F.lit("")), of)
+
+
+def _regroup(m: Column, plain: Column) -> Column:
+    return F.when(F.contains(m, F.lit(" ")), F.rtrim(F.regexp_replace(plain, "(.{4})", "$1 "))).otherwise(plain)
+
+
 def _ssn_valid(d: Column) -> Column:
     return ~d.rlike("^(?:000|666|9)|^...00|0000$")
 
@@ -153,12 +210,19 @@ def _iso_date(m: Column, key: str) -> Column:
 
 
 def _day_date(m: Column, key: str) -> Column:
-    plain = F.replace(m, F.lit("."), F.lit("/"))
-    first, second = F.try_to_date(plain, "dd/MM/yyyy"), F.try_to_date(plain, "MM/dd/yyyy")
-    new = F.when(first.isNotNull(), F.date_format(_shifted(first, key), "ddMMyyyy")).when(
-        second.isNotNull(), F.date_format(_shifted(second, key), "MMddyyyy")
+    plain = F.regexp_replace(m, "[.-]", "/")
+    first, second = F.try_to_date(plain, "d/M/yyyy"), F.try_to_date(plain, "M/d/yyyy")
+    # Parts are written without a leading zero where the old date had a part of one digit.
+    short = m.rlike("(?:^|[^0-9])[0-9][/.-]")
+    mark = F.regexp_extract(m, "[/.-]", 0)
+
+    def written(day: Column, two: str, one: str) -> Column:
+        return F.replace(F.when(short, F.date_format(day, one)).otherwise(F.date_format(day, two)), F.lit("/"), mark)
+
+    new = F.when(first.isNotNull(), bound(_shifted(first, key), lambda x: written(x, "dd/MM/yyyy", "d/M/yyyy"))).when(
+        second.isNotNull(), bound(_shifted(second, key), lambda x: written(x, "MM/dd/yyyy", "M/d/yyyy"))
     )
-    return bound(new, lambda x: F.when(x.isNotNull(), refill(m, x)).otherwise(m))
+    return F.coalesce(new, m)
 
 
 def _ip_valid(d: Column) -> Column:
@@ -181,7 +245,7 @@ def _phone_valid(d: Column) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[^0-9])", 0)
+    country = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[^0-9])(?:[ .-]?\(0\))?", 0)
 
     def of(rest: Column) -> Column:
         def new(digits: Column) -> Column:
@@ -194,6 +258,20 @@ def _phone(m: Column, key: str) -> Column:
     return bound(F.substr(m, F.length(country) + 1), of)
 
 
+def _national_phone(m: Column, key: str) -> Column:
+    """The leading zero stays; dates and short numbers in such groups are no phone numbers."""
+    lead = F.regexp_extract(m, r"^\(?0", 0)
+
+    def of(rest: Column) -> Column:
+        def new(digits: Column) -> Column:
+            changed = F.concat(lead, bound(_rounds(digits, key, "phone-national"), lambda x: refill(rest, x)))
+            return F.when(F.length(digits).between(8, 14), changed).otherwise(m)
+
+        return bound(F.regexp_replace(rest, "[^0-9]", ""), new)
+
+    return bound(F.substr(m, F.length(lead) + 1), of)
+
+
 def _tag(kind: str, value: Column, key: str) -> Column:
     return F.concat(F.lit(f"<{kind}:"), F.substr(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), value), 256), F.lit(1), F.lit(16)), F.lit(">"))
 
@@ -218,11 +296,13 @@ KINDS = [
     ("secret", NAMED_SECRET, _named_secret),
     ("secret", SECRET, _secret),
     ("card", CARD, _card),
+    ("iban", IBAN, _iban),
     ("ssn", SSN, _ssn),
     ("date", ISO_DATE, _iso_date),
     ("date", DAY_DATE, _day_date),
     ("ip", IP, _ip),
     ("phone", PHONE, _phone),
+    ("phone", NATIONAL_PHONE, _national_phone),
 ]
 
 

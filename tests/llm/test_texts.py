@@ -105,6 +105,32 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert op8.pseudonymize(long).first().text.endswith("x " + got[5])
 
 
+def test_layouts_of_the_texts_countries(spark):
+    import re
+
+    phones = ["+33 1 23 45 67 89", "01 23 45 67 89", "030 12345678", "(030) 1234567890", "+44 (0)20 7946 0958", "+34 912 34 56 78", "612 34 56 78", "+49 30 12345678", "020 7946 0958"]
+    cards = ["3782 822463 10005", "3782-822463-10005", "378282246310005"]
+    dates = ["1/2/2003", "3.7.2021", "01-02-2003", "31-12-1999", "12/31/1999"]
+    ibans = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "FR1420041010050500013M02606", "GB29 NWBK 6016 1331 9268 19", "ES9121000418450200051332"]
+    stay = ["05/2021", "DE88370400440532013000", "3782 822463 10006", "31.31.2021", "1-2-3", "3.14"]
+    everything = phones + cards + dates + ibans + stay
+    df = spark.createDataFrame([(i, f"see {x}, then") for i, x in enumerate(everything)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in op8.pseudonymize(df).collect()}
+    kinds = ["phone"] * len(phones) + ["card"] * len(cards) + ["date"] * len(dates) + ["iban"] * len(ibans)
+    new = [got[i].text[4:-6] for i in range(len(everything))]
+    for i, kind in enumerate(kinds):
+        assert [x.kind for x in got[i].pii] == [kind] and new[i] != everything[i], (everything[i], got[i])
+    assert new[len(kinds) :] == stay
+    shape = lambda x: re.sub("[0-9]", "0", x)
+    assert [shape(x) for x in new[: len(phones) + len(cards)]] == [shape(x) for x in phones + cards]
+    assert new[4].startswith("+44 (0)") and new[1][0] == new[2][0] == "0"
+    assert all(luhn(re.sub("[^0-9]", "", x)) for x in new[len(phones) :][: len(cards)])
+    for old, x in zip(ibans, new[-len(stay) - len(ibans) :]):
+        plain = x.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 and shape(x) == shape(old)
+    assert new[-len(stay) - len(ibans)] == new[-len(stay) - len(ibans) + 1].replace(" ", "")
+
+
 def test_the_network_is_a_permutation(spark):
     for width in (2, 3):
         ids = spark.range(10**width).select(F.lpad(F.col("id").cast("string"), width, "0").alias("d"))
