@@ -67,6 +67,21 @@ def _search(notices: tuple[tuple[str, str], ...], per_edit: int):
     return automaton, patterns
 
 
+def _all_matches(pattern, least: int, joined: str, a: int, b: int) -> Iterator:
+    """The best match between two places, then the best ones before and behind it, and so on.
+
+    The pattern looks for the best match wherever it stands, so going on behind it
+    alone would lose the worse ones before it. ``least`` characters match at least.
+    """
+    parts = [(a, min(b, len(joined)))]
+    while parts:
+        a, b = parts.pop()
+        m = pattern.search(joined, a, b) if b - a >= least else None
+        if m:
+            yield m
+            parts += [(a, m.start()), (m.end(), b)]
+
+
 def fuzzy_places(joined: str, notices: tuple[tuple[str, str], ...], per_edit: int) -> list[tuple[str, str, int, int, int]]:
     """(label, notice, first char, char after, edits) of the notices in a text."""
     automaton, patterns = _search(notices, per_edit)
@@ -80,7 +95,7 @@ def fuzzy_places(joined: str, notices: tuple[tuple[str, str], ...], per_edit: in
             spans.append([max(0, a), b])
     out = []
     for number, spans in around.items():
-        notice, label, _, pattern = patterns[number]
+        notice, label, edits, pattern = patterns[number]
         merged: list[list[int]] = []
         for a, b in sorted(spans):
             if merged and a <= merged[-1][1]:
@@ -88,8 +103,8 @@ def fuzzy_places(joined: str, notices: tuple[tuple[str, str], ...], per_edit: in
             else:
                 merged.append([a, b])
         for a, b in merged:
-            for m in pattern.finditer(joined[a:b]):
-                out.append((label, notice, a + m.start(), a + m.end(), sum(m.fuzzy_counts)))
+            for m in _all_matches(pattern, len(notice) - edits, joined, a, b):
+                out.append((label, notice, m.start(), m.end(), sum(m.fuzzy_counts)))
     return sorted(out, key=lambda x: (x[2], x[3], x[1]))
 
 

@@ -116,3 +116,23 @@ def test_license_scan_equals_matching_the_whole_text(spark, corpus, nothing):
             assert bool(whole) == any(f.notice == notice and f.label == label for f in got[i].found)
     assert {f.label for f in got[0].found} >= {"mit"} and {f.label for f in got[1].found} == {"apache"}
     assert op6.scan_licenses(nothing).collect() == []
+
+
+def brute_notices(joined, notice, edits, a=0):
+    """The best match of a whole text, and those of the texts before and behind it."""
+    m = regex.search(f"(?b)(?:{re.escape(notice)}){{e<={edits}}}", joined)
+    if not m:
+        return []
+    before = brute_notices(joined[: m.start()], notice, edits, a)
+    return before + [(a + m.start(), a + m.end(), sum(m.fuzzy_counts))] + brute_notices(joined[m.end() :], notice, edits, a + m.end())
+
+
+def test_damaged_notices_beside_clean_ones_are_found():
+    clean, damaged = "all rights reserved", "all rights reservd"
+    long, longer = "gnu leser general pubic license", "gnu lesser general public license"
+    texts = {f"{damaged} {clean}": 2, f"{clean} {damaged}": 2, f"{damaged} {damaged} {clean} {damaged} {clean}": 5, f"{long} and {longer}": 2, f"x {long} {longer} {long} y": 3}
+    for joined, n in texts.items():
+        notice = clean if clean in joined else longer
+        edits = len(notice) // op6.CHARS_PER_EDIT
+        got = [x[2:] for x in op6.fuzzy_places(joined, tuple(op6.NOTICES.items()), op6.CHARS_PER_EDIT) if x[1] == notice]
+        assert got == brute_notices(joined, notice, edits) and len(got) == n, (joined, got)
