@@ -7,7 +7,7 @@ Jaccard similarity of 0.8 or more are links. Equal texts are one node.
    0.8 share no band with a probability of 5e-8.
 2. Texts that share a band are candidates. A bucket of many texts is cut into
    blocks by a hash, and each pair of blocks is a unit of work of bounded size, so
-   no task ever holds a whole bucket and no pair is written out.
+   no task ever holds a whole bucket. Surviving pairs are written out as lists of partners.
 3. In a unit, pairs are compared 16 values at a time. After each step the posterior
    probability that the similarity reaches the threshold, given the matches so far
    (uniform prior), is looked up; pairs below the tolerance are dropped. A pair is
