@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from row_lists import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 

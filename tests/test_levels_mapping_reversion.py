@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from row_lists import rows
 from pyspark.sql import functions as F, types as T
 
 from histflow import fixed_values as fv

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from row_lists import rows
 from pyspark.sql import functions as F
 
 from histflow.operators import quality

@@ -1,6 +1,6 @@
 import json
 
-from conftest import rows
+from row_lists import rows
 from pyspark.sql import functions as F
 
 from histflow import fixed_values as fv

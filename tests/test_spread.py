@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from row_lists import rows
 from pyspark.sql import functions as F
 
 from histflow.operators import spread
