@@ -1,8 +1,11 @@
 """Repeats, pages, pseudonyms, shards and quality against brute force."""
 
+import datetime
 import hashlib
+import ipaddress
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -139,6 +142,92 @@ def test_the_network_is_a_permutation(spark):
     assert dates.select(op8.pseudonym(F.col("m")).alias("p")).where("to_date(p) BETWEEN '1900-01-01' AND '2099-12-31'").distinct().count() == 3000
 
 
+def plain_rounds(digits, kind, key=op8.KEY):
+    n = len(digits)
+    a, b = digits[: n // 2], digits[n // 2 :]
+    for i in range(op8.ROUNDS):
+        width = n // 2 if i % 2 == 0 else n - n // 2
+        y = int(hashlib.sha256(f"{key}|{kind}|{n}|{i}|{b}".encode()).hexdigest()[:15], 16)
+        a, b = b, str((int(a) + y) % 10**width).zfill(width)
+    return a + b
+
+
+def plain_walk(digits, kind, valid):
+    digits = plain_rounds(digits, kind)
+    while not valid(digits):
+        digits = plain_rounds(digits, kind)
+    return digits
+
+
+def plain_check_digit(body):
+    doubled = [int(c) * (2 if i % 2 == 0 else 1) for i, c in enumerate(reversed(body))]
+    return str(-sum(d // 10 + d % 10 for d in doubled) % 10)
+
+
+def put_into(shape, digits):
+    digits = iter(digits)
+    return "".join(next(digits) if c.isdigit() else c for c in shape)
+
+
+def plain_pseudonym(kind, old):
+    """The pseudonym, written without Spark."""
+    digits = "".join(c for c in old if c.isdigit())
+    if kind == "card":
+        body = plain_rounds(digits[:-1], "card")
+        return put_into(old, body + plain_check_digit(body))
+    if kind == "ssn":
+        return put_into(old, plain_walk(digits, "ssn", lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"))
+    if kind == "date":
+        first = datetime.date(1900, 1, 1)
+        number = (datetime.date.fromisoformat(old) - first).days
+        return (first + datetime.timedelta(int(plain_walk(f"{number:05}", "date", lambda d: int(d) < op8.DAYS)))).isoformat()
+    if kind == "ip":
+        number = int(plain_walk(f"{int(ipaddress.ip_address(old)):010}", "ip", lambda d: int(d) < 2**32 and 1 <= int(d) >> 24 <= 223))
+        return str(ipaddress.ip_address(number))
+    if kind == "iban":
+        plain = old.replace(" ", "")
+        own = "".join(c for c in plain[4:] if c.isdigit())
+        half = len(own) // 2
+        new = plain_rounds(own, "iban") if len(own) <= 18 else plain_rounds(own[:half], "iban") + plain_rounds(own[half:], "iban")
+        body = put_into(plain[4:], new)
+        check = 98 - int("".join(str(int(c, 36)) for c in body + plain[:2] + "00")) % 97
+        out = f"{plain[:2]}{check:02}{body}"
+        return " ".join(out[i : i + 4] for i in range(0, len(out), 4)) if " " in old else out
+    if kind == "phone":
+        return put_into(old, plain_walk(digits, "phone", lambda d: d[0] in "23456789" and d[3] in "23456789"))
+    return f"<{kind}:{hashlib.sha256(f'{op8.KEY}|{kind}|{old.lower()}'.encode()).hexdigest()[:16]}>"
+
+
+def test_pseudonyms_against_a_second_network(spark):
+    rng = random.Random(11)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    cases = []
+    for _ in range(12):
+        body = "4" + digits(14)
+        card = body + plain_check_digit(body)
+        cases += [("card", card), ("card", " ".join(card[i : i + 4] for i in (0, 4, 8, 12)))]
+        cases += [("ssn", f"{rng.randint(100, 599)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}")]
+        cases += [("date", (datetime.date(1950, 1, 1) + datetime.timedelta(rng.randrange(25000))).isoformat())]
+        cases += [("ip", f"{rng.randint(11, 223)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}")]
+        cases += [("phone", f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{digits(4)}")]
+        cases += [("email", f"Joe.{digits(5)}@mail.example.com")]
+        for country, length in (("DE", 18), ("FR", 23)):
+            own = digits(length)
+            check = 98 - int("".join(str(int(c, 36)) for c in own + country + "00")) % 97
+            plain = f"{country}{check:02}{own}"
+            cases += [("iban", plain), ("iban", " ".join(plain[i : i + 4] for i in range(0, len(plain), 4)))]
+    df = spark.createDataFrame([(i, f"see {x}, then") for i, (_, x) in enumerate(cases)], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in op8.pseudonymize(df).collect()}
+    assert [got[i] for i in range(len(cases))] == [f"see {plain_pseudonym(k, x)}, then" for k, x in cases]
+
+
+@pytest.mark.parametrize("text", ["x@" + "a." * 3000 + "9", "a" * 2**20, "x@" + "a." * 2**19, "5-" * 2**19, "9" * 2**20, "a@" * 2**19, "f" * 2**20, "-----BEGIN PRIVATE KEY" * 2**15, "token=" * 2**17])
+def test_long_runs_take_linear_time(spark, text):
+    began = time.time()
+    out = op8.pseudonymize(spark.createDataFrame([(f"{text} joe@example.com",)], "text string")).first().text
+    assert "joe@example.com" not in out and time.time() - began < 10
+
+
 def test_no_python_in_the_plan(spark, documents):
     for df in (op8.pseudonymize(documents), op9.assign_shards(documents)):
         assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
