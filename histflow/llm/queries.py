@@ -12,6 +12,7 @@ from histflow.llm.op07_html_text import op7_html_text
 from histflow.llm.op08_pii import op8_pii
 from histflow.llm.op09_sharding import op9_sharding
 from histflow.llm.op10_quality_rules import op10_quality_rules
+from histflow.llm.op13_spelling_variants import op13_spelling_variants
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {"op3_decontamination": OP3_SQL}
