@@ -12,6 +12,7 @@ from histflow.llm.op07_html_text import op7_html_text
 from histflow.llm.op08_pii import op8_pii
 from histflow.llm.op09_sharding import op9_sharding
 from histflow.llm.op10_quality_rules import op10_quality_rules
+from histflow.llm.op11_nearest_neighbours import op11_nearest_neighbours
 from histflow.llm.op12_conversation_repair import op12_conversation_repair
 from histflow.llm.op13_spelling_variants import op13_spelling_variants
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_spelling_variants": op13_spelling_variants,
 }
