@@ -172,7 +172,6 @@ def expire(
     source: DataFrame,
     history: History,
     as_of: AsOf,
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """Close the active rows matched by the source; all other rows unchanged.
 
@@ -203,7 +202,7 @@ def expire(
             for i, c in enumerate(contents)
         ]
         close = reduce(lambda a, b: a | b, differs)
-    joined = spread_join(active, seen, keys, "left", cut_heavy)
+    joined = spread_join(active, seen, keys, "left")
     close = F.coalesce(close, F.lit(False))
     closing = closing_values(target, history, as_of)
     touched = joined.select(
@@ -342,7 +341,6 @@ def mark_processed(
     flag: str = "indicator_flag",
     pending: str = "N",
     done: str = "Y",
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """Flip the flag of pending source rows whose key reached the target.
 
@@ -355,7 +353,7 @@ def mark_processed(
         .withColumn("__reached", F.lit(True))
     )
     waiting = source.where(F.col(flag) == pending)
-    joined = spread_join(waiting, seen, list(on), "left", cut_heavy)
+    joined = spread_join(waiting, seen, list(on), "left")
     flipped = F.when(F.col("__reached").isNotNull(), F.lit(done)).otherwise(F.col(flag))
     marked = joined.select(*[flipped.alias(c) if c == flag else F.col(c) for c in source.columns])
     return source.where(~F.col(flag).eqNullSafe(pending)).unionByName(marked)

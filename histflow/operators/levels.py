@@ -46,7 +46,6 @@ def level_update(
     effective: str,
     expiration: str,
     prefix: str = "customer_account_structure_level_",
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """Set the eight level dates on the deepest-level rows of each account.
 
@@ -57,7 +56,7 @@ def level_update(
     # the number is a column of its own, so that it is computed once per row
     numbered = df.withColumn("__number", level_number(level))
     pivot = _pivot(numbered, account, effective, expiration, prefix="__level_")
-    joined = spread_join(numbered, pivot, [account], "left", cut_heavy)
+    joined = spread_join(numbered, pivot, [account], "left")
     deepest = F.col("__number") == F.col("max_level")
     updates = {}
     for n in LEVELS:

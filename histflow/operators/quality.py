@@ -40,7 +40,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
 
 
-def flag_duplicates(df: DataFrame, keys: Sequence[str], cut_heavy: bool | None = None) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mark all members of a duplicate group; a key with a NULL is in none.
 
     The counts are aggregated before the shuffle and joined back, so a key that
@@ -48,7 +48,7 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], cut_heavy: bool | None =
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     repeated = duplicate_keys(df.where(known), keys).select(*keys, F.lit(True).alias(DUPLICATE))
-    joined = spread_join(df, repeated, keys, "left", cut_heavy)
+    joined = spread_join(df, repeated, keys, "left")
     return joined.select(*df.columns, F.coalesce(DUPLICATE, F.lit(False)).alias(DUPLICATE))
 
 

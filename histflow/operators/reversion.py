@@ -64,7 +64,6 @@ def reversion_rows(
     history: History,
     group: str,
     as_of: AsOf,
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """New versions of the active rows of the given groups, with the children.
 
@@ -75,7 +74,7 @@ def reversion_rows(
     fresh = [c for c in documents.columns if c != group]
     active = active_rows(target, history)
     carried = active.select(*[c for c in active.columns if c not in fresh])
-    joined = spread_join(carried, documents, [group], "inner", cut_heavy)
+    joined = spread_join(carried, documents, [group], "inner")
     return new_versions(joined, target.schema, history, as_of)
 
 
@@ -101,7 +100,6 @@ def reversion_with_children(
     history: History,
     group: str,
     as_of: AsOf,
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """The whole table after a re-version: closed rows, old actives, new rows.
 
@@ -113,7 +111,7 @@ def reversion_with_children(
     renamed = documents.select(
         group, *[F.col(c).alias(f"__new_{c}") for c in fresh], F.lit(True).alias("__arrived")
     )
-    joined = spread_join(active, renamed, [group], "left", cut_heavy)
+    joined = spread_join(active, renamed, [group], "left")
     arrived = F.col("__arrived").isNotNull()
     parts = F.when(arrived, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     out = joined.withColumn("__part", F.explode(parts))

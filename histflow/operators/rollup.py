@@ -155,7 +155,6 @@ def eav_rollup(
     order_by: Sequence[str] = (),
     latest: Sequence[str] = (),
     per_delivery: Sequence[str] = (),
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """One wide row per entity (``ids``): a JSON column per category.
 
@@ -206,7 +205,7 @@ def eav_rollup(
     if not per_delivery:
         return wide_row
     deliveries = df.where(F.size(json_elements(payload)) > 0).select(*ids, *per_delivery).distinct()
-    joined = spread_join(deliveries, wide_row, ids, "left", cut_heavy, keys_from=df.select(*ids))
+    joined = spread_join(deliveries, wide_row, ids, "left")
     return joined.select(*ids, *per_delivery, *wide_row.columns[len(ids) :])
 
 

@@ -1,8 +1,11 @@
 """Joins that survive a key holding a large share of the left rows.
 
-Adaptive execution splits a skewed partition only where both join inputs come
-straight from a shuffle. The joins here have an aggregated right side (one row
-per key), which hides the skew from it, so heavy keys are cut explicitly.
+Adaptive execution splits a skewed partition of a join, but only where both inputs come
+straight from a shuffle. The joins here mostly have an aggregated right side (one row per
+key), which is shuffled by the key already and would be joined as it stands. Their keys
+therefore get one more column, the hash of the keys: neither side is placed by that, so both
+are shuffled for the join, and a heavy key's partition is cut into as many tasks as it needs.
+Nothing is read beforehand and nothing has to be known about the keys.
 """
 
 from __future__ import annotations
@@ -11,11 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# The frequent-items sketch lists no more than this many keys (Spark's own limit
-# on tracked items); with fewer shuffle partitions their number is the limit.
-MOST_LISTED = 60_000
-
-_HASH, _SLICES, _SLICE = "__key_hash", "__slices", "__slice"
+_HASH = "__key_hash"
 
 
 def placement(df: DataFrame, slices: Column | int) -> Column:
@@ -54,89 +53,17 @@ def _alike(name: str, data_type: T.DataType) -> Column:
     return value + F.lit(0).cast(data_type) if isinstance(data_type, (T.DoubleType, T.FloatType)) else value
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Hashes of keys above one partition's fair share, with a slice count each.
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """``left.join(right, on, how)`` whose heavy left keys adaptive execution can split.
 
-    Found by a frequent-items sketch, merged in two steps so that no task reads
-    the sketches of all others. It may list a key that is not heavy, which only
-    costs a little work: results never depend on it. As many rows as there are
-    partitions, at most.
-    """
-    listed = max(2, min(partitions, MOST_LISTED))
-    tracked = 1 << (8 * listed - 1).bit_length()
-    rows = df.select(
-        F.xxhash64(*[F.col(k) for k in keys]).alias("h"),
-        F.pmod(F.spark_partition_id(), F.lit(256)).alias("lane"),
-    )
-    lanes = rows.groupBy("lane").agg(
-        F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    # Grouped by a constant: a sketch of an empty partition cannot be merged, and
-    # a grouped aggregate makes none.
-    top = lanes.groupBy(F.lit(0).alias("all")).agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {listed})").alias("top"),
-        F.sum("n").alias("n"),
-    )
-    return (
-        top.select(F.explode("top").alias("t"), "n")
-        .where(F.col("t.count") * listed > F.col("n"))
-        .select(
-            F.col("t.item").alias(_HASH),
-            F.ceil(F.col("t.count") * partitions / F.col("n")).cast("int").alias(_SLICES),
-        )
-    )
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    cut_heavy: bool | None = None,
-    keys_from: DataFrame | None = None,
-) -> DataFrame:
-    """``left.join(right, on, how)`` with heavy left keys cut into slices.
-
-    The rows of a heavy key go to several tasks; the matching right rows are
-    repeated once per slice. Each left row meets each of its right rows exactly
-    once, so the result is the plain join's, whatever the types of the keys.
-    ``how``: left, inner, left_semi, left_anti. NULL keys never match and are
-    spread as well.
-
-    Finding the heavy keys reads the key columns of the left side once, when the
-    join is built; the list (no more rows than shuffle partitions) then is a fixed
-    part of the plan. Where ``left`` is costly to compute, ``keys_from`` names a
-    cheaper source with the same key columns and about the same shares. With
-    ``cut_heavy=False`` no key is looked for.
+    ``how``: left, inner, left_semi, left_anti, the joins of which the left side may be
+    split. The result is the plain join's, whatever the types of the keys; NULL keys never
+    match, and many of them are split like any other key. A right side that Spark finds
+    small is broadcast as usual.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot do a {how} join")
     on = list(on)
-    if cut_heavy is False:
-        return left.join(right, on, how)
-
-    spark = left.sparkSession
-    partitions = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     types = comparable(left, right, on)
-    counted = left if keys_from is None else keys_from
-    found = heavy_keys(counted.select(*[_alike(k, t).alias(k) for k, t in zip(on, types)]), on, partitions).collect()
-    if not found:
-        return left.join(right, on, how)
-    heavy = F.broadcast(spark.createDataFrame(found, f"{_HASH} bigint, {_SLICES} int"))
     key_hash = F.xxhash64(*[_alike(k, t) for k, t in zip(on, types)])
-    slice_of = F.when(F.col(_SLICES).isNotNull(), placement(left, F.col(_SLICES))).otherwise(F.lit(0))
-    left_sliced = (
-        left.withColumn(_HASH, key_hash)
-        .join(heavy, _HASH, "left")
-        .withColumn(_SLICE, slice_of.cast("int"))
-        .drop(_HASH, _SLICES)
-    )
-    copies = F.when(F.col(_SLICES).isNotNull(), F.sequence(F.lit(0), F.col(_SLICES) - 1)).otherwise(F.array(F.lit(0)))
-    right_sliced = (
-        right.withColumn(_HASH, key_hash)
-        .join(heavy, _HASH, "left")
-        .withColumn(_SLICE, F.explode(copies))
-        .drop(_HASH, _SLICES)
-    )
-    return left_sliced.join(right_sliced, [*on, _SLICE], how).drop(_SLICE)
+    return left.withColumn(_HASH, key_hash).join(right.withColumn(_HASH, key_hash), [*on, _HASH], how).drop(_HASH)

@@ -101,7 +101,7 @@ def customer_source(landing: DataFrame, as_of: AsOf, flag: str = "N") -> DataFra
     )
 
 
-def check_customers(source: DataFrame, cut_heavy: bool | None = None) -> DataFrame:
+def check_customers(source: DataFrame) -> DataFrame:
     """Three statuses and the duplicate flag per row."""
     checked = apply_rules(
         source,
@@ -111,7 +111,7 @@ def check_customers(source: DataFrame, cut_heavy: bool | None = None) -> DataFra
             "valid_value_status": allowed_rule("sf_platform_id_level_nm", fv.PLATFORM_FLAG_VALUES),
         },
     )
-    return flag_duplicates(checked, fv.DUPLICATE_CUSTOMER_KEYS, cut_heavy)
+    return flag_duplicates(checked, fv.DUPLICATE_CUSTOMER_KEYS)
 
 
 def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], rejected: DataFrame | None = None):
@@ -171,7 +171,6 @@ def account_structure_source(
     customers: DataFrame,
     as_of: AsOf,
     literal_hash: bool = False,
-    cut_heavy: bool | None = None,
 ) -> DataFrame:
     """Account structures with the customer id of their account and hash keys.
 
@@ -183,7 +182,7 @@ def account_structure_source(
     as_of = as_instant(as_of)
     owners = customers.select("sf_account_id", F.col("customer_id").alias("__owner"))
     own = landing if "customer_id" in landing.columns else landing.withColumn("customer_id", F.lit(None).cast("string"))
-    joined = spread_join(own, owners, ["sf_account_id"], "left", cut_heavy)
+    joined = spread_join(own, owners, ["sf_account_id"], "left")
     made = ("business_unit_cd", "business_effective_dt", "business_expiration_dt", "customer_id", "__owner")
     return joined.select(
         *[c for c in joined.columns if c not in made],
@@ -228,7 +227,6 @@ def configuration_source(
     entitlement: DataFrame,
     raw_categories: bool = False,
     order_by: Sequence[str] = ("LastModifiedDate", "CreatedDate"),
-    cut_heavy: bool | None = None,
     per_delivery: Sequence[str] = (),
 ) -> DataFrame:
     """One wide row per pending configuration, with its customer id.
@@ -256,9 +254,7 @@ def configuration_source(
     owners = entitlement.select(
         F.col("sf_product_association_id").alias("Product_Association_ID"), "customer_id"
     )
-    joined = spread_join(
-        wide, owners, ["Product_Association_ID"], "left", cut_heavy, keys_from=rows.select("Product_Association_ID")
-    )
+    joined = spread_join(wide, owners, ["Product_Association_ID"], "left")
     return joined.select(
         F.col("ID").alias("sf_product_configuration_id"),
         F.col("Product_Association_ID").alias("sf_product_association_id"),

@@ -118,9 +118,9 @@ def test_hot_target_key(spark):
     )
     s = spark.createDataFrame([("hot", "x", None), ("1", "1", None)], "k string, h string, d string")
     any_match = hx.History(keys=["k"], active="active", start="s", end="e")
-    cut = hx.expire(t, s, any_match, NOW, cut_heavy=True)
-    assert cut.where("active = 'N'").count() == 1001
-    assert rows(cut) == rows(hx.expire(t, s, any_match, NOW, cut_heavy=False))
+    closed = hx.expire(t, s, any_match, NOW)
+    assert closed.where("active = 'N'").count() == 1001
+    assert rows(closed.select("k", "h")) == rows(t.select("k", "h"))
 
 
 def test_previous_day_end(spark):
@@ -150,9 +150,8 @@ def test_scd1(spark):
 def test_mark_processed_only_flips_pending(spark):
     s = spark.createDataFrame([("a", "N"), ("b", "N"), ("c", "Y"), (None, "N")], "k string, indicator_flag string")
     reached = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "id string")
-    for cut in (True, False):
-        got = hx.mark_processed(s, reached, {"k": "id"}, cut_heavy=cut)
-        assert rows(got) == sorted([("a", "Y"), ("b", "N"), ("c", "Y"), (None, "N")], key=repr)
+    got = hx.mark_processed(s, reached, {"k": "id"})
+    assert rows(got) == sorted([("a", "Y"), ("b", "N"), ("c", "Y"), (None, "N")], key=repr)
 
 
 batches = st.lists(

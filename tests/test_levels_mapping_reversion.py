@@ -15,8 +15,7 @@ D1, D2 = dt.date(2024, 1, 1), dt.date(2025, 1, 1)
 OLD, OPEN = dt.datetime(2025, 1, 1), dt.datetime(9999, 12, 31)
 
 
-@pytest.mark.parametrize("cut", [True, False])
-def test_levels_on_the_deepest_row_only(spark, cut):
+def test_levels_on_the_deepest_row_only(spark):
     df = spark.createDataFrame(
         [
             ("a", "Level 1", D1, D2),
@@ -27,7 +26,7 @@ def test_levels_on_the_deepest_row_only(spark, cut):
         ],
         "acct string, lvl string, eff date, exp date",
     )
-    got = {(r["acct"], r["lvl"]): r for r in levels.level_update(df, "acct", "lvl", "eff", "exp", "l", cut).collect()}
+    got = {(r["acct"], r["lvl"]): r for r in levels.level_update(df, "acct", "lvl", "eff", "exp", "l").collect()}
     deep = got["a", "Level 3"]
     assert [deep[f"l{n}_effective_dt"] for n in levels.LEVELS] == [D1, None, D2, None]
     assert [deep[f"l{n}_expiration_dt"] for n in levels.LEVELS] == [D2, OPEN_DAY, OPEN_DAY, OPEN_DAY]

@@ -92,13 +92,12 @@ def test_one_row_per_delivery(spark):
         ("a", "x", 2, [attribute("Reporting", "r", "1")]),
         ("a", "x", 3, []),
     )
-    for cut in (True, False):
-        got = rollup.eav_rollup(
-            df, IDS, fv.CATEGORIES, association="Product_Association_ID", order_by=["n"], per_delivery=["n"], cut_heavy=cut
-        ).collect()
-        assert sorted(r["n"] for r in got) == [1, 2]
-        assert {json.loads(r["billing_detail"])[0]["k"] for r in got} == {"2"}
-        assert all(r["reporting_detail"] for r in got)
+    got = rollup.eav_rollup(
+        df, IDS, fv.CATEGORIES, association="Product_Association_ID", order_by=["n"], per_delivery=["n"]
+    ).collect()
+    assert sorted(r["n"] for r in got) == [1, 2]
+    assert {json.loads(r["billing_detail"])[0]["k"] for r in got} == {"2"}
+    assert all(r["reporting_detail"] for r in got)
 
 
 def test_entity_with_unknown_categories_only_is_kept(spark):

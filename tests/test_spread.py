@@ -1,10 +1,37 @@
 import random
+from contextlib import contextmanager
 
 import pytest
 from row_lists import rows
 from pyspark.sql import functions as F
 
-from histflow.operators import spread
+from histflow.operators import history, spread
+
+# Small data, treated as a cluster treats large data: shuffled joins, and partitions that count as skewed early.
+LARGE = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@contextmanager
+def large(spark):
+    for name, value in LARGE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in LARGE:
+            spark.conf.unset(name)
+
+
+def jobs(spark):
+    """The number of jobs so far."""
+    return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +39,7 @@ def skewed(spark):
     generator = random.Random(7)
     keys = ["hot"] * 3000 + [None] * 1500 + [f"k{generator.randrange(400)}" for _ in range(3000)]
     generator.shuffle(keys)
-    left = spark.createDataFrame([(k, 1, i % 5) for i, k in enumerate(keys)], "k string, g int, n int").repartition(6)
+    left = spark.createDataFrame([(k, 1, i % 5) for i, k in enumerate(keys)], "k string, g int, n int").repartition(40)
     right = spark.createDataFrame(
         [(f"k{i}", 1, f"v{i}") for i in range(0, 500, 2)] + [("hot", 1, "v"), ("hot", 1, "w"), (None, 1, "null")],
         "k string, g int, v string",
@@ -21,34 +48,37 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_equals_the_plain_join(skewed, how):
+def test_equals_the_plain_join(spark, skewed, how):
     left, right = skewed
-    cut = spread.spread_join(left, right, ["k", "g"], how, cut_heavy=True)
     plain = left.join(right, ["k", "g"], how)
-    assert cut.columns == plain.columns
-    assert rows(cut) == rows(plain)
-
+    expected = rows(plain)
+    joined = spread.spread_join(left, right, ["k", "g"], how)
+    assert joined.columns == plain.columns and rows(joined) == expected
+    with large(spark):
+        assert rows(spread.spread_join(left, right, ["k", "g"], how)) == expected
 
-def test_heavy_keys_are_found_and_few(skewed):
-    left, _ = skewed
-    found = {r["__key_hash"]: r["__slices"] for r in spread.heavy_keys(left, ["k"], 8).collect()}
-    hashes = {r["k"]: r["h"] for r in left.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
-    assert found[hashes["hot"]] >= 3 and found[hashes[None]] >= 2
-    assert len(found) <= 8
 
-
-def test_heavy_key_goes_to_several_partitions(spark, skewed):
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_heavy_key_is_split_though_the_right_side_is_aggregated(spark, skewed, how):
     left, right = skewed
-    # a right side too large to be broadcast, so the join shuffles
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = spread.spread_join(left, right, ["k"], "left", cut_heavy=True)
-        hot = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert hot > 1
+    counts = right.where("k <> 'hot'" if how == "left_anti" else "true").groupBy("k").agg(F.count("*").alias("n_right"))
+    with large(spark):
+        joined = spread.spread_join(left, counts, ["k"], how)
+        placed = joined.withColumn("p", F.spark_partition_id())
+        parts = {(r["k"], r["p"]) for r in placed.collect()}
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
+    # what reaches the output of a heavy key comes from several tasks
+    assert sum(k == "hot" for k, _ in parts) > 1
+
+
+def test_building_a_join_runs_nothing(spark, skewed):
+    left, right = skewed
+    before = jobs(spark)
+    spread.spread_join(left, right.groupBy("k").agg(F.max("v")), ["k"])
+    flagged = left.withColumn("indicator_flag", F.lit("N"))
+    history.mark_processed(flagged, right, {"k": "k"})
+    assert jobs(spark) == before
 
 
 def test_equal_copies_are_spread_too(spark):
@@ -63,33 +93,25 @@ def test_full_outer_is_refused(skewed):
 
 
 def test_types_of_keys_may_differ(spark):
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        left = spark.range(6000, numPartitions=6).select(
-            F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).cast("int").alias("k"),
-            F.when(F.col("id") % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("z"),
-            F.lit("2026-01-01").cast("date").alias("d"),
-            F.lit(1.5).cast("decimal(10,2)").alias("m"),
-        )
-        right = spark.createDataFrame([(7, 0.0, "x")], "k bigint, z double, v string").select(
-            "*", F.lit("2026-01-01 00:00:00").cast("timestamp").alias("d"), F.lit(1.5).alias("m")
-        )
-        for on in (["k"], ["z"], ["d"], ["m"], ["k", "m"]):
-            narrow = right.select(*on, "v")
-            cut = spread.spread_join(left, narrow, on, "left")
-            assert "__slice" in cut._jdf.queryExecution().toString()
-            assert cut.where("v IS NOT NULL").count() == left.join(narrow, on, "left").where("v IS NOT NULL").count()
-            assert cut.count() == 6000
-    finally:
-        spark.conf.unset("spark.sql.exchange.reuse")
-
-
-def test_without_heavy_keys_it_is_the_plain_join(spark):
-    left = spark.range(4000).withColumnRenamed("id", "k")
-    plan = spread.spread_join(left, spark.range(3).withColumnRenamed("id", "k"), ["k"])
-    assert "__slice" not in plan._jdf.queryExecution().toString()
+    left = spark.range(6000, numPartitions=6).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).cast("int").alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("z"),
+        F.lit("2026-01-01").cast("date").alias("d"),
+        F.lit(1.5).cast("decimal(10,2)").alias("m"),
+        F.lit("7").alias("s"),
+    )
+    right = spark.createDataFrame([(7, 0.0, "x", 7)], "k bigint, z double, v string, s int").select(
+        "*", F.lit("2026-01-01 00:00:00").cast("timestamp").alias("d"), F.lit(1.5).alias("m")
+    )
+    for on in (["k"], ["z"], ["d"], ["m"], ["s"], ["k", "m"]):
+        narrow = right.select(*on, "v")
+        expected = left.join(narrow, on, "left").where("v IS NOT NULL").count()
+        with large(spark):
+            joined = spread.spread_join(left, narrow, on, "left")
+            assert joined.where("v IS NOT NULL").count() == expected and joined.count() == 6000
+        assert expected
 
 
 def test_empty_left_side(spark, skewed):
     left, right = skewed
-    assert spread.spread_join(left.where("false"), right, ["k", "g"], "left", cut_heavy=True).count() == 0
+    assert spread.spread_join(left.where("false"), right, ["k", "g"], "left").count() == 0

@@ -134,9 +134,7 @@ def eav_rollup_all(spark, sf):
     owners = derived(spark, sf, inputs.ENTITLEMENT).withColumnRenamed(
         "sf_product_association_id", "Product_Association_ID"
     )
-    joined = spread_join(
-        wide, owners, ["Product_Association_ID"], "left", keys_from=landing.select("Product_Association_ID")
-    )
+    joined = spread_join(wide, owners, ["Product_Association_ID"], "left")
     return joined.select(
         *IDS, *fv.CATEGORIES.values(), "customer_id"
     )
