@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from histflow import fixed_values as fv, work_folder
 from histflow.functions.scalar import level_number as level_of
-from histflow.operators import history as hx, levels, reversion
+from histflow.operators import chains, history as hx, levels, reversion
 from histflow.plans import loads
 from histflow.sources.store import VersionedTable
 from histflow.streaming import incremental
@@ -165,6 +165,33 @@ def mark_processed(spark, sf):
     return hx.mark_processed(source, derived(spark, sf, inputs.BATCH), {"k": "k"}, flag="flag")
 
 
+# --- chains --------------------------------------------------------------------------------
+
+# Events of the customers in the batch: an end (0), a stored beginning (1), an arrived one (2). At one time the
+# highest counts, and a stored version with its content stays itself.
+CHAIN_SQL = f"""WITH t AS ({inputs.CHAIN_HISTORY}), b AS ({inputs.CHAIN_BATCH}),
+  one AS (SELECT k, since, arg_max(h, struct_pack(n := n, h := h)) AS h, max(n) AS n FROM b GROUP BY k, since),
+  ev AS (SELECT k, s AS pt, 1 AS kind, h, id, e AS old_e FROM t WHERE k IN (SELECT k FROM b)
+    UNION ALL SELECT k, e, 0, NULL, NULL, NULL FROM t WHERE e < {OPEN_SQL} AND k IN (SELECT k FROM b)
+    UNION ALL SELECT k, since, 2, h, 'new-' || n, NULL FROM one),
+  said AS (SELECT *, first_value(h) OVER (PARTITION BY k, pt ORDER BY kind DESC) AS counts FROM ev),
+  line AS (SELECT * FROM said QUALIFY row_number() OVER (PARTITION BY k, pt ORDER BY h IS NOT DISTINCT FROM counts DESC, kind) = 1),
+  heads AS (SELECT * FROM line QUALIFY h IS DISTINCT FROM lag(h) OVER (PARTITION BY k ORDER BY pt)),
+  spans AS (SELECT *, lead(pt) OVER (PARTITION BY k ORDER BY pt) AS e FROM heads)
+  SELECT * FROM t WHERE k NOT IN (SELECT k FROM b)
+  UNION ALL SELECT id, k, h, CASE WHEN e IS NULL THEN 'Y' ELSE 'N' END, pt, coalesce(e, {OPEN_SQL}) FROM spans WHERE h IS NOT NULL"""
+
+
+@query("scd2_chain", CHAIN_SQL)
+def scd2_chain(spark, sf):
+    history = hx.History(
+        keys=["k"], watch=["h"], active="active", start="s", end="e", on_insert={"id": F.concat(F.lit("new-"), F.col("n").cast("string"))}
+    )
+    return chains.chain_apply(
+        derived(spark, sf, inputs.CHAIN_HISTORY), derived(spark, sf, inputs.CHAIN_BATCH), history, "since", as_of(), order_by=["n", "h"]
+    )
+
+
 # --- levels --------------------------------------------------------------------------------
 
 NUMBER_SQL = "TRY_CAST(regexp_extract(lvl, '([0-9]+)', 1) AS BIGINT)"

@@ -188,3 +188,24 @@ FROM orders
 OWNERS = """
 SELECT 'ACC-' || CAST(c_custkey + 50 AS STRING) AS sf_account_id, CAST(c_custkey AS STRING) AS customer_id FROM customer
 """
+
+# A history of customers' order statuses: one version per order day, but for the days of every
+# third order; some versions end early, so that a gap follows. Customers without orders have none.
+CHAIN_HISTORY = """
+SELECT 'old-' || CAST(n AS STRING) AS id, k, h, CASE WHEN e IS NULL THEN 'Y' ELSE 'N' END AS active, s,
+       coalesce(e, TIMESTAMP '9999-12-31 00:00:00') AS e
+FROM (SELECT n, k, h, s, CASE WHEN n % 7 = 0 AND (nxt IS NULL OR s + INTERVAL '3' DAY < nxt) THEN s + INTERVAL '3' DAY ELSE nxt END AS e
+      FROM (SELECT n, k, h, s, lead(s) OVER (PARTITION BY k ORDER BY s) AS nxt
+            FROM (SELECT max(o_orderkey) AS n, o_custkey AS k, max(o_orderstatus) AS h, o_orderdate AS s
+                  FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY o_custkey, o_orderdate) a) b) c
+"""
+# Every third order arrives late, among and behind the stored versions; some on days that are stored already,
+# several of a customer at once, some customers not at all.
+CHAIN_BATCH = """
+SELECT o_orderkey AS n, o_custkey AS k, o_orderstatus AS h, o_orderdate AS since FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey % 5 <> 0
+UNION ALL
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'X' END, o_orderdate
+FROM orders WHERE o_orderkey % 4 = 1 AND o_custkey % 5 <> 0
+UNION ALL
+SELECT o_orderkey, o_custkey, 'Y', o_orderdate + INTERVAL '1' DAY FROM orders WHERE o_orderkey % 16 = 2 AND o_custkey % 5 <> 0
+"""
