@@ -24,7 +24,8 @@ def document(text: Column | str) -> Column:
     return F.try_parse_json(_col(text))
 
 
-def _scalar_only(text: Column, doc: Column, path: str) -> Column:
+def scalar_only(text: Column, doc: Column, path: str) -> Column:
+    """The text read at ``path``, unless it is that of an object or array."""
     # Only text that starts like a container needs the look at the real type: a
     # string may start with a brace too.
     container = F.schema_of_variant(F.try_variant_get(doc, path, "variant")).rlike("^(OBJECT|ARRAY)<")
@@ -37,7 +38,7 @@ def json_value(doc: Column | str, path: str) -> Column:
     Numbers come in normal form, up to 38 digits; longer ones are rounded to a double.
     """
     doc = _col(doc)
-    return _scalar_only(F.try_variant_get(doc, path, "string"), doc, path)
+    return scalar_only(F.try_variant_get(doc, path, "string"), doc, path)
 
 
 def with_scalars(df: DataFrame, doc: str, paths: Mapping[str, str]) -> DataFrame:
@@ -47,7 +48,7 @@ def with_scalars(df: DataFrame, doc: str, paths: Mapping[str, str]) -> DataFrame
     does not walk the document again.
     """
     texts = df.withColumns({name: F.try_variant_get(F.col(doc), path, "string") for name, path in paths.items()})
-    return texts.withColumns({name: _scalar_only(F.col(name), F.col(doc), path) for name, path in paths.items()})
+    return texts.withColumns({name: scalar_only(F.col(name), F.col(doc), path) for name, path in paths.items()})
 
 
 def json_subtree(doc: Column | str, path: str) -> Column:
@@ -58,8 +59,8 @@ def json_subtree(doc: Column | str, path: str) -> Column:
 def json_quote(text: Column | str) -> Column:
     """Text as a JSON string with quotes and escapes; NULL as ``null``."""
     text = _col(text)
-    listed = F.to_json(F.array(text))
-    return F.when(text.isNull(), "null").otherwise(F.substr(listed, F.lit(2), F.length(listed) - 2))
+    # the brackets of a list of one go; the quotes inside them keep the text's own
+    return F.when(text.isNull(), "null").otherwise(F.btrim(F.to_json(F.array(text)), F.lit("[]")))
 
 
 def json_member(key: str | Column, value: Column) -> Column:
@@ -107,9 +108,28 @@ def document_or_empty(text: Column | str) -> Column:
     return F.coalesce(canonical(text), _col(text), F.lit(EMPTY_OBJECT))
 
 
+#: The texts of an empty object.
+_EMPTY = r"^[ \t\n\r]*\{[ \t\n\r]*\}[ \t\n\r]*$"
+
+
+def documents_differ(a: Column | str, b: Column | str) -> Column:
+    """Whether two documents differ; NULL and ``{}`` mean the same.
+
+    Equal texts are equal documents, and NULL equals the empty object alone: only two
+    different texts are parsed.
+    """
+    a, b = _col(a), _col(b)
+    return (
+        F.when(a.eqNullSafe(b), False)
+        .when(a.isNull(), ~b.rlike(_EMPTY))
+        .when(b.isNull(), ~a.rlike(_EMPTY))
+        .otherwise(document_or_empty(a) != document_or_empty(b))
+    )
+
+
 def same_document(a: Column | str, b: Column | str) -> Column:
     """Equality of canonical texts where NULL and ``{}`` mean the same."""
-    return document_or_empty(a) == document_or_empty(b)
+    return ~documents_differ(a, b)
 
 
 def prefix_split(doc: Column | str, prefix: str) -> Column:

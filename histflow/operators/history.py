@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from histflow.functions.documents import document_or_empty
+from histflow.functions.documents import document_or_empty, documents_differ
 from histflow.functions.scalar import AsOf, as_instant, content_digest, open_end, previous_midnight
 from histflow.operators.spread import spread_join
 
@@ -156,11 +156,11 @@ def comparable_source(source: DataFrame, schema: T.StructType, history: History)
 def differs(history: History, ours: str = "", theirs: str = "") -> Column:
     """Whether the watched contents of two sides, told apart by prefixes, differ."""
     pairs = [(F.col(f"{ours}{c}"), F.col(f"{theirs}{c}")) for c in history.watch]
-    pairs += [(document_or_empty(f"{ours}{c}"), document_or_empty(f"{theirs}{c}")) for c in history.documents]
     if history.null_safe:
         found = [~a.eqNullSafe(b) for a, b in pairs]
     else:
         found = [F.coalesce(a != b, F.lit(False)) for a, b in pairs]
+    found += [documents_differ(f"{ours}{c}", f"{theirs}{c}") for c in history.documents]
     return reduce(lambda a, b: a | b, found, F.lit(False))
 
 

@@ -1,22 +1,27 @@
-"""Attribute lists: JSON array -> rows -> one document per category -> one wide row.
-
-The payload is read and parsed once. Attributes are first reduced per
-(entity, category, key), with partial aggregation before the shuffle, so the
-copies of a hot entity are merged where they are read and its attributes are
-spread over many tasks. Only that reduced set, the content of the resulting
-documents, is then brought together per entity.
+"""Attribute lists: JSON array -> one document per category -> one wide row.
+
+The payload is read and parsed once. An entity that arrives with one payload is rolled up
+inside its row: the array's elements are read, sorted, reduced and written as documents
+without ever becoming rows. Only entities with several payloads are merged. Their
+attributes are first reduced per (entity, category, key), with partial aggregation before
+the shuffle, so the copies of a hot entity are merged where they are read and its attributes
+are spread over many tasks; then that reduced set, the content of the resulting documents,
+is brought together per entity.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from histflow import fixed_values as fv
-from histflow.functions.documents import json_elements, json_member, json_object, json_quote, with_scalars
+from histflow.functions.documents import json_elements, json_member, json_object, json_quote, scalar_only, with_scalars
 from histflow.functions.scalar import clean_key, decode_ampersand, split_list, underscore_spaces
+from histflow.operators.quality import duplicate_keys
 from histflow.operators.spread import spread_join
+from histflow.sources.tables import stage
 
 _ORDER, _CATEGORY, _KEY, _RAW = "__order", "__category", "__key", "__raw"
 
@@ -135,43 +140,113 @@ def _category_document(association: str | None) -> list[Column]:
     ]
 
 
-def _document_text() -> Column:
-    """``[{attributes + envelope}]`` of an aggregated category row."""
-    values = {name: json_quote(f"__{name}") for name in fv.ENVELOPE_KEYS}
+def _document(members: Column, envelope: Mapping[str, Column]) -> Column:
+    """``[{attributes + envelope}]`` from the attributes' members and the envelope's texts."""
+    values = {name: json_quote(text) for name, text in envelope.items()}
     values["LastModifiedBy"] = F.concat(F.lit('{"Name":{"Value":'), values["LastModifiedBy"], F.lit("}}"))
     constants = F.array(*[json_member(name, value) for name, value in values.items()])
-    return F.concat(F.lit("["), json_object(F.concat("__entries", constants)), F.lit("]"))
+    return F.concat(F.lit("["), json_object(F.concat(members, constants)), F.lit("]"))
 
 
-def eav_rollup(
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scalars(elements: str, paths: Mapping[str, str], **others: Callable[[Column, Column], Column]) -> Column:
+    """An array of structs: the ``json_value`` of every path (name -> path), each read once, and ``others`` of (element, position)."""
+
+    def read(element: Column, pos: Column) -> Column:
+        texts = [F.try_variant_get(element, path, "string").alias(name) for name, path in paths.items()]
+        return F.struct(element.alias("__element"), *texts, *[make(element, pos).alias(name) for name, make in others.items()])
+
+    def checked(x: Column) -> Column:
+        texts = [scalar_only(x[name], x["__element"], path).alias(name) for name, path in paths.items()]
+        return F.struct(*texts, *[x[name].alias(name) for name in others])
+
+    return F.transform(F.transform(elements, read), checked)
+
+
+def _rolled_in_the_row(
     df: DataFrame,
     ids: Sequence[str],
+    payload: str,
     documents: Mapping[str, str],
-    payload: str = "Payload",
-    association: str | None = None,
-    arrays: Mapping[str, str] | None = None,
-    value_rule=separated_values,
-    clean_keys: bool = False,
-    order_by: Sequence[str] = (),
-    latest: Sequence[str] = (),
-    per_delivery: Sequence[str] = (),
+    arrays: Mapping[str, str],
+    association: str | None,
+    value_rule,
+    key_rule,
+    latest: Sequence[str],
 ) -> DataFrame:
-    """One wide row per entity (``ids``): a JSON column per category.
+    """One wide row per row of ``df`` that has elements."""
+    passed = list(dict.fromkeys([*ids, *latest]))
+    # A row number in the projection keeps the condition above it: below, it would parse the payload a second time.
+    parsed = df.select(*passed, json_elements(payload).alias("__elements"), F.monotonically_increasing_id().alias("__row"))
+    parsed = parsed.where((F.size("__elements") > 0) & (F.col("__row") >= 0))
+
+    # Sorted by category and key, the last position of a repeated name stands last among its copies.
+    paths = {"category": fv.CATEGORY_PATH, "key": fv.NAME_PATH, "raw": fv.VALUE_PATH} | {_envelope(name): path for name, path in fv.ENVELOPE_PATHS.items()}
+    attributes = F.transform(
+        _scalars("__elements", paths, pos=lambda element, pos: pos),
+        lambda a: F.struct(
+            decode_ampersand(a["category"]).alias("category"), key_rule(a["key"]).alias("key"), *[a[n].alias(n) for n in ("pos", *list(paths)[2:])]
+        ),
+    )
+    texts = F.transform(
+        _scalars("__elements", {"category": fv.CATEGORY_PATH}, text=lambda element, pos: F.to_json(element)),
+        lambda x: F.struct(decode_ampersand(x["category"]).alias("category"), x["text"].alias("text")),
+    )
+    sorted_ = parsed
+    if documents:
+        sorted_ = sorted_.withColumn("__attributes", F.sort_array(F.filter(attributes, lambda a: a["category"].isin(*documents))))
+    if arrays:
+        sorted_ = sorted_.withColumn("__texts", F.filter(texts, lambda x: x["category"].isin(*arrays)))
+
+    def document(category: Column) -> Column:
+        def written(own: Column) -> Column:
+            following = F.concat(F.slice(own, 2, F.size(own)), F.array(F.lit(None)))
+            last = F.zip_with(own, following, lambda a, b: F.when(~a["key"].eqNullSafe(b["key"]) | b.isNull(), a))
+            # an envelope field replaces an attribute of the same name
+            named = F.filter(last, lambda a: a["key"].isNotNull() & ~a["key"].isin(*fv.ENVELOPE_KEYS))
+            members = F.transform(named, lambda a: json_member(a["key"], value_rule(a["key"], a["raw"])))
+            envelope = {name: F.array_max(own[_envelope(name)]) for name in fv.ENVELOPE_PATHS}
+            envelope |= {"Attribute_Category__c": category, "Product_Association_ID": F.col(association) if association else F.lit(None)}
+            return _document(members, {name: envelope[name].cast("string") for name in fv.ENVELOPE_KEYS})
+
+        return _bound(F.filter("__attributes", lambda a: a["category"] == category), written)
+
+    def array(category: Column) -> Column:
+        own = F.filter("__texts", lambda x: x["category"] == category)
+        return F.concat(F.lit("["), F.array_join(own["text"], ","), F.lit("]"))
+
+    def by_category(source: str, write) -> Column:
+        """A map of the categories that are there to what is written of them."""
+        there = F.array_distinct(F.col(source)["category"])
+        return F.map_from_arrays(there, F.transform(there, write))
+
+    kinds = [("__attributes", documents, document), ("__texts", arrays, array)]
+    written = {f"{source}_written": by_category(source, write) for source, columns, write in kinds if columns}
+    return sorted_.withColumns(written).select(
+        *ids,
+        *[F.col(c) for c in latest],
+        *[F.col(f"{source}_written")[category].alias(column) for source, columns, _ in kinds for category, column in columns.items()],
+    )
 
-    ``documents`` maps a category to the column holding its one-element array
-    ``[{attributes + envelope}]``; ``arrays`` maps a category to the column
-    holding its elements as they came, in payload order. ``order_by`` orders
-    several payloads of one entity (later wins), ``latest`` columns are taken
-    from the last of them. A category without attributes is NULL.
 
-    With ``per_delivery`` columns there is instead one row for each of their
-    distinct values an entity arrived with, all with the same documents.
-    """
-    ids, arrays = list(ids), dict(arrays or {})
-    key_rule = clean_key if clean_keys else (lambda c: c)
-    reduced = _reduced_attributes(
-        df, ids, payload, list(documents), list(arrays), list(order_by), list(latest), key_rule
-    )
+def _rolled_together(
+    df: DataFrame,
+    ids: Sequence[str],
+    payload: str,
+    documents: Mapping[str, str],
+    arrays: Mapping[str, str],
+    association: str | None,
+    value_rule,
+    key_rule,
+    order_by: Sequence[str],
+    latest: Sequence[str],
+) -> DataFrame:
+    """One wide row per entity, merged from all its payloads."""
+    reduced = _reduced_attributes(df, ids, payload, list(documents), list(arrays), list(order_by), list(latest), key_rule)
     # an envelope field replaces an attribute of the same name
     named = F.col(_KEY).isNotNull() & ~F.col(_KEY).isin(*fv.ENVELOPE_KEYS)
     entry = json_member(F.col(_KEY), value_rule(F.col(_KEY), F.col(_RAW)))
@@ -186,7 +261,8 @@ def eav_rollup(
     per_category = together.groupBy(*ids, _CATEGORY).agg(*aggregates)
     if documents:
         in_document = F.col(_CATEGORY).isin(*documents)
-        per_category = per_category.withColumn("__document", F.when(in_document, _document_text()))
+        written = _document(F.col("__entries"), {name: F.col(f"__{name}") for name in fv.ENVELOPE_KEYS})
+        per_category = per_category.withColumn("__document", F.when(in_document, written))
     if arrays:
         items = F.array_join(F.sort_array("__items")["text"], ",")
         per_category = per_category.withColumn("__array", F.concat(F.lit("["), items, F.lit("]")))
@@ -196,11 +272,43 @@ def eav_rollup(
         for category, column in columns.items()
     ]
     row = per_category.groupBy(*ids).agg(*wide, F.max("__latest").alias("__latest"))
-    wide_row = row.select(
-        *ids,
-        *[F.col(f"__latest.{c}").alias(c) for c in latest],
-        *documents.values(),
-        *arrays.values(),
+    return row.select(*ids, *[F.col(f"__latest.{c}").alias(c) for c in latest], *documents.values(), *arrays.values())
+
+
+def eav_rollup(
+    df: DataFrame,
+    ids: Sequence[str],
+    documents: Mapping[str, str],
+    payload: str = "Payload",
+    association: str | None = None,
+    arrays: Mapping[str, str] | None = None,
+    value_rule=separated_values,
+    clean_keys: bool = False,
+    order_by: Sequence[str] = (),
+    latest: Sequence[str] = (),
+    per_delivery: Sequence[str] = (),
+) -> DataFrame:
+    """One wide row per entity (``ids``): a JSON column per category.
+
+    ``documents`` maps a category to the column holding its one-element array
+    ``[{attributes + envelope}]``; ``arrays`` maps a category to the column
+    holding its elements as they came, in payload order. ``order_by`` orders
+    several payloads of one entity (later wins), ``latest`` columns are taken
+    from the last of them. A category without attributes is NULL.
+
+    With ``per_delivery`` columns there is instead one row for each of their
+    distinct values an entity arrived with, all with the same documents.
+    """
+    ids, arrays = list(ids), dict(arrays or {})
+    key_rule = clean_key if clean_keys else (lambda c: c)
+    # Read from the ids alone, and written: if Spark sees that it is small, the payloads need not move.
+    several = stage(duplicate_keys(df.select(*ids), ids).select(*ids), "several-payloads")
+    keyed = reduce(lambda a, b: a & b, [F.col(i).isNotNull() for i in ids])
+    single = spread_join(df.where(keyed), several, ids, "left_anti")
+    # a NULL matches nothing, so rows without an id are merged like those of several payloads
+    many = spread_join(df.where(keyed), several, ids, "left_semi").unionByName(df.where(~keyed))
+    wide_row = _rolled_in_the_row(single, ids, payload, documents, arrays, association, value_rule, key_rule, latest).unionByName(
+        _rolled_together(many, ids, payload, documents, arrays, association, value_rule, key_rule, order_by, latest)
     )
     if not per_delivery:
         return wide_row

@@ -87,3 +87,11 @@ def test_repeated_key_keeps_the_payload(spark):
     df = spark.createDataFrame([('[{"a":1,"a":2},{"a":3}]',)], "t string")
     got = df.select(F.explode(dx.json_elements("t")).alias("e")).select(F.to_json("e")).collect()
     assert [r[0] for r in got] == ['{"a":2}', '{"a":3}']
+
+
+def test_documents_differ_as_canonical_texts_do(spark):
+    texts = [None, "{}", " { } ", "[]", "null", '{"a":1,"b":2}', '{"b":2, "a":1.0}', '{"a":1}', "not json", "{", "", '{"a":{}}', "\t{\n}"]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    plain = dx.document_or_empty("a") != dx.document_or_empty("b")
+    got = df.select("a", "b", dx.documents_differ("a", "b").alias("got"), plain.alias("want")).collect()
+    assert [(r.a, r.b) for r in got if r.got != r.want] == [] and {r.got for r in got} == {True, False}

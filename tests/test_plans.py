@@ -45,11 +45,23 @@ def test_pending_filter_reaches_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<indicator_flag:string,a:int>" in text
 
 
-def test_rollup_parses_once_and_moves_twice(plan):
-    text = plan("eav_rollup")
-    assert text.count("from_json(") == 1
-    # the landing rows' own exchange, one per attribute, one per entity
-    assert exchanges(text) == 3
+def test_rollup_stays_in_the_row(spark, tmp_path):
+    """Of single payloads no attribute becomes a row, and nothing moves; each branch parses once."""
+    from histflow import fixed_values as fv
+    from histflow.operators.rollup import eav_rollup
+
+    element = '{"Attribute_Category__c":"Billing","AttributeName__c":"a","Attribute_Value__c":"1"}'
+    spark.createDataFrame([(f"c{i}", "x", f"[{element}]") for i in range(50)], "ID string, Product_Association_ID string, Payload string").write.parquet(
+        str(tmp_path / "landing")
+    )
+    wide = eav_rollup(spark.read.parquet(str(tmp_path / "landing")), ["ID", "Product_Association_ID"], fv.CATEGORIES)
+    row, many = wide._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)
+    assert row.count("from_json(") == 1 and many.count("from_json(") == 1
+    assert "Generate" not in row and "Generate" in many
+    assert wide.count() == 50
+    plan = wide._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    rolled = plan[: plan.index("SortAggregate")] if "SortAggregate" in plan else plan
+    assert "BroadcastHashJoin" in rolled and "Exchange hashpartitioning" not in rolled
 
 
 def test_mapping_parses_once(plan):
