@@ -55,13 +55,15 @@ from histflow.sources.tables import pending, stage
 @dataclass(frozen=True)
 class Load:
     """history: the whole target table; source: landing rows with their flags;
-    rejected: rows for the audit table (customer load only); rows: what the batch
-    merges into the history, for :func:`histflow.plans.publish.publish`."""
+    rejected: rows for the audit table, with the reason; rows: what the batch merges into the
+    history, and processed: the keys of the landing rows it is done with, for
+    :func:`histflow.plans.publish.publish`."""
 
     history: DataFrame
     source: DataFrame | None = None
     rejected: DataFrame | None = None
     rows: DataFrame | None = None
+    processed: DataFrame | None = None
 
 
 # --- customers ---------------------------------------------------------------------------
@@ -114,20 +116,20 @@ def check_customers(source: DataFrame) -> DataFrame:
     return flag_duplicates(checked, fv.DUPLICATE_CUSTOMER_KEYS)
 
 
-def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], rejected: DataFrame | None = None):
-    """The rows with one for each key, and the rejected ones.
+REASON = "reject_reason"
+BAD_VALUE, REPEATED_KEY = "bad value", "repeated key"
 
-    The latest row by ``order_by``; without it, rows of a repeated key join the
-    rejected ones, where there are such, and are an error where there are not.
+
+def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows with one for each key, and the rejected ones with their reason.
+
+    The latest row by ``order_by``; without it, all rows of a repeated key are rejected, and
+    the others load. ``rows`` are staged: they are read for the keys, and for either part.
     """
     if order_by:
-        return latest_per_key(rows, list(keys), list(order_by)), rejected
-    if rejected is None:
-        return rows, None
-    repeated = duplicate_keys(rows.where(known(keys)), keys).select(*keys, F.lit(True).alias("__several"))
-    flagged = spread_join(rows, repeated, keys, "left")
-    single = flagged.where(F.col("__several").isNull()).select(*rows.columns)
-    return single, rejected.unionByName(flagged.where(F.col("__several").isNotNull()).select(*rejected.columns))
+        return latest_per_key(rows, list(keys), list(order_by)), rows.where(F.lit(False)).withColumn(REASON, F.lit(REPEATED_KEY))
+    repeated = duplicate_keys(rows.where(known(keys)).select(*keys), keys).select(*keys)
+    return spread_join(rows, repeated, keys, "left_anti"), spread_join(rows, repeated, keys, "left_semi").withColumn(REASON, F.lit(REPEATED_KEY))
 
 
 def customer_load(
@@ -142,14 +144,15 @@ def customer_load(
     """Check pending customers; valid ones go to the history, others to audit.
 
     An account with several valid rows: with ``order_by`` the latest counts,
-    otherwise all of them go to audit as well, with the rows that failed.
+    otherwise all of them go to audit as well, beside the rows that failed.
     """
     as_of = as_instant(as_of)
     checked = check_customers(customer_source(landing, as_of))
     if staging:
         checked = stage(checked, "customers")
     valid, invalid = split_valid(checked, CUSTOMER_STATUSES)
-    valid, invalid = _one_per_key(valid, ["sf_account_id"], order_by, invalid)
+    valid, repeated = _one_per_key(valid, ["sf_account_id"], order_by)
+    rejected = invalid.withColumn(REASON, F.lit(BAD_VALUE)).unionByName(repeated)
     history = History(
         keys=["sf_account_id"],
         watch=CUSTOMER_WATCH if insert == "new_or_changed" else (),
@@ -158,8 +161,9 @@ def customer_load(
     return Load(
         history=scd2_apply(target, valid, history, as_of, insert),
         source=mark_processed(landing, valid, {"sf_account_id": "sf_account_id"}),
-        rejected=audit_rows(invalid, as_of),
+        rejected=audit_rows(rejected, as_of),
         rows=valid,
+        processed=valid.select("sf_account_id"),
     )
 
 
@@ -209,14 +213,22 @@ def account_structure_load(
     staging: bool = True,
     order_by: Sequence[str] = (),
 ) -> Load:
-    """Version account structures by their record hash; with ``order_by`` the latest row of each."""
+    """Version account structures by their record hash.
+
+    Of a structure with several rows the latest by ``order_by``; without it they are rejected.
+    """
     as_of = as_instant(as_of)
     source = account_structure_source(landing, customers, as_of, literal_hash)
     if staging:
         source = stage(source, "account-structures")
-    source, _ = _one_per_key(source, ["sf_group_census_id"], order_by)
+    source, rejected = _one_per_key(source, ["sf_group_census_id"], order_by)
     history = History(keys=["sf_group_census_id"], watch=["record_hash_key_id"], end_rule=end_rule)
-    return Load(history=scd2_apply(target, source, history, as_of), rows=source)
+    return Load(
+        history=scd2_apply(target, source, history, as_of),
+        rejected=audit_rows(rejected, as_of),
+        rows=source,
+        processed=source.select("sf_group_census_id"),
+    )
 
 
 # --- product configurations -------------------------------------------------------------------
@@ -297,7 +309,8 @@ def product_configuration_load(
 
     A configuration and its association are one versioned row. With
     ``per_delivery`` the source has a row for each delivery; ``order_by`` (columns
-    of the source) then says which is the latest.
+    of the source) then says which is the latest; without it, a configuration that came in
+    several deliveries is rejected.
     """
     as_of = as_instant(as_of)
     source = configuration_source(landing, entitlement, raw_categories, per_delivery=per_delivery).withColumn(
@@ -306,13 +319,20 @@ def product_configuration_load(
     )
     if staging:
         source = stage(source, "configurations")
-    source, _ = _one_per_key(source, ["sf_product_configuration_id", "sf_product_association_id"], order_by)
+    source, rejected = _one_per_key(source, ["sf_product_configuration_id", "sf_product_association_id"], order_by)
     history = scd2_apply(target, source, configuration_history(watch), as_of, insert)
     # after the load a configuration is active if it was before or came now
     reached = active_rows(target, configuration_history()).select("sf_product_configuration_id").unionByName(
         source.select("sf_product_configuration_id")
     )
-    return Load(history, mark_processed(landing, reached, {"ID": "sf_product_configuration_id"}), rows=source)
+    waiting = pending(landing).select("ID")
+    return Load(
+        history,
+        mark_processed(landing, reached, {"ID": "sf_product_configuration_id"}),
+        audit_rows(rejected, as_of),
+        rows=source,
+        processed=spread_join(waiting, reached.withColumnRenamed("sf_product_configuration_id", "ID"), ["ID"], "left_semi"),
+    )
 
 
 def reversion_load(
@@ -396,19 +416,22 @@ def contacts_load(
 ) -> Load:
     """Version contacts by their two documents; ``Y`` marks pending rows here.
 
-    With ``order_by`` (columns of the landing rows) the latest row of a contact counts.
+    With ``order_by`` (columns of the landing rows) the latest row of a contact counts;
+    without it, several rows of a contact are rejected.
     """
     as_of = as_instant(as_of)
     source = contacts_source(landing, as_of, carry=order_by)
     if staging:
         source = stage(source, "contacts")
-    source, _ = _one_per_key(source, ["id"], order_by)
+    source, rejected = _one_per_key(source, ["id"], order_by)
     history = contacts_history(as_of)
     reached = active_rows(target, history).select("id").unionByName(source.select("id"))
     return Load(
         scd2_apply(target, source, history, as_of),
         mark_processed(landing, reached, {"ID": "id"}, pending="Y", done="N"),
+        audit_rows(rejected, as_of),
         rows=source,
+        processed=spread_join(pending(landing, value="Y").select("ID"), reached.withColumnRenamed("id", "ID"), ["ID"], "left_semi"),
     )
 
 

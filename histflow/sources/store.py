@@ -1,140 +1,58 @@
-"""A versioned table on parquet: publish a batch, read what is committed.
+"""A history table on parquet that batches are merged into.
 
-    <path>/rows/version=<n>/bucket=<b>/<active>=Y/   a bucket's active rows as of version n
-    <path>/rows/version=<n>/bucket=<b>/<active>=N/   the rows of the bucket that batch n closed
-    <path>/commits/                                  one small row per published version
+    active/bucket=<b>/              the active rows, by the hash of their key
+    closed/batch=<name>/bucket=<b>/ the rows a batch closed
+    batches/                        a marker row per finished batch
 
-A key's bucket is the hash of its key columns. Publishing rewrites the active rows
-of the buckets that the batch touches, and nothing else; the current table is each
-bucket's last active rows plus all closed rows. A version is visible once its
-commit row exists; a batch that died half-way is simply written again.
+A batch rewrites the active rows of the buckets it touches (dynamic partition overwrite) and adds its closures, the
+closures first, the marker last: one that died is merged again, and finds the old active rows or its closures in place.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from histflow.operators.history import ACTIVE, History, merge_active
-from histflow.sources.tables import align, stage
-
-_COMMITS = "version bigint, origin string, batch bigint, buckets array<int>"
+from histflow.sources.tables import align, read_or_empty, stage
 
 
 @dataclass(frozen=True)
-class VersionedTable:
+class HistoryTable:
     spark: SparkSession
     path: str
     schema: T.StructType
     history: History
     buckets: int = 64
 
-    def _commits(self) -> DataFrame:
-        """A row per published version."""
-        try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], _COMMITS)
-            raise
-
-    def version(self) -> int:
-        """The last committed version, 0 for an empty table."""
-        return self._commits().agg(F.max("version")).first()[0] or 0
-
-    def committed(self, origin: str, batch: int) -> int | None:
-        """The version that a source's batch was published as."""
-        return self._commits().where((F.col("origin") == origin) & (F.col("batch") == batch)).agg(F.max("version")).first()[0]
-
-    def _rows(self) -> DataFrame:
-        flag = self.history.active
-        partitions = [T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField(flag, T.StringType())]
-        stored = T.StructType([f for f in self.schema.fields if f.name != flag] + partitions)
-        return self.spark.read.schema(stored).parquet(f"{self.path}/rows")
-
-    def _current(self, version: int) -> dict[int, list[int]]:
-        """The buckets whose active rows stand in each version; one entry per bucket."""
-        latest = (
-            self._commits()
-            .where(F.col("version") <= version)
-            .select("version", F.explode("buckets").alias("bucket"))
-            .groupBy("bucket")
-            .agg(F.max("version").alias("version"))
-        )
-        found: dict[int, list[int]] = {}
-        for r in latest.collect():
-            found.setdefault(r.version, []).append(r.bucket)
-        return found
-
-    def _active_places(self, version: int, only: set[int] | None = None) -> Column:
-        place = F.lit(False)
-        for v, buckets in self._current(version).items():
-            some = [b for b in buckets if only is None or b in only]
-            if some:
-                place = place | ((F.col("version") == v) & F.col("bucket").isin(some))
-        return place & (F.col(self.history.active) == ACTIVE)
-
-    def active(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
-        """The active rows, of all buckets or of some."""
-        version = self.version() if version is None else version
-        if version == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self._rows().where(self._active_places(version, only)).select(*self.schema.names)
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table as of a version: the conditions prune directories."""
-        version = self.version() if version is None else version
-        if version == 0:
-            return self.spark.createDataFrame([], self.schema)
-        published = [r.version for r in self._commits().where(F.col("version") <= version).select("version").collect()]
-        closed = (F.col(self.history.active) != ACTIVE) & F.col("version").isin(published)
-        return self._rows().where(closed | self._active_places(version)).select(*self.schema.names)
-
-    def bucket(self, rows: DataFrame) -> Column:
-        types = {f.name: f.dataType for f in self.schema.fields}
-        keys = [rows[k].cast(types[k]) for k in self.history.keys]
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-
-    def publish(self, merged: DataFrame, version: int, origin: str, batch: int, touched: list[int]) -> None:
-        """Write one version in one job, then commit it."""
-        rows = align(merged, self.schema)
-        (
-            rows.withColumn("bucket", self.bucket(rows))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("bucket", self.history.active)
-            .parquet(f"{self.path}/rows/version={version}")
-        )
-        self.spark.createDataFrame([(version, origin, batch, touched)], _COMMITS).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
-
-    def apply(self, source: DataFrame, as_of, origin: str = "", batch: int | None = None) -> int:
-        """Merge a batch and publish it as the next version.
-
-        ``origin`` and ``batch`` name the batch: a pair that is committed already is
-        left alone. Without a batch number nothing is ever skipped.
-        """
-        if batch is not None and (done := self.committed(origin, batch)) is not None:
-            return done
-        last = self.version()
-        source = stage(source, "batch")  # read for its buckets, the closures and the new versions
-        touched = sorted(r[0] for r in source.select(self.bucket(source)).distinct().collect())
-        merged = merge_active(self.active(last, set(touched)), source, self.history, as_of)
-        self.publish(merged, last + 1, origin, -1 if batch is None else batch, touched)
-        return last + 1
-
-    def retire(self) -> list[str]:
-        """Delete active rows that later versions have replaced; earlier versions can then not be read in full."""
-        current = {(v, b) for v, buckets in self._current(self.version()).items() for b in buckets}
-        written = self._commits().select("version", F.explode("buckets").alias("bucket")).collect()
-        flag, gone = self.history.active, []
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        for r in written:
-            if (r.version, r.bucket) not in current:
-                path = hadoop(f"{self.path}/rows/version={r.version}/bucket={r.bucket}/{flag}={ACTIVE}")
-                if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True):
-                    gone.append(path.toString())
-        return gone
+    def _rows(self, part: str) -> DataFrame:
+        stored = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+        return read_or_empty(self.spark, f"{self.path}/{part}", stored).select(*stored.names)
+
+    def read(self) -> DataFrame:
+        """The whole table: active rows and all closed ones."""
+        return self._rows("active").unionByName(self._rows("closed")).drop("bucket")
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        keys = [F.col(k).cast(self.schema[k].dataType) for k in self.history.keys]
+        return rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
+
+    def apply(self, source: DataFrame, as_of, origin: str = "", batch: int | None = None) -> bool:
+        """Merge a batch, unless its origin and number are marked as finished; whether it was merged now."""
+        markers = read_or_empty(self.spark, f"{self.path}/batches", "origin string, batch bigint")
+        if batch is not None and not markers.where((F.col("origin") == origin) & (F.col("batch") == batch)).isEmpty():
+            return False
+        source = self._bucketed(stage(source, "batch"))
+        touched = [r[0] for r in source.select("bucket").distinct().collect()]  # at most ``buckets``
+        active = self._rows("active").where(F.col("bucket").isin(touched))
+        merged = stage(self._bucketed(align(merge_active(active.drop("bucket"), source.drop("bucket"), self.history, as_of), self.schema)), "merged")
+        named = merged.withColumn("batch", F.lit(f"{origin}-{uuid.uuid4().hex if batch is None else batch}"))
+        is_active = F.col(self.history.active) == ACTIVE
+        for part, rows, by in (("closed", named.where(~is_active), ["batch", "bucket"]), ("active", merged.where(is_active), ["bucket"])):
+            writer = rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*by).parquet(f"{self.path}/{part}")
+        if batch is not None:
+            self.spark.createDataFrame([(origin, batch)], markers.schema).coalesce(1).write.mode("append").parquet(f"{self.path}/batches")
+        return True

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from histflow.operators.spread import placement
@@ -15,6 +16,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.parquet(path)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table that may not have been written yet."""
+    try:
+        return read_table(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def dealt_out(df: DataFrame, tasks: int | None = None) -> DataFrame:
     """A table dealt out to ``tasks`` before heavy per-row work.
 

@@ -1,9 +1,9 @@
 """Landing files -> history table, batch by batch.
 
 The checkpoint remembers which files were taken, in place of a processed flag
-on every landing row. Each micro-batch publishes one version under the stream's id
-and its batch number, so a batch repeated after a failure is not applied twice,
-and batches of other streams, of a new checkpoint or applied by hand all count.
+on every landing row. Each micro-batch is merged under the stream's id and its batch
+number, so a batch repeated after a failure is not applied twice, and batches of
+other streams, of a new checkpoint or applied by hand all count.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from histflow.functions.scalar import as_instant
 from histflow.operators.history import latest_per_key
-from histflow.sources.store import VersionedTable
+from histflow.sources.store import HistoryTable
 
 
 def landing_stream(
@@ -29,7 +29,7 @@ def landing_stream(
 
 def stream_apply(
     stream: DataFrame,
-    table: VersionedTable,
+    table: HistoryTable,
     prepare: Callable[[DataFrame], DataFrame],
     checkpoint: str,
     order_by: Sequence[str] = (),

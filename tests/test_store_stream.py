@@ -9,7 +9,7 @@ from histflow import work_folder
 from histflow.operators import history as hx
 from histflow.plans import loads
 from histflow.sources import schemas, tables
-from histflow.sources.store import VersionedTable
+from histflow.sources.store import HistoryTable
 from histflow.streaming.incremental import landing_stream, stream_apply
 
 SCHEMA = "k string, h string, active string, s timestamp_ntz, e timestamp_ntz"
@@ -17,48 +17,77 @@ HISTORY = hx.History(keys=["k"], watch=["h"], active="active", start="s", end="e
 
 
 def new_table(spark, tmp_path):
-    return VersionedTable(spark, str(tmp_path / "table"), spark.createDataFrame([], SCHEMA).schema, HISTORY)
+    return HistoryTable(spark, str(tmp_path / "table"), spark.createDataFrame([], SCHEMA).schema, HISTORY)
 
 
 def batch(spark, **values):
     return spark.createDataFrame(list(values.items()), "k string, h string")
 
 
-def test_versions_equal_the_snapshot_operator(spark, tmp_path):
+def test_batches_equal_the_snapshot_operator(spark, tmp_path):
     table = new_table(spark, tmp_path)
     expected = spark.createDataFrame([], SCHEMA)
+    assert table.read().collect() == []
     for day, values in ((1, {"a": "1", "b": "1"}), (2, {"a": "2", "c": "1"}), (3, {"a": "2", "b": "3"})):
         as_of = dt.datetime(2026, 1, day)
-        assert table.apply(batch(spark, **values), as_of) == day
+        assert table.apply(batch(spark, **values), as_of)
         expected = spark.createDataFrame(
             hx.scd2_apply(expected, batch(spark, **values), HISTORY, as_of).collect(), SCHEMA
         )
         assert rows(table.read()) == rows(expected)
     assert table.read().columns == ["k", "h", "active", "s", "e"]
-    # an earlier version can still be read
-    assert sorted(r["h"] for r in table.read(1).collect()) == ["1", "1"]
 
 
 def test_a_repeated_batch_is_not_applied_twice(spark, tmp_path):
     table = new_table(spark, tmp_path)
-    table.apply(batch(spark, a="1"), dt.datetime(2026, 1, 1), origin="feed", batch=1)
+    assert table.apply(batch(spark, a="1"), dt.datetime(2026, 1, 1), origin="feed", batch=1)
     before = rows(table.read())
-    table.apply(batch(spark, a="9"), dt.datetime(2026, 1, 2), origin="feed", batch=1)
+    assert not table.apply(batch(spark, a="9"), dt.datetime(2026, 1, 2), origin="feed", batch=1)
     assert rows(table.read()) == before
     # the same number from elsewhere is another batch
     table.apply(batch(spark, a="9"), dt.datetime(2026, 1, 2), origin="other", batch=1)
     assert sorted((r["h"], r["active"]) for r in table.read().collect()) == [("1", "N"), ("9", "Y")]
 
 
-def test_only_touched_buckets_are_written_and_old_ones_retired(spark, tmp_path):
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
     table = new_table(spark, tmp_path)
     table.apply(batch(spark, **{f"k{i}": "1" for i in range(300)}), dt.datetime(2026, 1, 1))
+    before = files_of(tmp_path / "table" / "active")
     table.apply(batch(spark, k7="2", k8="1"), dt.datetime(2026, 1, 2))
-    second = {r[0] for r in table._rows().where("version = 2").select("bucket").distinct().collect()}
-    assert 1 <= len(second) <= 2
-    before = rows(table.read())
-    assert len(before) == 301 and len(table.retire()) == len(second)
-    assert rows(table.read()) == before and table.active().count() == 300
+    after = files_of(tmp_path / "table" / "active")
+    changed = {f.split("bucket=")[1].split("/")[0] for f in set(before.items()) ^ set(after.items()) for f in f[:1]}
+    assert 1 <= len(changed) <= 2 and len(after) > 40
+    got = table.read()
+    assert got.count() == 301 and got.where("active = 'Y'").count() == 300
+
+
+@pytest.mark.parametrize("died", ["before the active rows", "between buckets", "before the marker"])
+def test_a_batch_that_died_is_merged_again(spark, tmp_path, died):
+    """The closures are there; the active rows are written in no bucket, in some, or in all."""
+    import shutil
+
+    names = [f"k{i}" for i in range(40)]
+    table = new_table(spark, tmp_path)
+    table.apply(batch(spark, **{k: "1" for k in names}), dt.datetime(2026, 1, 1), "feed", 1)
+    old = tmp_path / "old"
+    shutil.copytree(tmp_path / "table", old)
+    table.apply(batch(spark, **{k: "2" for k in names}), dt.datetime(2026, 1, 2), "feed", 2)
+    expected = rows(table.read())
+    again = HistoryTable(spark, str(tmp_path / "again"), table.schema, HISTORY)
+    shutil.copytree(tmp_path / "table", tmp_path / "again", ignore=lambda d, names: ["batches"] if d.endswith("table") else [])
+    shutil.copytree(old / "batches", tmp_path / "again" / "batches")
+    if died != "before the marker":
+        for n, bucket in enumerate(sorted((tmp_path / "again" / "active").glob("bucket=*"))):
+            if died == "before the active rows" or n % 2:
+                bucket.rename(tmp_path / f"gone-{n}")
+                shutil.copytree(old / "active" / bucket.name, bucket)
+    spark.catalog.refreshByPath(str(tmp_path / "again"))
+    assert again.apply(batch(spark, **{k: "2" for k in names}), dt.datetime(2026, 1, 2), "feed", 2)
+    assert rows(again.read()) == expected and len(expected) == 80
 
 
 def test_a_stream_after_other_batches_loses_nothing(spark, tmp_path):
@@ -70,27 +99,33 @@ def test_a_stream_after_other_batches_loses_nothing(spark, tmp_path):
     for n in (1, 2):  # twice the same files under new checkpoints: unchanged the second time
         stream = landing_stream(spark, folder, batch(spark, x="y").schema)
         stream_apply(stream, table, lambda b: b, str(tmp_path / f"cp{n}")).awaitTermination()
-        assert sorted(r["k"] for r in table.active().collect()) == ["a", "b"]
-    assert table.version() == 5
+        assert sorted((r["k"], r["h"], r["active"]) for r in table.read().collect()) == [("a", "1", "N"), ("a", "2", "N"), ("a", "3", "Y"), ("b", "1", "Y")]
 
 
-def test_a_batch_that_died_half_way_is_invisible_and_redone(spark, tmp_path):
+def test_publish_reads_only_the_touched_buckets(spark, tmp_path):
     table = new_table(spark, tmp_path)
     table.apply(batch(spark, a="1"), dt.datetime(2026, 1, 1))
-    before = rows(table.read())
-    # rows of version 2 are there, its commit is not
-    batch(spark, z="9").write.parquet(f"{table.path}/rows/version=2/bucket=0/active=Y")
-    assert rows(table.read()) == before
-    table.apply(batch(spark, a="2"), dt.datetime(2026, 1, 2))
-    assert sorted((r["k"], r["active"]) for r in table.read().collect()) == [("a", "N"), ("a", "Y")]
+    plan = table._rows("active").where(F.col("bucket").isin([1]))._jdf.queryExecution().executedPlan().toString()
+    assert "(bucket#" in plan.split("PartitionFilters")[1]
 
 
-def test_publish_reads_only_the_active_slice(spark, tmp_path):
-    table = new_table(spark, tmp_path)
-    for day in (1, 2):
-        table.apply(batch(spark, a=str(day)), dt.datetime(2026, 1, day))
-    plan = table.active()._jdf.queryExecution().executedPlan().toString()
-    assert "(version#" in plan.split("PartitionFilters")[1] and "(active#" in plan.split("PartitionFilters")[1]
+def test_ledger(spark, tmp_path):
+    from histflow.sources.ledger import Ledger
+
+    landing = spark.createDataFrame([("a", 1, "N"), ("b", 1, "N"), ("b", 2, "N"), (None, 1, "N"), ("c", 1, "Y")], "k string, n int, indicator_flag string")
+    ledger = Ledger(spark, str(tmp_path / "ledger"), spark.createDataFrame([], "k string").schema)
+    assert rows(ledger.pending(landing)) == rows(landing.where("indicator_flag = 'N'"))
+    done = spark.createDataFrame([("a", 5), ("a", 6), (None, 7)], "k string, other int")
+    for _ in range(2):  # a repeated batch replaces its own keys
+        ledger.record(done, "feed", 1)
+    assert ledger.processed().count() == 1
+    assert rows(ledger.pending(landing)) == [("b", 1, "N"), ("b", 2, "N"), (None, 1, "N")]
+    first = files_of(tmp_path / "ledger")
+    ledger.record(spark.createDataFrame([("b",)], "k string"), "feed", 2)
+    assert first.items() <= files_of(tmp_path / "ledger").items()  # what is written grows with the batch alone
+    assert rows(ledger.pending(landing)) == [(None, 1, "N")]
+    settled = ledger.settle(landing)
+    assert rows(settled) == sorted([("a", 1, "Y"), ("b", 1, "Y"), ("b", 2, "Y"), (None, 1, "N"), ("c", 1, "Y")], key=repr)
 
 
 def test_append_by_name(spark, tmp_path):
@@ -159,7 +194,7 @@ def test_stream_equals_batches(spark, tmp_path):
     as_of = "2026-02-01 00:00:00"
     history = loads.contacts_history(as_of)
     schema = spark.createDataFrame([], schemas.CONTACTS_HISTORY).schema
-    table = VersionedTable(spark, str(tmp_path / "contacts"), schema, history)
+    table = HistoryTable(spark, str(tmp_path / "contacts"), schema, history)
 
     def prepare(batch):
         return loads.contacts_source(batch, as_of)
@@ -176,17 +211,15 @@ def test_stream_equals_batches(spark, tmp_path):
         arrived.coalesce(1).write.mode("append").parquet(folder)
         run()
         expected = loads.contacts_load(arrived, expected, as_of).history
-        assert table.version() == n + 1
         assert rows(table.read()) == rows(expected)
     # nothing new: no batch, nothing changes
     run()
-    assert table.version() == 2
     assert table.read().where("active_flg = 'Y'").count() == 3
 
 
 def test_stream_takes_the_latest_of_a_batch(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
-    table = VersionedTable(spark, str(tmp_path / "t"), schema, HISTORY)
+    table = HistoryTable(spark, str(tmp_path / "t"), schema, HISTORY)
     folder = str(tmp_path / "in")
     spark.createDataFrame([("a", "1", 1), ("a", "2", 2)], "k string, h string, n int").write.parquet(folder)
     stream = landing_stream(spark, folder, spark.createDataFrame([], "k string, h string, n int").schema)
@@ -202,6 +235,7 @@ def test_pending_polarity(spark, flag):
 
 def test_publishing_a_load_twice_changes_nothing(spark, tmp_path):
     from histflow.plans.publish import publish
+    from histflow.sources.ledger import Ledger
 
     landing = spark.createDataFrame(
         [("1", "a", "A1", "true", "Aetna", "N", None), ("2", "b", "A2", "maybe", "Aetna", "N", None), ("3", "c", "A3", "true", "Aetna", "N", None), ("4", "d", "A3", "true", "Aetna", "N", None)],
@@ -211,12 +245,15 @@ def test_publishing_a_load_twice_changes_nothing(spark, tmp_path):
     schema = loads.customer_source(landing, as_of).schema
     empty = spark.createDataFrame([], schema)
     history = hx.History(keys=["sf_account_id"], watch=loads.CUSTOMER_WATCH)
-    table = VersionedTable(spark, str(tmp_path / "customers"), schema, history)
+    table = HistoryTable(spark, str(tmp_path / "customers"), schema, history)
     load = loads.customer_load(landing, empty, as_of)
-    for _ in range(2):
-        assert publish(load, table, as_of, "feed", 1, str(tmp_path / "audit"), str(tmp_path / "flags")) == 1
+    ledger = Ledger(spark, str(tmp_path / "ledger"), spark.createDataFrame([], "sf_account_id string").schema)
+    for merged in (True, False):
+        assert publish(load, table, as_of, "feed", 1, str(tmp_path / "audit"), ledger) is merged
     # two valid rows of one account go to audit and do not stop the load
     assert [r.sf_account_id for r in table.read().collect()] == ["A1"]
     assert sorted(r.sf_account_id for r in spark.read.parquet(str(tmp_path / "audit")).collect()) == ["A2", "A3", "A3"]
-    flags = {r.customer_id: r.indicator_flag for r in spark.read.parquet(str(tmp_path / "flags")).collect()}
-    assert flags == {"1": "Y", "2": "N", "3": "N", "4": "N"}
+    reasons = {r.sf_account_id: r.reject_reason for r in spark.read.parquet(str(tmp_path / "audit")).collect()}
+    assert reasons == {"A2": loads.BAD_VALUE, "A3": loads.REPEATED_KEY}
+    assert sorted(r.customer_id for r in ledger.pending(landing).collect()) == ["2", "3", "4"]
+    assert rows(ledger.settle(landing)) == rows(load.source)

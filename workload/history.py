@@ -8,7 +8,7 @@ from histflow import fixed_values as fv, work_folder
 from histflow.functions.scalar import level_number as level_of
 from histflow.operators import chains, history as hx, levels, reversion
 from histflow.plans import loads
-from histflow.sources.store import VersionedTable
+from histflow.sources.store import HistoryTable
 from histflow.streaming import incremental
 from histflow.streaming.incremental import landing_stream
 from workload import inputs
@@ -75,11 +75,11 @@ def expire_changed_json(spark, sf):
        LEFT JOIN t ON t.k = b.k WHERE t.k IS NULL OR t.h IS DISTINCT FROM b.h""",
 )
 def stream_apply(spark, sf):
-    """A batch by hand, then landing files by a stream, into one versioned table."""
+    """A batch by hand, then landing files by a stream, into one history table."""
     target, batch = flat(spark, sf)
     folder = work_folder(spark, "landing")
     batch.write.parquet(folder)
-    table = VersionedTable(spark, work_folder(spark, "table"), target.schema, FLAT)
+    table = HistoryTable(spark, work_folder(spark, "table"), target.schema, FLAT)
     before = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
     table.apply(target.where("active = 'Y'").select("k", "h"), before)
     stream = landing_stream(spark, folder, batch.schema)
