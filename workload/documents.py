@@ -264,15 +264,12 @@ def json_prefix_split(spark, sf):
     return source.select("id", "line_of_business", *fv.CONTACT_PREFIXES.values())
 
 
-@query(
-    "json_children",
-    """SELECT o_orderkey AS n, '[{"Id":"' || o_orderkey || '","Months":12}]' AS activity_rule,
-       CASE WHEN o_orderkey % 4 = 0 THEN 'null' ELSE '[{"Id":"a"},{"Id":"b"}]' END AS care_connection_newsletter,
-       CAST(NULL AS VARCHAR) AS phone_search FROM orders""",
-)
+CHILDREN_SQL = ", ".join(f"{inputs.CHILD_VALUES[name][1]} AS {column}" for name, column in fv.CHILDREN.items())
+
+
+@query("json_children", f"SELECT o_orderkey AS n, {CHILDREN_SQL} FROM orders")
 def json_children(spark, sf):
-    rows = children_of(derived(spark, sf, inputs.CHILD_ROWS, payloads=True), "payload", keep=["n"])
-    return rows.select("n", "activity_rule", "care_connection_newsletter", "phone_search")
+    return children_of(derived(spark, sf, inputs.CHILD_ROWS, payloads=True), "payload", keep=["n"])
 
 
 # --- mapping -----------------------------------------------------------------------------------

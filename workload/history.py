@@ -8,11 +8,12 @@ from histflow import fixed_values as fv, work_folder
 from histflow.functions.scalar import level_number as level_of
 from histflow.operators import chains, history as hx, levels, reversion
 from histflow.plans import loads
+from histflow.sources.ledger import Ledger
 from histflow.sources.store import HistoryTable
 from histflow.streaming import incremental
 from histflow.streaming.incremental import landing_stream
 from workload import inputs
-from workload.documents import ACAU_SQL, ACI_SQL
+from workload.documents import ACAU_SQL, ACI_SQL, CHILDREN_SQL
 from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, query
 
 FLAT = hx.History(keys=["k"], watch=["h"], active="active", start="s", end="e")
@@ -165,6 +166,21 @@ def mark_processed(spark, sf):
     return hx.mark_processed(source, derived(spark, sf, inputs.BATCH), {"k": "k"}, flag="flag")
 
 
+@query(
+    "pending_ledger",
+    f"""SELECT * FROM ({inputs.CUSTOMERS}) c WHERE indicator_flag = 'N' AND sf_account_id NOT IN
+       (SELECT 'ACC-' || CAST(k AS VARCHAR) FROM ({inputs.BATCH}) b WHERE h = 'NEW' OR h IS NULL)""",
+)
+def pending_ledger(spark, sf):
+    """Two batches' processed keys, one of them recorded again; what is left to do of the landing rows."""
+    landing, batch = derived(spark, sf, inputs.CUSTOMERS), derived(spark, sf, inputs.BATCH)
+    done = batch.select(F.concat(F.lit("ACC-"), F.col("k").cast("string")).alias("sf_account_id"), "h")
+    ledger = Ledger(spark, work_folder(spark, "ledger"), landing.select("sf_account_id").schema)
+    for number, rows in ((1, done.where("h = 'NEW'")), (2, done.where("h IS NULL")), (1, done.where("h = 'NEW'"))):
+        ledger.record(rows, "customers", number)
+    return ledger.pending(landing)
+
+
 # --- chains --------------------------------------------------------------------------------
 
 # Events of the customers in the batch: an end (0), a stored beginning (1), an arrived one (2). At one time the
@@ -231,15 +247,15 @@ def level_update(spark, sf):
 
 # --- re-versioning ---------------------------------------------------------------------------
 
+_CHILDREN = ", ".join(fv.CHILDREN.values())
 WITH_GROUPS = f"""WITH t AS ({inputs.GROUP_HISTORY}), g AS ({inputs.GROUPS}),
   latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY modified DESC, n DESC) AS rn
              FROM ({inputs.CHILD_ROWS}) c) r WHERE rn = 1 AND grp IN (SELECT grp FROM g)),
-  docs AS (SELECT grp, '[{{"Id":"' || n || '","Months":12}}]' AS activity_rule,
-           CASE WHEN n % 4 = 0 THEN 'null' ELSE '[{{"Id":"a"}},{{"Id":"b"}}]' END AS care_connection_newsletter FROM latest) """
-REVERSION_ROWS = f"""SELECT id, t.grp, program_rules, docs.activity_rule, docs.care_connection_newsletter,
-  CAST(NULL AS VARCHAR) AS phone_search, 'Active' AS status, 'Y' AS active, {AS_OF_SQL} AS s, {OPEN_SQL} AS e
+  docs AS (SELECT grp, {CHILDREN_SQL} FROM latest JOIN orders ON o_orderkey = n) """
+REVERSION_ROWS = f"""SELECT id, t.grp, program_rules, {", ".join(f"docs.{c}" for c in fv.CHILDREN.values())},
+  'Active' AS status, 'Y' AS active, {AS_OF_SQL} AS s, {OPEN_SQL} AS e
   FROM t JOIN docs ON t.grp = docs.grp"""
-REVERSION_CLOSED = f"""SELECT id, grp, program_rules, activity_rule, care_connection_newsletter, phone_search,
+REVERSION_CLOSED = f"""SELECT id, grp, program_rules, {_CHILDREN},
   CASE WHEN grp IN (SELECT grp FROM docs) THEN 'Inactive' ELSE status END AS status,
   CASE WHEN grp IN (SELECT grp FROM docs) THEN 'N' ELSE active END AS active, s,
   CASE WHEN grp IN (SELECT grp FROM docs) THEN {AS_OF_SQL} ELSE e END AS e FROM t"""
@@ -257,14 +273,8 @@ def grouped() -> hx.History:
 
 
 def group_documents(spark, sf):
-    children = {c: d for c, d in fv.CHILDREN.items() if d in ("activity_rule", "care_connection_newsletter", "phone_search")}
     return reversion.children_of_groups(
-        derived(spark, sf, inputs.GROUPS),
-        derived(spark, sf, inputs.CHILD_ROWS),
-        "grp",
-        "payload",
-        order_by=["modified", "n"],
-        columns=children,
+        derived(spark, sf, inputs.GROUPS), derived(spark, sf, inputs.CHILD_ROWS), "grp", "payload", order_by=["modified", "n"]
     )
 
 

@@ -1,5 +1,7 @@
 """Input rows, derived from the whole given tables by portable SQL."""
 
+from histflow.fixed_values import CHILDREN
+
 # Landing customers: NULLs, bad values, and pairs of equal keys.
 CUSTOMERS = """
 SELECT CASE WHEN k % 97 = 0 THEN NULL ELSE CAST(k AS STRING) END AS customer_id,
@@ -83,6 +85,8 @@ GROUP BY l_orderkey, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 EN
 DELIVERIES = _DELIVERIES.format(
     aggregate=f"listagg(el, ',') WITHIN GROUP (ORDER BY {_ORDER})", attributes=ATTRIBUTES
 )
+# The same text for the check engine, which orders aggregates by several columns in another way.
+DELIVERIES_CHECK = _DELIVERIES.format(aggregate=f"string_agg(el, ',' ORDER BY {_ORDER})", attributes=ATTRIBUTES)
 # Entitlements: an association has one customer; some have none.
 ENTITLEMENT = """
 SELECT 'A' || CAST(o_orderkey + 40 AS STRING) AS sf_product_association_id,
@@ -156,18 +160,40 @@ FROM lineitem
 """
 
 # Child collections: one landing row per order, several per group; groups are
-# shifted so that some have no configuration and some no children.
-CHILD_ROWS = """
+# shifted so that some have no configuration and some no children. A collection is a
+# JSON value over the order's number as delivered, and as canonical text; NULL: absent.
+_N = "CAST(o_orderkey AS STRING)"
+CHILD_VALUES = {
+    "HEDISs__r": (f"""'[{{"Metric":"M' || {_N} || '"}}]'""", f"""'[{{"Metric":"M' || {_N} || '"}}]'"""),
+    "Activity_Rules__r": (f"""'[{{"Months":12,"Id":"' || {_N} || '"}}]'""", f"""'[{{"Id":"' || {_N} || '","Months":12}}]'"""),
+    "Engagement_Rules__r": (
+        f"""CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '{{"b":' || {_N} || ',"a":[1,2]}}' END""",
+        f"""CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '{{"a":[1,2],"b":' || {_N} || '}}' END""",
+    ),
+    "Reactivation_Rules__r": (f"""'"text ' || {_N} || '"'""", f"""'"text ' || {_N} || '"'"""),
+    "CCNLs__r": ("""CASE WHEN o_orderkey % 4 = 0 THEN 'null' ELSE '[{"Id":"a"},{"Id":"b"}]' END""",) * 2,
+    "Fulfillments__r": (_N, _N),
+    "Program_Flips__r": ("'[ ]'", "'[]'"),
+    "IVRs__r": ("CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END",) * 2,
+    "Phone_Search__r": ("CAST(NULL AS STRING)", "CAST(NULL AS STRING)"),
+    "Concurrent_Enrollment__r": ("'{ }'", "'{}'"),
+    "SMS_Campaigns__r": (f"""'[{{"z":{{"y":true,"x":1.5}},"n":"' || {_N} || '"}}]'""", f"""'[{{"n":"' || {_N} || '","z":{{"x":1.5,"y":true}}}}]'"""),
+    "Email_Campaigns__r": (f"'[[\"a\"], [' || {_N} || ']]'", f"'[[\"a\"],[' || {_N} || ']]'"),
+    "Health_Optimizers__r": ("""'"é; ü"'""", """'"é; ü"'"""),
+    "Call_Sheets__r": (f"""CASE WHEN o_orderkey % 5 = 0 THEN 'null' ELSE '[{{"Id":"c' || {_N} || '"}}]' END""",) * 2,
+}
+_CHILD_MEMBERS = " || ".join(f"""coalesce('"{name}":' || {value} || ',', '')""" for name, (value, _) in CHILD_VALUES.items())
+CHILD_ROWS = f"""
 SELECT o_orderkey AS n, 'G' || CAST(o_custkey + 100 AS STRING) AS grp, o_orderdate AS modified,
-  '[{"Activity_Rules__r":[{"Months":12,"Id":"' || CAST(o_orderkey AS STRING) || '"}],"CCNLs__r":' ||
-  CASE WHEN o_orderkey % 4 = 0 THEN 'null' ELSE '[{"Id":"a"},{"Id":"b"}]' END || ',"Id":"x"}]' AS payload
+  '[{{' || {_CHILD_MEMBERS} || '"Id":"x"}}]' AS payload
 FROM orders
 """
 GROUPS = "SELECT 'G' || CAST(c_custkey AS STRING) AS grp FROM customer"
-GROUP_HISTORY = """
+# Every second collection has a document before.
+GROUP_HISTORY = f"""
 SELECT c_custkey AS id, 'G' || CAST(c_custkey AS STRING) AS grp, c_name AS program_rules,
-       CAST(NULL AS STRING) AS activity_rule, 'keep' AS care_connection_newsletter,
-       CAST(NULL AS STRING) AS phone_search, 'Active' AS status, 'Y' AS active,
+       {", ".join(("CAST(NULL AS STRING)" if i % 2 else "'keep'") + f" AS {c}" for i, c in enumerate(CHILDREN.values()))},
+       'Active' AS status, 'Y' AS active,
        TIMESTAMP '2025-01-01 00:00:00' AS s, TIMESTAMP '9999-12-31 00:00:00' AS e
 FROM customer
 """

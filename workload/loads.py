@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F, types as T
 
 from histflow import fixed_values as fv
 from histflow.operators.mapping import MappingSpec, level_1_id_route
 from histflow.plans import loads
+from histflow.sources import tables
 from workload import inputs
 from workload.columns import VALID_SQL, WITH_CHECKED
 from workload.documents import LEVEL_1_SQL, VALUE_A, documents_sql, wide_sql
-from workload.history import CONTACTS_CLOSED, CONTACTS_SQL
+from workload.history import CONTACTS_CLOSED, CONTACTS_SQL, WITH_GROUPS
 from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, key_sql, query
 
 # Active customers before the load: two in three would change.
@@ -202,3 +205,154 @@ def mapped_load(spark, sf):
         spec,
         latest_by=["source_last_process_dts", "customer_account_structure_level_1_id", "employee_cnt"],
     ).history
+
+
+# --- rejected rows and flags of the other loads ------------------------------------------------
+
+# Some structures, contacts and configurations arrive several times in one batch.
+REPEATED_STRUCTURES = inputs.STRUCTURES.replace(
+    "'GC' || CAST(o_orderkey AS STRING) AS sf_group_census_id",
+    "'GC' || CAST(CASE WHEN o_orderkey % 9 = 1 THEN o_orderkey - 1 WHEN o_orderkey % 9 = 5 THEN NULL ELSE o_orderkey END AS STRING) AS sf_group_census_id",
+)
+REPEATED_CONTACTS = inputs.CONTACTS.replace(
+    "CAST(p_partkey AS STRING) AS ID", "CAST(CASE WHEN p_partkey % 7 = 2 THEN p_partkey - 1 ELSE p_partkey END AS STRING) AS ID"
+)
+_DELIVERED = """
+SELECT ID, Product_Association_ID, 'Caremark' AS line_of_business, CAST(NULL AS STRING) AS Grouper_val, TIMESTAMP '2025-11-01 00:00:00' AS CreatedDate,
+       CASE delivery WHEN 1 THEN TIMESTAMP '2025-12-01 00:00:00' WHEN 2 THEN TIMESTAMP '2025-12-02 00:00:00' ELSE TIMESTAMP '2025-12-03 00:00:00' END AS LastModifiedDate,
+       'N' AS indicator_flag, Payload
+FROM ({deliveries}) d
+"""
+DELIVERED = _DELIVERED.format(deliveries=inputs.DELIVERIES)
+DELIVERED_CHECK = _DELIVERED.format(deliveries=inputs.DELIVERIES_CHECK)
+
+
+@query(
+    "account_structure_load_rejected",
+    f"""SELECT {AS_OF_SQL} AS audit_dts, sf_group_census_id, sf_account_id, '{loads.REPEATED_KEY}' AS reject_reason
+    FROM ({REPEATED_STRUCTURES}) s WHERE sf_group_census_id IN
+      (SELECT sf_group_census_id FROM ({REPEATED_STRUCTURES}) r GROUP BY 1 HAVING count(*) > 1)""",
+)
+def account_structure_load_rejected(spark, sf):
+    owners, target = derived(spark, sf, inputs.OWNERS), derived(spark, sf, STRUCTURE_HISTORY)
+    load = loads.account_structure_load(derived(spark, sf, REPEATED_STRUCTURES), owners, target, as_of())
+    return load.rejected.select("audit_dts", "sf_group_census_id", "sf_account_id", loads.REASON)
+
+
+@query(
+    "product_configuration_load_rejected",
+    f"""WITH d AS (SELECT DISTINCT ID, Product_Association_ID, LastModifiedDate FROM ({DELIVERED_CHECK}) x)
+    SELECT {AS_OF_SQL} AS audit_dts, ID AS sf_product_configuration_id, LastModifiedDate AS source_last_process_dts, e.customer_id,
+      '{loads.REPEATED_KEY}' AS reject_reason
+    FROM d LEFT JOIN ({inputs.ENTITLEMENT}) e ON Product_Association_ID = sf_product_association_id
+    WHERE ID IN (SELECT ID FROM d GROUP BY ID HAVING count(*) > 1)""",
+)
+def product_configuration_load_rejected(spark, sf):
+    landing = derived(spark, sf, DELIVERED, payloads=True)
+    entitlement, target = derived(spark, sf, inputs.ENTITLEMENT), derived(spark, sf, CONFIGURATION_HISTORY)
+    load = loads.product_configuration_load(landing, entitlement, target, as_of(), per_delivery=["LastModifiedDate"])
+    return load.rejected.select("audit_dts", "sf_product_configuration_id", "source_last_process_dts", "customer_id", loads.REASON)
+
+
+@query(
+    "contacts_load_rejected",
+    f"""WITH p AS (SELECT * FROM ({REPEATED_CONTACTS}) c WHERE indicator_flag = 'Y')
+    SELECT {AS_OF_SQL} AS audit_dts, ID AS id, '{loads.REPEATED_KEY}' AS reject_reason FROM p
+    WHERE ID IN (SELECT ID FROM p GROUP BY ID HAVING count(*) > 1)""",
+)
+def contacts_load_rejected(spark, sf):
+    load = loads.contacts_load(derived(spark, sf, REPEATED_CONTACTS), derived(spark, sf, inputs.CONTACTS_HISTORY), as_of())
+    return load.rejected.select("audit_dts", "id", loads.REASON)
+
+
+@query(
+    "product_configuration_load_flags",
+    f"""SELECT * REPLACE (CASE WHEN ID IN (SELECT sf_product_configuration_id FROM ({CONFIGURATION_HISTORY}) t)
+      OR ID NOT IN (SELECT ID FROM ({DELIVERED_CHECK}) x GROUP BY ID HAVING count(DISTINCT LastModifiedDate) > 1) THEN 'Y' ELSE 'N' END AS indicator_flag)
+    FROM ({DELIVERED_CHECK}) d""",
+)
+def product_configuration_load_flags(spark, sf):
+    """Configurations whose deliveries are rejected stay pending, unless the history has them."""
+    landing = derived(spark, sf, DELIVERED, payloads=True)
+    entitlement, target = derived(spark, sf, inputs.ENTITLEMENT), derived(spark, sf, CONFIGURATION_HISTORY)
+    return loads.product_configuration_load(landing, entitlement, target, as_of(), per_delivery=["LastModifiedDate"]).source
+
+
+@query(
+    "contacts_load_flags",
+    f"""WITH c AS ({REPEATED_CONTACTS}), p AS (SELECT ID FROM c WHERE indicator_flag = 'Y' GROUP BY ID HAVING count(*) = 1)
+    SELECT * REPLACE (CASE WHEN indicator_flag = 'Y' AND (ID IN (SELECT ID FROM p) OR ID IN (SELECT id FROM ({inputs.CONTACTS_HISTORY}) t))
+      THEN 'N' ELSE indicator_flag END AS indicator_flag) FROM c""",
+)
+def contacts_load_flags(spark, sf):
+    return loads.contacts_load(derived(spark, sf, REPEATED_CONTACTS), derived(spark, sf, inputs.CONTACTS_HISTORY), as_of()).source
+
+
+# --- further forms -------------------------------------------------------------------------------
+
+# The payload is the object itself, not an array of it.
+OBJECT_CONTACTS = f"""
+SELECT ID, indicator_flag, CASE WHEN Payload = '[]' THEN '{{}}' ELSE substring(Payload, 2, length(Payload) - 2) END AS Payload
+FROM ({inputs.CONTACTS}) c
+"""
+
+
+@query(
+    "contacts_load_objects",
+    f"""WITH {CONTACTS_SQL} {CONTACTS_CLOSED}
+    UNION ALL SELECT {key_sql('b.id')}, b.id, aci, acau, 'Y', 'Y', {AS_OF_SQL}, {OPEN_SQL}, {AS_OF_SQL}
+    FROM b WHERE b.id NOT IN (SELECT id FROM t) OR b.id IN (SELECT id FROM hit)""",
+)
+def contacts_load_objects(spark, sf):
+    return loads.contacts_load(derived(spark, sf, OBJECT_CONTACTS), derived(spark, sf, inputs.CONTACTS_HISTORY), as_of()).history
+
+
+_GROUPED = ", ".join(f"{'CAST(NULL AS STRING)' if i % 2 else chr(39) + 'keep' + chr(39)} AS {c}" for i, c in enumerate(fv.CHILDREN.values()))
+GROUPED_CONFIGURATIONS = f"""
+SELECT 'old-' || CAST(c_custkey AS STRING) AS sgk_customer_product_configuration_id, 'C' || CAST(c_custkey AS STRING) AS sf_product_configuration_id,
+       'A' || CAST(c_custkey AS STRING) AS sf_product_association_id, 'G' || CAST(c_custkey AS STRING) AS customer_population_group_id,
+       c_name AS program_rules, {_GROUPED}, CAST(NULL AS STRING) AS update_by, 'Active' AS record_status_cd,
+       CASE WHEN c_custkey % 6 = 0 THEN 'N' ELSE 'Y' END AS active_record_ind, TIMESTAMP '2025-01-01 00:00:00' AS insert_dts,
+       TIMESTAMP '2025-01-01 00:00:00' AS last_process_dts, TIMESTAMP '2025-01-01 00:00:00' AS record_start_dts,
+       TIMESTAMP '9999-12-31 00:00:00' AS record_end_dts
+FROM customer
+"""
+_HIT = "active_record_ind = 'Y' AND customer_population_group_id IN (SELECT grp FROM docs)"
+
+
+@query(
+    "reversion_load",
+    WITH_GROUPS.replace(inputs.GROUP_HISTORY, GROUPED_CONFIGURATIONS)
+    + f"""SELECT * REPLACE (CASE WHEN {_HIT} THEN 'N' ELSE active_record_ind END AS active_record_ind,
+      CASE WHEN {_HIT} THEN 'Inactive' ELSE record_status_cd END AS record_status_cd,
+      CASE WHEN {_HIT} THEN {AS_OF_SQL} ELSE record_end_dts END AS record_end_dts) FROM t
+    UNION ALL
+    SELECT {key_sql('sf_product_configuration_id', 'sf_product_association_id', 'customer_population_group_id')}, sf_product_configuration_id,
+      sf_product_association_id, customer_population_group_id, program_rules, {", ".join(f"docs.{c}" for c in fv.CHILDREN.values())},
+      '{fv.UPDATED_BY}', 'Active', 'Y', {AS_OF_SQL}, {AS_OF_SQL}, {AS_OF_SQL}, {OPEN_SQL}
+    FROM t JOIN docs ON customer_population_group_id = docs.grp WHERE active_record_ind = 'Y'""",
+)
+def reversion_load(spark, sf):
+    configurations = derived(spark, sf, inputs.GROUPS).withColumnRenamed("grp", "Grouper_val")
+    children = derived(spark, sf, inputs.CHILD_ROWS, payloads=True).withColumnsRenamed({"grp": "Grouper_val", "payload": "Payload"})
+    return loads.reversion_load(configurations, children, derived(spark, sf, GROUPED_CONFIGURATIONS), as_of(), order_by=["modified", "n"]).history
+
+
+@query(
+    "literal_source",
+    f"""SELECT customer_id, customer_nm, sf_account_id, business_unit_cd, indicator_flag, business_effective_dt, segment
+    FROM ({inputs.CUSTOMERS}) c WHERE indicator_flag = 'N'
+    UNION ALL SELECT 'L1', 'By hand', 'ACC-L1', 'Aetna', 'N', DATE '2025-05-01', NULL
+    UNION ALL SELECT NULL, NULL, 'ACC-L2', NULL, 'N', NULL, NULL""",
+)
+def literal_source(spark, sf):
+    """Rows written out in code, appended by name to the landing rows; the missing columns are NULL."""
+    landing = derived(spark, sf, inputs.CUSTOMERS).select(
+        "customer_id", "customer_nm", "sf_account_id", "business_unit_cd", "indicator_flag", "business_effective_dt", "segment"
+    )
+    by_hand = tables.literal_rows(
+        spark,
+        [("N", "ACC-L1", "L1", "By hand", "Aetna", datetime.date(2025, 5, 1)), ("N", "ACC-L2", None, None, None, None)],
+        T.StructType.fromDDL("indicator_flag string, sf_account_id string, customer_id string, customer_nm string, business_unit_cd string, business_effective_dt date"),
+    )
+    return tables.pending(tables.append_rows(landing, by_hand))
