@@ -61,8 +61,10 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")
 # White space other than blanks and line ends.
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Chunks and words that a worker keeps of what it has encoded; then it starts anew.
-CACHED = 400_000
+CACHED = 1_000_000
 CACHED_WORDS = 1_000_000
+#: Marks that often end a word; with it they are two parts.
+_END_MARKS = frozenset(".,;:!?)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -101,8 +103,10 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.letters = _byte_letters()
+        self.blank = self.letters[32]
         # Added tokens are looked for before anything else; none may hide in a plain chunk.
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.letters_only = not any(t[:-1].isalpha() or t.isalpha() for t in self.added)
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}  # by the chunk without the blank before it
@@ -117,32 +121,42 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            if word.isascii() and word[1:].isalnum():  # such bytes stand for themselves
+                shown = self.blank + word[1:] if word[0] == " " else word
+            else:
+                shown = word.encode().decode("latin-1").translate(self.letters)
+            tokens = self.model.tokenize(shown)
             found = self.words[word] = self._packed([t.id for t in tokens])
         return found
 
     def _learn(self, store: dict[str, bytes], keys: set[str], lead: str) -> None:
         """Put the ids of ``lead`` and key into ``store`` for all ``keys``."""
-        if len(store) > CACHED:
-            store.clear()
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
         rest, word = [], self._word
-        for key in keys.difference(store):
+        for key in keys:
             chunk = lead + key
-            if _PLAIN.fullmatch(chunk) and not any(t in chunk for t in self.added):
+            # Letters alone are one part, a mark behind them another.
+            if self.letters_only and key.isalpha() and max(key) < "\u0250":
+                store[key] = word(chunk)
+            elif self.letters_only and key[-1:] in _END_MARKS and key[:-1].isalpha() and max(key) < "\u0250":
+                store[key] = word(chunk[:-1]) + word(key[-1])
+            elif _PLAIN.fullmatch(chunk) and not any(t in chunk for t in self.added):
                 store[key] = b"".join([word(x) for x in _PARTS.findall(chunk)])
             else:
                 rest.append(key)
         for key, e in zip(rest, self.tokenizer.encode_batch([lead + key for key in rest], add_special_tokens=False) if rest else ()):
             store[key] = self._packed(e.ids)
 
-    def _joined(self, store: dict[str, bytes], keys: list[str], lead: str) -> bytes:
-        try:
-            return b"".join(map(store.__getitem__, keys))
-        except KeyError:
-            self._learn(store, set(keys), lead)
-            return b"".join(map(store.__getitem__, keys))
+    def _found(self, store: dict[str, bytes], keys: list[str], lead: str) -> list[bytes]:
+        """The ids of ``lead`` and each key."""
+        found = list(map(store.get, keys))
+        if None in found:
+            if len(store) > CACHED:
+                store.clear()
+            self._learn(store, {key for key, ids in zip(keys, found) if ids is None}, lead)
+            found = [store[key] if ids is None else ids for key, ids in zip(keys, found)]
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text, packed."""
@@ -150,11 +164,19 @@ class Encoder:
             return b""
         if not self.by_chunk or _ODD_SPACE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if "  " in text or "\n " in text or _OTHER_SPACE.search(text):
-            return self._joined(self.known, _CHUNK.findall(text), "")
-        # Every blank stands behind a character: each part but the first has one before it.
-        first, *parts = text.split(" ")
-        return self._joined(self.known, [first], "") + self._joined(self.spaced, parts, " ")
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _OTHER_SPACE.search(text):
+            return b"".join(self._found(self.known, _CHUNK.findall(text), ""))
+        # A line end stands alone between two characters, and is a part of its own; every blank stands
+        # behind a character, so each part of a line but the first has one before it.
+        lines = [line.split(" ") for line in text.split("\n")]
+        *firsts, end = self._found(self.known, [*[parts[0] for parts in lines], "\n"], "")
+        others = self._found(self.spaced, [part for parts in lines for part in parts[1:]], " ")
+        out, at = [], 0
+        for first, parts in zip(firsts, lines):
+            after = at + len(parts) - 1
+            out += [end, first, *others[at:after]]
+            at = after
+        return b"".join(out[1:])
 
 
 @lru_cache(maxsize=2)
@@ -327,7 +349,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     r = TokenFileReader(source)
                     for a in range(0, len(r.ids), 8192):
                         b = min(a + 8192, len(r.ids))
-                        sums = [zlib.crc32(r.document(k).astype("<u4").tobytes()) for k in range(a, b)]
+                        sums = [zlib.crc32(r.document(k).astype("<u4").data) for k in range(a, b)]
                         yield pd.DataFrame({"doc_id": pd.Series(r.ids[a:b], dtype=object), "start": r.begins[a:b] + start, "n_tokens": r.counts[a:b], "ids_crc32": np.array(sums, np.int64)})
 
     n = max(1, manifest.count())
