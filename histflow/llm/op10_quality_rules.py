@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -31,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from histflow.llm.common import mix, ship, stage
+from histflow.llm.common import mix, shingle_hashes, ship, stage
 
 ORDER = 5
 WINDOW = 8
@@ -59,7 +60,6 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
 _R = np.uint64(0x9E3779B97F4A7C15)
-_SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
 # ---- base counts ------------------------------------------------------------------
@@ -67,32 +67,24 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text."""
     if not text:
         return 0, 0, 0, 0, 0
-    words = _WORD.findall(text)
-    seen: set[str] = set()
+    words = text.encode("utf-8", "surrogatepass").split()  # at the six ASCII blanks
+    lines = text.split("\n")
     duplicates = 0
-    for line in text.split("\n"):
-        if _WORD.search(line):
-            if line in seen:
-                duplicates += 1
-            seen.add(line)
+    if len(set(lines)) < len(lines):
+        for line, times in Counter(lines).items():
+            if times > 1 and _WORD.search(line):
+                duplicates += times - 1
     chars = len(text) - sum(map(text.count, _BLANKS))
     symbols = sum(map(text.count, _SYMBOLS))
     return len(words), chars, symbols, duplicates, repeated_words(words)
 
 
-def repeated_words(words: list[str], window: int = WINDOW) -> int:
+def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words that stand in a window which is found twice or more."""
     n = len(words) - window + 1
-    if n < 2:
+    if n < 2 or len(set(words)) == len(words):
         return 0
-    number: dict[str, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for w in words], np.uint64)
-    if len(number) == len(words):
-        return 0
-    ids = mix(ids + np.uint64(1))
-    hashes = np.zeros(n, np.uint64)
-    for k in range(window):
-        hashes = hashes * _R + ids[k : k + n]
+    hashes = shingle_hashes(words, window)
     order = np.sort(hashes)
     again = order[1:][order[1:] == order[:-1]]
     if not len(again):
@@ -107,7 +99,7 @@ def repeated_words(words: list[str], window: int = WINDOW) -> int:
 # ---- characters --------------------------------------------------------------------
 def characters(text: str | None) -> str:
     """What the model sees of a text: white space as one blank."""
-    return _SPACES.sub(" ", text).strip(" ") if text else ""
+    return b" ".join(text.encode("utf-8", "surrogatepass").split()).decode("utf-8", "surrogatepass") if text else ""
 
 
 def count_grams(texts: list[str], order: int) -> dict[str, int]:
@@ -200,7 +192,8 @@ def _with_discounts(level: DataFrame) -> DataFrame:
 
     discounts = counts.select("lang", *[discount(i) for i in (1, 2, 3)])
     own = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    rows = level.join(discounts, "lang").withColumn("d", own).withColumn("context", F.expr("left(gram, length(gram) - 1)"))
+    # Discounts are a few numbers per language; the model's rows stay where they are.
+    rows = level.join(F.broadcast(discounts), "lang").withColumn("d", own).withColumn("context", F.expr("left(gram, length(gram) - 1)"))
     contexts = rows.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("rest"))
     return rows.join(contexts, ["lang", "context"]).select("lang", "gram", "context", "c", "d", "total", (F.col("rest") / F.col("total")).alias("gamma"))
 

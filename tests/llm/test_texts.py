@@ -422,3 +422,10 @@ def test_quality_verdicts(spark, documents, corpus, nothing):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got if r.kept)
     assert op10.judge(nothing, labels).collect() == []
     assert all(r.kept or r.base_failed for r in op10.judge(documents, labels.where("false")).collect())
+
+
+def test_characters_are_joined_by_single_blanks():
+    import re
+
+    for t in [None, "", " ", "a", " a\t\x0b b\r\n\x0c", "x\xa0 y\x85\x1c z ", "é\n\n漢 🙂 ", "\ud800 a"]:
+        assert op10.characters(t) == re.sub(r"[\x20\x09-\x0D]+", " ", t or "").strip(" ")
