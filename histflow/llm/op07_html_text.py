@@ -7,9 +7,16 @@ content. The tags' weights come from labelled pages: those with exactly one
 content, and a tag's weight is minus its log odds of standing outside, so that
 the tags of running text cost almost nothing and those of menus much.
 
-Before the scan, elements that are never main text go: scripts, menus, footers,
-forms and the like by name, adverts, sidebars, notices and reader comments by
-their class, id or role. Where a page marks its article, only that is scanned.
+Before the scan, elements that are never main text go: scripts, menus, footers, forms
+and the like by name, adverts, sidebars, notices and reader comments by their class, id or
+role. A form that holds headings or running text is no form but a page's frame, and stays.
+Inside an article only containers go whose class, id or role says nothing but comment, advert
+or the like ("related-posts", not "related-work"); never headings or paragraphs, and, but for
+comments and adverts, no blocks of mostly running text.
+
+The scan runs over every whole page. Where the stretch it finds lies mostly in an element that
+the page itself marks as an article, the article's borders are the stretch's: it neither
+loses a short block at its end nor takes in what stands beside it.
 """
 
 from __future__ import annotations
@@ -17,8 +24,10 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -38,7 +47,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
-DROPPED = RAW | set("head nav footer aside form button select option noscript template dialog object canvas svg menu audio video map datalist label".split())
+DROPPED = RAW | set("head nav footer aside form button select option noscript template dialog object canvas svg menu audio video map datalist".split())
 ARTICLE = {"article", "main"}
 # Words in a class, id or role that mark what is not the article.
 MARKS = set(
@@ -49,6 +58,18 @@ MARKS = set(
 )
 #: Marks of elements that never hold the article, even where they hold an ``article`` element.
 ALWAYS = {"comment", "comments", "disqus", "respond", "replies", "reply", "related", "recommended", "recommendations", "sidebar"}
+#: Marks of what goes even where it is running text.
+PLAIN_OUT = {"comment", "comments", "disqus", "respond", "replies", "reply", "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "sponsor", "sponsored"}
+#: Marks that count inside the article: with these, and words that say nothing, a container is no part of it.
+INSIDE = ALWAYS | PLAIN_OUT | {"promo", "promotion", "share", "sharing", "social", "newsletter", "subscribe", "subscription"}
+SAYS_NOTHING = set(
+    "area articles block body bottom box button buttons container content footer form group header inline inner item items left links list main more news outer "
+    "page post posts primary reader readers right secondary section side site slot stories thread top unit user users widget widgets wrap wrapper zone".split()
+)
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "article", "main", "figure", "details", "center", "td", "header"}
+HEADINGS = {"h1", "h2", "h3"}
+#: Words outside links that make a block running text.
+RUNNING_WORDS = 25
 KNOWN_TAGS = ARTICLE | INLINE | DROPPED | VOID | set(
     "html body div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section header blockquote pre figure figcaption address details summary center hgroup".split()
 )
@@ -104,50 +125,119 @@ def _ends(seen: list[tuple[int, str, str]]) -> list[int]:
     return ends
 
 
-def _marked(attributes: str, marks: set[str] = MARKS) -> bool:
+def _marked(attributes: str) -> bool:
     if not attributes:
         return False
-    if marks is MARKS and _HIDDEN.search(attributes):
+    if _HIDDEN.search(attributes):
         return True
-    return any(w.lower() in marks for m in _NAMED.finditer(attributes) for w in _PARTS.findall(m[1] or m[2] or m[3] or ""))
-
-
-def kept_tokens(page: str) -> tuple[list[tuple[int, str, str]], bool]:
-    """The tokens without dropped elements; of the article alone, if the page marks one."""
-    seen = tokens(page)
-    ends = _ends(seen)
-    never = [(i, ends[i]) for i, (kind, name, attributes) in enumerate(seen) if kind == OPEN and ends[i] >= 0 and name not in ("html", "body") and _marked(attributes, ALWAYS)]
-    articles = [
-        (i, ends[i] if ends[i] >= 0 else len(seen))
-        for i, (kind, name, _) in enumerate(seen)
-        if kind == OPEN and name in ARTICLE and not any(a <= i <= b for a, b in never)
-    ]
-    headings = [i for i, (kind, name, _) in enumerate(seen) if kind == OPEN and name == "h1"]
-    out, i, n = [], 0, len(seen)
+    return any(w.lower() in MARKS for m in _NAMED.finditer(attributes) for w in _PARTS.findall(m[1] or m[2] or m[3] or ""))
+
+
+def _says_only(attributes: str) -> set[str]:
+    """Marks of the article's inside, of names that say nothing else."""
+    found: set[str] = set()
+    for m in _NAMED.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            words = {w.lower() for w in _PARTS.findall(name) if not w.isdigit()}
+            if words and words <= INSIDE | SAYS_NOTHING:
+                found |= words & INSIDE
+    return found
+
+
+class _Page:
+    """A page's tokens, with what the rules ask of places and stretches, each in constant time."""
+
+    def __init__(self, page: str) -> None:
+        self.seen = seen = tokens(page)
+        self.ends = _ends(seen)
+        n = len(seen)
+        never = self._cover(i for i, (kind, name, attributes) in enumerate(seen) if kind == OPEN and self.ends[i] >= 0 and name in CONTAINERS and _says_only(attributes) & ALWAYS)
+        self.articles = [(i, self.ends[i] if self.ends[i] >= 0 else n) for i, (kind, name, _) in enumerate(seen) if kind == OPEN and name in ARTICLE and not never[i]]
+        self.inside = self._cover((i for i, _ in self.articles), strictly=True)
+        # Running counts before each token: articles, headings, all words, words in links.
+        self.n_articles = self._count(lambda i, kind, name: (kind == OPEN and name in ARTICLE) and not never[i])
+        self.n_titles = self._count(lambda i, kind, name: kind == OPEN and name == "h1")
+        self.n_headings = self._count(lambda i, kind, name: kind == OPEN and name in HEADINGS)
+        links = self._cover(i for i, (kind, name, _) in enumerate(seen) if kind == OPEN and name in ("a", "option", "button", "script", "style") and self.ends[i] >= 0)
+        # What stands in a script or the like is no words.
+        raw = [False, *(kind == OPEN and name in RAW for kind, name, _ in seen)]
+        words = [len(name.split()) if kind == TEXT and not raw[i] else 0 for i, (kind, name, _) in enumerate(seen)]
+        self.n_words = self._count(lambda i, kind, name: words[i])
+        self.n_linked = self._count(lambda i, kind, name: words[i] if links[i] else 0)
+        # Tokens that end a stretch of many words without a block's border.
+        run, long_ = 0, []
+        for w, (kind, name, _) in zip(words, seen):
+            run = run + w if kind == TEXT or name in INLINE else 0
+            long_.append(w > 0 and run >= RUNNING_WORDS)
+        self.n_long = self._count(lambda i, kind, name: long_[i])
+
+    def _cover(self, starts, strictly: bool = False) -> list[int]:
+        """How many of the elements that begin at ``starts`` hold each token."""
+        n = len(self.seen)
+        change = [0] * (n + 2)
+        for i in starts:
+            end = self.ends[i] if self.ends[i] >= 0 else n
+            change[i + strictly] += 1
+            change[end + (not strictly)] -= 1
+        return list(accumulate(change))[:n]
+
+    def _count(self, of) -> list[int]:
+        return [0, *accumulate(int(of(i, kind, name)) for i, (kind, name, _) in enumerate(self.seen))]
+
+    def between(self, counts: list[int], a: int, b: int) -> int:
+        """The count of the tokens behind ``a``, up to ``b``."""
+        return counts[min(b + 1, len(self.seen))] - counts[a + 1] if b > a else 0
+
+    def running(self, a: int, b: int) -> bool:
+        """Whether an element is mostly running text."""
+        words, linked = self.between(self.n_words, a, b), self.between(self.n_linked, a, b)
+        return words - linked >= RUNNING_WORDS and words > 2 * linked
+
+    def long_text(self, a: int, b: int) -> bool:
+        """Whether a form holds a heading or a long paragraph."""
+        return self.between(self.n_headings, a, b) + self.between(self.n_long, a, b) > 0
+
+
+def kept_tokens(page: str) -> tuple[list[tuple[int, str, str]], list[int]]:
+    """The tokens without dropped elements, and for each the number of its outermost article (-1: none)."""
+    p = _Page(page)
+    seen, ends, n = p.seen, p.ends, len(p.seen)
+    outer, last = [-1] * (n + 1), -1
+    for k, (a, b) in enumerate(p.articles):
+        if a > last:
+            outer[a : b + 1] = [k] * (min(b, n) + 1 - a)
+            last = b
+    starts = [a for a, _ in p.articles]
+    out, places, i = [], [], 0
     while i < n:
         kind, name, attributes = seen[i]
-        if kind == OPEN:
-            inside = any(a < i < b for a, b in articles)
-            end = ends[i]
-            holds = [a for a, _ in articles if a > i and (end < 0 or a < end)]
-            by_name = name in DROPPED or (name == "header" and not inside)
-            by_mark = name not in ("html", "body") and name not in VOID and _marked(attributes)
-            if by_mark and not by_name and not inside:
-                by_mark = not holds and not any(i < h < (end if end >= 0 else n) for h in headings)
-            if (by_name or by_mark) and name not in VOID:
-                if end < 0:  # never closed: up to the article, or what its parent leaves
-                    end = holds[0] - 1 if holds else (_parent_end(seen, i) if not by_name or name != "head" else i)
-                elif holds and by_name and name != "head":
+        if kind == OPEN and name not in VOID:
+            inside, end = p.inside[i] > 0, ends[i]
+            upto = end if end >= 0 else n
+            holds = p.between(p.n_articles, i, upto) > 0
+            drop = name in DROPPED or (name == "header" and not inside)
+            by_name = drop
+            if name == "form" and p.long_text(i, upto):
+                i += 1
+                continue
+            if not drop and name not in ("html", "body"):
+                if inside:
+                    says = _says_only(attributes) if name in CONTAINERS else set()
+                    drop = bool(says) and (bool(says & PLAIN_OUT) or not p.running(i, upto)) or bool(_HIDDEN.search(attributes))
+                else:
+                    drop = _marked(attributes) and not holds and not p.between(p.n_titles, i, upto)
+            if drop:
+                if holds and by_name and name != "head" and end >= 0:
                     i += 1
                     continue
+                if end < 0:  # never closed: up to the article, or what its parent leaves
+                    end = starts[bisect_right(starts, i)] - 1 if holds else (i if name == "head" else _parent_end(seen, i))
                 i = end + 1
                 continue
-        out.append((i, seen[i]))
+        out.append(seen[i])
+        places.append(outer[i])
         i += 1
-    if articles:
-        outer = [(a, b) for a, b in articles if not any(c < a and b <= d for c, d in articles)]
-        out = [(i, t) for i, t in out if any(a <= i <= b for a, b in outer)]
-    return [t for _, t in out], bool(articles)
+    return out, places
 
 
 def _parent_end(seen: list[tuple[int, str, str]], i: int) -> int:
@@ -164,26 +254,36 @@ def _parent_end(seen: list[tuple[int, str, str]], i: int) -> int:
     return len(seen) - 1
 
 
-def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
-    """The main text of a page; the empty text for NULL, or where there is none."""
-    if not page:
-        return ""
-    seen, marked = kept_tokens(page)
-    # The page's own mark outweighs what its tags say.
-    costs = {} if marked else DEFAULT_WEIGHTS if weights is None else weights
+def best_interval(scores: list[float]) -> tuple[int, int]:
+    """Begin and end of the stretch with the highest sum, in one scan; (0, 0) if none is above 0."""
     best, begin, end = 0.0, 0, 0
     total, first = 0.0, 0
-    for i, (kind, name, _) in enumerate(seen):
-        if kind == TEXT:
-            total += WORD_SCORE * len(name.split())
-        else:
-            total += costs.get(name, -LEAST_COST)
+    for i, x in enumerate(scores):
+        total += x
         if total <= 0:
             total, first = 0.0, i + 1
         elif total > best:
             best, begin, end = total, first, i + 1
+    return begin, end
+
+
+def extract(page: str | None, weights: dict[str, float] | None = None) -> str:
+    """The main text of a page; the empty text for NULL, or where there is none."""
+    if not page:
+        return ""
+    costs = DEFAULT_WEIGHTS if weights is None else weights
+    seen, article = kept_tokens(page)
+    words = [len(name.split()) if kind == TEXT else 0 for kind, name, _ in seen]
+    scores = [WORD_SCORE * w if kind == TEXT else costs.get(name, -LEAST_COST) for (kind, name, _), w in zip(seen, words)]
+    begin, end = best_interval(scores)
+    chosen = range(begin, end)
+    marked = {article[i] for i in chosen if words[i] and article[i] >= 0}
+    if marked and 2 * sum(words[i] for i in chosen if article[i] >= 0) > sum(words[i] for i in chosen):
+        # The page's own borders: of the articles that the stretch lies in, all.
+        chosen = [i for i, k in enumerate(article) if k in marked]
     parts = []
-    for kind, name, _ in seen[begin:end]:
+    for i in chosen:
+        kind, name, _ = seen[i]
         if kind == TEXT:
             parts.append(entities.unescape(name))
         elif name not in INLINE:

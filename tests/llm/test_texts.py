@@ -65,6 +65,84 @@ def test_article_of_a_page():
     assert op7.extract("<p>" + "word " * 200_000 + "</p>") == ("word " * 200_000).strip()
 
 
+LONG = "Running text that goes on for more than a few words, " * 8
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        f'<h2 id="related-work">Related work</h2><p>{LONG}</p>',
+        f'<section id="search"><p>How to search.</p><p>{LONG}</p></section>',
+        '<div class="tab-widget"><p>First tab.</p></div>',
+        '<p id="legal">In law.</p>',
+        "<label>Exhibit A</label> shows it.",
+        f'<section class="related"><p>{LONG}</p></section>',
+        '<ul><li><a href="x">one</a></li><li><a href="y">two</a></li></ul>',
+        '<div class="ad-hoc-methods">Ad hoc.</div>',
+        f"<form><h2>Form</h2><p>{LONG}</p></form>",
+        '<div class="content-with-sidebar">Beside.</div>',
+    ],
+)
+def test_what_stands_in_an_article_stays(inside):
+    page = f"<body><nav><a>Home</a></nav><article><h1>T</h1><p>{LONG}</p>{inside}</article><footer>f</footer></body>"
+    words = " ".join(entities_of(f"T {LONG} {inside}").split())
+    assert op7.extract(page) == words
+
+
+def entities_of(html):
+    import re
+
+    return re.sub(r"<(?!/?a\b)[^>]*>", " ", re.sub(r"</?a\b[^>]*>", "", html))
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        '<div class="ad">Buy this thing now.</div>',
+        f'<section id="comments"><article><p>{LONG}</p></article></section>',
+        f'<div class="comment-list"><p>{LONG}</p></div>',
+        '<div class="related-posts"><a href="x">Read this as well</a></div>',
+        '<div class="share-buttons"><a>Tweet</a></div>',
+        f'<div class="sponsored content"><p>{LONG}</p></div>',
+        "<form><label>Name</label><input></form>",
+        f"<script>{LONG}</script>",
+        '<div style="display:none">hidden</div>',
+        "<aside>Beside</aside>",
+    ],
+)
+def test_what_is_no_part_of_an_article_goes(inside):
+    for place in ("{} {}</article>", "{}</article>{}"):
+        page = f"<body><div id=page><article><h1>T</h1>{place.format(f'<p>{LONG}</p>', inside)}</div></body>"
+        assert op7.extract(page) == f"T {LONG}".strip()
+
+
+def test_a_page_in_a_form():
+    page = f"<body><form id=aspnetForm><nav><a>Home</a></nav><h1>Title</h1><p>{LONG}</p><select><option>x</select><input><button>Go</button></form><form>Mail <input></form></body>"
+    assert op7.extract(page) == f"Title {LONG}".strip()
+
+
+def test_the_scan_decides_which_article():
+    teaser = "<article><a>More</a></article>"
+    page = f"<body>{teaser * 3}<div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert op7.extract(page, {"article": -3.0, "a": -3.0}) == " ".join(f"T {LONG} {LONG}".split())
+
+
+def test_best_interval_against_all_intervals():
+    rng = random.Random(12)
+    for _ in range(300):
+        scores = [rng.choice([-3, -2, -1, -0.5, 0, 1, 2, 3]) for _ in range(rng.randrange(12))]
+        a, b = op7.best_interval(scores)
+        best = max([0, *(sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1))])
+        assert sum(scores[a:b]) == best and (best > 0 or a == b)
+
+
+def test_many_elements_take_linear_time():
+    for page in ("<article><p>x</p></article>" * 20_000, "<form>" * 40_000, "<nav>" * 20_000 + "<article>" * 20_000, "<div class=ad>x" * 40_000, "<article><div class=related>" * 20_000):
+        began = time.time()
+        op7.extract(page)
+        assert time.time() - began < 10, page[:40]
+
+
 def test_pages_hold_out(spark, sf_dir, nothing):
     """Weights from half of the pages find the articles of the others without their marks."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
