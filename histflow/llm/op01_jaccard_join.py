@@ -281,11 +281,11 @@ def similar_documents(
     doc_id: str = "doc_id",
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per document: doc_id, key, class_id, n_links, n_copies.
+    """One row per document: doc_id, key, class_id, class_key, n_links, n_copies.
 
     ``class_id`` is the least id among the documents connected by links or equal
     texts; ``n_links`` the number of different texts linked with the document's;
-    ``n_copies`` the documents of the same text. ``key`` names the text. Texts of
+    ``n_copies`` the documents of the same text. ``key`` names the text, and ``class_key`` a text of the least id. Texts of
     fewer than five words have one shingle; NULL is the empty text, which has no
     links, only copies. NULL ids are never the least unless there is no other.
     Repeated rows each get their row; other columns are not read.
@@ -310,21 +310,29 @@ def similar_documents(
     named = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     whole = nodes.select("id", "key", "least_id", "n_copies").join(links, "id", "left").join(named, "id", "left")
     whole = whole.withColumn("component", F.coalesce("component", "id"))
-    least = whole.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    classes = whole.join(least, "component").select("key", "class_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies")
-    return rows.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "class_id", "n_links", "n_copies")
+    # The class is named by its least id, NULL last, and of texts with that id the least key.
+    first = F.min(F.struct(F.col("least_id").isNull().alias("nameless"), "least_id", "key"))
+    least = whole.groupBy("component").agg(first.alias("first")).select("component", F.col("first.least_id").alias("class_id"), F.col("first.key").alias("class_key"))
+    classes = whole.join(least, "component").select("key", "class_id", "class_key", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies")
+    return rows.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "class_id", "class_key", "n_links", "n_copies")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the least id of their class, one for each class."""
-    kept = similar_documents(docs).where("doc_id <=> class_id").select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"))
+    """One row of ``docs`` for each class: that of its least id, and of texts with that id the one with the least key.
+
+    Where ids are NULL or stand for several rows, one row stays all the same.
+    """
+    named = similar_documents(docs).where((F.col("key") == F.col("class_key")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = named.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"))
     kept = stage(kept.groupBy("kept_id", "kept_key").agg(F.count("*").alias("n")), "kept")
     same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (text_key(docs, "text") == kept["kept_key"])
     out = docs.join(kept, same, "left_semi")
     # Rows repeated with their id: one stays.
-    return out if kept.where("n > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    if kept.where("n > 1").isEmpty():
+        return out
+    return out.withColumn("__key", text_key(out, "text")).dropDuplicates(["doc_id", "__key"]).drop("__key")
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return similar_documents(docs).drop("key")
+    return similar_documents(docs).drop("key", "class_key")

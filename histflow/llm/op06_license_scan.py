@@ -6,14 +6,21 @@ pieces of all notices gives the candidates, and bounded-error matching of the
 ``regex`` library inside the candidate's surroundings decides and gives the span
 and the number of edits. Both run on the words of the text, in lower case, joined
 by single blanks.
+
+Each search stays inside one candidate's surroundings, which are hardly longer than the
+notice; of matches of a notice that overlap, those with the fewest edits stay, and what is left
+of a loser's surroundings is searched again. So time grows with the text, however many notices it has.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -39,6 +46,12 @@ NOTICES = {
     "licensed under a creative commons attribution": "cc",
     "released into the public domain": "public-domain",
     "all rights reserved": "proprietary",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "gnu affero general public license": "agpl",
+    "eclipse public license": "epl",
+    "this software is provided as is without any express or implied warranty": "zlib",
+    "boost software license version 1 0": "bsl",
+    "this is free and unencumbered software released into the public domain": "unlicense",
 }
 #: One edit for so many characters of a notice.
 CHARS_PER_EDIT = 10
@@ -53,12 +66,11 @@ def _pieces(notice: str, edits: int) -> list[tuple[int, str]]:
 @lru_cache(maxsize=2)
 def _search(notices: tuple[tuple[str, str], ...], per_edit: int):
     import ahocorasick
-    import regex
 
     automaton, seeds, patterns = ahocorasick.Automaton(), {}, []
     for number, (notice, label) in enumerate(notices):
         edits = len(notice) // per_edit
-        patterns.append((notice, label, edits, regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}")))
+        patterns.append(Notice(notice, label, edits))
         for at, piece in _pieces(notice, edits):
             seeds.setdefault(piece, []).append((number, at))
     for piece, places in seeds.items():
@@ -67,47 +79,106 @@ def _search(notices: tuple[tuple[str, str], ...], per_edit: int):
     return automaton, patterns
 
 
-def _all_matches(pattern, least: int, joined: str, a: int, b: int) -> Iterator:
-    """The best match between two places, then the best ones before and behind it, and so on.
-
-    The pattern looks for the best match wherever it stands, so going on behind it
-    alone would lose the worse ones before it. ``least`` characters match at least.
+class Notice:
+    """A notice to search for in short stretches of text."""
+
+    def __init__(self, notice: str, label: str, edits: int):
+        import regex
+
+        self.notice, self.label, self.edits = notice, label, edits
+        self.pattern = regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}")
+        self.places = {c: sum(1 << i for i, x in enumerate(notice) if x == c) for c in set(notice)}
+        self.best = lru_cache(maxsize=20_000)(self._best)
+
+    def near(self, text: str) -> bool:
+        """Whether some stretch of the text is within the edits (bit-parallel edit distance)."""
+        size = len(self.notice)
+        whole, top = (1 << size) - 1, 1 << (size - 1)
+        up, down, score = whole, 0, size
+        for c in text:
+            same = self.places.get(c, 0)
+            diagonal = (((same & up) + up) ^ up) | same | down
+            right = down | (whole & ~(diagonal | up))
+            left = diagonal & up
+            score += ((right & top) > 0) - ((left & top) > 0)
+            if score <= self.edits:
+                return True
+            right, left = (right << 1) & whole, (left << 1) & whole
+            up, down = left | (whole & ~(diagonal | right)), right & diagonal
+        return False
+
+    def _best(self, text: str) -> tuple[int, int, int] | None:
+        """(edits, begin, end) of the best match in a short text."""
+        m = self.pattern.search(text) if len(text) >= len(self.notice) - self.edits and self.near(text) else None
+        return (sum(m.fuzzy_counts), m.start(), m.end()) if m else None
+
+
+def _resolved(sought: Notice, joined: str, windows: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(begin, end, edits) of the matches in ``windows`` that do not overlap, the best ones first.
+
+    Where a match overlaps a better one, the free parts of its window are searched again, as
+    are those beside a match that stays.
     """
-    parts = [(a, min(b, len(joined)))]
-    while parts:
-        a, b = parts.pop()
-        m = pattern.search(joined, a, b) if b - a >= least else None
-        if m:
-            yield m
-            parts += [(a, m.start()), (m.end(), b)]
+    found: list[tuple[int, int, int, int, int]] = []
+    taken: list[tuple[int, int]] = []
+
+    def look(a: int, b: int) -> None:
+        best = sought.best(joined[a:b]) if a < b else None
+        if best:
+            heapq.heappush(found, (best[0], a + best[1], a + best[2], a, b))
+
+    for a, b in windows:
+        look(a, b)
+    while found:
+        edits, begin, end, a, b = heapq.heappop(found)
+        first = bisect_left(taken, (a, a))
+        first -= first > 0 and taken[first - 1][1] > a
+        near = taken[first : bisect_left(taken, (b, b))]
+        if any(x < end and begin < y for x, y in near):
+            for x, y in near:
+                look(a, min(x, b))
+                a = max(a, y)
+            look(a, b)
+        else:
+            insort(taken, (begin, end))
+            yield begin, end, edits
+            look(a, begin)
+            look(end, b)
 
 
 def fuzzy_places(joined: str, notices: tuple[tuple[str, str], ...], per_edit: int) -> list[tuple[str, str, int, int, int]]:
     """(label, notice, first char, char after, edits) of the notices in a text."""
     automaton, patterns = _search(notices, per_edit)
-    around: dict[int, list[list[int]]] = {}
+    begins: dict[int, set[int]] = {}
     for end, (length, places) in automaton.iter(joined):
         for number, at in places:
-            notice, _, edits, _ = patterns[number]
-            a = end + 1 - length - at - edits
-            b = a + len(notice) + 2 * edits
-            spans = around.setdefault(number, [])
-            spans.append([max(0, a), b])
+            begins.setdefault(number, set()).add(end + 1 - length - at)
     out = []
-    for number, spans in around.items():
-        notice, label, edits, pattern = patterns[number]
-        merged: list[list[int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        for a, b in merged:
-            for m in _all_matches(pattern, len(notice) - edits, joined, a, b):
-                out.append((label, notice, m.start(), m.end(), sum(m.fuzzy_counts)))
+    for number, own in begins.items():
+        sought = patterns[number]
+        edits, size = sought.edits, len(sought.notice)
+        # Pieces of one place say the same begin, but for the edits between them.
+        windows: list[tuple[int, int]] = []
+        first = last = None
+        for begin in [*sorted(own), None]:
+            if first is not None and (begin is None or begin - first > 2 * edits):
+                windows.append((max(0, first - edits), min(len(joined), last + size + edits)))
+                first = None
+            if first is None:
+                first = begin
+            last = begin
+        out += [(sought.label, sought.notice, a, b, n) for a, b, n in _resolved(sought, joined, windows)]
     return sorted(out, key=lambda x: (x[2], x[3], x[1]))
 
 
+def word_numbers(joined: str, places: list[int]) -> list[int]:
+    """For each character the number of blanks before it."""
+    if not places:
+        return []
+    blanks = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+    return np.searchsorted(blanks, places).tolist()
+
+
 def phrase_places(joined: str, phrases: dict[str, str]) -> list[tuple[str, int]]:
     """(label, char where it starts) of each place where a phrase's words stand."""
     return [(label, m.start()) for phrase, label in phrases.items() if phrase in joined for m in re.finditer(rf"(?<![^ ])(?={re.escape(phrase)}(?: |$))", joined)]
@@ -138,11 +209,14 @@ def scan_licenses(
                 words = lower_words(t)
                 joined = b" ".join(words).decode()
                 sizes.append(len(words))
-                bases.append([{"label": label, "word": joined.count(" ", 0, at)} for label, at in phrase_places(joined, known)])
+                base = phrase_places(joined, known)
+                bases.append([{"label": label, "word": w} for (label, _), w in zip(base, word_numbers(joined, [at for _, at in base]))])
+                found = fuzzy_places(joined, sought, per_edit)
+                firsts, lasts = (word_numbers(joined, [x[k] for x in found]) for k in (2, 3))
                 founds.append(
                     [
-                        {"label": label, "notice": notice, "first": joined.count(" ", 0, a), "after": joined.count(" ", 0, b) + 1, "edits": edits}
-                        for label, notice, a, b, edits in fuzzy_places(joined, sought, per_edit)
+                        {"label": x[0], "notice": x[1], "first": first, "after": last + 1, "edits": x[4]}
+                        for x, first, last in zip(found, firsts, lasts)
                     ]
                 )
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": pd.Series(sizes, dtype="int64"), "base": bases, "found": founds})

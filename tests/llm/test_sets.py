@@ -40,6 +40,25 @@ def test_one_document_of_each_class_stays(documents, corpus):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _, _ in brute_links(corpus)})
 
 
+def test_null_and_repeated_ids_leave_one_row_a_class(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    near = [base, base.replace("w3 ", "x "), base.replace("w70 ", "y ")]
+    other = " ".join(f"v{i}" for i in range(80))
+    cases = {
+        "null ids": [(None, t) for t in near],
+        "null and known": [(None, near[0]), (9, near[1]), (None, near[2])],
+        "one id twice": [(7, near[0]), (7, near[1])],
+        "a row twice": [(7, near[0]), (7, near[0]), (8, near[2])],
+        "no text": [(None, None), (None, ""), (None, None)],
+    }
+    for name, rows in cases.items():
+        docs = spark.createDataFrame([*rows, (50, other)], "doc_id bigint, text string").repartition(2)
+        kept = op1.one_of_each(docs).collect()
+        assert len(kept) == 2 and (50, other) in [tuple(r) for r in kept], name
+        left = next(r for r in kept if r.text != other)
+        assert left.doc_id == min((i for i, _ in rows if i is not None), default=None), name
+
+
 def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a bigint, b bigint")
     got = {r.id: r.component for r in op1.components(edges).collect()}
@@ -136,3 +155,44 @@ def test_damaged_notices_beside_clean_ones_are_found():
         edits = len(notice) // op6.CHARS_PER_EDIT
         got = [x[2:] for x in op6.fuzzy_places(joined, tuple(op6.NOTICES.items()), op6.CHARS_PER_EDIT) if x[1] == notice]
         assert got == brute_notices(joined, notice, edits) and len(got) == n, (joined, got)
+
+
+def test_overlapping_matches_are_resolved_as_in_the_whole_text():
+    import random
+
+    rng = random.Random(5)
+    notice = "all rights reserved"
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 9)):
+            t = list(notice)
+            for _ in range(rng.randrange(3)):
+                k = rng.randrange(len(t))
+                t[k : k + 1] = rng.choice([[], [rng.choice("abz")], [t[k], "q"]])
+            parts.append("".join(t))
+        joined = " ".join(rng.choice(["", "other words"]) + " " + x for x in parts).strip()
+        got = [x[2:] for x in op6.fuzzy_places(joined, ((notice, "p"),), op6.CHARS_PER_EDIT)]
+        expected = brute_notices(joined, notice, len(notice) // op6.CHARS_PER_EDIT)
+        assert [e for _, _, e in got] == [e for _, _, e in expected] and [a for a, _, _ in got] == [a for a, _, _ in expected], joined
+
+
+def test_many_damaged_notices_take_linear_time(spark):
+    import time
+
+    text = "all rights reservd. licensed under teh apache license, version 2.0; " * 10_000
+    began = time.time()
+    words = b" ".join(lower_words(text)).decode()
+    found = op6.fuzzy_places(words, tuple(op6.NOTICES.items()), op6.CHARS_PER_EDIT)
+    assert len(found) >= 20_000 and time.time() - began < 5
+    row = op6.scan_licenses(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert len(row.found) == len(found) and len(row.base) == 10_000 and row.found[-1].after == row.n_words
+
+
+def test_registered_license_columns(spark, tmp_path):
+    texts = [NOTE, "mit license and apache license, apache license", "All rights reservd", "nothing here", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in op6.op6_license_scan(spark, str(tmp_path)).collect()}
+    assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (3, 0, 5, "apache,mit")
+    assert got[1].labels == "apache,mit" and got[1].score == 1.0
+    assert (got[2].n_base, got[2].first_word, got[2].base_labels, got[2].labels) == (0, None, "", "proprietary")
+    assert abs(got[2].score - (1 - 1 / 19)) < 1e-12 and got[3].score == 0.0 and (got[4].n_words, got[4].labels) == (0, "")
