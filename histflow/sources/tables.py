@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from histflow.operators.spread import placement
 from histflow.session import work_folder
@@ -90,6 +90,44 @@ def append_named(rows: DataFrame, path: str, schema: T.StructType) -> None:
     align(rows, schema).write.mode("append").parquet(path)
 
 
+def constrained(
+    df: DataFrame, schema: T.StructType | str, observation: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that keep a declared table's constraints, in its columns, and the others as they came.
+
+    Files do not enforce what a schema declares: a NOT NULL column may hold NULLs, and text
+    may not be a value of its column's type. A row that breaks a constraint comes back
+    with ``violated``, the names of the columns concerned; a missing NOT NULL column is violated by
+    every row. ``observation`` counts ``rows`` and the violations of each column while the kept rows are written.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    present = {c.lower(): c for c in df.columns}
+    broken = {}
+    for f in declared.fields:
+        there = f.name.lower() in present
+        value = F.col(present[f.name.lower()]) if there else F.lit(None)
+        bad = F.lit(False)
+        if there and df.schema[present[f.name.lower()]].dataType != f.dataType:
+            bad = value.isNotNull() & value.try_cast(f.dataType).isNull()
+        if not f.nullable:
+            bad = bad | value.isNull()
+        broken[f.name] = bad
+    names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in broken.items()]))
+    checked = df.withColumn("violated", names)
+    counted = checked
+    if observation is not None:
+        counts = [F.count_if(F.array_contains("violated", name)).alias(name) for name in broken]
+        counted = checked.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
+    return align(counted.where(F.size("violated") == 0), declared), checked.where(F.size("violated") > 0)
+
+
+def _clustered(df: DataFrame, day: str, cluster_by: Sequence[str]) -> DataFrame:
+    """Rows in balanced ranges of (day, cluster columns, slice), sorted inside."""
+    keys = [F.col(c) for c in [day, *cluster_by]]
+    sliced = df.withColumn("__slice", placement(df, 1 << 20))
+    return sliced.repartitionByRange(*keys, "__slice").drop("__slice").sortWithinPartitions(*keys)
+
+
 def layout_write(
     df: DataFrame,
     path: str,
@@ -102,18 +140,41 @@ def layout_write(
     Rows are range-partitioned on (day, cluster columns, slice): the ranges are
     balanced even if one day, or one id, holds a third of the rows, and sorted
     files let the scan skip row groups by their min/max. Days that the table
-    has already get further files.
+    has already get further files; :func:`layout_compact` orders them again.
     """
-    keys = [F.col(c) for c in [day, *cluster_by]]
-    (
-        df.withColumns({day: F.to_date(time), "__slice": placement(df, 1 << 20)})
-        .repartitionByRange(*keys, "__slice")
-        .drop("__slice")
-        .sortWithinPartitions(*keys)
-        .write.mode("append")
-        .partitionBy(day)
-        .parquet(path)
+    _clustered(df.withColumn(day, F.to_date(time)), day, cluster_by).write.mode("append").partitionBy(day).parquet(path)
+
+
+def layout_overlap(table: DataFrame, cluster: str, day: str = "load_dt") -> DataFrame:
+    """For each day its ``files`` and their ``depth``: how many of them hold a value at most, by their least and greatest one.
+
+    Reads the cluster column alone; what is shuffled is a row per file.
+    """
+    files = (
+        table.select(day, F.col(cluster).alias("at"), F.input_file_name().alias("file"))
+        .groupBy(day, "file")
+        .agg(F.min("at").alias("least"), F.max("at").alias("most"))
     )
+    border = F.inline(F.array(F.struct(F.col("least").alias("at"), F.lit(1).alias("step")), F.struct(F.col("most").alias("at"), F.lit(-1).alias("step"))))
+    # A file that ends where another begins still holds that value.
+    order = Window.partitionBy(day).orderBy("at", F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    edges = files.select(day, border).withColumn("depth", F.sum("step").over(order))
+    return edges.groupBy(day).agg(F.max("depth").alias("depth"), (F.count(F.lit(1)) / 2).cast("long").alias("files"))
+
+
+def layout_compact(spark: SparkSession, path: str, cluster_by: list[str], day: str = "load_dt", most: int = 2) -> list:
+    """Write the days anew whose files overlap more than ``most`` deep; which they were.
+
+    Only those days are read and written, by dynamic partition overwrite. A day whose depth comes from one
+    value with more rows than a file takes stays that deep.
+    """
+    table = spark.read.parquet(path)
+    crowded = [r[0] for r in layout_overlap(table, cluster_by[0], day).where(F.col("depth") > most).select(day).collect()]  # a row per day
+    if crowded:
+        rows = stage(table.where(F.col(day).isin(crowded)), "crowded-days")
+        _clustered(rows, day, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+        spark.catalog.refreshByPath(path)
+    return sorted(crowded)
 
 
 def bucketed_write(df: DataFrame, table: str, path: str, by: list[str], buckets: int) -> None:

@@ -159,6 +159,68 @@ def test_layout_spreads_a_hot_day(spark):
     assert files > 1
 
 
+def test_clustering_lasts_over_appends(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    for n in range(10):
+        day = spark.range(n, 20_000, 10, numPartitions=4).select(
+            "id", F.when(F.col("id") % 3 > 0, F.lit("2026-01-01 10:00:00")).otherwise("2026-01-02 10:00:00").cast("timestamp").alias("t")
+        )
+        tables.layout_write(day, path, "t", ["id"])
+    table = spark.read.parquet(path)
+    assert all(r.depth >= 10 for r in tables.layout_overlap(table, "id").collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as for large days: several files
+    try:
+        assert len(tables.layout_compact(spark, path, ["id"])) == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    table = spark.read.parquet(path)
+    assert table.count() == 20_000 and table.distinct().count() == 20_000
+    ranges = table.groupBy("load_dt", F.input_file_name().alias("f")).agg(F.min("id").alias("a"), F.max("id").alias("b")).collect()
+    assert len(ranges) > 4
+    for point in (0, 77, 5000, 9_999, 19_999):
+        for day in {r.load_dt for r in ranges}:
+            assert sum(r.load_dt == day and r.a <= point <= r.b for r in ranges) <= 2
+    before = files_of(tmp_path / "clustered")
+    assert tables.layout_compact(spark, path, ["id"]) == [] and files_of(tmp_path / "clustered") == before
+
+
+def test_constraints(spark):
+    from pyspark.sql import Observation
+
+    declared = "a string not null, n bigint not null, d date, absent string"
+    df = spark.createDataFrame([("x", "1", "2026-01-01", 0), (None, "2", None, 1), ("y", "z", "never", 2), ("w", None, None, 3)], "A string, n string, d string, more int")
+    seen = Observation("constraints")
+    kept, violations = tables.constrained(df, declared, seen)
+    assert kept.dtypes == [("a", "string"), ("n", "bigint"), ("d", "date"), ("absent", "string")]
+    assert [tuple(r) for r in kept.collect()] == [("x", 1, dt.date(2026, 1, 1), None)]
+    assert sorted((r.more, tuple(r.violated)) for r in violations.collect()) == [(1, ("a",)), (2, ("n", "d")), (3, ("n",))]
+    assert seen.get == {"rows": 4, "a": 1, "n": 2, "d": 1, "absent": 0}
+    none, all_ = tables.constrained(df, "a string, gone string not null")
+    assert none.count() == 0 and all_.count() == 4
+
+
+def test_a_merge_does_not_move_a_bucketed_target(spark):
+    """Target and batch in buckets of the key: only the batch is shuffled, if anything."""
+    target = spark.range(3000).select(
+        F.col("id").cast("string").alias("k"), F.col("id").cast("string").alias("h"), F.lit("Y").alias("active"),
+        F.lit("2025-01-01 00:00:00").cast("timestamp_ntz").alias("s"), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz").alias("e"),
+    )
+    source = spark.range(0, 3500, 2).select(F.col("id").cast("string").alias("k"), F.lit("new").alias("h"))
+    tables.bucketed_write(target, "m_target", work_folder(spark, "m_target"), ["k"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = spark.table("m_target")
+        merged = hx.merge_active(stored, source, HISTORY, dt.datetime(2026, 1, 1))
+        plan = merged._jdf.queryExecution().sparkPlan().toString()
+        executed = merged._jdf.queryExecution().executedPlan().toString()
+        moved = [part for part in executed.split("Exchange")[1:] if "Bucketed: true" in part.split("Exchange")[0].split("+- Exchange")[0]]
+        assert "m_target" in plan and rows(merged) == rows(hx.merge_active(target, source, HISTORY, dt.datetime(2026, 1, 1)))
+        assert moved == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE m_target")
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     left, right = spark.range(1000), spark.range(500)
     for name, df in (("b_left", left), ("b_right", right)):

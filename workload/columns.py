@@ -37,6 +37,54 @@ def ddl_schema(spark, sf):
     return tables.read_table(spark, f"{sf}/customer.parquet", declared)
 
 
+# Customers with missing ids, names and dates, and a text where a number is declared.
+DECLARED_CUSTOMER = "customer_id string not null, customer_nm string not null, sf_account_id string not null, segment bigint, business_effective_dt date"
+_VIOLATED = """concat_ws(',', CASE WHEN customer_id IS NULL THEN 'customer_id' END, CASE WHEN customer_nm IS NULL THEN 'customer_nm' END,
+  CASE WHEN sf_account_id IS NULL THEN 'sf_account_id' END, CASE WHEN segment IS NOT NULL AND TRY_CAST(segment AS BIGINT) IS NULL THEN 'segment' END)"""
+_MIXED = f"""SELECT customer_id, customer_nm, sf_account_id, CASE WHEN segment = 'BUILDING' THEN segment WHEN segment = 'MACHINERY' THEN '12' END AS segment,
+  business_effective_dt FROM ({inputs.CUSTOMERS}) c"""
+
+
+def declared_customers(spark, sf):
+    path = work_folder(spark, "declared")
+    derived(spark, sf, _MIXED).write.parquet(path)
+    return tables.constrained(spark.read.parquet(path), DECLARED_CUSTOMER)
+
+
+@query(
+    "ddl_not_null",
+    f"""SELECT customer_id, customer_nm, sf_account_id, CAST(segment AS BIGINT) AS segment, business_effective_dt
+    FROM ({_MIXED}) m WHERE {_VIOLATED} = ''""",
+)
+def ddl_not_null(spark, sf):
+    return declared_customers(spark, sf)[0]
+
+
+@query(
+    "ddl_violations",
+    f"SELECT *, {_VIOLATED} AS violated FROM ({_MIXED}) m WHERE {_VIOLATED} <> ''",
+)
+def ddl_violations(spark, sf):
+    return declared_customers(spark, sf)[1].withColumn("violated", F.array_join("violated", ","))
+
+
+@query(
+    "layout_compact",
+    "SELECT CAST(ts AS DATE) AS load_dt, event_type, count(*) AS n, min(user_id) AS least_user, TRUE AS shallow FROM events GROUP BY 1, 2",
+)
+def layout_compact(spark, sf):
+    """Four appends to the same days, ordered again."""
+    path = work_folder(spark, "layout")
+    events = read(spark, sf, "events")
+    for part in range(4):
+        tables.layout_write(events.where(F.col("event_id") % 4 == part), path, "ts", ["event_id"])
+    tables.layout_compact(spark, path, ["event_id"])
+    table = spark.read.parquet(path)
+    depth = tables.layout_overlap(table, "event_id").select("load_dt", (F.col("depth") <= 2).alias("shallow"))
+    counted = table.groupBy("load_dt", "event_type").agg(F.count(F.lit(1)).alias("n"), F.min("user_id").alias("least_user"))
+    return counted.join(depth, "load_dt")
+
+
 @query(
     "layout_write",
     "SELECT CAST(ts AS DATE) AS load_dt, event_type, count(*) AS n, min(user_id) AS least_user FROM events GROUP BY 1, 2",
