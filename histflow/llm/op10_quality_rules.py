@@ -397,7 +397,7 @@ def _by_language(langs: list[str]) -> list[tuple[str, np.ndarray]]:
 def _pack(x) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(x, protocol=5))
+    return zstandard.ZstdCompressor(level=5).compress(pickle.dumps(x, protocol=5))
 
 
 def _unpack(x: bytes):
@@ -445,12 +445,15 @@ def measure(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str
     buckets = (rows.agg(F.sum("size")).first()[0] or 0) // BUCKET_BYTES + 1
     borders = np.array([i * 2**64 // buckets for i in range(1, buckets)], np.uint64)
 
+    def distinct_keys(seen: list[str], langs: list[str]) -> np.ndarray:
+        """The sorted hashes of a block's n-grams."""
+        found = [pd.unique(h) for language, at in _by_language(langs) for _, h in _windows([seen[i] for i in at], language, order)]
+        return np.sort(pd.unique(np.concatenate(found))) if found else np.empty(0, np.uint64)
+
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block, pdf in _cut(batches):
-            seen = [characters(t) for t in pdf["text"]]
-            found = [pd.unique(h) for language, at in _by_language(pdf["lang"].tolist()) for _, h in _windows([seen[i] for i in at], language, order)]
-            if found:
-                keys = np.sort(pd.unique(np.concatenate(found)))
+            keys = distinct_keys([characters(t) for t in pdf["text"]], pdf["lang"].tolist())
+            if len(keys):
                 parts = np.split(keys, np.searchsorted(keys, borders))
                 some = [b for b, part in enumerate(parts) if len(part)]
                 yield pd.DataFrame({"bucket": some, "block": block, "asked": [parts[b].tobytes() for b in some]})
@@ -471,7 +474,7 @@ def measure(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str
             if len(wanted) and (not len(keys) or (keys[np.minimum(place, len(keys) - 1)] != wanted).any()):
                 raise RuntimeError("an n-gram of a document is not in the model: the documents changed between two reads")
             found.append(logp[place].tobytes())
-        return pd.DataFrame({"block": right["block"], "asked": right["asked"], "found": found})
+        return pd.DataFrame({"block": right["block"], "bucket": right["bucket"], "found": found})
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block, pdf in _cut(batches):
@@ -480,12 +483,16 @@ def measure(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str
             yield pd.DataFrame({"block": [block], "rows": [packed]})
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        asked = [np.frombuffer(x, np.uint64) for x in right["asked"]] or [np.empty(0, np.uint64)]
-        found = [np.frombuffer(x, np.float32) for x in right["found"]] or [np.empty(0, np.float32)]
-        model = Model(np.concatenate(asked), np.concatenate(found), order=order)
+        # Buckets in order are the block's keys in order: they need not come back with the answers.
+        found = [np.frombuffer(x, np.float32) for x in right.sort_values("bucket")["found"]]
+        logp = np.concatenate([np.empty(0, np.float32), *found])
         out = []
         for rows in left["rows"]:
             ids, h, langs, counts, seen = _unpack(rows)
+            keys = distinct_keys(seen, langs)
+            if len(keys) != len(logp):
+                raise RuntimeError("a block of documents lacks an answer: the rows came in another order")
+            model = Model(keys, logp, order=order)
             values = np.full(len(ids), np.nan)
             for language, at in _by_language(langs):
                 sums = np.zeros(len(at))
@@ -509,7 +516,7 @@ def measure(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str
         entries.mapInPandas(deal, "bucket bigint, key bigint, logp float")
         .groupBy("bucket")
         .cogroup(rows.mapInPandas(ask, "bucket bigint, block bigint, asked binary").groupBy("bucket"))
-        .applyInPandas(answer, "block bigint, asked binary, found binary")
+        .applyInPandas(answer, "block bigint, bucket bigint, found binary")
     )
     return (
         rows.mapInPandas(pack, "block bigint, rows binary")
