@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +25,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: The folders made in the innermost scope that owns them.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned_folders", default=None)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a working folder and what is in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def owned_folders(spark: SparkSession) -> Iterator[None]:
+    """A scope that owns the working folders made in it: they go when it ends.
+
+    What is computed from staged rows must be written before that. A scope inside
+    another owns its own folders only.
+    """
+    mine: list[str] = []
+    token = _OWNED.set(mine)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in mine:
+            remove_folder(spark, path)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below the cluster's shared folder (``spark.checkpoint.dir``).
 
@@ -40,4 +70,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             if not local:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="histflow-")
-    return f"{base.rstrip('/')}/histflow/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/histflow/{purpose}-{uuid.uuid4().hex}"
+    if (owner := _OWNED.get()) is not None:
+        owner.append(path)
+    return path

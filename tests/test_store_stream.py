@@ -319,3 +319,40 @@ def test_publishing_a_load_twice_changes_nothing(spark, tmp_path):
     assert reasons == {"A2": loads.BAD_VALUE, "A3": loads.REPEATED_KEY}
     assert sorted(r.customer_id for r in ledger.pending(landing).collect()) == ["2", "3", "4"]
     assert rows(ledger.settle(landing)) == rows(load.source)
+
+
+def test_staged_folders_go_with_their_scope(spark, tmp_path):
+    from pathlib import Path
+
+    from histflow.session import owned_folders
+
+    made = []
+
+    def staged(df):
+        out = tables.stage(df, "scoped")
+        made.append(Path(out.inputFiles()[0].removeprefix("file://")).parent)
+        return out
+
+    with owned_folders(spark):
+        staged(spark.range(5)).write.parquet(str(tmp_path / "out"))
+        with owned_folders(spark):
+            staged(spark.range(3)).count()
+        assert made[0].exists() and not made[1].exists()
+    assert not made[0].exists() and spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert staged(spark.range(2)).count() == 2 and made[2].exists()  # outside a scope nobody owns it
+
+
+def test_a_merge_leaves_no_staged_folder(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    made = []
+
+    def recorded(*args):
+        made.append(work_folder(*args))
+        return made[-1]
+
+    monkeypatch.setattr(tables, "work_folder", recorded)
+    table = new_table(spark, tmp_path)
+    table.apply(batch(spark, a="1"), dt.datetime(2026, 1, 1), "feed", 1)
+    assert table.read().count() == 1
+    assert len(made) == 2 and not any(Path(p.removeprefix("file:")).exists() for p in made)
