@@ -10,7 +10,7 @@ import tempfile
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from histflow.session import work_folder
+from histflow.session import remove_folder, work_folder
 
 # A word is a run of ASCII letters or digits and of all characters beyond ASCII.
 _TABLE = bytes(
@@ -34,7 +34,15 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = work_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_folder = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged rows that nothing is computed from any more: what was made of them is staged itself."""
+    for df in staged:
+        remove_folder(df.sparkSession, df.staged_folder)
 
 
 #: Rows that a Python task gets at a time.

@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from histflow.llm.common import mix, shingle_hashes, ship, stage
+from histflow.llm.common import discard, mix, shingle_hashes, ship, stage
 
 ORDER = 5
 WINDOW = 8
@@ -198,10 +198,11 @@ def _with_discounts(level: DataFrame) -> DataFrame:
     return rows.join(contexts, ["lang", "context"]).select("lang", "gram", "context", "c", "d", "total", (F.col("rest") / F.col("total")).alias("gamma"))
 
 
-def _levels(counts: DataFrame, order: int) -> tuple[list[DataFrame], DataFrame]:
+def _levels(counts: DataFrame, order: int, keep: bool = True) -> tuple[list[DataFrame], DataFrame]:
     """(lang, gram, context, c, gamma, p) of each order, lowest first, and (lang, lower) of the unknown character.
 
-    The highest order is not staged.
+    The highest order is not staged. Unless ``keep``, the lower orders are only for making it, and
+    each one's rows are deleted when the next order is staged.
     """
     levels = [stage(counts, "grams")]
     for _ in range(order - 1):
@@ -219,12 +220,14 @@ def _levels(counts: DataFrame, order: int) -> tuple[list[DataFrame], DataFrame]:
             )
         rows = rows.select("lang", "gram", "context", "c", "gamma", ((F.col("c") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("lower")).alias("p"))
         out.append(stage(rows, "model") if k < order else rows)
+        if not keep and 1 < k < order:  # the letters are made of the lowest counts
+            discard(out[k - 2], level)
     return out, letters
 
 
 def highest_order(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, p): the interpolated probabilities of the n-grams of the highest order."""
-    return _levels(counts, order)[0][-1].select("lang", "gram", "p")
+    return _levels(counts, order, keep=False)[0][-1].select("lang", "gram", "p")
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
