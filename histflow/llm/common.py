@@ -25,15 +25,24 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode().translate(_TABLE).split() if text else []
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Whatever is computed twice from it, or computed again after a lost
-    executor, then starts from the same rows.
+    executor, then starts from the same rows. The shuffle files of the write are of
+    no more use, and go with its end.
     """
     spark: SparkSession = df.sparkSession
     path = work_folder(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_folder = path
     return out

@@ -36,7 +36,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from histflow.llm.common import mix, ship, stage
+from histflow.llm.common import discard, mix, ship, stage
 
 LENGTH = 50
 SEED = 32
@@ -403,9 +403,11 @@ def least_documents(chunks: DataFrame, n_bytes: int) -> DataFrame:
     blocks = stage(dealt.groupBy("block").applyInPandas(block, "block bigint, data binary"), "chunk-blocks")
     for keys_of, length in ((_triples, 9), (_name_triples, 27)):
         found = resolve(blocks, keys_of, _ranks, _sample(blocks, keys_of, n))
+        unnamed = blocks
         blocks = stage(
             blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_named(keys_of, length), "block bigint, data binary"), "named-blocks"
         )
+        discard(unnamed)
     found = resolve(blocks, _cover_keys, _least, _sample(blocks, _cover_keys, n))
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_windows, "chunk bigint, mins binary")
 
@@ -429,12 +431,16 @@ def _least_by_runs(chunks: DataFrame) -> DataFrame:
     cuts = stage(cuts.withColumn("name", F.unhex(F.md5("content"))), "runs")
     distinct = cuts.groupBy("name").agg(F.min("least").alias("least"), F.first("seed").alias("seed"), F.first("content").alias("content"))
     distinct = stage(distinct.withColumn("chunk", F.monotonically_increasing_id()), "distinct-runs")
+    places = stage(cuts.select("of", "at", (F.octet_length("content") - (LENGTH - 1)).alias("n"), "name"), "run-places")
+    discard(cuts)
     several = distinct.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
     left = stage(distinct.join(several, "seed", "left_semi").select("chunk", "content", "least"), "open-runs")
     n_bytes = left.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    names = stage(distinct.select("name", "chunk", "least"), "run-names")
+    discard(distinct)
     sorted_out = stage(least_documents(left, n_bytes), "sorted-runs")
-    found = distinct.select("name", "chunk", "least").join(sorted_out, "chunk", "left").drop("chunk")
-    parts = cuts.select("of", "at", (F.octet_length("content") - (LENGTH - 1)).alias("n"), "name").join(found, "name")
+    found = names.join(sorted_out, "chunk", "left").drop("chunk")
+    parts = places.join(found, "name")
     gathered = parts.groupBy("of").agg(F.collect_list(F.struct("at", "n", "least", "mins")).alias("parts"))
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -478,6 +484,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     seen = stage(seen.withColumn("name", F.unhex(F.md5("content"))), "chunks")
     distinct = seen.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.first("content").alias("content"))
     distinct = stage(distinct.withColumn("chunk", F.monotonically_increasing_id()), "distinct-chunks")
+    places = stage(seen.select("block", "place", "id", "a", (F.col("a") + F.octet_length("content")).alias("b"), "name"), "chunk-places")
+    discard(seen)
 
     def chunk_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -489,9 +497,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     # A seed of several chunks marks them all.
     open_chunks = standing.join(spread.where("lo <> hi").select("seed"), "seed").select("chunk").distinct()
     unsettled = stage(distinct.join(open_chunks, "chunk", "left_semi").select("chunk", "content", "least"), "open-chunks")
+    names = stage(distinct.select("name", "chunk", "least"), "chunk-names")
+    discard(distinct)
     mins = stage(_least_by_runs(unsettled), "least-documents")
-    settled = distinct.select("name", "chunk", "least").join(mins, "chunk", "left")
-    hits = seen.select("block", "place", "id", "a", (F.col("a") + F.octet_length("content")).alias("b"), "name").join(settled, "name")
+    discard(unsettled)
+    settled = names.join(mins, "chunk", "left")
+    hits = places.join(settled, "name")
     return blocks, hits.where("least < id OR mins IS NOT NULL").drop("name", "chunk")
 
 
