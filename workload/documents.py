@@ -75,7 +75,7 @@ VALUE_B = f"""CASE WHEN {CLEAN} = 'Contracted_LOB_Sub_Category' THEN
   ELSE coalesce('"' || raw || '"', 'null') END"""
 
 
-def documents_sql(value: str, name: str, last: str = "pos DESC") -> str:
+def documents_sql(value: str, name: str, last: str = "pos DESC", elements: str = inputs.ELEMENTS_CHECK) -> str:
     """docs(id, assoc, category, doc): one-element arrays of sorted-key objects."""
     envelope = [
         ("Attribute_Category__c", "'\"' || category || '\"'"),
@@ -87,7 +87,7 @@ def documents_sql(value: str, name: str, last: str = "pos DESC") -> str:
         ("LastModifiedBy", "'{\"Name\":{\"Value\":\"' || m || '\"}}'"),
     ]
     constant = " UNION ALL ".join(f"SELECT id, assoc, category, '{k}', {v} FROM env" for k, v in envelope)
-    return f"""el AS ({inputs.ELEMENTS_CHECK}),
+    return f"""el AS ({elements}),
   named AS (SELECT *, {name} AS key FROM el),
   kept AS (SELECT *, row_number() OVER (PARTITION BY id, category, key ORDER BY {last}) AS rn FROM named),
   env AS (SELECT id, assoc, category, max(grouper) AS g, max(modified_by) AS m FROM el GROUP BY 1, 2, 3),

@@ -74,6 +74,12 @@ _ORDER = "l_linenumber, l_partkey, l_suppkey, l_returnflag"
 CONFIGURATION = _LANDING_CONFIGURATION.format(
     aggregate=f"listagg(el, ',') WITHIN GROUP (ORDER BY {_ORDER})", attributes=ATTRIBUTES
 )
+# The next delivery: every fifth order comes with its first attribute alone, the others as they were.
+NEXT_CONFIGURATION = _LANDING_CONFIGURATION.format(
+    aggregate=f"listagg(el, ',') WITHIN GROUP (ORDER BY {_ORDER})",
+    attributes=f"""SELECT * FROM (SELECT a.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ORDER}) AS rn FROM ({ATTRIBUTES}) a) n
+      WHERE rn = 1 OR l_orderkey % 5 <> 0""",
+)
 # The same attributes arriving in up to three deliveries per order.
 _DELIVERIES = """
 SELECT 'C' || CAST(l_orderkey AS STRING) AS ID, 'A' || CAST(l_orderkey AS STRING) AS Product_Association_ID,

@@ -14,7 +14,7 @@ from workload import inputs
 from workload.columns import VALID_SQL, WITH_CHECKED
 from workload.documents import LEVEL_1_SQL, VALUE_A, documents_sql, wide_sql
 from workload.history import CONTACTS_CLOSED, CONTACTS_SQL, WITH_GROUPS
-from workload.registry import AS_OF_SQL, OPEN_SQL, as_of, derived, key_sql, query
+from workload.registry import AS_OF_SQL, AS_OF_TEXT, OPEN_SQL, as_of, derived, key_sql, query
 
 # Active customers before the load: two in three would change.
 CUSTOMER_HISTORY = """
@@ -207,6 +207,38 @@ def mapped_load(spark, sf):
     ).history
 
 
+_NEXT_ELEMENTS = f"SELECT * FROM ({inputs.ELEMENTS_CHECK}) e WHERE pos = 0 OR CAST(substr(id, 2) AS BIGINT) % 5 <> 0"
+_UNIT = "CASE CAST(substr(id, 2) AS BIGINT) % 4 WHEN 0 THEN '3PY' WHEN 1 THEN 'PBM' WHEN 2 THEN 'HCB' ELSE 'Medicare' END"
+_AS_NEW = f"id AS sf_product_configuration_id, assoc AS sf_product_association_id, {_UNIT} AS business_unit_cd, {_DOCUMENTS}"
+_NEXT = "TIMESTAMP '2026-02-01 00:00:00'"
+
+
+@query(
+    "product_configuration_reload",
+    f"""WITH b1 AS (WITH {documents_sql(VALUE_A, 'name')} SELECT id, assoc, {wide_sql(fv.CATEGORIES)} FROM docs GROUP BY 1, 2),
+      b2 AS (WITH {documents_sql(VALUE_A, 'name', elements=_NEXT_ELEMENTS)} SELECT id, assoc, {wide_sql(fv.CATEGORIES)} FROM docs GROUP BY 1, 2),
+      hit AS (SELECT b1.id FROM b1 JOIN b2 ON b1.id = b2.id WHERE {' OR '.join(f"b1.{d} IS DISTINCT FROM b2.{d}" for d in fv.CATEGORIES.values())})
+    SELECT {_AS_NEW}, CASE WHEN id IN (SELECT id FROM hit) THEN 'Inactive' ELSE 'Active' END AS record_status_cd,
+      CASE WHEN id IN (SELECT id FROM hit) THEN 'N' ELSE 'Y' END AS active_record_ind, {AS_OF_SQL} AS record_start_dts,
+      CASE WHEN id IN (SELECT id FROM hit) THEN {_NEXT} ELSE {OPEN_SQL} END AS record_end_dts FROM b1
+    UNION ALL SELECT {_AS_NEW}, 'Active', 'Y', {_NEXT}, {OPEN_SQL} FROM b2 WHERE id IN (SELECT id FROM hit)""",
+)
+def product_configuration_reload(spark, sf):
+    """Two deliveries, one after the other: the history's documents are those of the first."""
+    entitlement = derived(spark, sf, inputs.ENTITLEMENT)
+    names = (
+        "sf_product_configuration_id string, sf_product_association_id string, business_unit_cd string, "
+        + ", ".join(f"{d} string" for d in fv.CATEGORIES.values())
+        + ", record_status_cd string, active_record_ind string, record_start_dts timestamp_ntz, record_end_dts timestamp_ntz"
+    )
+    history = spark.createDataFrame([], names)
+    for landing, moment in ((inputs.CONFIGURATION, AS_OF_TEXT), (inputs.NEXT_CONFIGURATION, "2026-02-01 00:00:00")):
+        rows = derived(spark, sf, landing, payloads=True)
+        as_of_then = F.lit(moment).cast("timestamp_ntz")
+        history = tables.stage(loads.product_configuration_load(rows, entitlement, history, as_of_then).history, "reload")
+    return history
+
+
 # --- rejected rows and flags of the other loads ------------------------------------------------
 
 # Some structures, contacts and configurations arrive several times in one batch.
