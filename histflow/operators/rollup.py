@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from histflow import fixed_values as fv
 from histflow.functions.documents import json_elements, json_member, json_object, json_quote, scalar_only, with_scalars
 from histflow.functions.scalar import clean_key, decode_ampersand, split_list, underscore_spaces
-from histflow.operators.quality import duplicate_keys
 from histflow.operators.spread import spread_join
 from histflow.sources.tables import stage
 
@@ -301,15 +300,18 @@ def eav_rollup(
     """
     ids, arrays = list(ids), dict(arrays or {})
     key_rule = clean_key if clean_keys else (lambda c: c)
-    # Read from the ids alone, and written: if Spark sees that it is small, the payloads need not move.
-    several = stage(duplicate_keys(df.select(*ids), ids).select(*ids), "several-payloads")
     keyed = reduce(lambda a, b: a & b, [F.col(i).isNotNull() for i in ids])
-    single = spread_join(df.where(keyed), several, ids, "left_anti")
-    # a NULL matches nothing, so rows without an id are merged like those of several payloads
-    many = spread_join(df.where(keyed), several, ids, "left_semi").unionByName(df.where(~keyed))
-    wide_row = _rolled_in_the_row(single, ids, payload, documents, arrays, association, value_rule, key_rule, latest).unionByName(
-        _rolled_together(many, ids, payload, documents, arrays, association, value_rule, key_rule, order_by, latest)
-    )
+    # Read from the ids alone, and written: where it is empty nothing is joined, and where Spark sees that it is
+    # small the payloads need not move. A NULL matches nothing, so rows without an id are merged like several.
+    counts = df.groupBy(*ids).agg(F.count(F.lit(1)).alias("__n"))
+    several = stage(counts.where((F.col("__n") > 1) | ~keyed).select(*ids), "several-payloads")
+    rules = (documents, arrays, association, value_rule, key_rule)
+    if several.isEmpty():
+        wide_row = _rolled_in_the_row(df, ids, payload, *rules, latest)
+    else:
+        single = spread_join(df.where(keyed), several, ids, "left_anti")
+        many = spread_join(df.where(keyed), several, ids, "left_semi").unionByName(df.where(~keyed))
+        wide_row = _rolled_in_the_row(single, ids, payload, *rules, latest).unionByName(_rolled_together(many, ids, payload, *rules, order_by, latest))
     if not per_delivery:
         return wide_row
     deliveries = df.where(F.size(json_elements(payload)) > 0).select(*ids, *per_delivery).distinct()

@@ -51,10 +51,17 @@ def test_rollup_stays_in_the_row(spark, tmp_path):
     from histflow.operators.rollup import eav_rollup
 
     element = '{"Attribute_Category__c":"Billing","AttributeName__c":"a","Attribute_Value__c":"1"}'
-    spark.createDataFrame([(f"c{i}", "x", f"[{element}]") for i in range(50)], "ID string, Product_Association_ID string, Payload string").write.parquet(
-        str(tmp_path / "landing")
-    )
-    wide = eav_rollup(spark.read.parquet(str(tmp_path / "landing")), ["ID", "Product_Association_ID"], fv.CATEGORIES)
+    ids = ["ID", "Product_Association_ID"]
+    landing = spark.createDataFrame([(f"c{i}", "x", f"[{element}]") for i in range(50)], "ID string, Product_Association_ID string, Payload string")
+    landing.write.parquet(str(tmp_path / "single"))
+    wide = eav_rollup(spark.read.parquet(str(tmp_path / "single")), ids, fv.CATEGORIES)
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1 and wide.count() == 50
+    for word in ("Exchange", "Generate", "Join", "Aggregate"):
+        assert word not in text
+
+    landing.unionByName(landing.limit(1)).write.parquet(str(tmp_path / "several"))
+    wide = eav_rollup(spark.read.parquet(str(tmp_path / "several")), ids, fv.CATEGORIES)
     row, many = wide._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)
     assert row.count("from_json(") == 1 and many.count("from_json(") == 1
     assert "Generate" not in row and "Generate" in many
