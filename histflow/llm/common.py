@@ -6,6 +6,7 @@ import os
 import re
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +76,28 @@ def ship(spark: SparkSession) -> None:
     context._histflow_shipped = True
 
 
+def give_back() -> None:
+    """Return a task's freed memory to the system: Python workers live on, and further stages share them."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
+def frugal(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over batches that gives its memory back at its end."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
 # ---- hashes of word windows ---------------------------------------------------
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

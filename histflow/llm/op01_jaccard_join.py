@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from histflow.llm.common import lower_words, shingle_hashes, ship, stage
+from histflow.llm.common import frugal, lower_words, shingle_hashes, ship, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -127,7 +127,7 @@ def _signatures(docs: DataFrame, text: str, doc_id: str, shingle: int) -> DataFr
                 out.append(signature(np.unique(found)).tobytes() if len(found) else None)
             yield pd.DataFrame({"key": pdf["key"], "doc_id": pdf["doc_id"], "sig": pd.Series(out, dtype=object)})
 
-    signed = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(sign, "key binary, doc_id string, sig binary")
+    signed = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(frugal(sign), "key binary, doc_id string, sig binary")
     return signed.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
@@ -146,7 +146,7 @@ def _band_rows(nodes: DataFrame) -> DataFrame:
             mixed ^= mixed >> np.uint64(29)
             yield pd.DataFrame({"bucket": mixed.view(np.int64).ravel(), "band": np.tile(np.arange(n, dtype=np.int32), len(pdf)), "id": np.repeat(pdf["id"].to_numpy(), n)})
 
-    return nodes.where("sig IS NOT NULL").select("id", "sig").mapInPandas(cut, "bucket bigint, band int, id bigint")
+    return nodes.where("sig IS NOT NULL").select("id", "sig").mapInPandas(frugal(cut), "bucket bigint, band int, id bigint")
 
 
 _RNG_BANDS = _RNG.integers(0, 2**63, VALUES // BAND, dtype=np.uint64)
@@ -207,7 +207,7 @@ def _prune(units: DataFrame, threshold: float, tolerance: float) -> DataFrame:
         yield pd.DataFrame({"unit": np.array(out_unit, np.int64), "id": np.array(out_id, np.int64), "partners": pd.Series(out_partners, dtype=object)})
 
     dealt = units.repartition("unit").sortWithinPartitions("unit")
-    return dealt.mapInPandas(prune, "unit bigint, id bigint, partners array<bigint>")
+    return dealt.mapInPandas(frugal(prune), "unit bigint, id bigint, partners array<bigint>")
 
 
 def jaccard(a: set, b: set) -> float:
@@ -250,7 +250,7 @@ def _verify(members: DataFrame, threshold: float, shingle: int) -> DataFrame:
                 yield pd.DataFrame({"id": kept, "n_links": [links[i] for i in kept], "root": [find(i) for i in kept]})
 
     dealt = members.repartition("unit").sortWithinPartitions("unit")
-    return dealt.mapInPandas(verify, "id bigint, n_links bigint, root bigint")
+    return dealt.mapInPandas(frugal(verify), "id bigint, n_links bigint, root bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from histflow.llm.common import discard, mix, shingle_hashes, ship, stage
+from histflow.llm.common import discard, frugal, give_back, mix, shingle_hashes, ship, stage
 
 ORDER = 5
 WINDOW = 8
@@ -41,6 +41,8 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30
 #: Characters that are counted before a task's counts are merged.
 COUNT_CHARS = 4 << 20
+#: Different n-grams that a task holds before it passes them on.
+HELD_GRAMS = 1 << 19
 #: Characters that are hashed together, about.
 SCORE_CHARS = 1 << 18
 #: Bytes of text that ask for their n-grams together, and for which there is a bucket of the model.
@@ -169,12 +171,12 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 if held >= COUNT_CHARS:
                     merge()
                     held = 0
-                    if sum(map(len, found.values())) > 1 << 20:  # Spark adds up the rest
+                    if sum(map(len, found.values())) > HELD_GRAMS:  # Spark adds up the rest
                         yield from rows()
         merge()
         yield from rows()
 
-    return docs.select("lang", "text").mapInPandas(count, "lang string, gram string, c bigint").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return docs.select("lang", "text").mapInPandas(frugal(count), "lang string, gram string, c bigint").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
 # ---- the model -----------------------------------------------------------------------
@@ -513,16 +515,17 @@ def measure(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str
                     | {"log_ppl": pd.Series(values, dtype="float64").astype(object).where(~np.isnan(values), None)}
                 )
             )
+        give_back()
         return pd.concat(out, ignore_index=True)
 
     answers = (
         entries.mapInPandas(deal, "bucket bigint, key bigint, logp float")
         .groupBy("bucket")
-        .cogroup(rows.mapInPandas(ask, "bucket bigint, block bigint, asked binary").groupBy("bucket"))
+        .cogroup(rows.mapInPandas(frugal(ask), "bucket bigint, block bigint, asked binary").groupBy("bucket"))
         .applyInPandas(answer, "block bigint, bucket bigint, found binary")
     )
     return (
-        rows.mapInPandas(pack, "block bigint, rows binary")
+        rows.mapInPandas(frugal(pack), "block bigint, rows binary")
         .groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInPandas(
