@@ -2,28 +2,30 @@
 
 A byte goes if it lies in a 50-byte string that also starts in a document with a
 smaller id. That needs the equal 50-byte prefixes among all suffixes, together with
-the least document of each. Three steps keep the suffix sort to what can repeat:
+the least document of each. Two steps keep the suffix sort to what can repeat:
 
 1. Every 50-byte window has a seed, its 32-byte string with the least hash. Equal
    windows have equal seeds, so a window whose seed stands in one document only
-   cannot repeat. What is left is cut into chunks at places that the content decides.
-2. Equal chunks are one chunk with its least document.
-3. A chunk whose seeds stand in no other chunk has no more repeats than itself. The
-   others are cut into their runs of windows with one seed, for which the same holds;
-   what is still open goes to the suffix sort.
-
-The suffix sort, over all runs left: positions 1 and 2 mod 3 are the sample. Their
-triples of three bytes are sorted and named by rank, then triples of those names (27
-bytes). Any two positions then have equal prefixes of 50 bytes exactly if the keys
-made of the names and bytes at the places that the difference cover gives them agree:
-one byte and the names behind it for positions 0 and 1, two bytes for 0 and 2, the
-names alone for 1 and 2. Sorting these keys merges the remaining positions with the
-sample; a group of equal keys (adjacent, at least 50 bytes in common) has a least
-document.
+   cannot repeat.
+2. The other windows stand in runs: neighbours with one seed in one place. Equal runs
+   are one run (a run is named by its length and the hashes of the three 32-byte
+   strings that cover it, 104 bits in all) with its least document. In any later
+   document such a run goes whole. In its least document it can only go where a run
+   of other content has the same seed and a smaller least document, so a seed whose
+   runs all have one least document is settled. For every other seed the sort gets
+   each run once, from its least document.
+
+The suffix sort, over all runs left, neighbours joined: positions 1 and 2 mod 3 are
+the sample. Their prefixes of 27 bytes are sorted and named by rank. Any two positions
+then have equal prefixes of 50 bytes exactly if the keys made of the names and bytes at
+the places that the difference cover gives them agree: one byte and the names behind it
+for positions 0 and 1, two bytes for 0 and 2, the names alone for 1 and 2. Sorting these
+keys merges the remaining positions with the sample; a group of equal keys (adjacent, at
+least 50 bytes in common) has a least document.
 
 Each sort is distributed: blocks send their distinct keys, sorted, to ranges between
-sampled splitters; a range merges them and answers each block in order. So a key that
-stands in a third of all places is sent once by each block.
+splitters; a range merges them and answers each block in order. So a key that stands
+in a third of all places is sent once by each block.
 """
 
 from __future__ import annotations
@@ -36,26 +38,30 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from histflow.llm.common import discard, mix, ship, stage
+from histflow.llm.common import discard, give_back, mix, ship, stage
 
 LENGTH = 50
 SEED = 32
 REACH = LENGTH - SEED + 1
-#: UTF-8 bytes in a block of documents, and of chunks.
+#: UTF-8 bytes in a block of documents, and of what is sorted.
 DOC_BLOCK = 4 << 20
 CHUNK_BLOCK = 1 << 19
 #: Bytes that are hashed at a time.
 PIECE = 1 << 18
-#: One seed in so many begins a chunk.
-CHUNK_EVERY = 8
 #: Keys that the splitters of a sort are chosen from, at most.
 SAMPLED = 20_000
+#: A block of documents may leave so many blocks to the sort, and a task have so many blocks: bits of a block's number.
+PIECE_BITS = TASK_BITS = 20
+#: Bytes and bits of a name: the range that gave it, and the rank inside.
+NAME, RANK_BITS = 6, 28
 NO_ID = 2**63 - 1
 
 _RNG = np.random.Generator(np.random.PCG64(505))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 _MULT = [_RNG.integers(1, 2**63, dtype=np.uint64) | np.uint64(1) for _ in range(5)]
 _PLACE = np.uint64((1 << 24) - 1)
+_SEED_BITS = np.uint64((1 << 40) - 1)
+_SPREAD = np.uint64(0x9E3779B97F)
 
 
 def _pack(x) -> bytes:
@@ -70,11 +76,11 @@ def _unpack(x: bytes):
     return pickle.loads(zstandard.ZstdDecompressor().decompress(x))
 
 
-def seeds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each 50-byte window of ``data`` the hash (40 bits) and the place of its seed."""
+def seeds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each 50-byte window of ``data`` the hash (40 bits) and the place of its seed; the hash of each 32-byte string."""
     if len(data) < LENGTH:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    values, places = [], []
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    values, places, strings = [], [], []
     last = len(data) - LENGTH + 1
     for a in range(0, last, PIECE):
         h = _BYTE[data[a : min(a + PIECE, last) + LENGTH - 1]]
@@ -82,7 +88,9 @@ def seeds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for m in _MULT:
             h = h[:-width] * m + h[width:]
             width *= 2
-        v = mix(h) & ~_PLACE | np.arange(len(h), dtype=np.uint64)
+        h = mix(h)
+        strings.append(h[:PIECE] if a + PIECE < last else h)
+        v = h & ~_PLACE | np.arange(len(h), dtype=np.uint64)
         width = 1
         while width * 2 <= REACH:
             v = np.minimum(v[:-width], v[width:])
@@ -90,14 +98,15 @@ def seeds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = np.minimum(v[: len(v) - (REACH - width)], v[REACH - width :])
         values.append(v >> np.uint64(24))
         places.append((v & _PLACE).astype(np.int64) + a)
-    return np.concatenate(values), np.concatenate(places)
+    return np.concatenate(values), np.concatenate(places), np.concatenate(strings)
 
 
-def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """The windows of texts in runs of the same seed.
 
-    For each run: the text's number, its first window, the window after it, and the
-    seed's hash. Texts are hashed end to end, windows over an end left out.
+    For each run: the text's number, its first window, the window after it, the
+    seed's hash and the run's own. Texts are hashed end to end, windows over an end
+    left out.
     """
     out = []
     a = 0
@@ -108,13 +117,11 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
             b += 1
         out.append(_runs(texts[a:b], a))
         a = b
-    if not out:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*out))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else _runs([], 0)
 
 
-def _runs(texts: list[bytes], number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    values, places = seeds(np.frombuffer(b"".join(texts), np.uint8))
+def _runs(texts: list[bytes], number: int) -> tuple[np.ndarray, ...]:
+    values, places, strings = seeds(np.frombuffer(b"".join(texts), np.uint8))
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     text = np.repeat(np.arange(len(texts)), sizes)[: len(values)]
@@ -124,7 +131,11 @@ def _runs(texts: list[bytes], number: int) -> tuple[np.ndarray, np.ndarray, np.n
     first = np.flatnonzero(inside & other)
     text = text[first]
     after = np.minimum(np.append(first[1:], len(values)), (starts + sizes)[text] - LENGTH + 1)
-    return text + number, first - starts[text], after - starts[text], values[first]
+    # The seed, which is in all windows, lies between the first 32 bytes and the last, or over them.
+    own = mix(strings[first] + (after - first).astype(np.uint64))
+    own = mix(mix(own + strings[places[first]]) + strings[after - 1 + LENGTH - SEED])
+    # Least hashes are small numbers; the product (a bijection) spreads them.
+    return text + number, first - starts[text], after - starts[text], values[first] * _SPREAD & _SEED_BITS, own
 
 
 def _member(some: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -135,13 +146,35 @@ def _member(some: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 # ---- a sort over blocks -------------------------------------------------------------
+def _order(keys: np.ndarray) -> np.ndarray:
+    """The order that sorts keys: by eight bytes first, and by the rest where those are equal."""
+    if keys.dtype.kind != "S":
+        return np.argsort(keys)
+    width = keys.dtype.itemsize
+    table = np.zeros((len(keys), -(-width // 8) * 8), np.uint8)
+    table[:, :width] = np.frombuffer(keys.tobytes(), np.uint8).reshape(-1, width)
+    columns = [c.astype(np.uint64) for c in table.view(">u8").T]
+    order = np.argsort(columns[0])
+    lead = columns[0][order]
+    same = np.zeros(len(keys) + 1, bool)
+    same[1:-1] = lead[1:] == lead[:-1]
+    tied = np.flatnonzero(same[1:] | same[:-1])
+    if len(columns) > 1 and len(tied):
+        some = order[tied]
+        order[tied] = some[np.lexsort([c[some] for c in reversed(columns)])]
+    return order
+
+
 def _sorted_unique(keys: np.ndarray, values: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    unique, inverse = np.unique(keys, return_inverse=True)
-    if values is None:
-        return unique, inverse, None
-    least = np.full(len(unique), NO_ID, np.int64)
-    np.minimum.at(least, inverse, values)
-    return unique, inverse, least
+    order = _order(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new)
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    least = None if values is None else np.minimum.reduceat(values[order], starts) if len(starts) else np.empty(0, np.int64)
+    return keys[starts], inverse, least
 
 
 def _planes(keys: np.ndarray) -> tuple[str, int, bytes]:
@@ -157,9 +190,9 @@ def _keys(planes: tuple[str, int, bytes]) -> np.ndarray:
 def resolve(blocks: DataFrame, keys_of: Callable, answer_of: Callable, splitters: np.ndarray) -> DataFrame:
     """(block, found): for each block the answers to its keys, in order of its sorted distinct keys.
 
-    ``keys_of(data)``: keys and values (or None) of a block. ``answer_of(ranks,
-    values, n)``: an answer for each of the ``n`` distinct keys of a range, given
-    the blocks' keys as ranks. Ranges are cut at ``splitters``.
+    ``keys_of(data)``: keys and values (or None) of a block. ``answer_of(keys, ranks,
+    values)``: an answer for each of the distinct keys of a range, given what the
+    blocks sent as ranks and values. Ranges are cut at ``splitters``.
     """
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,59 +201,71 @@ def resolve(blocks: DataFrame, keys_of: Callable, answer_of: Callable, splitters
                 unique, _, values = _sorted_unique(*keys_of(_unpack(data)))
                 cuts = np.concatenate([[0], np.searchsorted(unique, splitters), [len(unique)]])
                 out = [(r, _pack((_planes(unique[a:b]), None if values is None else values[a:b]))) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                del unique, values
                 yield pd.DataFrame({"range": pd.Series([x[0] for x in out], dtype="int64"), "block": block, "asked": pd.Series([x[1] for x in out], dtype=object)})
+                give_back()
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         asked = [_unpack(x) for x in pdf["asked"]]
-        keys = [_keys(k) for k, _ in asked]
-        unique, ranks = np.unique(np.concatenate(keys), return_inverse=True)
+        ends = np.cumsum([k[1] for k, _ in asked])
         values = None if asked[0][1] is None else np.concatenate([v for _, v in asked])
-        found = answer_of(ranks, values, len(unique))[ranks]
-        ends = np.cumsum([len(k) for k in keys])
-        parts = np.split(found, ends[:-1])
-        return pd.DataFrame({"block": pdf["block"], "range": pdf["range"], "found": [_pack((int(pdf["range"].iloc[0]), x)) for x in parts]})
+        keys = np.concatenate([_keys(k) for k, _ in asked])
+        del asked
+        unique, ranks, _ = _sorted_unique(keys, None)
+        del keys
+        found = answer_of(unique, ranks, values)[ranks]
+        out = pd.DataFrame({"block": pdf["block"], "range": pdf["range"], "found": [_pack((int(pdf["range"].iloc[0]), x)) for x in np.split(found, ends[:-1])]})
+        del unique, ranks, values, found
+        give_back()
+        return out
 
     asked = blocks.mapInPandas(ask, "range bigint, block bigint, asked binary")
     return asked.groupBy("range").applyInPandas(answer, "block bigint, range bigint, found binary")
 
 
-def _gathered(found: pd.DataFrame, ranked: bool) -> np.ndarray:
+def _gathered(found: pd.DataFrame, ranked: bool = False) -> np.ndarray:
     """A block's answers in key order; ranks of a range follow those of the range before."""
     parts = sorted((_unpack(x) for x in found["found"]), key=lambda x: x[0])
     if not parts:
         return np.empty(0, np.int64)
-    return np.concatenate([(x + (np.int64(r) << np.int64(32)) if ranked else x) for r, x in parts])
+    return np.concatenate([(x + (np.int64(r) << np.int64(RANK_BITS)) if ranked else x) for r, x in parts])
 
 
-def _ranks(ranks: np.ndarray, values, n: int) -> np.ndarray:
-    return np.arange(n, dtype=np.int64)
+def _ranks(keys: np.ndarray, ranks: np.ndarray, values) -> np.ndarray:
+    if len(keys) >> RANK_BITS:
+        raise OverflowError("a range of the sort has more keys than names")
+    return np.arange(len(keys), dtype=np.int64)
 
 
-def _least(ranks: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.full(n, NO_ID, np.int64)
+def _least(keys: np.ndarray, ranks: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = np.full(len(keys), NO_ID, np.int64)
     np.minimum.at(out, ranks, values)
     return out
 
 
-def _sample(blocks: DataFrame, keys_of: Callable, n_blocks: int) -> np.ndarray:
-    """Splitters: quantiles of keys sampled evenly from each block, at most ``SAMPLED`` in all."""
-    each = max(1, SAMPLED // max(1, n_blocks))
+def _sample(blocks: DataFrame, keys_of: Callable, ranges: int) -> np.ndarray:
+    """Splitters for so many ranges: quantiles of keys sampled evenly from each block, at most about ``SAMPLED`` in all."""
+    if ranges < 2:
+        return np.empty(0, "S1")
+    each = max(1, SAMPLED // ranges)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for block, data in zip(pdf["block"], pdf["data"]):
-                if n_blocks > SAMPLED and block % (n_blocks // SAMPLED + 1):
+                if ranges > SAMPLED and (block >> PIECE_BITS) % (ranges // SAMPLED + 1):
                     continue
-                unique = np.unique(keys_of(_unpack(data))[0])
+                keys = keys_of(_unpack(data))[0]
+                # Some of the places are enough, and no key counts twice.
+                unique = np.unique(keys[:: max(1, len(keys) // (each * 16))])
                 some = unique[:: max(1, len(unique) // each)][:each]
-                yield pd.DataFrame({"key": [x.tobytes() for x in some]})
+                width = some.dtype.itemsize
+                yield pd.DataFrame({"key": [x.ljust(width, b"\0") for x in some.tolist()]})
 
     got = [bytes(r.key) for r in blocks.mapInPandas(draw, "key binary").collect()]
     if not got:
         return np.empty(0, "S1")
     keys = np.sort(np.array(got, f"S{len(got[0])}"))
-    ranges = max(1, n_blocks)
-    return np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]]) if ranges > 1 else keys[:0]
+    return np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]])
 
 
 # ---- documents in blocks ---------------------------------------------------------------
@@ -235,28 +280,28 @@ def _doc_blocks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        base, n, held, rows = TaskContext.get().partitionId() << 32, 0, 0, []
+        base, n, held, rows = TaskContext.get().partitionId() << PIECE_BITS + TASK_BITS, 0, 0, []
         for pdf in batches:
             for name, i, t in zip(pdf["name"], pdf["id"], pdf["text"]):
                 rows.append((name, i, t.encode() if t else b""))
                 held += len(rows[-1][2])
                 if held >= DOC_BLOCK:
-                    yield pd.DataFrame({"block": [base + n], "data": [_pack(rows)]})
+                    yield pd.DataFrame({"block": [base + (n << PIECE_BITS)], "data": [_pack(rows)]})
                     n, held, rows = n + 1, 0, []
         if rows:
-            yield pd.DataFrame({"block": [base + n], "data": [_pack(rows)]})
+            yield pd.DataFrame({"block": [base + (n << PIECE_BITS)], "data": [_pack(rows)]})
 
     return narrow.mapInPandas(pack, "block bigint, data binary")
 
 
 def _doc_seeds(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    return _seeds_of(runs([t for _, _, t in rows]))
+    text, _, _, hashes, _ = runs([t for _, _, t in rows])
+    return _seeds_of(text, hashes)
 
 
-def _seeds_of(found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+def _seeds_of(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct seeds of a block's runs; the value is 1 for a seed of two documents or more, else 2."""
-    text, _, _, hashes = found
-    order = np.lexsort((text, hashes))
+    order = np.argsort(hashes, kind="stable")  # texts stay in order
     text, hashes = text[order], hashes[order]
     new = np.ones(len(hashes), bool)
     new[1:] = hashes[1:] != hashes[:-1]
@@ -268,23 +313,80 @@ def _seeds_of(found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[starts], np.where(np.logical_or.reduceat(again, starts), 1, 2).astype(np.int64)
 
 
-def _shared(ranks: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+def _shared(keys: np.ndarray, ranks: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Whether a seed stands in two documents: of one block (value 1), or of two."""
-    return (np.bincount(ranks, minlength=n) > 1) | (_least(ranks, values, n) == 1)
+    return (np.bincount(ranks, minlength=len(keys)) > 1) | (_least(keys, ranks, values) == 1)
+
 
+def _joined(text: np.ndarray, first: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which runs are the first, and which the last, of neighbours in a text."""
+    begins = np.ones(len(text), bool)
+    begins[1:] = (text[1:] != text[:-1]) | (first[1:] != after[:-1])
+    return np.flatnonzero(begins), np.flatnonzero(np.append(begins[1:], True)[: len(text)])
 
-def _chunks(texts: list[bytes], found: tuple[np.ndarray, ...], shared: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """(text, first window, bytes) of the chunks of runs whose seeds are among ``shared``."""
-    text, first, after, hashes = found
-    if not len(first):
-        return
-    keep = _member(shared, hashes)
-    joined = np.zeros(len(keep), bool)  # to the run before
-    joined[1:] = keep[:-1] & keep[1:] & (text[1:] == text[:-1]) & (mix(hashes[1:]) % np.uint64(CHUNK_EVERY) != 0)
-    starts = np.flatnonzero(keep & ~joined)
-    ends = np.flatnonzero(keep & ~np.append(joined[1:], False))
-    for place, i, j in zip(text[starts].tolist(), first[starts].tolist(), after[ends].tolist()):
-        yield place, i, texts[place][i : j + LENGTH - 1]
+
+def _shared_runs(rows: list, found: np.ndarray) -> dict:
+    """The runs of a block whose seeds stand in several documents, with their bytes.
+
+    A run's bytes begin at ``at`` in ``bytes``, where neighbours overlap.
+    """
+    texts = [t for _, _, t in rows]
+    text, first, after, hashes, own = runs(texts)
+    known, _ = _seeds_of(text, hashes)
+    keep = _member(known[found], hashes)
+    text, first, after, hashes, own = (x[keep] for x in (text, first, after, hashes, own))
+    begin, end = _joined(text, first, after)
+    parts = [texts[p][a : b + LENGTH - 1] for p, a, b in zip(text[begin].tolist(), first[begin].tolist(), after[end].tolist())]
+    sizes = np.array([len(x) for x in parts], np.int64)
+    at = first + np.repeat(np.cumsum(sizes) - sizes - first[begin], end - begin + 1)
+    return {"text": text, "first": first, "n": (after - first).astype(np.uint8), "seed": hashes, "own": own, "id": np.array([i for _, i, _ in rows], np.int64), "at": at, "bytes": b"".join(parts)}
+
+
+def _run_keys(data: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Seed and name of each run, and its document."""
+    return _as_keys(_big(data["seed"], 5), _big(data["own"], 8)), data["id"][data["text"]]
+
+
+def _least_runs(keys: np.ndarray, ranks: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The least document of each run, and whether runs of its seed have different ones."""
+    least = _least(keys, ranks, values)
+    seed = np.frombuffer(keys.tobytes(), np.uint8).reshape(len(keys), -1)[:, :5]
+    new = np.ones(len(keys), bool)
+    new[1:] = (seed[1:] != seed[:-1]).any(axis=1)
+    starts = np.flatnonzero(new)
+    differ = np.minimum.reduceat(least, starts) < np.maximum.reduceat(least, starts)
+    return np.stack([least, differ[np.cumsum(new) - 1]], axis=1)
+
+
+def _settle(data: dict, found: np.ndarray) -> tuple[tuple[np.ndarray, ...], list[dict]]:
+    """Spans (text, a, b) that go as whole runs, and pieces of what is left to the sort.
+
+    A piece: chunks, for each its document, text and first window.
+    """
+    keys, ids = _run_keys(data)
+    _, inverse, _ = _sorted_unique(keys, None)
+    least, differ = found[inverse, 0], found[inverse, 1] > 0
+    text, first, after = data["text"], data["first"], data["first"] + data["n"]
+    gone = ids > least
+    begin, end = _joined(text[gone], first[gone], after[gone])
+    spans = (text[gone][begin], first[gone][begin], after[gone][end] + LENGTH - 1)
+    left = differ & ~gone
+    text, first, after, at = (x[left] for x in (text, first, after, data["at"]))
+    begin, end = _joined(text, first, after)
+    pieces, held = [], CHUNK_BLOCK
+    for p, i, j, o in zip(text[begin].tolist(), first[begin].tolist(), after[end].tolist(), at[begin].tolist()):
+        for a in range(i, j, CHUNK_BLOCK):  # a very long one in several, windows apart
+            b = min(a + CHUNK_BLOCK, j)
+            if held + (b - a) > CHUNK_BLOCK:
+                pieces.append({"chunks": [], "least": [], "text": [], "first": []})
+                held = 0
+            piece = pieces[-1]
+            piece["chunks"].append(data["bytes"][o + a - i : o + b - i + LENGTH - 1])
+            piece["least"].append(int(data["id"][p]))
+            piece["text"].append(p)
+            piece["first"].append(a)
+            held += b - a
+    return spans, pieces
 
 
 # ---- the suffix sort ---------------------------------------------------------------------
@@ -305,42 +407,37 @@ class _Flat:
         return np.flatnonzero((self.cls > 0) & (self.left >= length))
 
 
-def _big(x: np.ndarray) -> np.ndarray:
-    return x.astype(">u8").view(np.uint8).reshape(len(x), 8)
+def _big(x: np.ndarray, width: int) -> np.ndarray:
+    """The last bytes of integers, the highest first."""
+    return x.astype(">u8").view(np.uint8).reshape(len(x), 8)[:, 8 - width :]
 
 
 def _as_keys(*columns: np.ndarray) -> np.ndarray:
-    table = np.ascontiguousarray(np.concatenate([c.reshape(len(c), -1) for c in columns], axis=1))
+    table = np.ascontiguousarray(np.concatenate([c if c.ndim == 2 else c[:, None] for c in columns], axis=1))
     return table.view(f"S{table.shape[1]}").ravel()
 
 
-def _triples(data: dict) -> tuple[np.ndarray, None]:
-    """Triples of three bytes at the sampled positions."""
+def _prefixes(data: dict) -> tuple[np.ndarray, None]:
+    """The 27 bytes ahead of the sampled positions."""
     flat = _Flat(data)
-    at = flat.sample(9)
-    return _as_keys(flat.bytes[at[:, None] + np.arange(9)]), None
-
-
-def _name_triples(data: dict) -> tuple[np.ndarray, None]:
-    """Triples of names at the sampled positions: 27 bytes."""
-    flat, name = _Flat(data), data["names"]
     at = flat.sample(27)
-    return _as_keys(_big(name[at]), _big(name[at + 9]), _big(name[at + 18])), None
+    return _as_keys(np.lib.stride_tricks.sliding_window_view(flat.bytes, 27)[at] if len(at) else np.empty((0, 27), np.uint8)), None
 
 
 def _cover_keys(data: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Both keys of each position with 50 bytes ahead, and its chunk's least document."""
-    flat, name = _Flat(data), data["names"]
-    byte = flat.bytes
+    """Both keys of each position with 50 bytes ahead, and its chunk's document."""
+    flat = _Flat(data)
+    byte, name = flat.bytes, np.zeros(len(flat.bytes), np.int64)
+    name[flat.sample(27)] = data["names"]
     out, values = [], []
     for tag, classes, where in ((0, (0, 1), 1), (1, (0, 2), 2), (2, (1, 2), 0)):
         at = _cover_places(flat, classes)
         tags = np.full((len(at), 1), 65 + tag, np.uint8)
-        near, far = _big(name[at + where]), _big(name[at + where + 21])
+        near, far = _big(name[at + where], NAME), _big(name[at + where + 21], NAME)
         if where == 1:
-            parts = (byte[at], near, far, byte[at + 49])
+            parts = (near, far, byte[at], byte[at + 49])
         elif where == 2:
-            parts = (byte[at], byte[at + 1], near, far)
+            parts = (near, far, byte[at], byte[at + 1])
         else:
             parts = (near, far, byte[at + 48], byte[at + 49])
         out.append(_as_keys(tags, *parts))
@@ -352,182 +449,103 @@ def _cover_places(flat: _Flat, classes: tuple[int, int]) -> np.ndarray:
     return np.flatnonzero(np.isin(flat.cls, classes) & (flat.left >= LENGTH))
 
 
-def _named(keys_of: Callable, length: int) -> Callable:
-    """Give the names that a sort found to the sampled positions of a block."""
-
-    def apply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for block, packed in zip(left["block"], left["data"]):
-            data = _unpack(packed)
-            flat = _Flat(data)
-            _, inverse, _ = _sorted_unique(*keys_of(data))
-            names = np.zeros(len(flat.bytes), np.int64)
-            names[flat.sample(length)] = _gathered(right, True)[inverse] if len(inverse) else 0
-            out.append((block, _pack(data | {"names": names})))
-        return pd.DataFrame(out, columns=["block", "data"])
-
-    return apply
+def _named(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Blocks with the names that the sort found for their sampled positions."""
+    out = []
+    for block, packed in zip(left["block"], left["data"]):
+        data = _unpack(packed)
+        _, inverse, _ = _sorted_unique(*_prefixes(data))
+        out.append((block, _pack(data | {"names": _gathered(right, True)[inverse]})))
+        give_back()
+    return pd.DataFrame(out, columns=["block", "data"])
 
 
-def _windows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """(chunk, mins): the least document of each window of each chunk of a block."""
+def _earlier(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """(block, spans): the spans of a block of the sort that an earlier document has, for its block of documents."""
     out = []
-    for packed in left["data"]:
+    for block, packed in zip(left["block"], left["data"]):
         data = _unpack(packed)
         flat = _Flat(data)
         _, inverse, _ = _sorted_unique(*_cover_keys(data))
-        found = _gathered(right, False)[inverse] if len(inverse) else np.empty(0, np.int64)
-        least = np.full(len(flat.bytes), NO_ID, np.int64)
+        found = _gathered(right)[inverse]
+        hit = np.zeros(len(flat.bytes), bool)
         base = 0
         for classes in ((0, 1), (0, 2), (1, 2)):
             at = _cover_places(flat, classes)
-            least[at] = np.minimum(least[at], found[base : base + len(at)])
+            hit[at] |= found[base : base + len(at)] < flat.least[at]
             base += len(at)
-        for i, a, n in zip(data["ids"], flat.starts, flat.sizes):
-            out.append((i, least[a : a + n - LENGTH + 1].tobytes()))
-    return pd.DataFrame(out, columns=["chunk", "mins"])
-
-
-def least_documents(chunks: DataFrame, n_bytes: int) -> DataFrame:
-    """(chunk, mins): for each window of the chunks the least document that has it.
-
-    ``chunks``: chunk (id), content, least. The suffix sort of the module's text.
-    """
-    n = n_bytes // CHUNK_BLOCK + 1
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        data = {"ids": pdf["chunk"].tolist(), "chunks": [bytes(c) for c in pdf["content"]], "least": pdf["least"].tolist()}
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "data": [_pack(data)]})
-
-    dealt = chunks.withColumn("block", F.pmod(F.xxhash64("chunk"), F.lit(n)))
-    blocks = stage(dealt.groupBy("block").applyInPandas(block, "block bigint, data binary"), "chunk-blocks")
-    for keys_of, length in ((_triples, 9), (_name_triples, 27)):
-        found = resolve(blocks, keys_of, _ranks, _sample(blocks, keys_of, n))
-        unnamed = blocks
-        blocks = stage(
-            blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_named(keys_of, length), "block bigint, data binary"), "named-blocks"
-        )
-        discard(unnamed)
-    found = resolve(blocks, _cover_keys, _least, _sample(blocks, _cover_keys, n))
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_windows, "chunk bigint, mins binary")
-
-
-def _least_by_runs(chunks: DataFrame) -> DataFrame:
-    """(chunk, mins) for open chunks: their runs are settled like chunks, and what is left is sorted.
-
-    A run's windows have one seed; equal runs are one run, and a run whose seed is in
-    no other run has no more repeats than itself.
-    """
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [bytes(c) for c in pdf["content"]]
-            place, first, after, hashes = runs(texts)
-            ids, least = pdf["chunk"].to_numpy(), pdf["least"].to_numpy()
-            parts = [texts[p][a : b + LENGTH - 1] for p, a, b in zip(place.tolist(), first.tolist(), after.tolist())]
-            yield pd.DataFrame({"of": ids[place], "at": first, "least": least[place], "seed": hashes.view(np.int64), "content": pd.Series(parts, dtype=object)})
-
-    cuts = chunks.select("chunk", "content", "least").mapInPandas(cut, "of bigint, at bigint, least bigint, seed bigint, content binary")
-    cuts = stage(cuts.withColumn("name", F.unhex(F.md5("content"))), "runs")
-    distinct = cuts.groupBy("name").agg(F.min("least").alias("least"), F.first("seed").alias("seed"), F.first("content").alias("content"))
-    distinct = stage(distinct.withColumn("chunk", F.monotonically_increasing_id()), "distinct-runs")
-    places = stage(cuts.select("of", "at", (F.octet_length("content") - (LENGTH - 1)).alias("n"), "name"), "run-places")
-    discard(cuts)
-    several = distinct.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
-    left = stage(distinct.join(several, "seed", "left_semi").select("chunk", "content", "least"), "open-runs")
-    n_bytes = left.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    names = stage(distinct.select("name", "chunk", "least"), "run-names")
-    discard(distinct)
-    sorted_out = stage(least_documents(left, n_bytes), "sorted-runs")
-    found = names.join(sorted_out, "chunk", "left").drop("chunk")
-    parts = places.join(found, "name")
-    gathered = parts.groupBy("of").agg(F.collect_list(F.struct("at", "n", "least", "mins")).alias("parts"))
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for parts in pdf["parts"]:
-                least = np.empty(sum(p["n"] for p in parts), np.int64)
-                for p in parts:
-                    least[p["at"] : p["at"] + p["n"]] = p["least"] if p["mins"] is None else np.frombuffer(p["mins"], np.int64)
-                out.append(least.tobytes())
-            yield pd.DataFrame({"chunk": pdf["of"], "mins": pd.Series(out, dtype=object)})
-
-    return gathered.mapInPandas(whole, "chunk bigint, mins binary")
+        at = np.flatnonzero(hit)
+        chunk = np.searchsorted(flat.starts, at, "right") - 1
+        begin, end = _joined(chunk, at, at + 1)
+        text, first = np.array(data["text"], np.int64)[chunk[begin]], np.array(data["first"], np.int64)[chunk[begin]] - flat.starts[chunk[begin]]
+        spans = (text, at[begin] + first, at[end] + first + LENGTH)
+        out.append((block >> PIECE_BITS << PIECE_BITS, _pack(spans)))
+        give_back()
+    return pd.DataFrame(out, columns=["block", "spans"])
+
+
+def earlier_spans(blocks: DataFrame, n_bytes: int) -> DataFrame:
+    """(block, spans): what earlier documents have of the blocks' chunks. The suffix sort of the module's text; takes ``blocks`` over."""
+    ranges = min(n_bytes // CHUNK_BLOCK + 1, 1 << 8 * NAME - RANK_BITS)
+    found = resolve(blocks, _prefixes, _ranks, _sample(blocks, _prefixes, ranges))
+    named = stage(blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_named, "block bigint, data binary"), "named-blocks")
+    found = resolve(named, _cover_keys, _least, _sample(named, _cover_keys, ranges))
+    out = stage(named.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_earlier, "block bigint, spans binary"), "sorted-spans")
+    discard(named)
+    return out
 
 
 # ---- the operator ---------------------------------------------------------------------------
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """The documents in blocks, and (block, place, a, b, id, least, mins): chunks with repeats in earlier documents."""
+    """The documents in blocks, and (block, spans): what earlier documents have of theirs, as arrays of text, begin and end."""
     ship(docs.sparkSession)
-    blocks = _doc_blocks(docs, text, doc_id)
+    blocks = stage(_doc_blocks(docs, text, doc_id), "document-blocks")
     size = docs.select(F.sum(F.octet_length(docs[text].cast("string")))).first()[0] or 0
     ranges = max(1, size // DOC_BLOCK)
     even = (np.arange(1, ranges, dtype=np.uint64) << np.uint64(40)) // np.uint64(ranges)
     marks = resolve(blocks, _doc_seeds, _shared, even)
 
-    def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def shared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for block, packed in zip(left["block"], left["data"]):
-            rows = _unpack(packed)
-            texts = [t for _, _, t in rows]
-            own = runs(texts)
-            known, _ = _seeds_of(own)
-            found = _gathered(right, False)
-            if len(found) != len(known):  # only if a task that ran again cut its rows otherwise
-                found = np.ones(len(known), bool)
-            for place, a, content in _chunks(texts, own, known[found.astype(bool)]):
-                out.append((block, place, rows[place][1], a, content))
-        return pd.DataFrame(out, columns=["block", "place", "id", "a", "content"])
-
-    seen = blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(cut, "block bigint, place int, id bigint, a bigint, content binary")
-    seen = stage(seen.withColumn("name", F.unhex(F.md5("content"))), "chunks")
-    distinct = seen.groupBy("name").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.first("content").alias("content"))
-    distinct = stage(distinct.withColumn("chunk", F.monotonically_increasing_id()), "distinct-chunks")
-    places = stage(seen.select("block", "place", "id", "a", (F.col("a") + F.octet_length("content")).alias("b"), "name"), "chunk-places")
-    discard(seen)
-
-    def chunk_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            place, _, _, hashes = runs([bytes(c) for c in pdf["content"]])
-            yield pd.DataFrame({"seed": hashes.view(np.int64), "chunk": pdf["chunk"].to_numpy()[place]})
-
-    standing = distinct.select("chunk", "content").mapInPandas(chunk_seeds, "seed bigint, chunk bigint")
-    spread = standing.groupBy("seed").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"), F.count("*").alias("n")).where("n > 1")
-    # A seed of several chunks marks them all.
-    open_chunks = standing.join(spread.where("lo <> hi").select("seed"), "seed").select("chunk").distinct()
-    unsettled = stage(distinct.join(open_chunks, "chunk", "left_semi").select("chunk", "content", "least"), "open-chunks")
-    names = stage(distinct.select("name", "chunk", "least"), "chunk-names")
-    discard(distinct)
-    mins = stage(_least_by_runs(unsettled), "least-documents")
-    discard(unsettled)
-    settled = names.join(mins, "chunk", "left")
-    hits = places.join(settled, "name")
-    return blocks, hits.where("least < id OR mins IS NOT NULL").drop("name", "chunk")
+            out.append((block, _pack(_shared_runs(_unpack(packed), _gathered(right).astype(bool)))))
+            give_back()
+        return pd.DataFrame(out, columns=["block", "data"])
+
+    def settle(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for block, packed in zip(left["block"], left["data"]):
+            spans, pieces = _settle(_unpack(packed), _gathered(right).reshape(-1, 2))
+            out.append((block, _pack(spans), None, 0))
+            out.extend((block + n, None, _pack(piece), sum(map(len, piece["chunks"]))) for n, piece in enumerate(pieces))
+            del spans, pieces
+            give_back()
+        return pd.DataFrame(out, columns=["block", "spans", "data", "size"])
+
+    several = stage(blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(shared, "block bigint, data binary"), "shared-runs")
+    found = resolve(several, _run_keys, _least_runs, _as_keys(_big(even, 5), np.zeros((len(even), 8), np.uint8)))
+    parts = several.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(settle, "block bigint, spans binary, data binary, size bigint")
+    parts = stage(parts, "settled-runs")
+    discard(several)
+    whole = parts.where("spans IS NOT NULL").select("block", "spans")
+    open_runs = parts.where("data IS NOT NULL").select("block", "data")
+    return blocks, whole.unionByName(earlier_spans(open_runs, parts.agg(F.sum("size")).first()[0] or 0))
 
 
 def _removed(rows: list, hits: pd.DataFrame) -> list[list[tuple[int, int]]]:
     """The maximal removed runs of bytes of each document of a block."""
-    found: dict[int, list[tuple[int, int]]] = {}
-    for place, i, a, b, least, mins in zip(hits["place"], hits["id"], hits["a"], hits["b"], hits["least"], hits["mins"]):
-        if mins is None:
-            if least < i:
-                found.setdefault(place, []).append((a, b))
-            continue
-        hit = np.flatnonzero(np.frombuffer(mins, np.int64) < i)
-        if len(hit):
-            cuts = np.flatnonzero(np.diff(hit) > 1) + 1
-            for part in np.split(hit, cuts):
-                found.setdefault(place, []).append((a + int(part[0]), a + int(part[-1]) + LENGTH))
-    out = []
-    for place in range(len(rows)):
-        merged: list[tuple[int, int]] = []
-        for a, b in sorted(found.get(place, ())):
-            if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        out.append(merged)
+    out: list[list[tuple[int, int]]] = [[] for _ in rows]
+    found = [_unpack(x) for x in hits["spans"]]
+    if not found:
+        return out
+    text, begin, end = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((begin, text))
+    for place, a, b in zip(text[order].tolist(), begin[order].tolist(), end[order].tolist()):
+        merged = out[place]
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        else:
+            merged.append((a, b))
     return out
 
 
@@ -567,6 +585,7 @@ def _finish(docs: DataFrame, text: str, doc_id: str, schema: str, shape: Callabl
                     parts.append(t[at:a])
                     at = b
                 out.append((name, len(t), *shape(spans, b"".join([*parts, t[at:]]))))
+            give_back()
         return pd.DataFrame(out, columns=names)
 
     joined = blocks.groupBy("block").cogroup(hits.groupBy("block")).applyInPandas(keep, f"doc_id string, n_bytes bigint, {schema}")

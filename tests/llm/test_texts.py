@@ -52,6 +52,55 @@ def test_repeats_in_periodic_texts_at_odd_places(spark):
     assert got == brute_repeats([(i, t.encode()) for i, t in enumerate(texts)])
 
 
+def test_repeats_of_missing_and_repeated_ids_in_near_copies(spark):
+    rng = random.Random(8)
+    base = [rng.choice("abcdé \n") for _ in range(900)]
+    rows = []
+    for i in (3, 3, None, 5, None, 1, 5, 9):
+        copy = list(base)
+        for _ in range(rng.randrange(4, 12)):
+            copy[rng.randrange(len(copy))] = rng.choice("xyz")
+        a = rng.randrange(300)
+        rows.append((i, "".join([*copy[a:], *copy[: a // 2]])))
+    long = [rng.choice("abcdefgh") for _ in range(700_000)]  # more than a piece, and than a block of the sort
+    rows += [(20, "".join(long)), (21, "".join("x" if k % 70 == 0 else c for k, c in enumerate(long))), (22, rows[0][1] + "".join(long[5:90_000]))]
+    got = op5.repeat_digests(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4, "text"))
+    key = lambda x: op5.NO_ID if x is None else x
+    assert sorted((key(r[0]), *r[1:]) for r in got.collect()) == brute_repeats([(key(i), t.encode()) for i, t in rows])
+
+
+def test_seeds_fall_evenly_into_ranges():
+    rng = random.Random(11)
+    hashes = op5.runs(["".join(rng.choice("abcdefghij ") for _ in range(200_000)).encode()])[3]
+    ranges = Counter((hashes >> 36).tolist())  # the 16 even ranges of 40 bits
+    assert len(ranges) == 16 and max(ranges.values()) < 1.2 * len(hashes) / 16
+
+
+def test_only_what_differs_is_sorted(monkeypatch):
+    rng = random.Random(12)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(20_000)).encode()
+    changed = text[:9_000] + b"#" + text[9_001:]
+    rows = [("0", 0, text), ("1", 1, text), ("2", 2, changed), ("3", 3, text[400:500])]
+
+    def settled(rows):
+        text, _, _, hashes, _ = op5.runs([t for _, _, t in rows])
+        values = op5._seeds_of(text, hashes)[1]
+        data = op5._shared_runs(rows, values == 1)
+        keys, _, least = op5._sorted_unique(*op5._run_keys(data))
+        spans, pieces = op5._settle(data, op5._least_runs(keys, op5.np.arange(len(keys)), least))
+        return [tuple(x) for x in zip(*(x.tolist() for x in spans))], pieces
+
+    spans, pieces = settled(rows[:2])
+    assert spans == [(1, 0, 20_000)] and pieces == []
+    spans, pieces = settled(rows)
+    assert {p for p, _, _ in spans} == {1, 2, 3} and 0 < sum(len(c) for x in pieces for c in x["chunks"]) < 1_000
+    monkeypatch.setattr(op5, "CHUNK_BLOCK", 7)
+    spans, small = settled(rows)
+    windows = lambda some: sorted((p, a + k) for x in some for p, a, c in zip(x["text"], x["first"], x["chunks"]) for k in range(len(c) - 49))
+    assert len(small) > 3 and windows(small) == windows(pieces)
+    assert all(c == rows[p][2][a : a + len(c)] and i == rows[p][1] for x in small for p, a, c, i in zip(x["text"], x["first"], x["chunks"], x["least"]))
+
+
 # ---- pages ----
 PAGE = """<html><head><title>T</title></head><body><header><div>Site</div><nav>Home</nav></header><div class="cookie-notice"><p>We use cookies.</p></div>
 <article><h1>Title</h1><p>First <b>bo</b>ld &amp; more.<br>Line two</p><div class="advert">Buy!</div><ul><li>one</li><li>two</li></ul></article>
