@@ -43,7 +43,11 @@ WALK = 64
 
 #: Parts no longer than an address allows (64 characters, 63 a label, 126 labels): a text takes linear time, and no more
 #: of the stack than so many labels do.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
+#: Behind six characters, a longer run is only read on where it begins, at the match before, or 64 characters ahead of the
+#: sign: at its other places no address can begin that did not begin before.
+LOCAL = "[A-Za-z0-9._%+-]"
+LONG_RUN = f"(?={LOCAL})(?:(?<!{LOCAL}(?s:.{{6}}))|(?<=\\G(?s:.{{6}}))|(?=(?s:.{{58}})@)){LOCAL}{{1,58}}+"
+EMAIL = f"{LOCAL}{{1,6}}+(?:{LONG_RUN})?+" + r"@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
 NAMED_SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key))\"?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{8,}[\"']?"
 SECRET = r"\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]*-----END [A-Z ]{0,30}PRIVATE KEY-----"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{6}\1[0-9]{5}))(?![0-9A-Za-z])"

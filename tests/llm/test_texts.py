@@ -348,6 +348,18 @@ def test_pseudonyms_against_a_second_network(spark):
     assert [got[i] for i in range(len(cases))] == [f"see {plain_pseudonym(k, x)}, then" for k, x in cases]
 
 
+def test_addresses_in_long_runs_are_those_of_the_plain_pattern(spark):
+    plain = op8.ANY.replace(op8.EMAIL, r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}")
+    assert op8.LOCAL + "{1,6}+" not in plain
+    rng = random.Random(4)
+    bits = ["joe@x.com", "@", ".", "a", "5", "-", " ", "(555) 123-4567", "+49 30 1234567", "192.168.0.1", "2020-01-02", "é", "\n", "x" * 57, "x" * 58, "x" * 63, "b" * 64, "c" * 65, "abcdef", "%", "@mail.example.org"]
+    df = spark.createDataFrame([("".join(rng.choice(bits) for _ in range(rng.randrange(1, 14))),) for _ in range(5000)], "t string")
+    found = df.select(*[F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias(n) for n, p in (("now", op8.ANY), ("plain", plain))], *[F.split("t", p, -1).alias(f"{n}_gaps") for n, p in (("now", op8.ANY), ("plain", plain))])
+    rows = found.collect()
+    assert sum(any("@" in x for x in r.now) for r in rows) > 1000
+    assert [(r.now, r.now_gaps) for r in rows] == [(r.plain, r.plain_gaps) for r in rows]
+
+
 @pytest.mark.parametrize("text", ["x@" + "a." * 3000 + "9", "a" * 2**20, "x@" + "a." * 2**19, "5-" * 2**19, "9" * 2**20, "a@" * 2**19, "f" * 2**20, "-----BEGIN PRIVATE KEY" * 2**15, "token=" * 2**17])
 def test_long_runs_take_linear_time(spark, text):
     began = time.time()
