@@ -6,7 +6,8 @@ without ever becoming rows. Only entities with several payloads are merged. Thei
 attributes are first reduced per (entity, category, key), with partial aggregation before
 the shuffle, so the copies of a hot entity are merged where they are read and its attributes
 are spread over many tasks; then that reduced set, the content of the resulting documents,
-is brought together per entity.
+is brought together per entity. Where these entities are many, each of the steps is staged, so
+that the shuffle files of one are gone when the next begins.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ from histflow import fixed_values as fv
 from histflow.functions.documents import json_elements, json_member, json_object, json_quote, scalar_only, with_scalars
 from histflow.functions.scalar import clean_key, decode_ampersand, split_list, underscore_spaces
 from histflow.operators.spread import spread_join
-from histflow.sources.tables import stage
+from histflow.sources.tables import discard, stage
 
-_ORDER, _CATEGORY, _KEY, _RAW = "__order", "__category", "__key", "__raw"
+_ORDER, _CATEGORY, _KEY, _RAW, _MERGED = "__order", "__category", "__key", "__raw", "__merged"
+
+#: So many entities with several payloads are few: their ids are broadcast, and merging them needs no staged steps.
+FEW = 1_000
 
 
 def json_array_rows(df: DataFrame, payload: str, keep: Sequence[str]) -> DataFrame:
@@ -106,13 +110,13 @@ def _reduced_attributes(
         F.when(in_document, key_rule(F.col(_KEY))).alias(_KEY),
         F.when(in_document, F.col(_RAW)).alias(_RAW),
         F.struct(*order_by, "pos").alias(_ORDER),
-        F.struct(*order_by, *[c for c in latest if c not in order_by]).alias("__latest"),
+        (F.struct(*order_by, *[c for c in latest if c not in order_by]) if order_by or latest else F.lit(True)).alias("__latest"),
         *[F.when(in_document, F.col(_envelope(name))).alias(_envelope(name)) for name in fv.ENVELOPE_PATHS],
         *([F.when(in_array, F.to_json("element")).alias("__text")] if arrays else []),
     )
     aggregates = [
         # the last position wins where a name is repeated
-        F.max_by(_RAW, F.struct(_ORDER, _RAW)).alias(_RAW),
+        F.max(F.struct(_ORDER, _RAW))[_RAW].alias(_RAW),
         F.max("__latest").alias("__latest"),
         *[F.max(_envelope(name)).alias(_envelope(name)) for name in fv.ENVELOPE_PATHS],
     ]
@@ -233,19 +237,15 @@ def _rolled_in_the_row(
 
 
 def _rolled_together(
-    df: DataFrame,
+    reduced: DataFrame,
     ids: Sequence[str],
-    payload: str,
     documents: Mapping[str, str],
     arrays: Mapping[str, str],
     association: str | None,
     value_rule,
-    key_rule,
-    order_by: Sequence[str],
     latest: Sequence[str],
 ) -> DataFrame:
-    """One wide row per entity, merged from all its payloads."""
-    reduced = _reduced_attributes(df, ids, payload, list(documents), list(arrays), list(order_by), list(latest), key_rule)
+    """One wide row per entity, merged from the reduced attributes of all its payloads."""
     # an envelope field replaces an attribute of the same name
     named = F.col(_KEY).isNotNull() & ~F.col(_KEY).isin(*fv.ENVELOPE_KEYS)
     entry = json_member(F.col(_KEY), value_rule(F.col(_KEY), F.col(_RAW)))
@@ -306,17 +306,34 @@ def eav_rollup(
     counts = df.groupBy(*ids).agg(F.count(F.lit(1)).alias("__n"))
     several = stage(counts.where((F.col("__n") > 1) | ~keyed).select(*ids), "several-payloads")
     rules = (documents, arrays, association, value_rule, key_rule)
-    if several.isEmpty():
-        wide_row = _rolled_in_the_row(df, ids, payload, *rules, latest)
-    else:
+    # Of a single payload there is one delivery, that of its row.
+    n_several, carried = several.count(), [*per_delivery, *latest]
+    if not n_several:
+        return _rolled_in_the_row(df, ids, payload, *rules, carried)
+    few = n_several <= FEW
+    if few:
         single = spread_join(df.where(keyed), several, ids, "left_anti")
         many = spread_join(df.where(keyed), several, ids, "left_semi").unionByName(df.where(~keyed))
-        wide_row = _rolled_in_the_row(single, ids, payload, *rules, latest).unionByName(_rolled_together(many, ids, payload, *rules, order_by, latest))
-    if not per_delivery:
-        return wide_row
-    deliveries = df.where(F.size(json_elements(payload)) > 0).select(*ids, *per_delivery).distinct()
-    joined = spread_join(deliveries, wide_row, ids, "left")
-    return joined.select(*ids, *per_delivery, *wide_row.columns[len(ids) :])
+    else:
+        told = _told_apart(df.select(*dict.fromkeys([*ids, payload, *order_by, *latest, *per_delivery])), several, ids, keyed)
+        single, many = (told.where(F.col(_MERGED) == merged).drop(_MERGED) for merged in (False, True))
+    reduced = _reduced_attributes(many, ids, payload, list(documents), list(arrays), list(order_by), list(latest), key_rule)
+    if not few:
+        reduced = stage(reduced, "attributes")
+    merged = _rolled_together(reduced, ids, documents, arrays, association, value_rule, latest)
+    if not few:
+        merged = stage(merged, "merged-payloads")
+        discard(reduced, several)
+    if per_delivery:
+        deliveries = many.where(F.size(json_elements(payload)) > 0).select(*ids, *per_delivery).distinct()
+        merged = spread_join(deliveries, merged, ids, "left").select(*ids, *per_delivery, *merged.columns[len(ids) :])
+    return _rolled_in_the_row(single, ids, payload, *rules, carried).unionByName(merged)
+
+
+def _told_apart(df: DataFrame, several: DataFrame, ids: Sequence[str], keyed: Column) -> DataFrame:
+    """The rows, staged, with whether their entity is to be merged: the payloads move once, and are not made again."""
+    joined = spread_join(df, several.withColumn(_MERGED, F.lit(True)), ids, "left")
+    return stage(joined.withColumn(_MERGED, F.col(_MERGED).isNotNull() | ~keyed), "payloads")
 
 
 def category_arrays(df: DataFrame, ids: Sequence[str], arrays: Mapping[str, str], **options) -> DataFrame:

@@ -29,9 +29,27 @@ def configure(spark: SparkSession) -> SparkSession:
 _OWNED: ContextVar[list[str] | None] = ContextVar("owned_folders", default=None)
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def cleared_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs in this scope go with the end of each query, not when the driver collects its garbage."""
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a working folder and what is in it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Delete a working folder and what is in it; a Connect session leaves it to the cluster's clean-up."""
+    try:
+        jvm = spark._jvm
+    except AttributeError:
+        return
+    where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 

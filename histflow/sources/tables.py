@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from histflow.operators.spread import placement
-from histflow.session import work_folder
+from histflow.session import cleared_shuffles, owned_folders, remove_folder, work_folder
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -26,13 +26,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
         raise
 
 
-def dealt_out(df: DataFrame, tasks: int | None = None) -> DataFrame:
+def dealt_out(df: DataFrame, tasks: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """A table dealt out to ``tasks`` before heavy per-row work.
 
     For tables of few files: a file of one row group is read by a single task, and
-    parsing JSON costs far more than reading it.
+    parsing JSON costs far more than reading it. Dealt out ``by`` the columns that the rows are
+    grouped by later, they stay where they are for that: texts made of them do not move.
     """
-    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism)
+    spark = df.sparkSession
+    least = spark.sparkContext.defaultParallelism
+    if by:
+        return df.repartition(tasks or max(least, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+    return df.repartition(tasks or least)
 
 
 def pending(df: DataFrame, flag: str = "indicator_flag", value: str = "N") -> DataFrame:
@@ -60,11 +65,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back.
 
     Ids and clock values are fixed from here on, lineage ends here, and a lost
-    executor costs nothing but the files' re-read.
+    executor costs nothing but the files' re-read. The shuffle files of the write go
+    with its end.
     """
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, work_folder(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    with cleared_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_folder = path
+    return out
+
+
+def stage_result(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make()`` returns, staged; the folders that were staged for it go."""
+    path = work_folder(spark, name)  # of the scope outside
+    with owned_folders(spark):
+        return _written(make(), path)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged rows that nothing is computed from any more; rows that are not staged are passed over."""
+    for df in staged:
+        if (path := getattr(df, "staged_folder", None)) is not None:
+            remove_folder(df.sparkSession, path)
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:

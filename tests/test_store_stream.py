@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from row_lists import rows
@@ -356,3 +357,35 @@ def test_a_merge_leaves_no_staged_folder(spark, tmp_path, monkeypatch):
     table.apply(batch(spark, a="1"), dt.datetime(2026, 1, 1), "feed", 1)
     assert table.read().count() == 1
     assert len(made) == 2 and not any(Path(p.removeprefix("file:")).exists() for p in made)
+
+
+def test_staged_rows_leave_no_shuffle_files(spark):
+    import os
+
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return {name for d in (x.getPath() for x in local.localDirs()) for _, _, names in os.walk(d) for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    staged = tables.stage(spark.range(1000).repartition(3, "id"), "shuffled")
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:  # files go a moment later
+        time.sleep(0.2)
+    assert not shuffled() - before and staged.count() == 1000
+
+
+def test_a_staged_result_outlives_what_was_staged_for_it(spark):
+    from pathlib import Path
+
+    inner = []
+
+    def made():
+        inner.append(tables.stage(spark.range(7), "inner"))
+        return inner[0].selectExpr("id + 1 AS id")
+
+    out = tables.stage_result(spark, made, "outer")
+    assert out.count() == 7 and not Path(inner[0].staged_folder.removeprefix("file:")).exists()
+    tables.discard(out, spark.range(1))
+    assert not Path(out.staged_folder.removeprefix("file:")).exists()

@@ -150,7 +150,7 @@ def eav_rollup_all(spark, sf):
 )
 def eav_rollup_deliveries(spark, sf):
     return rollup.eav_rollup(
-        derived(spark, sf, inputs.DELIVERIES, payloads=True),
+        derived(spark, sf, inputs.DELIVERIES, payloads="l_orderkey"),
         IDS,
         fv.CATEGORIES,
         association="Product_Association_ID",

@@ -52,14 +52,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str, payloads: bool = False) -> DataFrame:
+def derived(spark: SparkSession, sf_dir: str, sql: str, payloads: bool | str = False) -> DataFrame:
     """Rows of an input statement over the given tables.
 
     The same text runs in the check engine; timestamps have no zone there.
-    ``payloads``: the rows carry JSON, so a small table is dealt out first.
+    ``payloads``: the rows carry JSON, so a small table is dealt out first; a name: by the column
+    that the statement's groups share, so that their rows need not move once more.
     """
+    by = [payloads] if isinstance(payloads, str) else []
     for table in TABLES:
         if re.search(rf"\b{table}\b", sql):
             rows = read(spark, sf_dir, table)
-            (dealt_out(rows) if payloads else rows).createOrReplaceTempView(table)
+            (dealt_out(rows, by=by) if payloads else rows).createOrReplaceTempView(table)
     return spark.sql(sql.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
