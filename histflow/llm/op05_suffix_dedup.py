@@ -48,8 +48,8 @@ DOC_BLOCK = 4 << 20
 CHUNK_BLOCK = 1 << 19
 #: Bytes that are hashed at a time.
 PIECE = 1 << 18
-#: Keys that the splitters of a sort are chosen from, at most.
-SAMPLED = 20_000
+#: Keys that the splitters of a sort are chosen from, at most about so many (7 MB in the driver), and by a full block.
+SAMPLED, MOST_DRAWN = 1 << 18, 256
 #: A block of documents may leave so many blocks to the sort, and a task have so many blocks: bits of a block's number.
 PIECE_BITS = TASK_BITS = 20
 #: Bytes and bits of a name: the range that gave it, and the rank inside.
@@ -244,30 +244,41 @@ def _least(keys: np.ndarray, ranks: np.ndarray, values: np.ndarray) -> np.ndarra
 
 
 def _sample(blocks: DataFrame, keys_of: Callable, ranges: int) -> np.ndarray:
-    """Splitters for so many ranges: quantiles of keys sampled evenly from each block, at most about ``SAMPLED`` in all."""
+    """Splitters for so many ranges: quantiles of keys drawn evenly from each block, as many as its share of the distinct keys, at most about ``SAMPLED`` in all."""
     if ranges < 2:
         return np.empty(0, "S1")
-    each = max(1, SAMPLED // ranges)
+    each, full = min(MOST_DRAWN, max(1, SAMPLED // ranges)), CHUNK_BLOCK
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for block, data in zip(pdf["block"], pdf["data"]):
                 if ranges > SAMPLED and (block >> PIECE_BITS) % (ranges // SAMPLED + 1):
                     continue
-                keys = keys_of(_unpack(data))[0]
-                # Some of the places are enough, and no key counts twice.
-                unique = np.unique(keys[:: max(1, len(keys) // (each * 16))])
-                some = unique[:: max(1, len(unique) // each)][:each]
-                width = some.dtype.itemsize
-                yield pd.DataFrame({"key": [x.ljust(width, b"\0") for x in some.tolist()]})
-
-    got = [bytes(r.key) for r in blocks.mapInPandas(draw, "key binary").collect()]
+                some = _drawn(keys_of(data := _unpack(data))[0], sum(map(len, data["chunks"])) / full, each)
+                if len(some):
+                    yield pd.DataFrame({"width": [some.dtype.itemsize], "keys": [some.tobytes()]})
+
+    got = blocks.mapInPandas(draw, "width int, keys binary").collect()
     if not got:
         return np.empty(0, "S1")
-    keys = np.sort(np.array(got, f"S{len(got[0])}"))
+    keys = np.sort(np.frombuffer(b"".join(bytes(r["keys"]) for r in got), f"S{got[0].width}"))
     return np.unique(keys[[len(keys) * i // ranges for i in range(1, ranges)]])
 
 
+def _drawn(keys: np.ndarray, share: float, each: int) -> np.ndarray:
+    """Keys of a block from its least to its greatest, evenly: ``each`` for a full block (``share`` 1) of distinct ones.
+
+    The ends count: keys above the last one drawn by every block would all be of one range,
+    which grows with the input.
+    """
+    looked = keys[:: max(1, len(keys) // (each * 16))]
+    unique = np.unique(looked)  # some of the places are enough, and no key counts twice
+    if not len(unique):
+        return unique
+    n = min(len(unique), max(1, round(each * share * len(unique) / len(looked))))
+    return unique[(2 * np.arange(n) + 1) * len(unique) // (2 * n)]
+
+
 # ---- documents in blocks ---------------------------------------------------------------
 def _doc_blocks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(block, data): the documents of each task in blocks; data is ids, rank ids and texts."""

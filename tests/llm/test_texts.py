@@ -9,6 +9,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -568,3 +569,18 @@ def test_characters_are_joined_by_single_blanks():
 
     for t in [None, "", " ", "a", " a\t\x0b b\r\n\x0c", "x\xa0 y\x85\x1c z ", "é\n\n漢 🙂 ", "\ud800 a"]:
         assert op10.characters(t) == re.sub(r"[\x20\x09-\x0D]+", " ", t or "").strip(" ")
+
+
+def test_no_range_of_the_suffix_sort_grows_with_the_input(spark, monkeypatch):
+    """The keys above the splitters are as few as those of any other range, whatever a block's number of distinct keys."""
+    rng = np.random.default_rng(5)
+    pieces = [bytes(rng.integers(97, 123, 3000 if i % 5 else 700, dtype=np.uint8)) for i in range(40)]
+    pieces = [p + p[: 90 + i] for i, p in enumerate(pieces)]  # some keys twice
+    blocks = spark.createDataFrame([(i, bytearray(op5._pack({"chunks": [p], "least": [i]}))) for i, p in enumerate(pieces)], "block bigint, data binary")
+    ranges = 12
+    monkeypatch.setattr(op5, "SAMPLED", 20 * ranges)  # 20 drawn by a full block
+    monkeypatch.setattr(op5, "CHUNK_BLOCK", 3000)
+    splitters = op5._sample(blocks, op5._prefixes, ranges)
+    keys = np.concatenate([np.unique(op5._prefixes({"chunks": [p], "least": [0]})[0]) for p in pieces])
+    found = np.bincount(np.searchsorted(splitters, keys, "right"), minlength=ranges)
+    assert len(splitters) == ranges - 1 and found.max() < 1.3 * len(keys) / ranges
