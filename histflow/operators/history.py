@@ -256,8 +256,11 @@ def merge_active(active: DataFrame, source: DataFrame, history: History, as_of:
     """
     as_of = as_instant(as_of)
     schema, keys = active.schema, list(history.keys)
-    checked = comparable_source(assert_single(source.where(known(keys)), keys), schema, history)
     watched = list(dict.fromkeys([*history.watch, *history.documents]))
+    if not history.on_insert:  # which may read any column; else only the table's own need to move
+        wanted = {c.lower() for c in [*schema.names, *keys, *watched]}
+        source = source.select(*[F.col(f"`{c}`") for c in source.columns if c.lower() in wanted])
+    checked = comparable_source(assert_single(source.where(known(keys)), keys), schema, history)
     batch = checked.select(
         *[F.col(k).alias(f"__s_{k}") for k in keys],
         *[F.col(c).alias(f"__s_{c}") for c in watched if c not in keys],

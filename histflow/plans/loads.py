@@ -49,7 +49,7 @@ from histflow.operators.quality import (
 from histflow.operators.reversion import children_of_groups, reversion_with_children
 from histflow.operators.rollup import eav_rollup, listed_keys_values, separated_values
 from histflow.operators.spread import spread_join
-from histflow.sources.tables import pending, stage
+from histflow.sources.tables import pending, stage, stage_result
 
 
 @dataclass(frozen=True)
@@ -120,15 +120,21 @@ REASON = "reject_reason"
 BAD_VALUE, REPEATED_KEY = "bad value", "repeated key"
 
 
-def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _one_per_key(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str], staging: bool = False) -> tuple[DataFrame, DataFrame]:
     """The rows with one for each key, and the rejected ones with their reason.
 
     The latest row by ``order_by``; without it, all rows of a repeated key are rejected, and
     the others load. ``rows`` are staged: they are read for the keys, and for either part.
+    With ``staging`` the repeated keys are staged too: where there are none, no row moves to be told apart.
     """
+    none = rows.where(F.lit(False)).withColumn(REASON, F.lit(REPEATED_KEY))
     if order_by:
-        return latest_per_key(rows, list(keys), list(order_by)), rows.where(F.lit(False)).withColumn(REASON, F.lit(REPEATED_KEY))
+        return latest_per_key(rows, list(keys), list(order_by)), none
     repeated = duplicate_keys(rows.where(known(keys)).select(*keys), keys).select(*keys)
+    if staging:
+        repeated = stage(repeated, "repeated-keys")
+        if repeated.isEmpty():
+            return rows, none
     return spread_join(rows, repeated, keys, "left_anti"), spread_join(rows, repeated, keys, "left_semi").withColumn(REASON, F.lit(REPEATED_KEY))
 
 
@@ -240,10 +246,12 @@ def configuration_source(
     raw_categories: bool = False,
     order_by: Sequence[str] = ("LastModifiedDate", "CreatedDate"),
     per_delivery: Sequence[str] = (),
+    staging: bool = False,
 ) -> DataFrame:
     """One wide row per pending configuration, with its customer id.
 
-    ``per_delivery``: landing columns that tell deliveries apart; a row for each.
+    ``per_delivery``: landing columns that tell deliveries apart; a row for each. With ``staging``
+    these rows are staged before they get their customer.
     ``raw_categories``: two categories become keyed documents with cleaned
     keys, the other eight stay arrays of elements as they came.
     """
@@ -251,7 +259,7 @@ def configuration_source(
         "business_unit_cd", code_map("line_of_business", fv.BUSINESS_UNITS, ignore_case=True)
     )
     keyed = {c: fv.CATEGORIES[c] for c in fv.KEYED_CATEGORIES}
-    wide = eav_rollup(
+    rolled = lambda: eav_rollup(
         rows,
         ["ID", "Product_Association_ID"],
         keyed if raw_categories else fv.CATEGORIES,
@@ -263,6 +271,7 @@ def configuration_source(
         latest=[c for c in ("business_unit_cd", "Grouper_val", "CreatedDate", "LastModifiedDate") if c not in per_delivery],
         **({"per_delivery": list(per_delivery)} if per_delivery else {}),
     )
+    wide = stage_result(landing.sparkSession, rolled, "deliveries") if staging and per_delivery else rolled()
     owners = entitlement.select(
         F.col("sf_product_association_id").alias("Product_Association_ID"), "customer_id"
     )
@@ -313,13 +322,15 @@ def product_configuration_load(
     several deliveries is rejected.
     """
     as_of = as_instant(as_of)
-    source = configuration_source(landing, entitlement, raw_categories, per_delivery=per_delivery).withColumn(
-        "sgk_customer_product_configuration_id",
-        surrogate_key(["sf_product_configuration_id", "sf_product_association_id"], as_of),
-    )
-    if staging:
-        source = stage(source, "configurations")
-    source, rejected = _one_per_key(source, ["sf_product_configuration_id", "sf_product_association_id"], order_by)
+
+    def prepared() -> DataFrame:
+        return configuration_source(landing, entitlement, raw_categories, per_delivery=per_delivery, staging=staging).withColumn(
+            "sgk_customer_product_configuration_id",
+            surrogate_key(["sf_product_configuration_id", "sf_product_association_id"], as_of),
+        )
+
+    source = stage_result(landing.sparkSession, prepared, "configurations") if staging else prepared()
+    source, rejected = _one_per_key(source, ["sf_product_configuration_id", "sf_product_association_id"], order_by, staging)
     history = scd2_apply(target, source, configuration_history(watch), as_of, insert)
     # after the load a configuration is active if it was before or came now
     reached = active_rows(target, configuration_history()).select("sf_product_configuration_id").unionByName(

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from row_lists import rows
@@ -217,3 +218,11 @@ def test_equal_content_in_another_shape_is_no_change(spark):
     source = spark.createDataFrame([("a", 1, '{"a":2,"b":1}')], "k string, n bigint, d string")
     assert rows(hx.scd2_apply(target, source, history, NOW)) == rows(target)
     assert rows(hx.expire(target, source, history, NOW)) == rows(target)
+
+
+def test_a_merge_moves_only_the_tables_columns(spark):
+    target = spark.createDataFrame([("a", "1", "Y", None, None)], "k string, h string, active string, s timestamp, e timestamp")
+    source = spark.createDataFrame([("a", "2", "x" * 9), ("b", "1", "y" * 9), (None, "1", "z")], "k string, h string, not_in_the_table string")
+    merged = hx.merge_active(target, source, hx.History(keys=["k"], watch=["h"], active="active", start="s", end="e"), "2026-01-01 00:00:00")
+    assert sorted((r.k or "", r.h, r.active) for r in merged.collect()) == [("", "1", "Y"), ("a", "1", "N"), ("a", "2", "Y"), ("b", "1", "Y")]
+    assert not re.search(r"Aggregate.*not_in_the_table", merged._jdf.queryExecution().optimizedPlan().toString())

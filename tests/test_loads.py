@@ -62,3 +62,20 @@ def test_one_configuration_with_two_associations_is_two_versions(spark):
     assert len({r.sgk_customer_product_configuration_id for r in rows}) == 2
     again = loads.product_configuration_load(landing, entitlement, load.history, "2026-02-01 00:00:00").history
     assert again.where("active_record_ind = 'N'").count() == 0 and again.count() == 2
+
+
+def test_configurations_of_one_delivery_do_not_move_to_be_told_apart(spark):
+    """Without a repeated key no row is joined to the repeated keys."""
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), (None, 3)], "k string, n int")
+    kept, rejected = loads._one_per_key(rows, ["k"], (), staging=True)
+    assert kept.count() == 4 and rejected.count() == 0 and "Join" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    kept, rejected = loads._one_per_key(rows.unionByName(rows), ["k"], (), staging=True)
+    assert sorted(r.n for r in kept.collect()) == [3, 3, 3, 3] and sorted(r.k for r in rejected.collect()) == ["a", "a", "b", "b"]
+
+
+def test_rows_grouped_by_the_column_they_are_dealt_by_stay(spark):
+    from histflow.sources import tables
+
+    dealt = tables.dealt_out(spark.range(100).selectExpr("id % 7 AS k", "CAST(id AS STRING) AS text"), by=["k"])
+    plan = dealt.groupBy("k").agg({"text": "max"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 1 and dealt.count() == 100

@@ -151,7 +151,7 @@ FROM orders
 )
 def product_configuration_load(spark, sf):
     return loads.product_configuration_load(
-        derived(spark, sf, inputs.CONFIGURATION, payloads=True),
+        derived(spark, sf, inputs.CONFIGURATION, payloads="l_orderkey"),
         derived(spark, sf, inputs.ENTITLEMENT),
         derived(spark, sf, CONFIGURATION_HISTORY),
         as_of(),
