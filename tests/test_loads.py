@@ -79,3 +79,23 @@ def test_rows_grouped_by_the_column_they_are_dealt_by_stay(spark):
     dealt = tables.dealt_out(spark.range(100).selectExpr("id % 7 AS k", "CAST(id AS STRING) AS text"), by=["k"])
     plan = dealt.groupBy("k").agg({"text": "max"})._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(k") == 1 and dealt.count() == 100
+
+
+def test_a_reload_keeps_only_the_last_history(spark, sf_dir, monkeypatch):
+    """Neither the first history nor what the loads staged is left."""
+    from pathlib import Path
+
+    from histflow.session import work_folder
+    from histflow.sources import tables
+    from workload import QUERIES
+
+    made = []
+
+    def recorded(*args):
+        made.append(work_folder(*args))
+        return made[-1]
+
+    monkeypatch.setattr(tables, "work_folder", recorded)
+    out = QUERIES["product_configuration_reload"](spark, sf_dir)
+    left = [p for p in made if Path(p.removeprefix("file:")).exists()]
+    assert left == [out.staged_folder] and len(made) > 4

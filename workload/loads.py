@@ -233,9 +233,11 @@ def product_configuration_reload(spark, sf):
     )
     history = spark.createDataFrame([], names)
     for landing, moment in ((inputs.CONFIGURATION, AS_OF_TEXT), (inputs.NEXT_CONFIGURATION, "2026-02-01 00:00:00")):
-        rows = derived(spark, sf, landing, payloads=True)
-        as_of_then = F.lit(moment).cast("timestamp_ntz")
-        history = tables.stage(loads.product_configuration_load(rows, entitlement, history, as_of_then).history, "reload")
+        rows = derived(spark, sf, landing, payloads="l_orderkey")
+        as_of_then, before = F.lit(moment).cast("timestamp_ntz"), history
+        # what the load stages goes with its end, and the history before with the new one
+        history = tables.stage_result(spark, lambda: loads.product_configuration_load(rows, entitlement, before, as_of_then).history, "reload")
+        tables.discard(before)
     return history
 
 
