@@ -99,3 +99,33 @@ def test_a_reload_keeps_only_the_last_history(spark, sf_dir, monkeypatch):
     out = QUERIES["product_configuration_reload"](spark, sf_dir)
     left = [p for p in made if Path(p.removeprefix("file:")).exists()]
     assert left == [out.staged_folder] and len(made) > 4
+
+
+def test_rejected_deliveries_leave_the_staged_source_alone(spark, monkeypatch):
+    """Deliveries are staged before they get their customer; that copy goes when the source is staged."""
+    from pathlib import Path
+
+    from histflow.session import work_folder
+    from histflow.sources import tables
+
+    made = []
+
+    def recorded(*args):
+        made.append(work_folder(*args))
+        return made[-1]
+
+    monkeypatch.setattr(tables, "work_folder", recorded)
+    payload = json.dumps([{"AttributeName__c": "A", "Attribute_Category__c": "Billing", "Attribute_Value__c": "1"}])
+    days = [dt.datetime(2026, 1, d) for d in (1, 2)]
+    landing = spark.createDataFrame(
+        [("C1", "P1", "Aetna", "G", days[0], days[0], "N", payload), ("C1", "P1", "Aetna", "G", days[0], days[1], "N", payload), ("C2", "P2", "Aetna", "G", days[0], days[0], "N", payload)],
+        "ID string, Product_Association_ID string, line_of_business string, Grouper_val string, CreatedDate timestamp_ntz, "
+        "LastModifiedDate timestamp_ntz, indicator_flag string, Payload string",
+    )
+    entitlement = spark.createDataFrame([("P1", "c")], "sf_product_association_id string, customer_id string")
+    target = spark.createDataFrame([], schemas.CONFIGURATION_HISTORY)
+    load = loads.product_configuration_load(landing, entitlement, target, AS_OF, per_delivery=["LastModifiedDate"])
+    assert sorted((r.sf_product_configuration_id, r.source_last_process_dts.day, r.customer_id) for r in load.rejected.collect()) == [("C1", 1, "c"), ("C1", 2, "c")]
+    assert sorted((r.ID, r.indicator_flag) for r in load.source.collect()) == [("C1", "N"), ("C1", "N"), ("C2", "Y")]
+    left = sorted(p.split("/")[-1].rsplit("-", 1)[0] for p in made if Path(p.removeprefix("file:")).exists())
+    assert left == ["configurations", "repeated-keys"] and any("/deliveries-" in p for p in made)

@@ -307,7 +307,7 @@ def contacts_load_rejected(spark, sf):
 )
 def product_configuration_load_flags(spark, sf):
     """Configurations whose deliveries are rejected stay pending, unless the history has them."""
-    landing = derived(spark, sf, DELIVERED, payloads=True)
+    landing = derived(spark, sf, DELIVERED, payloads="l_orderkey")
     entitlement, target = derived(spark, sf, inputs.ENTITLEMENT), derived(spark, sf, CONFIGURATION_HISTORY)
     return loads.product_configuration_load(landing, entitlement, target, as_of(), per_delivery=["LastModifiedDate"]).source
 
